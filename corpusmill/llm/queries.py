@@ -5,14 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, quality, secrets
+from . import bpe, chat, packing, quality, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where the installed package of public tokenizers keeps a file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("word_bpe_49k.json")
+    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
+    written = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), redact=False).drop("text")
 
@@ -27,6 +46,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_packing": op4_packing,
+    "op6_bpe": op6_bpe,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
     "op10_chat_format": op10_chat_format,

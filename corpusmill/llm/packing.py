@@ -20,6 +20,7 @@ import math
 import os
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -33,9 +34,9 @@ from .words import slices
 WINDOW = 2048
 GROUP = 256
 PIECE = 512
-CACHED = 200_000
+CACHED = 500_000
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
+_TWO_SPACES = re.compile("[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2}")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -45,6 +46,18 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _Cache(dict):
+    """Ids, as bytes, of the segments met so far, each behind the same lead."""
+
+    def __init__(self, encoding, lead: str):
+        super().__init__()
+        self.encoding, self.lead = encoding, lead
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self[part] = array("I", self.encoding.encode_ordinary(self.lead + part)).tobytes()
+        return ids
+
+
 class ByteEncoder:
     """Ids of a byte-level BPE vocabulary file, as the ``tokenizers`` library gives them.
 
@@ -69,31 +82,20 @@ class ByteEncoder:
         ranks = {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         pattern = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
         self.fast = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-
-    def _fill(self, cache: dict[str, bytes], wanted: set[str], lead: str) -> None:
-        if len(cache) > CACHED:
-            cache.clear()
-        for part in wanted:
-            if part not in cache:
-                cache[part] = np.array(self.fast.encode_ordinary(lead + part), "<u4").tobytes()
+        self.heads, self.tails = _Cache(self.fast, ""), _Cache(self.fast, " ")
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if self.special and self.special.search(text):
-            return np.array(self.exact.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts = _SAFE_CUT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
-        head, tails = parts[0], parts[1:]
-        try:
-            return self.heads[head] + b"".join(map(self.tails.__getitem__, tails))
-        except KeyError:
-            self._fill(self.heads, {head}, "")
-            self._fill(self.tails, set(tails), " ")
-            for part in tails:  # what the cache lost in filling
-                if part not in self.tails:
-                    self.tails[part] = np.array(self.fast.encode_ordinary(" " + part), "<u4").tobytes()
-            return self.heads[head] + b"".join(map(self.tails.__getitem__, tails))
+            return array("I", self.exact.encode(text, add_special_tokens=False).ids).tobytes()
+        if _TWO_SPACES.search(text) or text[:1].isspace() or text[-1:].isspace():
+            head, *tails = _SAFE_CUT.split(text)
+        else:
+            head, *tails = text.split(" ")
+        for cache in (self.heads, self.tails):
+            if len(cache) > CACHED:
+                cache.clear()
+        return self.heads[head] + b"".join(map(self.tails.__getitem__, tails))
 
 
 def difference(sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

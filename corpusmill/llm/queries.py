@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, quality, secrets, toxicity
+from . import bpe, chat, packing, quality, secrets, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -51,6 +56,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substrings": op2_substrings,
     "op4_packing": op4_packing,
     "op6_bpe": op6_bpe,
     "op7_secret_scan": op7_secret_scan,
@@ -62,6 +68,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 ORACLE_SQL: dict[str, str] = {
-    "op10_chat_format": None,
+    "op2_substrings": f"""
+        WITH words AS (
+            SELECT doc_id, {_WORDS} AS ws FROM documents
+        ), spots AS (
+            SELECT doc_id, len(ws) AS n, generate_subscripts(ws, 1) AS p, unnest(ws) AS w, ws FROM words
+        ), windows AS (
+            SELECT doc_id, p, w,
+                CASE WHEN p + 19 <= n THEN row_number() OVER (
+                    PARTITION BY CASE WHEN p + 19 <= n THEN array_to_string(ws[p:p + 19], ' ') END ORDER BY doc_id, p) > 1
+                ELSE false END AS again
+            FROM spots
+        ), kept AS (
+            SELECT doc_id, p, w,
+                max(CAST(again AS INT)) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+            FROM windows
+        ), texts AS (
+            SELECT doc_id, sum(gone) AS n_removed, string_agg(w, ' ' ORDER BY p) FILTER (WHERE gone = 0) AS kept FROM kept GROUP BY doc_id
+        )
+        SELECT words.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+            sha256(coalesce(kept, '')) AS kept_sha256
+        FROM words LEFT JOIN texts USING (doc_id)
+    """,
 }
-ORACLE_SQL = {k: v for k, v in ORACLE_SQL.items() if v}

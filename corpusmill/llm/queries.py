@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, packing, quality, secrets, substrings, toxicity
+from . import bpe, chat, jaccard, packing, quality, secrets, substrings, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents").select("doc_id", "text"), n=4, percent=85)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
     found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
@@ -58,6 +62,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substrings": op2_substrings,
     "op4_packing": op4_packing,
+    "op5_jaccard": op5_jaccard,
     "op6_bpe": op6_bpe,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
@@ -90,4 +95,27 @@ ORACLE_SQL: dict[str, str] = {
             sha256(coalesce(kept, '')) AS kept_sha256
         FROM words LEFT JOIN texts USING (doc_id)
     """,
+    "op5_jaccard": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+        ), sets AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[p:p + 3], ' ') AS g
+            FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS p FROM words WHERE len(ws) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id <> b.doc_id
+            JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n
+            HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))
+        ), reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        )
+        SELECT documents.doc_id, coalesce(max(sizes.n), 0) AS n_shingles, min(reach.b) AS component_id
+        FROM documents JOIN reach ON reach.a = documents.doc_id LEFT JOIN sizes ON sizes.doc_id = documents.doc_id
+        GROUP BY documents.doc_id
+    """,
 }

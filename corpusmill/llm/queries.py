@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, packing, quality, secrets, substrings, toxicity
+from . import bpe, chat, jaccard, packing, quality, secrets, substrings, toxicity, warc
+from .frames import shared_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,12 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    return warc.resolved(warc.read(spark, path))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -61,6 +68,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substrings": op2_substrings,
+    "op3_warc": op3_warc,
     "op4_packing": op4_packing,
     "op5_jaccard": op5_jaccard,
     "op6_bpe": op6_bpe,

@@ -6,5 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import content, ranking
+
+_PLANS = (ranking, content)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+for _plan in _PLANS:
+    QUERIES |= _plan.QUERIES
+    ORACLE_SQL |= _plan.ORACLE_SQL

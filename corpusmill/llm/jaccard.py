@@ -153,13 +153,18 @@ class Lists:
         self.tokens = token[heads]
         self.bounds = np.append(heads, len(token))
 
-    def of(self, tokens: np.ndarray) -> list[list[int]]:
-        """The lists of tokens, those of unknown ones left out; ascending class numbers."""
+    def of(self, tokens: np.ndarray, open_: np.ndarray) -> list[list[int]]:
+        """What the lists of tokens hold of the open classes; ascending class numbers, empty lists left out."""
         if not len(self.tokens):
             return []
         at = np.minimum(np.searchsorted(self.tokens, tokens), len(self.tokens) - 1)
         at = at[self.tokens[at] == tokens]
-        return [self.owner[a:z].tolist() for a, z in zip(self.bounds[at].tolist(), self.bounds[at + 1].tolist(), strict=True)]
+        own = [self.owner[a:z] for a, z in zip(self.bounds[at].tolist(), self.bounds[at + 1].tolist(), strict=True)]
+        every = np.concatenate(own) if own else np.zeros(0, np.int64)
+        held = open_[every]
+        ends = np.concatenate([[0], np.cumsum(held)])[np.cumsum([0] + [len(x) for x in own])].tolist()
+        left = every[held].tolist()
+        return [left[a:z] for a, z in zip(ends, ends[1:], strict=False) if z > a]
 
 
 def merge_skip(lists: list[list[int]], needed: int) -> dict[int, int]:
@@ -216,13 +221,20 @@ def search(queries: list[tuple[int, int, np.ndarray]], classes: list[tuple[int,
     sets = Sets()
     lists = Lists([c[2] for c in classes])
     ids = [c[0] for c in classes]
+    sizes = np.array([c[1] for c in classes], np.int64)
+    roots = np.array(ids, np.int64)
     for me, size, tokens in queries:
-        mine = sets.find(me)
-        if all(sets.find(i) == mine for i in ids):
+        # open are the classes of a possible size that are not linked to this one yet
+        open_ = (roots != sets.find(me)) & (100 * sizes >= percent * size) & (100 * size >= percent * sizes)
+        if not open_.any():
             continue
-        for c, overlap in t_occurrence(lists.of(tokens), least_overlap(size, percent)).items():
-            if 100 * overlap >= percent * (size + classes[c][1] - overlap):
+        linked = False
+        for c, overlap in t_occurrence(lists.of(tokens, open_), least_overlap(size, percent)).items():
+            if 100 * overlap >= percent * (size + int(sizes[c]) - overlap):
                 sets.join(me, ids[c])
+                linked = True
+        if linked:
+            roots = np.array([sets.find(i) for i in ids], np.int64)
     return sets
 
 

@@ -217,13 +217,20 @@ def t_occurrence(lists: list[list[int]], needed: int) -> dict[int, int]:
 
 
 def search(queries: list[tuple[int, int, np.ndarray]], classes: list[tuple[int, int, np.ndarray]], percent: int) -> Sets:
-    """Disjoint sets of the class ids that links join; queries and classes are (id, set size, shared shingles)."""
+    """Disjoint sets of the class ids that links join; queries and classes are (id, set size, shared shingles).
+
+    A link is seen from either end.  So where all classes query, those that have come to
+    the component that held most of them early on need not: whoever is outside asks.
+    """
     sets = Sets()
     lists = Lists([c[2] for c in classes])
     ids = [c[0] for c in classes]
     sizes = np.array([c[1] for c in classes], np.int64)
     roots = np.array(ids, np.int64)
-    for me, size, tokens in queries:
+    both, pivot = queries is classes, None
+    for number, (me, size, tokens) in enumerate(queries):
+        if pivot is not None and sets.find(me) == sets.find(pivot):
+            continue
         # open are the classes of a possible size that are not linked to this one yet
         open_ = (roots != sets.find(me)) & (100 * sizes >= percent * size) & (100 * size >= percent * sizes)
         if not open_.any():
@@ -235,6 +242,10 @@ def search(queries: list[tuple[int, int, np.ndarray]], classes: list[tuple[int,
                 linked = True
         if linked:
             roots = np.array([sets.find(i) for i in ids], np.int64)
+            if both and pivot is None and number < 16:
+                found, members = np.unique(roots, return_counts=True)
+                if 2 * members.max() >= len(ids):
+                    pivot = int(found[members.argmax()])
     return sets
 
 
@@ -273,7 +284,8 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         rows = [(r["class"], r["size"], np.frombuffer(r["tokens"], "<u8"), r["block"]) for r in table.to_pylist()]
         rows.sort(key=lambda r: r[0])
         lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
-        found = search([r[:3] for r in rows if r[3] == lo], [r[:3] for r in rows if r[3] == hi], percent)
+        left = [r[:3] for r in rows if r[3] == lo]
+        found = search(left, left if lo == hi else [r[:3] for r in rows if r[3] == hi], percent)
         nodes = [c for c in found.up if found.find(c) != c]
         return pa.table({"a": pa.array(nodes, pa.int64()), "b": pa.array([found.find(c) for c in nodes], pa.int64())})
 

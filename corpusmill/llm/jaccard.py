@@ -144,12 +144,12 @@ class Lists:
     """Inverted lists of the shingles of some classes."""
 
     def __init__(self, sets: list[np.ndarray]):
-        token = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        token = np.concatenate([np.zeros(0, np.uint64), *sets])
+        owner = np.repeat(np.arange(len(sets)), np.array([len(s) for s in sets], np.int64))
         order = np.lexsort((owner, token))
         token = token[order]
         self.owner = owner[order]
-        heads = X.runs(token)
+        heads = X.runs(token).astype(np.int64)
         self.tokens = token[heads]
         self.bounds = np.append(heads, len(token))
 
@@ -219,33 +219,43 @@ def t_occurrence(lists: list[list[int]], needed: int) -> dict[int, int]:
 def search(queries: list[tuple[int, int, np.ndarray]], classes: list[tuple[int, int, np.ndarray]], percent: int) -> Sets:
     """Disjoint sets of the class ids that links join; queries and classes are (id, set size, shared shingles).
 
-    A link is seen from either end.  So where all classes query, those that have come to
-    the component that held most of them early on need not: whoever is outside asks.
+    A link is seen from either end.  So where all classes query, the component that holds
+    most of them, once there is one, need not be looked up any more: its members look up
+    whoever is outside.  The lists then shrink to what is outside.
     """
     sets = Sets()
-    lists = Lists([c[2] for c in classes])
-    ids = [c[0] for c in classes]
-    sizes = np.array([c[1] for c in classes], np.int64)
-    roots = np.array(ids, np.int64)
     both, pivot = queries is classes, None
+    held = classes
+    lists = Lists([c[2] for c in held])
+
+    def columns():
+        return np.array([c[1] for c in held], np.int64), np.array([sets.find(c[0]) for c in held], np.int64)
+
+    sizes, roots = columns()
     for number, (me, size, tokens) in enumerate(queries):
-        if pivot is not None and sets.find(me) == sets.find(pivot):
-            continue
+        mine = sets.find(me)
         # open are the classes of a possible size that are not linked to this one yet
-        open_ = (roots != sets.find(me)) & (100 * sizes >= percent * size) & (100 * size >= percent * sizes)
+        open_ = (roots != mine) & (100 * sizes >= percent * size) & (100 * size >= percent * sizes)
+        if pivot is not None:
+            open_ &= roots != sets.find(pivot)
         if not open_.any():
             continue
         linked = False
         for c, overlap in t_occurrence(lists.of(tokens, open_), least_overlap(size, percent)).items():
             if 100 * overlap >= percent * (size + int(sizes[c]) - overlap):
-                sets.join(me, ids[c])
+                sets.join(me, held[c][0])
                 linked = True
-        if linked:
-            roots = np.array([sets.find(i) for i in ids], np.int64)
-            if both and pivot is None and number < 16:
-                found, members = np.unique(roots, return_counts=True)
-                if 2 * members.max() >= len(ids):
-                    pivot = int(found[members.argmax()])
+        if not linked:
+            continue
+        sizes, roots = columns()
+        if both and pivot is None and number < 16:
+            found, members = np.unique(roots, return_counts=True)
+            if 2 * members.max() >= len(held):
+                pivot = int(found[members.argmax()])
+        if pivot is not None and 2 * np.count_nonzero(roots != sets.find(pivot)) < len(held):
+            held = [c for c, r in zip(held, roots.tolist(), strict=True) if r != sets.find(pivot)]
+            lists = Lists([c[2] for c in held])
+            sizes, roots = columns()
     return sets
 
 

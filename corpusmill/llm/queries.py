@@ -34,7 +34,7 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages"), path)
-    return warc.resolved(warc.read(spark, path))
+    return warc.resolved(warc.read(spark, path, payload=False))
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

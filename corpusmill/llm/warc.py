@@ -37,12 +37,22 @@ def base32_sha1(payload: Column) -> Column:
     return F.translate(F.concat(*fives), DIGITS, BASE32)
 
 
+#: Rows of a side that is joined by broadcast; a larger side is shuffled.
+BROADCAST_ROWS = 100_000
+
+
+def _meet(rows: DataFrame, few: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join wide rows with narrow ones; where these are few, without moving the wide rows."""
+    few = cut(few)
+    return rows.join(F.broadcast(few) if few.count() <= BROADCAST_ROWS else few, keys, how)
+
+
 def plan_records(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """(page_id, url, html) plus digest, record_type and refers_to."""
     rows = pages.select(F.col("page_id").cast("long"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("digest", base32_sha1(F.col("html"))).withColumn("payload_bytes", F.octet_length("html").cast("long"))
     chosen = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("digest").agg(F.max("page_id").alias("holder"), F.count("*").alias("copies")).where("copies > 1")
-    joined = rows.join(chosen, "digest", "left")
+    joined = _meet(rows, chosen, ["digest"], "left")
     revisit = (F.col("payload_bytes") >= least_bytes) & F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder"))
     return joined.select(
         "page_id", "url", "digest", "payload_bytes",
@@ -78,32 +88,44 @@ def _header(name: str) -> Column:
     return F.when(found == "", None).otherwise(found)
 
 
-def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """What stands between magic lines, in the order of the file, with its header if it has one; written once."""
-    raw = spark.read.option("lineSep", MAGIC).text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"))
+FIELDS = {"record_id": "WARC-Record-ID", "record_type": "WARC-Type", "target_uri": "WARC-Target-URI", "payload_digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To"}
+
+
+def pieces(spark: SparkSession, path: str, lean: bool) -> DataFrame:
+    """What stands between magic lines, in the order of the file, with the fields of its header; written once.
+
+    ``alone`` tells that a piece is as long as its header declares; ``lean`` leaves out the
+    text of such pieces, of which the digest is kept.
+    """
+    end = len(END)
+    raw = spark.read.option("lineSep", MAGIC).text(path).select("value", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"))
     numbered = raw.withColumn("number", F.monotonically_increasing_id()).withColumn("size", F.octet_length("value").cast("long"))
-    header = F.when(F.contains("value", F.lit(END)), F.substring_index("value", END, 1))
+    numbered = numbered.withColumn("header", F.when(F.contains("value", F.lit(END)), F.substring_index("value", END, 1)))
+    numbered = numbered.withColumns({"head": F.octet_length("header").cast("long") + end, "length": F.expr("try_cast(nullif(regexp_extract(header, '(?im)^Content-Length: *(\\\\d+)', 1), '') AS BIGINT)")})
+    alone = F.coalesce(F.col("head") + F.col("length") + end == F.col("size"), F.lit(False))
+    body = F.when(F.col("length") == 0, "").otherwise(F.expr(f"left(substr(value, length(header) + {end} + 1), length(value) - length(header) - {2 * end})"))
+    full = numbered.withColumn("alone", alone).withColumn("sha1", F.when(F.col("alone"), base32_sha1(body)))
+    text = F.when(F.col("alone"), F.lit(None) if lean else body).otherwise(F.col("value"))
+    raw_text = F.when(F.col("alone"), F.lit(None) if lean else F.col("value")).cast("string")
+    # raw is the text of such a piece with its header, which is needed only inside another record
+    out = full.select("file", "split", "number", "size", "head", "length", "alone", "sha1", *(_header(h).alias(n) for n, h in FIELDS.items()), text.cast("string").alias("text"), raw_text.alias("raw"))
     target = shared_path(spark, "pieces")
-    numbered.withColumn("header", header).write.parquet(target)
+    out.write.option("compression", "zstd").parquet(target)
     return spark.read.parquet(target)
 
 
 def candidates(found: DataFrame) -> DataFrame:
     """Every piece with its byte offset (of the magic line before it) and, of a candidate, its successor's."""
     magic, end = len(MAGIC), len(END)
-    narrow = found.select("file", "split", "number", "size", "header")
+    narrow = found.select("file", "split", "number", "size", "head", "length")
     inner = Window.partitionBy("file", "split").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
     placed = narrow.withColumn("rel", F.coalesce(F.sum(F.col("size") + magic).over(inner), F.lit(0)))
     totals = narrow.groupBy("file", "split").agg(F.sum(F.col("size") + magic).alias("total"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("file", "split", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     at = placed.join(bases, ["file", "split"]).withColumn("offset", F.col("base") + F.col("rel") - magic)
-    length = F.expr("try_cast(nullif(regexp_extract(header, '(?im)^Content-Length: *(\\\\d+)', 1), '') AS BIGINT)")
-    head = F.octet_length("header").cast("long")
-    return at.select(
-        "file", "split", "number", "size", "offset", (head + end).alias("head"), length.alias("length"),
-        F.when((F.col("offset") >= 0) & length.isNotNull(), F.col("offset") + magic + head + end + length + end).alias("next"),
-    )
+    after = F.when((F.col("offset") >= 0) & F.col("length").isNotNull(), F.col("offset") + magic + F.col("head") + F.col("length") + end)
+    return at.select("file", "split", "number", "size", "offset", "head", "length", after.alias("next"))
 
 
 def reachable(spots: DataFrame) -> DataFrame:
@@ -121,7 +143,7 @@ def reachable(spots: DataFrame) -> DataFrame:
         pdf["exit"] = out
         return pdf[["file", "split", "offset", "exit"]]
 
-    exits = cut(nodes.groupBy("file", "split").applyInPandas(leave, "file string, split bigint, offset bigint, exit bigint"))
+    exits = cut(nodes.groupBy("file", "split").applyInPandas(leave, "file bigint, split bigint, offset bigint, exit bigint"))
     jump = exits.select("file", "offset", F.col("exit").alias("to"))
     entries = cut(exits.where("offset = 0").select("file", "offset"))
     count = entries.count()
@@ -146,30 +168,38 @@ def reachable(spots: DataFrame) -> DataFrame:
         return pdf.loc[pdf["offset"].isin(reached), ["file", "offset"]]
 
     marked = nodes.join(entries.withColumn("entry", F.lit(True)), ["file", "offset"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
-    return marked.groupBy("file", "split").applyInPandas(walk, "file string, offset bigint")
+    return marked.groupBy("file", "split").applyInPandas(walk, "file bigint, offset bigint")
+
 
+def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+    """Every record: file (a hash of its path), offset, the header's fields, payload_bytes, sha1, payload.
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(file, offset, record_id, record_type, target_uri, payload_digest, refers_to, payload) of every record."""
-    found = pieces(spark, path)
+    Without ``payload`` only records that magic lines cut up keep their text on the way;
+    if such a record holds pieces that look whole, all texts are kept after all.
+    """
+    found = pieces(spark, path, lean=not payload)
     spots = cut(candidates(found))
     true = reachable(spots).withColumn("start", F.col("offset"))
-    marked = spots.join(true, ["file", "offset"], "left")
     inside = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
-    owned = marked.withColumn("start", F.last("start", ignorenulls=True).over(inside)).where("start is not null")
-    owned = owned.select("file", "number", "offset", "start", "head", "length", (F.col("head") + F.col("length") + len(END) <= F.col("size")).alias("whole"))
-    full = found.select("file", "number", "value", "header").join(owned, ["file", "number"])
-    fields = ["file", "start", "header", "head", "length"]
-    body = F.expr(f"left(substr(value, length(header) + {len(END) + 1}), length(value) - length(header) - {2 * len(END)})")
-    one = full.where("offset = start and whole").select(*fields, F.when(F.col("length") == 0, "").otherwise(body).alias("payload"))
-    heads = full.where("offset = start and not whole").select(*fields)
-    parts = full.join(heads.select("file", "start"), ["file", "start"], "left_semi").groupBy("file", "start").agg(F.sort_array(F.collect_list(F.struct("offset", "value"))).alias("p"))
-    rest = parts.join(heads, ["file", "start"]).withColumn("value", F.array_join(F.transform("p", lambda x: x["value"]), MAGIC))
+    owned = spots.join(true, ["file", "offset"], "left").withColumn("start", F.last("start", ignorenulls=True).over(inside)).where("start is not null")
+    whole = F.col("head") + F.col("length") + len(END) <= F.col("size")
+    owned = cut(owned.select("file", "number", "offset", "start", "length", "head", whole.alias("whole")))
+    fields = [*FIELDS, "sha1"]
+    heads = owned.where("offset = start").select("file", "number", "offset", "length", "head", "whole")
+    one = found.select("file", "number", *fields, *(["text"] if payload else [])).join(heads.where("whole").select("file", "number", "offset", "length"), ["file", "number"])
+    one = one.select("file", "offset", *FIELDS, F.col("length").alias("payload_bytes"), "sha1", *([F.col("text").alias("payload")] if payload else [F.lit(None).cast("string").alias("payload")]))
+    cut_up = cut(owned.join(heads.where("not whole").select("file", F.col("offset").alias("start")), ["file", "start"]).select("file", "number", "offset", "start", F.when(F.col("offset") == F.col("start"), F.col("length")).alias("bytes"), F.when(F.col("offset") == F.col("start"), F.col("head")).alias("from")))
+    if cut_up.isEmpty():
+        return one
+    parts = _meet(found.select("file", "number", "alone", *FIELDS, F.coalesce("raw", F.when(~F.col("alone"), F.col("text"))).alias("value")), cut_up, ["file", "number"], "inner")
+    if not payload and not parts.where("value is null").isEmpty():
+        return read(spark, path).withColumn("payload", F.lit(None).cast("string"))
+    first = lambda c: F.first(F.when(F.col("offset") == F.col("start"), F.col(c)), ignorenulls=True).alias(c)
+    joined = parts.groupBy("file", "start").agg(F.sort_array(F.collect_list(F.struct("offset", "value"))).alias("p"), *(first(c) for c in (*FIELDS, "bytes", "from")))
+    value = F.array_join(F.transform("p", lambda x: x["value"]), MAGIC)
     # the declared length, in bytes, tells where the payload ends
-    cut_out = F.expr("cast(substr(cast(value AS BINARY), cast(head + 1 AS INT), cast(length AS INT)) AS STRING)")
-    many = rest.select(*fields, cut_out.alias("payload"))
-    every = one.unionByName(many)
-    return every.select("file", F.col("start").alias("offset"), _header("WARC-Record-ID").alias("record_id"), _header("WARC-Type").alias("record_type"), _header("WARC-Target-URI").alias("target_uri"), _header("WARC-Payload-Digest").alias("payload_digest"), _header("WARC-Refers-To").alias("refers_to"), F.col("length").alias("payload_bytes"), "payload")
+    many = joined.withColumn("value", value).withColumn("payload", F.expr("cast(substr(cast(value AS BINARY), cast(`from` + 1 AS INT), cast(bytes AS INT)) AS STRING)"))
+    return one.unionByName(many.select("file", F.col("start").alias("offset"), *FIELDS, F.col("bytes").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("sha1"), "payload"))
 
 
 def page_number(urn: str) -> Column:
@@ -178,7 +208,7 @@ def page_number(urn: str) -> Column:
 
 def resolved(records: DataFrame) -> DataFrame:
     """One row for each record with the size and digest of its full payload, a revisit's taken from its response."""
-    rows = records.select(page_number("record_id").alias("page_id"), "record_type", page_number("refers_to").alias("refers_to"), "payload_bytes", base32_sha1(F.col("payload")).alias("payload_digest"))
+    rows = records.select(page_number("record_id").alias("page_id"), "record_type", page_number("refers_to").alias("refers_to"), "payload_bytes", F.col("sha1").alias("payload_digest"))
     rows = cut(rows)
     responses = rows.where("record_type = 'response'")
     held = responses.groupBy(F.col("page_id").alias("refers_to")).agg(F.first("payload_bytes").alias("payload_bytes"), F.first("payload_digest").alias("payload_digest"))

@@ -13,7 +13,6 @@ from __future__ import annotations
 import heapq
 import json
 import re
-import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -25,20 +24,22 @@ from .frames import extend, with_columns
 from .packing import byte_alphabet
 from .words import slices
 
-CACHED = 300_000
-AT_ONCE = 100_000
+CACHED = 400_000
+AT_ONCE = 60_000
+#: Texts of these characters are normal in form NFC, and lower-case character by character.
+_PLAIN = re.compile("[\t-\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f]*")
+#: The pattern of words by classes of characters, and what it says of lower-case plain texts.
+_GENERAL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SPECIAL = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\u017f]+|[0-9]|[^\\sa-z\xdf-\xf6\xf8-\u017f0-9]+")
 
 
 class WordCodec:
     """Encoder and decoder of a BPE vocabulary file whose words end in a suffix."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model, library = spec["model"], Tokenizer.from_file(path)
-        self.normalizer, self.pre = library.normalizer, library.pre_tokenizer
+        model, self.path, self.library = spec["model"], path, None
         self.suffix = model["end_of_word_suffix"] or ""
         vocab: dict[str, int] = model["vocab"]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -46,8 +47,8 @@ class WordCodec:
         self.tokens: list[str] = [""] * (1 + max([*vocab.values(), *self.added.values()]))
         for token, i in [*vocab.items(), *self.added.items()]:
             self.tokens[i] = token
-        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.pattern = regex.compile(split)
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.pattern = _SPECIAL if pattern == _GENERAL else regex.compile(pattern)
         alphabet = {b: c for c, b in byte_alphabet().items()}
         self.first = np.array([vocab[alphabet[b]] for b in range(256)], np.int64)
         self.last = np.array([vocab[alphabet[b] + self.suffix] for b in range(256)], np.int64)
@@ -60,8 +61,7 @@ class WordCodec:
         keys = self.left * self.size + self.right
         self.rank_order = np.argsort(keys, kind="stable")
         self.keys = keys[self.rank_order]
-        self.words: dict[bytes, list[int]] = {}
-        self.segments: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where it does not merge."""
@@ -69,8 +69,8 @@ class WordCodec:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.rank_order[at], -1)
 
-    def merge(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word, all words at a time."""
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word (little-endian, 32 bits), all words at a time."""
         sizes = np.array([len(w) for w in words], np.int64)
         data = np.frombuffer(b"".join(words), np.uint8)
         n = len(data)
@@ -81,7 +81,7 @@ class WordCodec:
         after[ends] = -1
         before = np.arange(-1, n - 1)
         before[ends[:-1] + 1] = -1
-        alive = np.ones(n, bool)
+        alive, again = np.ones(n, bool), np.zeros(n, bool)
 
         places: dict[int, list[np.ndarray]] = {}
         active: list[int] = []
@@ -105,13 +105,13 @@ class WordCodec:
         while active:
             r = heapq.heappop(active)
             at = places.pop(r)
-            at = np.unique(np.concatenate(at)) if len(at) > 1 else np.sort(at[0])
+            at = np.concatenate(at) if len(at) > 1 else at[0]
             left, right, made = int(self.left[r]), int(self.right[r]), int(self.made[r])
             at = at[alive[at] & (symbol[at] == left)]
             at = at[after[at] >= 0]
             at = at[symbol[after[at]] == right]
             if left == right and len(at) > 1:
-                at = self._apart(at, after)
+                at = self._apart(np.unique(at), after)
             if not len(at):
                 continue
             gone = after[at]
@@ -122,11 +122,15 @@ class WordCodec:
             inner = beyond >= 0
             before[beyond[inner]] = at[inner]
             behind = before[at]
-            add(np.unique(np.concatenate([behind[behind >= 0], at[inner]])))
-        kept = symbol[alive]
+            behind = behind[behind >= 0]
+            again[at] = True
+            behind = behind[~again[behind]]
+            again[at] = False
+            add(np.concatenate([behind, at[inner]]))
+        kept = symbol[alive].astype("<i4").tobytes()
         owner = np.repeat(np.arange(len(words)), sizes)[alive]
-        cuts = np.searchsorted(owner, np.arange(1, len(words)))
-        return [part.tolist() for part in np.split(kept, cuts)]
+        cuts = (4 * np.searchsorted(owner, np.arange(len(words) + 1))).tolist()
+        return [kept[a:z] for a, z in zip(cuts, cuts[1:], strict=False)]
 
     @staticmethod
     def _apart(at: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -138,46 +142,34 @@ class WordCodec:
                 taken = q
         return np.array(chosen, np.int64)
 
-    def split(self, segment: str) -> list[bytes]:
-        """Normalised words of a run of text without spaces at its ends."""
-        if segment.isascii() and not any(c in segment for c in "\x1c\x1d\x1e\x1f"):
-            return [w.encode() for w in self.pattern.findall(segment.lower())]
-        if all(c.isalpha() and c < "ƀ" or c.isascii() for c in segment) and unicodedata.is_normalized("NFC", segment) and "İ" not in segment and segment.isprintable():
-            return [w.encode() for w in self.pattern.findall(segment.lower())]
-        found = self.pre.pre_tokenize_str(self.normalizer.normalize_str(segment))
-        return [bytes(self.byte_of[c] for c in w) for w, _ in found]
-
-    def learn(self, texts: list[str]) -> None:
-        """Encode the segments of texts that are not at hand yet."""
-        if len(self.segments) > CACHED:
-            self.segments.clear()
+    def split(self, text: str) -> list[str]:
+        """Normalised words of a text, without added tokens."""
+        if _PLAIN.fullmatch(text):
+            return self.pattern.findall(text.lower())
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        found = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(self.byte_of[c] for c in w).decode() for w, _ in found]
+
+    def learn(self, found: list[list[str]]) -> None:
+        """Merge the words that are not at hand yet."""
         if len(self.words) > CACHED:
             self.words.clear()
-        new: set[str] = set()
-        for text in texts:
-            new.update(s for s in text.split(" ") if s not in self.segments)
-        wanted: dict[str, list[bytes]] = {s: self.split(s) for s in new}
-        unknown = list({w for ws in wanted.values() for w in ws if w not in self.words})
+        unknown = [w for w in set().union(*found) if w not in self.words]
         for i in range(0, len(unknown), AT_ONCE):
             part = unknown[i : i + AT_ONCE]
-            self.words.update(zip(part, self.merge(part), strict=True))
-        for s, ws in wanted.items():
-            self.segments[s] = [i for w in ws for i in self.words[w]]
+            self.words.update(zip(part, self.merge([w.encode() for w in part]), strict=True))
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        added = {t: np.array([i], "<i4").tobytes() for t, i in self.added.items()}
         cut = [self.added_pattern.split(t) if "<|" in t else [t] for t in texts]
-        self.learn([p for parts in cut for p in parts if p not in self.added])
-        out = []
-        for parts in cut:
-            ids: list[int] = []
-            for part in parts:
-                if part in self.added:
-                    ids.append(self.added[part])
-                else:
-                    for s in part.split(" "):
-                        ids += self.segments[s]
-            out.append(ids)
-        return out
+        found = [[None if p in added else self.split(p) for p in parts] for parts in cut]
+        self.learn([ws for parts in found for ws in parts if ws])
+        ids = self.words.__getitem__
+        return [b"".join(added[p] if ws is None else b"".join(map(ids, ws)) for p, ws in zip(parts, own, strict=True)) for parts, own in zip(cut, found, strict=True)]
 
     def decode(self, ids: list[int]) -> str:
         """Tokens of the ids, joined as the library does where a vocabulary has no decoder."""
@@ -192,7 +184,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
         for whole in batches:
             for batch in slices(whole, text):
                 found = codec.encode([t or "" for t in batch.column(text).to_pylist()])
-                yield extend(batch, {ids: pa.array(found, pa.list_(pa.int32()))})
+                offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
+                yield extend(batch, {ids: pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))})
 
     return docs.mapInArrow(run, with_columns(docs.schema, [(ids, T.ArrayType(T.IntegerType()))]))
 
@@ -202,8 +195,9 @@ def decode(frame: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
     def run(batches):
         codec = WordCodec(path)
-        for batch in batches:
-            found = [codec.decode(x or []) for x in batch.column(ids).to_pylist()]
+        for batch in (whole.slice(i, 500) for whole in batches for i in range(0, whole.num_rows, 500)):
+            column = batch.column(ids)
+            found = [codec.decode(column[i].values.to_pylist() if column[i].is_valid else []) for i in range(len(column))]
             yield extend(batch, {text: pa.array(found, pa.string())})
 
     return frame.mapInArrow(run, with_columns(frame.schema, [(text, T.StringType())]))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import content, ranking
+from .plans import content, evaluation, ranking, structure
 
-_PLANS = (ranking, content)
+_PLANS = (ranking, content, structure, evaluation)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}

@@ -36,7 +36,7 @@ def to_fetch(changes: DataFrame) -> DataFrame:
 def by_namespace(changes: DataFrame) -> DataFrame:
     """One row for each namespace, one count for each kind of change."""
     ns = F.coalesce("new_namespace", "old_namespace")
-    return changes.groupBy(ns.alias("namespace")).pivot("change", ["added", "deleted", "modified", "unchanged"]).agg(F.count("*")).fillna(0)
+    return changes.groupBy(ns.alias("namespace")).pivot("change", ["added", "deleted", "modified", "unchanged"]).agg(F.count("id")).fillna(0)
 
 
 def with_sizes(changes: DataFrame) -> DataFrame:

@@ -144,8 +144,10 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", doc_id
             if is_block[a:z].any() or z > a:
                 yield b, [X.packed((place[a:z] & np.uint64(0xFFFFFFFF)).astype("<u4")), X.bits(is_block[a:z])]
 
-    anchors = X.answer(X.ask(chunks.select("chunk", "blob"), send_probes, ["codes", "blocks"]), find_anchors, "anchors")
-    anchored = chunks.select("chunk", "blob").join(anchors, "chunk", "left")
+    blobs = chunks.select("chunk", "blob")
+    # answers take a bit for each block and are kept; chunks meet them anew, which is less than to write them again
+    anchors = cut(X.answer(X.ask(blobs, send_probes, ["codes", "blocks"]), find_anchors, "anchors"))
+    anchored = blobs.join(anchors, "chunk", "left")
 
     def entries(chunk, row):
         bucket, key, at = chunk.windows(length, block, buckets, row["anchors"])
@@ -161,9 +163,8 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", doc_id
         for b, a, z in X.parts(bucket[new]):
             yield b, [X.packed(key[a:z].astype("<u8")), X.planes(owner[a:z].astype("<i8"))]
 
-    anchored = cut(anchored)
     later = X.answer(X.ask(anchored, send_windows, ["keys", "docs"]), find_first, "later")
-    answered = anchored.join(later, "chunk", "left")
+    answered = blobs.join(anchors.join(later, "chunk", "left"), "chunk", "left")
     schema = with_columns(docs.schema, ADDED)
 
     def finish(batches):

@@ -61,9 +61,9 @@ def bootstrap_at_scale(frame: DataFrame, by: str, score: str, rounds: int = 200,
         total += math.exp(-1) / math.factorial(k)
         count = count + (u >= total).cast("int")
     drawn = frame.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))).withColumn("times", count)
-    means = drawn.groupBy(by, "round").agg((F.sum(F.col("times") * F.col(score)) / F.nullif(F.sum("times"), F.lit(0))).alias("m"))
+    means = drawn.groupBy(by, "round").agg((F.sum(F.col("times") * F.col(score)) / F.nullif(F.sum("times"), F.lit(0))).alias("resampled"))
     half = (1 - confidence) / 2
-    return means.groupBy(by).agg(F.percentile("m", F.lit(half)).alias("low"), F.percentile("m", F.lit(1 - half)).alias("high"))
+    return means.groupBy(by).agg(F.percentile("resampled", F.lit(half)).alias("low"), F.percentile("resampled", F.lit(1 - half)).alias("high"))
 
 
 def _normal_tail(z: float) -> float:

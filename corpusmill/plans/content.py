@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fresh, ids
 from ..operators import pages as P
 from . import inputs as I
 
-AS_OF = F.lit(I.AS_OF).cast("timestamp")
 _AGE = f"(epoch(TIMESTAMP '{I.AS_OF}') - epoch(modified)) / 86400.0e0"
 _NS = "CASE WHEN contains(page_id, ':') THEN regexp_replace(page_id, ':[^:]*$', '') ELSE '' END"
 _YEARS = "list_sort(list_distinct(list_transform(regexp_extract_all(text, '\\b20[0-9]{2}\\b'), lambda y: CAST(y AS INT))))"
 
 
+def _as_of() -> Column:
+    return F.lit(I.AS_OF).cast("timestamp")
+
+
 def _lit(text: str, mark: str) -> str:
     return f"CAST((length({text}) - length(replace({text}, '{mark}', ''))) / {len(mark)} AS BIGINT)"
 
@@ -25,7 +28,7 @@ def evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = links.groupBy("page_id").agg(F.count("*").alias("link_count"), F.count_if((F.col("kind") == "internal") & ~F.col("exists")).alias("broken_count"))
     targets = links.where("kind = 'internal'").select(F.col("target").alias("page_id")).distinct().withColumn("linked", F.lit(True))
     pages = I.wiki(spark, sf_dir).join(counts, "page_id", "left").join(targets, "page_id", "left")
-    pages = pages.withColumns({"link_count": F.coalesce("link_count", F.lit(0)), "broken_count": F.coalesce("broken_count", F.lit(0)), "linked": F.coalesce("linked", F.lit(False)), "freshness": fresh.by_steps(fresh.age_days(F.col("modified"), AS_OF))})
+    pages = pages.withColumns({"link_count": F.coalesce("link_count", F.lit(0)), "broken_count": F.coalesce("broken_count", F.lit(0)), "linked": F.coalesce("linked", F.lit(False)), "freshness": fresh.by_steps(fresh.age_days(F.col("modified"), _as_of()))})
     return P.evaluate(pages)
 
 
@@ -71,7 +74,7 @@ def pages_to_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = I.pages(spark, sf_dir)
-    return pages.withColumns({"days": fresh.whole_days(F.col("modified"), AS_OF), "archived": F.col("page_id").startswith("archive"), "years": fresh.years(F.col("text")), "ns": ids.parent_namespace(F.col("page_id"))})
+    return pages.withColumns({"days": fresh.whole_days(F.col("modified"), _as_of()), "archived": F.col("page_id").startswith("archive"), "years": fresh.years(F.col("text")), "ns": ids.parent_namespace(F.col("page_id"))})
 
 
 _DATED = f"(SELECT *, floor({_AGE}) AS days, starts_with(page_id, 'archive') AS archived, {_YEARS} AS years, {_NS} AS ns FROM ({I.PAGES}))"
@@ -81,7 +84,7 @@ def freshness_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, newest = _dated(spark, sf_dir), F.array_max("years")
     days, ns, old = F.col("days"), F.col("ns"), F.col("archived")
     return d.select(
-        "page_id", F.round(fresh.by_steps(fresh.age_days(F.col("modified"), AS_OF)), 6).alias("by_steps"),
+        "page_id", F.round(fresh.by_steps(fresh.age_days(F.col("modified"), _as_of())), 6).alias("by_steps"),
         F.round(fresh.linear_score(days, old, newest, I.YEAR), 6).alias("linear_score"), fresh.linear_category(days, old, newest, I.YEAR).alias("linear_category"),
         F.round(fresh.loose_score(days, ns), 6).alias("loose_score"), fresh.loose_category(days, ns).alias("loose_category"), fresh.plain_category(days).alias("plain_category"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 
@@ -23,12 +25,15 @@ def extend(batch: pa.RecordBatch, added: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(c for _, c in keep), *added.values()], names=[*(n for n, _ in keep), *added])
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one is made only where the session names none."""
+    """The folder that all executors share; one is made, for as long as the application runs, only where the session names none."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        found = _own.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="shared-")
+        _own[spark.sparkContext.applicationId] = found
     return found
 
 
@@ -42,3 +47,17 @@ def cut(frame: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return frame.checkpoint(eager=True)
+
+
+def tidy(run):
+    """A batch function that gives memory back when its partition ends; workers outlive their tasks."""
+
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped

@@ -83,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chat_format": op10_chat_format,
 }
 
+_SQUARES = "list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))"
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -131,4 +132,43 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents JOIN reach ON reach.a = documents.doc_id LEFT JOIN sizes ON sizes.doc_id = documents.doc_id
         GROUP BY documents.doc_id
     """,
+    "op1_vectors": f"""
+        WITH RECURSIVE sound AS (
+            SELECT vec_id, label, embedding AS v, sqrt({_SQUARES}) AS n FROM embeddings
+            WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND {_SQUARES} > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_sum(list_transform(list_zip(a.v, b.v), lambda x: CAST(x[1] AS DOUBLE) * CAST(x[2] AS DOUBLE))) / (a.n * b.n) >= 0.98
+        ), reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        ), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = vec_id
+    """,
+    "op3_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder FROM pages
+        )
+        SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+            array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                CAST((CAST('0x' || substr(h, 1 + 5 * CAST(i // 4 AS INT), 5) AS BIGINT) >> CAST(5 * (3 - i % 4) AS INT)) & 31 AS INT) + 1, 1)), '') AS payload_digest,
+            CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> holder THEN holder END AS refers_to
+        FROM p
+    """,
+    "op10_chat_format": """
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), s AS (
+            SELECT *, length(text) + len(regexp_extract_all(text, '(?:\\[|<)\\\\*(?:/?(?:SYS|INST|OUT|ROLE|NAME)\\]|/?s>)'))
+                + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 10
+                    ELSE 23 + length(role) + len(regexp_extract_all(role, '(?:\\[|<)\\\\*(?:/?(?:SYS|INST|OUT|ROLE|NAME)\\]|/?s>)')) END AS chars FROM t
+        )
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+            CAST(sum(chars) AS BIGINT) AS formatted_chars
+        FROM s GROUP BY conv_id
+    """,
 }

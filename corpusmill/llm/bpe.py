@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .frames import extend, with_columns
+from .frames import extend, tidy, with_columns
 from .packing import byte_alphabet
 from .words import slices
 
@@ -187,7 +187,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
                 offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
                 yield extend(batch, {ids: pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))})
 
-    return docs.mapInArrow(run, with_columns(docs.schema, [(ids, T.ArrayType(T.IntegerType()))]))
+    return docs.mapInArrow(tidy(run), with_columns(docs.schema, [(ids, T.ArrayType(T.IntegerType()))]))
 
 
 def decode(frame: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -200,4 +200,4 @@ def decode(frame: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
             found = [codec.decode(column[i].values.to_pylist() if column[i].is_valid else []) for i in range(len(column))]
             yield extend(batch, {text: pa.array(found, pa.string())})
 
-    return frame.mapInArrow(run, with_columns(frame.schema, [(text, T.StringType())]))
+    return frame.mapInArrow(tidy(run), with_columns(frame.schema, [(text, T.StringType())]))

@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .frames import tidy
 from .words import text_bytes
 
 #: role -> header and footer; any other role is written into a general header.
@@ -125,7 +126,7 @@ def format_chat(turns: DataFrame) -> DataFrame:
         mask_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         yield pa.RecordBatch.from_arrays([keys, pa.array(np.diff(bounds)), texts.cast(pa.string()), pa.array(masks, mask_type)], names=["conv_id", "n_turns", "formatted", "loss_mask"])
 
-    return rows.repartition(F.col("conv_id")).sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(run, FORMATTED)
+    return rows.repartition(F.col("conv_id")).sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(tidy(run), FORMATTED)
 
 
 def read_back(text: str) -> list[tuple[str, str]]:
@@ -160,7 +161,7 @@ def digests(formatted: DataFrame) -> DataFrame:
             columns = list(zip(*rows, strict=True)) if rows else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return formatted.mapInArrow(run, DIGESTS)
+    return formatted.mapInArrow(tidy(run), DIGESTS)
 
 
 def probe_turns(spark) -> DataFrame:

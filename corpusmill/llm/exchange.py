@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import cut
+from .frames import cut, tidy
 from .words import slices
 
 CHUNK_BYTES = 8 << 20
@@ -54,7 +54,7 @@ def chunked(docs: DataFrame, text: str, limit: int = CHUNK_BYTES) -> DataFrame:
         if held:
             yield closed()
 
-    return cut(docs.mapInArrow(run, "chunk bigint, bytes bigint, blob binary"))
+    return cut(docs.mapInArrow(tidy(run), "chunk bigint, bytes bigint, blob binary"))
 
 
 def opened(blob: bytes) -> pa.Table:
@@ -118,7 +118,7 @@ def ask(chunks: DataFrame, send: Callable[[dict], Iterator[tuple[int, list[bytes
                     columns = zip(*(m for _, m in found), strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in found], pa.int64()), pa.array([row["chunk"]] * len(found), pa.int64()), *(pa.array(c, pa.binary()) for c in columns)], names=["bucket", "chunk", *fields])
 
-    return chunks.mapInArrow(run, "bucket bigint, chunk bigint, " + ", ".join(f"{f} binary" for f in fields))
+    return chunks.mapInArrow(tidy(run), "bucket bigint, chunk bigint, " + ", ".join(f"{f} binary" for f in fields))
 
 
 def answer(messages: DataFrame, reply: Callable[[list[dict]], list[bytes]], name: str) -> DataFrame:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import cut
+from .frames import cut, tidy
 
 
 class Sets:
@@ -69,7 +69,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Nulls and loops are no edges; a node without other edges is left out.
     """
     pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v and a is not null and b is not null")
-    now = cut(pairs.mapInArrow(_stars, "u bigint, v bigint").distinct())
+    now = cut(pairs.mapInArrow(tidy(_stars), "u bigint, v bigint").distinct())
     mark = _mark(now)
     while mark[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import exchange as X
-from .frames import cut
+from .frames import cut, tidy
 from .graph import Sets, connected_components
 from .quality import _LOWER
 from .words import grams, slices, split_bytes, split_words, window_starts
@@ -137,7 +137,7 @@ def shared_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     tokens.append(own[np.lexsort((own, counts))].astype("<u8").tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), pa.array(digests, pa.binary()), pa.array(tokens, pa.binary())], names=[c.split()[0] for c in SETS.split(", ")])
 
-    return cut(chunks.select("chunk", "blob").join(counted, "chunk", "left").mapInArrow(keep, SETS))
+    return cut(chunks.select("chunk", "blob").join(counted, "chunk", "left").mapInArrow(tidy(keep), SETS))
 
 
 class Lists:
@@ -278,7 +278,7 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, owners, sizes)], names=["token", "class", "size"])
 
     chain = Window.partitionBy("token").orderBy("size", "class")
-    rows = classes.select("class", "size", "tokens").mapInArrow(listed, "token bigint, class bigint, size bigint")
+    rows = classes.select("class", "size", "tokens").mapInArrow(tidy(listed), "token bigint, class bigint, size bigint")
     chained = rows.select("class", "size", F.lag("class").over(chain).alias("other"), F.lag("size").over(chain).alias("smaller"))
     groups = connected_components(chained.where(F.col("other").isNotNull() & (F.col("smaller") * 100 >= F.col("size") * percent)).select(F.col("class").alias("a"), F.col("other").alias("b")))
 

@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import cut
+from .frames import cut, tidy
 from .words import slices
 
 WINDOW = 2048
 GROUP = 256
 PIECE = 512
-CACHED = 500_000
+CACHED = 300_000
 _SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 _TWO_SPACES = re.compile("[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2}")
 
@@ -181,7 +181,7 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = 1, pi
                 yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in schema.split(", ")])
 
     schema = PIECES + ", ids array<int>" * keep_ids
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), schema)
 
 
 def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = 1, piece: int = PIECE, keep_ids: bool = False) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import extend, with_columns
+from .frames import extend, tidy, with_columns
 from .words import SPACE, Words, covered, grams, mix, slices, split_bytes, split_words, sums, window_starts
 
 # Common words of each language.
@@ -129,7 +129,7 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
                 np.add.at(total, _lang_index(batch.column(lang)), np.hstack([char_classes(words), common_words(words)]))
         yield pa.RecordBatch.from_arrays([pa.array(range(len(LANGS))), *(pa.array(c) for c in total.T)], names=["lang", *(f"c{i}" for i in range(width))])
 
-    parts = docs.select(lang, text).mapInArrow(run, "lang bigint, " + ", ".join(f"c{i} bigint" for i in range(width)))
+    parts = docs.select(lang, text).mapInArrow(tidy(run), "lang bigint, " + ", ".join(f"c{i} bigint" for i in range(width)))
     total = np.zeros((len(LANGS), width), np.int64)
     for row in parts.groupBy("lang").agg(F.array(*(F.sum(f"c{i}") for i in range(width))).alias("n")).collect():
         total[row["lang"]] = row["n"]
@@ -163,4 +163,4 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
                 found = (n_words, inside, symbols, lines, repeats, failed, ~failed & ~strange, by_class, by_word)
                 yield extend(batch, {n: pa.array(v) for (n, _), v in zip(ADDED, found, strict=True)})
 
-    return docs.mapInArrow(run, with_columns(docs.schema, ADDED))
+    return docs.mapInArrow(tidy(run), with_columns(docs.schema, ADDED))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .frames import extend, with_columns
+from .frames import extend, tidy, with_columns
 from .words import slices
 
 KINDS = ("assign", "access", "hex")
@@ -202,4 +202,4 @@ def scan(docs: DataFrame, text: str = "text", redact: bool = True) -> DataFrame:
                 kinds_of = [pa.int64()] * 3 + [pa.string()] * (len(added) - 3)
                 yield extend(batch, {n: pa.array(c, k) for (n, _), c, k in zip(added, columns, kinds_of, strict=True)})
 
-    return docs.mapInArrow(run, with_columns(docs.schema, added))
+    return docs.mapInArrow(tidy(run), with_columns(docs.schema, added))

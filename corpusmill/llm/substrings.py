@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import exchange as X
-from .frames import cut, extend, with_columns
+from .frames import cut, extend, tidy, with_columns
 from .words import covered, grams, slices, split_words, window_starts
 
 LAST = np.iinfo(np.int64).max
@@ -189,4 +189,4 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", doc_id
                         removed = np.where(words.counts > 0, removed, 0)
                         yield extend(part, {"n_words": pa.array(words.counts), "n_removed": pa.array(removed), "kept_text": _joined(words, ~mask)})
 
-    return answered.mapInArrow(finish, schema)
+    return answered.mapInArrow(tidy(finish), schema)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import extend, with_columns
+from .frames import extend, tidy, with_columns
 from .quality import _LOWER
 from .words import Words, mix, slices, split_bytes, split_words
 
@@ -137,7 +137,7 @@ def _select(sample: DataFrame) -> np.ndarray:
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 23):
+            for batch in slices(whole, "text"):
                 keys, offsets = features(batch.column("text"))
                 size = np.diff(offsets)
                 marks = [np.repeat(np.asarray(batch.column(c)).astype(np.int64), size) for c in ("positive", "unlabelled")]
@@ -145,7 +145,7 @@ def _select(sample: DataFrame) -> np.ndarray:
                 counts = [np.bincount(at, weights=m, minlength=len(distinct)).astype(np.int64) for m in marks]
                 yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), *map(pa.array, counts)], names=["key", "p", "u"])
 
-    counts = sample.mapInArrow(run, "key bigint, p bigint, u bigint").groupBy("key").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    counts = sample.mapInArrow(tidy(run), "key bigint, p bigint, u bigint").groupBy("key").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
     total = sample.agg(F.count_if("positive").alias("p"), F.count_if("unlabelled").alias("u")).first()
     n_p, n_u = max(1, total["p"]), max(1, total["u"])
     pool = (F.col("p") + F.col("u")) / float(n_p + n_u)
@@ -188,7 +188,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
                 rows = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(index))
                 yield pa.RecordBatch.from_arrays([rows, batch.column("positive"), batch.column("unlabelled")], names=["index", "positive", "unlabelled"])
 
-    table = sample.mapInArrow(run, "index array<int>, positive boolean, unlabelled boolean").toArrow()
+    table = sample.mapInArrow(tidy(run), "index array<int>, positive boolean, unlabelled boolean").toArrow()
     rows = [np.asarray(r.values, np.int32) for r in table["index"]]
     order = sorted(range(len(rows)), key=lambda i: rows[i].tobytes())  # whatever the order of the partitions
     groups = [Rows([rows[i] for i in order if marks[i]]) for marks in (table["positive"].to_pylist(), table["unlabelled"].to_pylist())]
@@ -209,4 +209,4 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
                 found = shared.value.scores(batch.column("text"))
                 yield extend(batch, {"held_out": batch.column("held_out"), "score": pa.array(found), "predicted": pa.array((found >= threshold).astype(np.int32))})
 
-    return marked.mapInArrow(run, with_columns(docs.schema, ADDED))
+    return marked.mapInArrow(tidy(run), with_columns(docs.schema, ADDED))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import cut
+from .frames import cut, tidy
 from .graph import Sets, connected_components
 
 SAMPLE, MAX_CELLS, CELL = 20_000, 1024, 1000
@@ -247,7 +247,7 @@ def assigned(classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int64()))], names=[*batch.schema.names, "cells"])
 
     kept = classes.select("class", "label", "dim", "vector", "size")
-    out = kept.mapInArrow(run, "class bigint, label string, dim int, vector array<double>, size bigint, cells array<bigint>")
+    out = kept.mapInArrow(tidy(run), "class bigint, label string, dim int, vector array<double>, size bigint, cells array<bigint>")
     # every class has as many cells as any other, so that they form a matrix
     return out.withColumn("cell", F.explode("cells"))
 

@@ -3,7 +3,8 @@
 Two histograms are taken of every document: of character classes, and of the common
 words of the supported languages.  Summed over all documents of a language they give
 its reference.  A document long enough to tell (see ``MIN_CHARS``, ``MIN_WORDS``) fails
-where the Jensen-Shannon distance of either histogram from its reference is too large.
+where the Jensen-Shannon distance of either histogram from its reference is too large for
+its language and length: more than ``SPREADS`` median deviations above the median.
 
 Null texts have no words and fail the base rule; null or other languages share one
 reference.  Repeated rows count as often as they occur.  Empty tables give no rows.
@@ -45,7 +46,10 @@ MIDDLE = np.zeros(256, bool)  # continuation bytes
 MIDDLE[0x80:0xC0] = True
 
 MIN_CHARS, MIN_WORDS = 400, 80
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.45, 0.8
+#: Limits are so many median absolute deviations, each of ``LEAST_SPREAD`` at least, above the median.
+SPREADS, LEAST_SPREAD = 6, 0.004
+#: Distances are counted in so many steps, by powers of two of the length; a median is taken of so many documents at least.
+STEPS, SIZES, LEAST_DOCS = 2000, 32, 20
 
 _LETTERS = np.ones(256, bool)
 _LETTERS[[*range(97, 123), *range(0x80, 256)]] = False
@@ -136,6 +140,53 @@ def language_references(docs: DataFrame, text: str = "text", lang: str = "lang")
     return total[:, :N_CLASSES], total[:, N_CLASSES:]
 
 
+def _size(counts: np.ndarray) -> np.ndarray:
+    """Whole power of two of each row's sum."""
+    return np.log2(np.maximum(counts.sum(1), 1)).astype(np.int64)
+
+
+def _limit(counts: np.ndarray) -> float:
+    """Median and median absolute deviation of counted distances, as a limit."""
+    steps, total = (np.arange(STEPS) + 0.5) / STEPS, counts.sum()
+    middle = steps[np.searchsorted(np.cumsum(counts), (total + 1) // 2)]
+    away = np.abs(steps - middle)
+    order = np.argsort(away, kind="stable")
+    spread = away[order][np.searchsorted(np.cumsum(counts[order]), (total + 1) // 2)]
+    return middle + SPREADS * max(spread, LEAST_SPREAD)
+
+
+def distance_limits(docs: DataFrame, classes: np.ndarray, common: np.ndarray, text: str = "text", lang: str = "lang") -> np.ndarray:
+    """Largest distance that passes, for each histogram, language and length, from the distances of all documents.
+
+    Too few documents of a length take the limit of their language, too few of a language
+    that of all.  Counts of at most 2 x ``LANGS`` x ``SIZES`` x ``STEPS`` cells come to the driver.
+    """
+    shape = (2, len(LANGS), SIZES, STEPS)
+
+    def run(batches):
+        # cells are added up over the whole task, so it gives few rows
+        total = np.zeros(np.prod(shape), np.int64)
+        for whole in batches:
+            for batch in slices(whole, text):
+                words, row_lang = split_words(batch.column(text)), _lang_index(batch.column(lang))
+                for kind, (own, reference, least) in enumerate(((char_classes(words), classes, MIN_CHARS), (common_words(words), common, MIN_WORDS))):
+                    step = np.minimum((js_distance(own, reference[row_lang]) * STEPS).astype(np.int64), STEPS - 1)
+                    cell = np.ravel_multi_index((np.full(len(step), kind), row_lang, _size(own), step), shape)
+                    np.add.at(total, cell[own.sum(1) >= least], 1)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["cell", "n"])
+
+    total = np.zeros(np.prod(shape), np.int64)
+    for row in docs.select(lang, text).mapInArrow(tidy(run), "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        total[row["cell"]] = row["n"]
+    total = total.reshape(shape)
+    limits = np.full(shape[:3], np.inf)
+    for kind, row_lang, size in np.argwhere(total.sum(3)):
+        levels = (total[kind, row_lang, size], total[kind, row_lang].sum(0), total[kind].sum((0, 1)))
+        limits[kind, row_lang, size] = _limit(next((x for x in levels if x.sum() >= LEAST_DOCS), levels[-1]))
+    return limits
+
+
 ADDED = [
     *((n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
     ("base_failed", T.BooleanType()), ("kept", T.BooleanType()), ("class_distance", T.DoubleType()), ("word_distance", T.DoubleType()),
@@ -145,6 +196,7 @@ ADDED = [
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """Input columns plus the counts, the two distances and the verdict of every document."""
     classes, common = language_references(docs, text, lang)
+    class_limits, word_limits = distance_limits(docs, classes, common, text, lang)
 
     def run(batches):
         for whole in batches:
@@ -158,8 +210,8 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
                 failed = (n_words < 50) | (100 * repeats > 50 * n_words)
                 row_lang, own_classes, own_words = _lang_index(batch.column(lang)), char_classes(words), common_words(words)
                 by_class, by_word = js_distance(own_classes, classes[row_lang]), js_distance(own_words, common[row_lang])
-                strange = (own_classes.sum(1) >= MIN_CHARS) & (by_class > MAX_CLASS_DISTANCE)
-                strange |= (own_words.sum(1) >= MIN_WORDS) & (by_word > MAX_WORD_DISTANCE)
+                strange = (own_classes.sum(1) >= MIN_CHARS) & (by_class > class_limits[row_lang, _size(own_classes)])
+                strange |= (own_words.sum(1) >= MIN_WORDS) & (by_word > word_limits[row_lang, _size(own_words)])
                 found = (n_words, inside, symbols, lines, repeats, failed, ~failed & ~strange, by_class, by_word)
                 yield extend(batch, {n: pa.array(v) for (n, _), v in zip(ADDED, found, strict=True)})
 

@@ -115,6 +115,21 @@ def test_distance_of_histograms():
     assert same[0] == pytest.approx(0, abs=1e-9) and same[1] == pytest.approx(1)
 
 
+def test_divergence_rejects_what_the_base_rule_passes(spark):
+    rng = np.random.default_rng(3)
+    fill = {k: ["".join(rng.choice(list(letters), 6)) for _ in range(300)] for k, letters in (("en", "thnoerds"), ("fr", "aeiouqls"))}
+
+    def prose(lang, end=""):
+        common = quality.COMMON[lang].split()
+        return " ".join((rng.choice(common) if rng.random() < 0.5 else rng.choice(fill[lang])) + end for _ in range(rng.integers(150, 400)))
+
+    rows = [(i, prose(k), k) for i, k in enumerate(["en", "fr"] * 60)]
+    rows += [(1000 + i, prose("fr"), "en") for i in range(3)] + [(1010 + i, prose("en", "###"), "en") for i in range(3)]
+    found = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    assert [i for i, r in found.items() if not r["kept"] and i < 1000] == [] and not any(r["kept"] for i, r in found.items() if i >= 1000)
+
+
 def test_bpe_equals_the_library(spark, documents):
     from tokenizers import Tokenizer
 

@@ -1,9 +1,10 @@
 """Secret scan with a recursive decoding worklist.
 
-Each text is scanned as it stands; then every encoded run found in it (URL
-escapes, Unicode escapes, base64, and gzip or zlib data inside those) is unwrapped
-and put on a worklist, where it is scanned and searched for further layers until
-nothing new appears.  A layer already seen in the same text is not unwrapped again,
+Each text is scanned as it stands; then what is encoded in it (URL escapes and Unicode
+escapes, each run by itself and all of the text in place; base64, also over several
+lines; gzip or zlib data inside those) is unwrapped, scanned and searched for further
+layers until nothing new appears.  Compressed data that unfold to more than
+``MAX_LAYER`` are scanned in overlapping windows.  A layer already seen in the same text is not unwrapped again,
 so data that decode to themselves end.  What is found in a layer is reported at the
 place in the original text that it was decoded from.
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
@@ -45,8 +47,11 @@ _URL_GROUP = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE_RUN = re.compile(r"(?<!\S)\S*?\\u[0-9A-Fa-f]{4}\S*")
 _UNICODE_GROUP = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+")
 _BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Longest text that one compressed layer may unfold to; beyond it the layer is taken for a decompression bomb.
-MAX_LAYER = 1 << 26
+_BREAK = r"[\x20\t]*+(?:\r?\n|(?:\\r)?\\n)[\x20\t]*+"
+_BASE64_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:" + _BREAK + r"[A-Za-z0-9+/_-]++)++={0,2}")
+_BASE64_LINE = re.compile(r"(?:^|(?<=" + r"\n)|(?<=\\n))[\x20\t]*([A-Za-z0-9+/_-]+)")
+#: Longest piece, in bytes, of what a compressed layer unfolds to that is scanned at once, and what two pieces share.
+MAX_LAYER, OVERLAP = 1 << 26, 1 << 22
 
 
 def _hinted(text: str) -> bool:
@@ -65,48 +70,92 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _inflate(data: bytes) -> str | None:
+def _windows(data: bytes):
+    """Text that compressed data unfold to, in pieces of MAX_LAYER bytes that overlap; nothing where they are not compressed."""
     for magic, bits in ((b"\x1f\x8b", 31), (b"\x78", 15)):
         if data.startswith(magic):
+            machine, decoder, kept, rest = zlib.decompressobj(bits), codecs.getincrementaldecoder("utf-8")("replace"), "", data
             try:
-                machine = zlib.decompressobj(bits)
-                out = machine.decompress(data, MAX_LAYER)
-                return None if machine.unconsumed_tail else out.decode("utf-8", "replace")
+                while True:
+                    piece = machine.decompress(rest, MAX_LAYER)
+                    rest = machine.unconsumed_tail
+                    over = machine.eof or not (rest or len(piece) == MAX_LAYER)
+                    kept += decoder.decode(piece, over)
+                    yield kept
+                    if over:
+                        return
+                    kept = kept[-OVERLAP:]
             except zlib.error:
-                pass
-    return None
+                return
 
 
-def _readable(data: bytes) -> str | None:
-    """Text held by decoded bytes: what they unfold to, or they themselves if they are plain text."""
-    if (out := _inflate(data)) is not None:
-        return out
+def _inflate(data: bytes) -> str | None:
+    """What compressed data unfold to where that is a single window."""
+    found = _windows(data)
+    first = next(found, None)
+    return first if first is not None and next(found, None) is None else None
+
+
+def _readable(data: bytes):
+    """Texts held by decoded bytes: what they unfold to, or they themselves if they are plain text."""
+    unfolded = False
+    for window in _windows(data):
+        unfolded = True
+        yield window
+    if unfolded:
+        return
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
+        return
     shown = sum(c.isprintable() or c in "\t\r\n" for c in text)
-    return text if text and shown >= 0.95 * len(text) else None
+    if text and shown >= 0.95 * len(text):
+        yield text
+
+
+class _Same:
+    """A list of any length that holds one number."""
+
+    def __init__(self, value: int):
+        self.value = value
+
+    def __getitem__(self, _: int) -> int:
+        return self.value
+
 
+def _through(places: tuple, origin: tuple | None) -> tuple:
+    """Starts and ends of characters in the original text, from those in a layer and the layer's own."""
+    if origin is None:
+        return places
+    starts, ends = places
+    if isinstance(starts, _Same):
+        return _Same(origin[0][starts.value]), _Same(origin[1][ends.value - 1])
+    return [origin[0][a] for a in starts], [origin[1][b - 1] for b in ends]
 
-def _grouped(run: str, at: int, group: re.Pattern, decode) -> tuple[str, list[tuple[int, int]]]:
-    """Decode the escape groups of a run; for each new character the span it stands for."""
+
+def _grouped(run: str, at: int, group: re.Pattern, decode) -> tuple[str, tuple[list[int], list[int]]]:
+    """Decode the escape groups of a run; where each new character's stretch starts and ends."""
     out: list[str] = []
-    spans: list[tuple[int, int]] = []
+    starts: list[int] = []
+    ends: list[int] = []
     last = 0
     for m in group.finditer(run):
         out.append(run[last : m.start()])
-        spans += [(at + i, at + i + 1) for i in range(last, m.start())]
+        starts += range(at + last, at + m.start())
+        ends += range(at + last + 1, at + m.start() + 1)
         text, width = decode(m[0])
         out.append(text)
         if len(text) * width == m.end() - m.start():
-            spans += [(at + m.start() + i * width, at + m.start() + (i + 1) * width) for i in range(len(text))]
+            starts += range(at + m.start(), at + m.end(), width)
+            ends += range(at + m.start() + width, at + m.end() + 1, width)
         else:
-            spans += [(at + m.start(), at + m.end())] * len(text)
+            starts += [at + m.start()] * len(text)
+            ends += [at + m.end()] * len(text)
         last = m.end()
     out.append(run[last:])
-    spans += [(at + i, at + i + 1) for i in range(last, len(run))]
-    return "".join(out), spans
+    starts += range(at + last, at + len(run))
+    ends += range(at + last + 1, at + len(run) + 1)
+    return "".join(out), (starts, ends)
 
 
 def _from_percent(group: str) -> tuple[str, int]:
@@ -119,45 +168,84 @@ def _from_unicode(group: str) -> tuple[str, int]:
     return data.decode("utf-16-be", "replace"), 6
 
 
+def _line_runs(text: str):
+    """(start, end, characters) of base64 over several lines.
+
+    Words before and after may look like base64 as well: the first line may be none of it, and it ends at the
+    last line, before that, or at the first that is not as long as those before it.
+    """
+    for m in _BASE64_LINES.finditer(text):
+        lines = [(x.start(1) + m.start(), x.end(1) + m.start()) for x in _BASE64_LINE.finditer(m[0])]
+        n = len(lines)
+        for first in range(min(2, n - 1)):
+            size = lines[first + 1][1] - lines[first + 1][0]
+            even = next((i for i in range(first + 1, n) if lines[i][1] - lines[i][0] != size), n)
+            for last in sorted({n, n - 1, even, min(even + 1, n)}):
+                if last - first >= 2:
+                    body = "".join(text[a:b] for a, b in lines[first:last])
+                    if len(body) >= 16:
+                        yield lines[first][0], m.end() if last == n else lines[last - 1][1], body
+
+
 def layers(text: str):
-    """Encoded runs of a text: the decoded string, and for each of its characters the span it stands for."""
-    if "%" in text:
+    """What is encoded in a text: the decoded string, and for its characters where their stretches start and end."""
+    if "%" in text and _URL_GROUP.search(text):
         for m in _URL_RUN.finditer(text):
             yield _grouped(m[0], m.start(), _URL_GROUP, _from_percent)
-    if "\\u" in text:
+        for m in _URL_GROUP.finditer(text):
+            for window in _windows(bytes.fromhex(m[0].replace("%", ""))):
+                yield window, (_Same(m.start()), _Same(m.end()))
+        yield _grouped(text, 0, _URL_GROUP, _from_percent)
+    if "\\u" in text and _UNICODE_GROUP.search(text):
         for m in _UNICODE_RUN.finditer(text):
             yield _grouped(m[0], m.start(), _UNICODE_GROUP, _from_unicode)
+        yield _grouped(text, 0, _UNICODE_GROUP, _from_unicode)
+    runs = []
     if max(map(len, text.split()), default=0) >= 16:
-        for m in _BASE64_RUN.finditer(text):
-            body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-            if len(body) % 4 == 1:
-                continue
-            try:
-                inner = _readable(base64.b64decode(body + "=" * (-len(body) % 4)))
-            except binascii.Error:
-                continue
-            if inner is not None:
-                yield inner, [m.span()] * len(inner)
+        runs += [(*m.span(), m[0].rstrip("=")) for m in _BASE64_RUN.finditer(text)]
+    if "\n" in text or "\\n" in text:
+        runs += _line_runs(text)
+    for start, end, body in runs:
+        body = body.replace("-", "+").replace("_", "/")
+        if len(body) % 4 == 1:
+            continue
+        try:
+            data = base64.b64decode(body + "=" * (-len(body) % 4))
+        except binascii.Error:
+            continue
+        for inner in _readable(data):
+            yield inner, (_Same(start), _Same(end))
 
 
 def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Plain spans, and all spans with those found in decoded layers, both sorted."""
     base = base_spans(text)
     found = set(base)
-    work: list[tuple[str, list[tuple[int, int]] | None]] = [(text, None)]
+    # large layers at once, so that of a stream one window is held; small ones later, so that no depth is held
+    work: list[tuple] = []
+    later: list[tuple] = [(text, None)]
     seen = {hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()}
-    while work:
-        layer, origin = work.pop()
-        for inner, spans in layers(layer):
-            if origin is not None:
-                spans = [(origin[a][0], origin[b - 1][1]) for a, b in spans]
-            key = hashlib.blake2b(f"{spans[0] if spans else ''}{inner}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            plain = hashlib.blake2b(inner.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            if not inner or key in seen or plain in seen:
-                continue
-            seen.add(key)
-            found.update((spans[a][0], kind, spans[b - 1][1]) for a, kind, b in base_spans(inner))
-            work.append((inner, spans))
+    while work or later:
+        if not work:
+            inner, places = later.pop()
+            work.append((layers(inner), places))
+        if (layer := next(work[-1][0], None)) is None:
+            work.pop()
+            continue
+        inner, places = layer
+        if not inner:
+            continue
+        starts, ends = places = _through(places, work[-1][1])
+        data = inner.encode("utf-8", "surrogatepass")
+        key = hashlib.blake2b(f"({starts[0]}, {ends[0]})".encode() + data, digest_size=16).digest()
+        if key in seen or hashlib.blake2b(data, digest_size=16).digest() in seen:
+            continue
+        seen.add(key)
+        found.update((starts[a], kind, ends[b - 1]) for a, kind, b in base_spans(inner))
+        if len(inner) > OVERLAP:
+            work.append((layers(inner), places))
+        else:
+            later.append((inner, places))
     return base, sorted(found)
 
 

@@ -88,6 +88,29 @@ def test_secrets_in_layers():
     assert secrets.find_spans(loop)[0] == []
 
 
+def test_secrets_in_parts_of_an_assignment(monkeypatch):
+    value = "hunterhunter1"
+    url, escaped = "".join(f"%{ord(c):02x}" for c in value), "".join(f"\\u{ord(c):04x}" for c in value)
+    for text in (f"password = {url} end", f'{{"password":"{url}"}}', f"password: {escaped} end", f'{{"password": "{escaped}"}}', f"%70assword = {escaped}"):
+        _, found = secrets.find_spans(text)
+        assert any(k == 0 for _, k, _ in found) and url not in secrets.redacted(text, found) and escaped not in secrets.redacted(text, found), text
+    noise = "".join(map(str, np.random.default_rng(2).integers(0, 9, 400)))
+    blob = base64.b64encode(gzip.compress(f"{noise} password={value}".encode())).decode()
+    for lines in ("\n".join(blob[i : i + 64] for i in range(0, len(blob), 64)), "\r\n  ".join(blob[i : i + 20] for i in range(0, len(blob), 20))):
+        for text in (lines, f"one\n{lines}\nThe end of it", f"data: {lines}\nBye\n", f"internationalization\n{lines}"):
+            _, found = secrets.find_spans(text)
+            assert any(k == 0 and a <= text.index(lines) and b >= text.index(lines) + len(lines) - 3 for a, k, b in found), text
+    plain = base64.b64encode(f"{'some words ' * 9}password={value}".encode()).decode()
+    lines = "\n".join(plain[i : i + 30] for i in range(0, len(plain), 30))
+    assert any(k == 0 for _, k, _ in secrets.find_spans(f"{lines}\nThe end\n")[1])
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1000)
+    monkeypatch.setattr(secrets, "OVERLAP", 100)
+    for at in (5, 980, 3000, 7900):
+        bomb = (b"x " * 4000)[:at] + b" password=hunterhunter1 " + b"x " * 4000
+        for coded in (base64.b64encode(gzip.compress(bomb)).decode(), "".join(f"%{c:02x}" for c in gzip.compress(bomb))):
+            assert (0, 0, len(coded)) in [(a, k, b) for a, k, b in secrets.find_spans(coded)[1]]
+
+
 def test_secret_scan_of_odd_rows(documents, nothing):
     found = secrets.scan(documents)
     assert found.count() == documents.count() and found.where("text is null and spans = ''").count() == 1

@@ -79,11 +79,11 @@ def doc_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def regression_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _pairs(spark, sf_dir).withColumn("result", M.markdown("source"))
-    return S.regression_gate(S.scored(pairs, similar=False))
+    return S.regression_gate(S.scored(pairs))
 
 
 def seven_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = _pairs(spark, sf_dir).withColumn("result", M.markdown("source")).where("length(source) < 1500")
+    pairs = _pairs(spark, sf_dir).withColumn("result", M.markdown("source"))
     found = S.scored(pairs)
     return found.join(S.all_passed(found), "id").select("id", "passed", *(F.round(m, 6).alias(m) for m in S.THRESHOLDS))
 

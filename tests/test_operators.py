@@ -108,3 +108,11 @@ def test_page_evaluation_of_empty_page(spark):
     page = spark.createDataFrame([("start", None, 0, 0, False, 0.5)], "page_id string, content string, link_count int, broken_count int, linked boolean, freshness double")
     row = pages.evaluate(page).first()
     assert row["recommendation"] == "exclude" and row["flags"] == ["empty", "template"]
+
+
+def test_all_documents_get_all_scores(spark, sf):
+    from corpusmill.plans import evaluation
+
+    n = spark.read.parquet(f"{sf}/documents.parquet").count()
+    assert evaluation.seven_scores(spark, sf).select("id").distinct().count() == n
+    assert {r["metric"] for r in evaluation.regression_gate(spark, sf).collect()} == set(scores.THRESHOLDS)

@@ -110,11 +110,13 @@ def cohens_d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def paired_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.compare(_paired(spark, sf_dir).where("b % 3 < 1"), "stage")
+    return stats.compare(_paired(spark, sf_dir), "stage")
 
 
 def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.bootstrap_ci(_scored_runs(spark, sf_dir), "model", "score", rounds=200)
+    runs = _scored_runs(spark, sf_dir)
+    means = runs.groupBy("model").agg(F.avg("score").alias("mean"), F.count("*").alias("n"))
+    return means.join(stats.bootstrap_at_scale(runs, "model", "score", rounds=1000), "model").select("model", "mean", "low", "high", "n")
 
 
 def metric_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:

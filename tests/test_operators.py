@@ -116,3 +116,29 @@ def test_all_documents_get_all_scores(spark, sf):
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
     assert evaluation.seven_scores(spark, sf).select("id").distinct().count() == n
     assert {r["metric"] for r in evaluation.regression_gate(spark, sf).collect()} == set(scores.THRESHOLDS)
+
+
+def test_paired_test_takes_all_pairs(spark, sf, monkeypatch):
+    from corpusmill.plans import evaluation
+
+    n = spark.read.parquet(f"{sf}/events.parquet").count()
+    exact = {r["stage"]: r for r in evaluation.paired_test(spark, sf).collect()}
+    assert sum(r["n"] for r in exact.values()) == n
+    monkeypatch.setattr(stats, "MOST_PAIRS", 10)
+    monkeypatch.setattr(stats, "STRETCHES", 7)
+    for r in evaluation.paired_test(spark, sf).collect():
+        assert (r["n"], r["test"]) == (exact[r["stage"]]["n"], exact[r["stage"]]["test"])
+        assert r["p_value"] == pytest.approx(exact[r["stage"]]["p_value"], rel=1e-6)
+
+
+def test_bootstrap_ci_meets_no_group_in_one_task(spark, sf):
+    from corpusmill.plans import evaluation
+
+    made = evaluation.bootstrap_ci(spark, sf)
+    assert "InPandas" not in made._jdf.queryExecution().toString()
+    scores_of = evaluation._scored_runs(spark, sf).toPandas().groupby("model")["score"]
+    for r in made.collect():
+        x = scores_of.get_group(r["model"])
+        half = 1.96 * x.std() / math.sqrt(len(x))
+        assert (r["n"], r["mean"]) == (len(x), pytest.approx(x.mean()))
+        assert r["low"] == pytest.approx(x.mean() - half, abs=0.3 * half) and r["high"] == pytest.approx(x.mean() + half, abs=0.3 * half)

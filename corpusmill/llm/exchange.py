@@ -74,12 +74,12 @@ def places(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def planes(values: np.ndarray) -> bytes:
     """Little-endian bytes of fixed-width values, all first bytes first."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T).tobytes()
 
 
 def from_planes(data: bytes, kind: str) -> np.ndarray:
     width = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, len(data) // width).T).view(kind).ravel()
 
 
 def packed(ordered: np.ndarray) -> bytes:

@@ -1,10 +1,10 @@
 """Joins of documents by the Jaccard similarity of their word shingles, by T-occurrence search.
 
-1. Chunks send the hashes of their shingles to buckets, which answer with the number of
-   documents that hold each (see ``exchange``).  A partner at threshold ``t`` shares at
-   least ``t`` of a document's shingles, so a document of which fewer are shared with
-   any other has no partner, and its shingles go no further.
-2. Documents of equal sets become one class.  Each class lists the rarest shingles that
+1. Chunks send the hashes of their shingles, each once with its count, to buckets, which
+   answer with the number of documents that hold it (see ``exchange``).  A partner at
+   threshold ``t`` shares at least ``t`` of a document's shingles, so a document of which
+   fewer are shared with any other has no partner, and its shingles go no further.
+2. Documents of equal words become one class.  Each class lists the rarest shingles that
    any partner must touch (all but ``ceil(t n) - 1`` of them); classes that list the
    same shingle, and whose sizes allow the threshold, are chained.  The components of
    these chains are search groups: no link leaves its group.
@@ -14,12 +14,16 @@
    still reach the required overlap, and the candidates are probed in the long lists
    by binary search.  Candidates that are linked already are left out, which cannot
    change a component.
-4. The links' components are taken across blocks and mapped back to the documents.
+4. Every link that joins components is verified by the words of its two documents.
+5. The links' components are taken across blocks and mapped back to the documents.
 
-Shingles are told apart by 64-bit hashes.  Null and empty texts have no shingles and
-link with nothing; a text of fewer words than a shingle is one shingle.  Rows that
+The lists hold 64-bit hashes of shingles, which find candidates and count ``n_shingles``;
+classes are told apart by a 128-bit digest of their words, links by the words themselves.
+Null and empty texts have no shingles and link with nothing; a text of fewer words than a
+shingle is one shingle.  A text of any length is one row and is read whole.  Rows that
 repeat an id are one document of several texts.  A null id is linked with nothing and
-is its own component, null.
+is its own component, null.  An empty table gives no rows; columns other than the two
+that are read do not matter.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,16 +43,21 @@ from . import exchange as X
 from .frames import cut, tidy
 from .graph import Sets, connected_components
 from .quality import _LOWER
-from .words import grams, slices, split_bytes, split_words, window_starts
+from .words import Words, grams, slices, split_bytes, split_words, window_starts
 
-BLOCK = 2000
+BLOCK = 500
+REPRESENTATIVES = 4  # members of the main component of a block that a class is compared with before it searches
 SKIP_WEIGHT = 0.01  # cost of a probe against a merge step, for the choice of the long lists
 
 
-def shingle_sets(array: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each row, ascending, and the rows' offsets."""
+def lowered(array: pa.Array) -> Words:
+    """Words of each row, A to Z in lower case."""
     raw = split_words(array)
-    words = split_bytes(_LOWER[raw.data], raw.offsets)
+    return Words(_LOWER[raw.data], raw.offsets, raw.starts, raw.ends, raw.first)
+
+
+def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each row, ascending, and the rows' offsets."""
     h = words.hashes()
     row = words.rows()
     at = np.flatnonzero(window_starts(words.first, n))
@@ -64,28 +74,42 @@ def shingle_sets(array: pa.Array, n: int) -> tuple[np.ndarray, np.ndarray]:
     return key[new], np.searchsorted(row[new], np.arange(len(words.first)))
 
 
-def _of_chunk(row: dict, n: int) -> tuple[list, np.ndarray, np.ndarray]:
+def shingles(body: bytes, n: int) -> set[tuple[bytes, ...]]:
+    """Distinct shingles of words that are joined by single spaces."""
+    words = body.split(b" ")
+    return set(zip(*(words[i:] for i in range(n)), strict=False)) if len(words) >= n else {tuple(words)}
+
+
+def _of_chunk(row: dict, n: int, spelled: bool = False) -> tuple[list, np.ndarray, np.ndarray, list[bytes]]:
+    """Ids, shingle hashes with offsets and, where asked for, the lower-case words of each document joined by one space."""
     table = X.opened(row["blob"])
-    ids, keys, sizes = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    ids, keys, sizes, bodies = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
     for batch in table.to_batches():
         for part in slices(batch, "text"):
-            key, offsets = shingle_sets(part.column("text"), n)
+            words = lowered(part.column("text"))
+            key, offsets = shingle_sets(words, n)
             ids += part.column("doc_id").to_pylist()
             keys.append(key)
             sizes.append(np.diff(offsets))
-    return ids, np.concatenate(keys), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+            if spelled:
+                data, at = words.spelled()
+                whole, at = data.tobytes(), at[words.first].tolist()
+                bodies += [whole[a : max(a, z - 1)] for a, z in zip(at, at[1:], strict=False)]
+    return ids, np.concatenate(keys), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]), bodies
 
 
 def count_documents(rows: list[dict]) -> list[bytes]:
-    """For the shingles of each chunk, in order, a code of how many documents hold them: exact to 200, then by powers."""
+    """For the distinct shingles of each chunk, in order, a code of how many documents hold them: exact to 200, then by powers."""
     codes = [X.unpacked(r["codes"], "<u4") for r in rows]
     every = np.concatenate(codes)
+    times = np.concatenate([X.from_planes(r["times"], "<u4") for r in rows]).astype(np.int64)
     order = np.argsort(every, kind="stable")
     heads = X.runs(every[order])
-    size = np.diff(heads, append=len(every))
-    code = np.where(size <= 200, size, np.minimum(200 + np.log2(np.maximum(size, 200) / 200) * 2, 255)).astype(np.uint8)
     out = np.empty(len(every), np.uint8)
-    out[order] = np.repeat(code, size)
+    if len(heads):
+        size = np.add.reduceat(times[order], heads)
+        code = np.where(size <= 200, size, np.minimum(200 + np.log2(np.maximum(size, 200) / 200) * 2, 255)).astype(np.uint8)
+        out[order] = np.repeat(code, np.diff(heads, append=len(every)))
     return [p.tobytes() for p in np.split(out, np.cumsum([len(c) for c in codes])[:-1])]
 
 
@@ -94,48 +118,53 @@ def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-SETS = "doc_id bigint, n_shingles bigint, digest binary, tokens binary"
+SETS = "doc_id bigint, n_shingles bigint, digest binary, tokens binary, body binary"
 
 
 def shared_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Every document's number of shingles; where a partner is possible also the digest of its
-    set and its shared shingles, rarest first."""
+    words, its shared shingles, rarest first, and its words, compressed."""
     chunks = X.chunked(docs, "text")
     buckets = X.bucket_count(chunks)
 
     def ordered(keys):
         place = X.places(keys, buckets)
         order = np.argsort(place, kind="stable")
-        return place[order], order
+        return place[order], order, X.runs(place[order])
 
     def send(row):
-        place, _ = ordered(_of_chunk(row, n)[1])
+        place, _, heads = ordered(_of_chunk(row, n)[1])
+        # what many documents of a chunk hold goes once
+        times, place = np.diff(heads, append=len(place)).astype("<u4"), place[heads]
         for b, a, z in X.parts(place >> np.uint64(32)):
-            yield b, [X.packed((place[a:z] & np.uint64(0xFFFFFFFF)).astype("<u4"))]
+            yield b, [X.packed((place[a:z] & np.uint64(0xFFFFFFFF)).astype("<u4")), X.planes(times[a:z])]
 
-    counted = X.answer(X.ask(chunks.select("chunk", "blob"), send, ["codes"]), count_documents, "counts")
+    counted = X.answer(X.ask(chunks.select("chunk", "blob"), send, ["codes", "times"]), count_documents, "counts")
 
     def keep(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                ids, keys, offsets = _of_chunk(row, n)
-                _, order = ordered(keys)
+                ids, keys, offsets, bodies = _of_chunk(row, n, spelled=True)
+                _, order, heads = ordered(keys)
                 held = np.zeros(len(keys), np.uint8)
-                held[order] = np.frombuffer(b"".join(m["data"] for m in row["counts"] or []), np.uint8)
+                held[order] = np.repeat(np.frombuffer(b"".join(m["data"] for m in row["counts"] or []), np.uint8), np.diff(heads, append=len(keys)))
                 size = np.diff(offsets)
                 total = np.concatenate([[0], np.cumsum(held > 1)])
                 shared = total[offsets[1:]] - total[offsets[:-1]]
-                digests, tokens = [], []
+                digests, tokens, kept = [], [], []
+                pack = zstandard.ZstdCompressor(level=3).compress
                 for i, (doc, a, z) in enumerate(zip(ids, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
                     if doc is None or a == z or 100 * int(shared[i]) < percent * (z - a):
                         digests.append(None)
                         tokens.append(None)
+                        kept.append(None)
                         continue
                     own, counts = keys[a:z], held[a:z]
-                    digests.append(hashlib.blake2b(own.astype("<u8").tobytes(), digest_size=16).digest())
+                    digests.append(hashlib.blake2b(bodies[i], digest_size=16).digest())
                     own, counts = own[counts > 1], counts[counts > 1]
                     tokens.append(own[np.lexsort((own, counts))].astype("<u8").tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), pa.array(digests, pa.binary()), pa.array(tokens, pa.binary())], names=[c.split()[0] for c in SETS.split(", ")])
+                    kept.append(pack(bodies[i]))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), *(pa.array(x, pa.binary()) for x in (digests, tokens, kept))], names=[c.split()[0] for c in SETS.split(", ")])
 
     return cut(chunks.select("chunk", "blob").join(counted, "chunk", "left").mapInArrow(tidy(keep), SETS))
 
@@ -216,53 +245,93 @@ def t_occurrence(lists: list[list[int]], needed: int) -> dict[int, int]:
     return found
 
 
-def search(queries: list[tuple[int, int, np.ndarray]], classes: list[tuple[int, int, np.ndarray]], percent: int) -> Sets:
-    """Disjoint sets of the class ids that links join; queries and classes are (id, set size, shared shingles).
+class Class:
+    """One class in a search: its id, the size of its set, its shared shingles and its words."""
+
+    def __init__(self, number: int, size: int, tokens: np.ndarray, body: bytes):
+        self.number, self.size, self.tokens, self.body = number, size, tokens, body
+
+    def words(self, n: int) -> set:
+        return shingles(zstandard.ZstdDecompressor().decompress(self.body), n)
+
+
+def similar(a: Class, b: Class, own: set, n: int, percent: int) -> bool:
+    """Do two classes link by their words?  ``own`` holds the shingles of the first."""
+    other = b.words(n)
+    shared = len(own & other)
+    return 100 * shared >= percent * (len(own) + len(other) - shared)
+
+
+def search(queries: list[Class], classes: list[Class], percent: int, n: int) -> Sets:
+    """Disjoint sets of the class ids that links join.
 
     A link is seen from either end.  So where all classes query, the component that holds
     most of them, once there is one, need not be looked up any more: its members look up
-    whoever is outside.  The lists then shrink to what is outside.
+    whoever is outside, in lists of those alone.  A class that links with one of a few
+    members of it is a member, and need not look up the rest either.
     """
     sets = Sets()
-    both, pivot = queries is classes, None
-    held = classes
-    lists = Lists([c[2] for c in held])
-
-    def columns():
-        return np.array([c[1] for c in held], np.int64), np.array([sets.find(c[0]) for c in held], np.int64)
-
-    sizes, roots = columns()
-    for number, (me, size, tokens) in enumerate(queries):
-        mine = sets.find(me)
+    both, main, members = queries is classes, None, []
+    held, lists = classes, Lists([c.tokens for c in classes])
+    outer, outer_lists = held, lists
+
+    def columns(own):
+        return np.array([c.size for c in own], np.int64), np.array([sets.find(c.number) for c in own], np.int64)
+
+    sizes, roots = columns(held)
+    for number, me in enumerate(queries):
+        own = None
+        mine = sets.find(me.number)
+        if main is not None and mine != sets.find(main):
+            for other in members:
+                overlap = len(np.intersect1d(me.tokens, other.tokens, assume_unique=True))
+                if 100 * overlap >= percent * (me.size + other.size - overlap):
+                    own = own if own is not None else me.words(n)
+                    if similar(me, other, own, n, percent):
+                        mine = sets.join(me.number, other.number)
+                        _, roots = columns(held)
+                        break
+        inside = main is not None and mine == sets.find(main)
+        if inside:
+            at, found = outer, outer_lists
+            size_of, root_of = columns(outer)
+        else:
+            at, found, size_of, root_of = held, lists, sizes, roots
         # open are the classes of a possible size that are not linked to this one yet
-        open_ = (roots != mine) & (100 * sizes >= percent * size) & (100 * size >= percent * sizes)
-        if pivot is not None:
-            open_ &= roots != sets.find(pivot)
+        open_ = (root_of != mine) & (100 * size_of >= percent * me.size) & (100 * me.size >= percent * size_of)
+        if both and main is not None and not inside:
+            open_ &= root_of != sets.find(main)
         if not open_.any():
             continue
-        linked = False
-        for c, overlap in t_occurrence(lists.of(tokens, open_), least_overlap(size, percent)).items():
-            if 100 * overlap >= percent * (size + int(sizes[c]) - overlap):
-                sets.join(me, held[c][0])
-                linked = True
+        linked = []
+        for c, overlap in t_occurrence(found.of(me.tokens, open_), least_overlap(me.size, percent)).items():
+            other = at[c]
+            if 100 * overlap >= percent * (me.size + other.size - overlap) and sets.find(me.number) != sets.find(other.number):
+                own = own if own is not None else me.words(n)
+                if similar(me, other, own, n, percent):
+                    sets.join(me.number, other.number)
+                    linked.append(other)
         if not linked:
             continue
-        sizes, roots = columns()
-        if both and pivot is None and number < 16:
-            found, members = np.unique(roots, return_counts=True)
-            if 2 * members.max() >= len(held):
-                pivot = int(found[members.argmax()])
-        if pivot is not None and 2 * np.count_nonzero(roots != sets.find(pivot)) < len(held):
-            held = [c for c, r in zip(held, roots.tolist(), strict=True) if r != sets.find(pivot)]
-            lists = Lists([c[2] for c in held])
-            sizes, roots = columns()
+        _, roots = columns(held)
+        if main is None and number < 16:
+            values, counts = np.unique(roots, return_counts=True)
+            if 2 * counts.max() >= len(held):
+                main = int(values[counts.argmax()])
+                members = [c for c in (me, *linked) if sets.find(c.number) == sets.find(main)][:REPRESENTATIVES]
+        if main is not None and 2 * np.count_nonzero(columns(outer)[1] != sets.find(main)) < len(outer):
+            outer = [c for c in outer if sets.find(c.number) != sets.find(main)]
+            outer_lists = Lists([c.tokens for c in outer])
+            if both:
+                held, lists = outer, outer_lists
+                sizes, roots = columns(held)
     return sets
 
 
 def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; component_id is the least id that links reach."""
     sets = shared_sets(docs.select(F.col("doc_id").cast("long"), "text"), n, percent)
-    classes = cut(sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("tokens").alias("tokens")).withColumn("class", F.monotonically_increasing_id()))
+    classes = cut(sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("tokens").alias("tokens"), F.first("body").alias("body")).withColumn("class", F.monotonically_increasing_id()))
 
     def listed(batches):
         for batch in batches:
@@ -282,20 +351,20 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     chained = rows.select("class", "size", F.lag("class").over(chain).alias("other"), F.lag("size").over(chain).alias("smaller"))
     groups = connected_components(chained.where(F.col("other").isNotNull() & (F.col("smaller") * 100 >= F.col("size") * percent)).select(F.col("class").alias("a"), F.col("other").alias("b")))
 
-    grouped = classes.select("class", "size", "tokens").join(groups.select(F.col("node").alias("class"), F.col("root").alias("grp")), "class")
+    grouped = classes.select("class", "size", "tokens", "body").join(groups.select(F.col("node").alias("class"), F.col("root").alias("grp")), "class")
     sizes = groups.groupBy(F.col("root").alias("grp")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     split = sizes.where("blocks > 1")
     alone = grouped.join(split, "grp", "left_anti").withColumns({"lo": F.lit(0), "hi": F.lit(0), "block": F.lit(0)})
     block = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     pair = F.explode(F.transform(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int")), lambda i: F.struct(F.least(i, "block").alias("lo"), F.greatest(i, "block").alias("hi"))))
-    cross = grouped.join(split, "grp").withColumn("block", block).withColumn("pair", pair).select("class", "size", "tokens", "grp", F.col("pair.lo").alias("lo"), F.col("pair.hi").alias("hi"), "block")
+    cross = grouped.join(split, "grp").withColumn("block", block).withColumn("pair", pair).select("class", "size", "tokens", "body", "grp", F.col("pair.lo").alias("lo"), F.col("pair.hi").alias("hi"), "block")
 
     def links(table: pa.Table) -> pa.Table:
-        rows = [(r["class"], r["size"], np.frombuffer(r["tokens"], "<u8"), r["block"]) for r in table.to_pylist()]
-        rows.sort(key=lambda r: r[0])
+        rows = [(Class(r["class"], r["size"], np.frombuffer(r["tokens"], "<u8"), r["body"]), r["block"]) for r in table.to_pylist()]
+        rows.sort(key=lambda r: r[0].number)
         lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
-        left = [r[:3] for r in rows if r[3] == lo]
-        found = search(left, left if lo == hi else [r[:3] for r in rows if r[3] == hi], percent)
+        left = [c for c, block in rows if block == lo]
+        found = search(left, left if lo == hi else [c for c, block in rows if block == hi], percent, n)
         nodes = [c for c in found.up if found.find(c) != c]
         return pa.table({"a": pa.array(nodes, pa.int64()), "b": pa.array([found.find(c) for c in nodes], pa.int64())})
 

@@ -17,9 +17,9 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 
-_BYTE_BASE = 0x9E3779B97F4A7C15
-_GRAM_BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-_MASK = (1 << 64) - 1
+_STEP = np.uint64(0xD6E8FEB86659FD93)
+_KEYS = (0x9E3779B97F4A7C15, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
+_NEAR = 64  # places of a word whose byte values are kept in a table
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 21):
@@ -46,17 +46,19 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-_tables: dict[str, np.ndarray] = {}
+def _value(place: np.ndarray, byte: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit value of a byte at a place of its word."""
+    return mix(((place.astype(np.uint64) << np.uint64(8)) | byte) * _STEP + np.uint64((_KEYS[0] * (2 * seed + 1)) & (1 << 64) - 1))
 
 
-def _powers(name: str, base: int, n: int) -> np.ndarray:
-    have = _tables.get(name)
-    if have is None or len(have) < n:
-        size = max(n, 1 << 21)
-        steps = np.full(size, base, np.uint64)
-        steps[0] = 1
-        have = _tables[name] = np.cumprod(steps)
-    return have[:n]
+_tables: dict[int, np.ndarray] = {}
+
+
+def _near(seed: int) -> np.ndarray:
+    if seed not in _tables:
+        every = np.arange(_NEAR << 8)
+        _tables[seed] = _value(every >> 8, (every & 255).astype(np.uint8), seed)
+    return _tables[seed]
 
 
 def text_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -91,16 +93,35 @@ class Words:
     def rows(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
-    def hashes(self, data: np.ndarray | None = None, ends: np.ndarray | None = None) -> np.ndarray:
-        """A 64-bit hash of each word's bytes (of other bytes or up to other ends, where given)."""
-        data = self.data if data is None else data
+    def hashes(self, ends: np.ndarray | None = None, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word's bytes (up to other ends, where given).
+
+        It sums a value drawn for every byte and place, so no structure of the letters cancels out.
+        """
+        data = self.data
         ends = self.ends if ends is None else ends
         n = len(data)
         total = np.zeros(n + 1, np.uint64)
         if n:
-            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers("up", _BYTE_BASE, n), out=total[1:])
-        down = _powers("down", pow(_BYTE_BASE, -1, 1 << 64), n + 1)
-        return mix((total[ends] - total[self.starts]) * down[self.starts] + (ends - self.starts).astype(np.uint64))
+            place = np.zeros(n, np.int64)
+            place[self.starts] = self.starts
+            place = np.arange(n) - np.maximum.accumulate(place)
+            value = _near(seed)[(np.minimum(place, _NEAR - 1) << 8) | data]
+            far = np.flatnonzero(place >= _NEAR)
+            if len(far):
+                value[far] = _value(place[far], data[far], seed)
+            np.cumsum(value, out=total[1:])
+        return mix(total[ends] - total[self.starts] + (ends - self.starts).astype(np.uint64) * _STEP)
+
+    def spelled(self, kept: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the words (of those kept, where given), one space after each, and where each begins, with the end last."""
+        starts, ends = (self.starts, self.ends) if kept is None else (self.starts[kept], self.ends[kept])
+        size = ends - starts
+        at = np.concatenate([[0], np.cumsum(size + 1)])
+        out = np.full(int(at[-1]), 0x20, np.uint8)
+        step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        out[np.repeat(at[:-1], size) + step] = self.data[np.repeat(starts, size) + step]
+        return out, at
 
 
 def split_words(array: pa.Array, space: np.ndarray = SPACE) -> Words:
@@ -126,22 +147,26 @@ def split_bytes(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE
 def grams(hashes: np.ndarray, n: int, which: int = 0) -> np.ndarray:
     """Hash of the n words from each position on; the last n - 1 positions are left out.
 
+    Halves are joined and mixed level by level, so runs that are built alike do not cancel out.
     Positions whose window crosses a row's end are the caller's to mask.
     """
     if len(hashes) < n:
         return np.zeros(0, np.uint64)
-    base = _GRAM_BASES[which]
-    power = lambda k: np.uint64(pow(base, k, 1 << 64))
+    key = np.uint64(_KEYS[1 + which])
+
+    def join(a, b):
+        return mix((a ^ key) * _STEP + b)
+
     have, width, out, done = hashes, 1, None, 0
     while True:
         if n & width:
             size = len(hashes) - done - width + 1
-            out = have[:size] if out is None else out[:size] * power(width) + have[done : done + size]
+            out = have[:size] if out is None else join(out[:size], have[done : done + size])
             done += width
         if done == n:
-            return mix(out[: len(hashes) - n + 1] + np.uint64(n))
+            return mix(out[: len(hashes) - n + 1] ^ key)
         size = len(have) - width
-        have = have[:size] * power(width) + have[width : width + size]
+        have = join(have[:size], have[width : width + size])
         width *= 2
 
 

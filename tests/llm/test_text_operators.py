@@ -232,3 +232,70 @@ def test_toxicity_without_labels(documents, nothing, spark):
     found = toxicity.score(documents, toxicity.learn(documents, labels))
     assert found.count() == documents.count() and found.where("predicted = 1").count() == 0
     assert toxicity.score(nothing, toxicity.learn(nothing, labels)).count() == 0
+
+
+def _balanced(n):
+    """Two different words whose letters cancel out in any power sum."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_built_alike_are_told_apart(spark):
+    a, b = _balanced(1024)
+    rest = " ".join(f"w{i}" for i in range(12))
+    rows = [(i, f"{w} {rest} {w} {w}") for i, w in enumerate([a, b, *_balanced(2048)])]
+    rows += [(10 + i, " ".join([w] * 16 + rest.split())) for i, w in enumerate((a, b))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    truth = brute.components(rows, 4, 10)
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.components(docs, 4, 10).collect()} == truth
+    kept = {i: " ".join(left) for (i, _), (_, left) in zip(rows, brute.repeats(rows, 6).values(), strict=True)}
+    assert {r["doc_id"]: r["kept_text"] for r in substrings.remove_repeats(docs, 6).collect()} == kept
+
+
+def test_a_wrong_index_is_noticed(spark, monkeypatch):
+    """Where hashes of windows agree by chance, words decide; a second index tells them apart."""
+    rows = [(i, " ".join(f"{c}{k}" for k in range(40))) for i, c in enumerate("abc")] + [(3, " ".join(f"a{k}" for k in range(40)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    real = substrings._differing
+    seen = []
+
+    def first_time_wrong(*args):
+        seen.append(real(*args))
+        return 1 if len(seen) == 1 else seen[-1]
+
+    monkeypatch.setattr(substrings, "_differing", first_time_wrong)
+    assert {r["doc_id"]: r["n_removed"] for r in substrings.remove_repeats(docs).collect()} == {0: 0, 1: 0, 2: 0, 3: 40}
+    assert seen == [0, 0]
+
+
+def test_digests_are_those_of_the_words(spark):
+    rows = [(i, " ".join(f"{c}{k}" for k in range(40))) for i, c in enumerate("ab")]
+    chunks = substrings.X.chunked(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "text")
+    row = chunks.first().asDict()
+    chunk = substrings.Chunk(row, "text", "doc_id")
+    one, two = chunk.digests(np.array([0, 40]), np.array([40, 40]))
+    assert one != two and one == hashlib.blake2b(rows[0][1].encode(), digest_size=16).digest()
+
+
+def test_links_are_verified_by_words():
+    packed = jaccard.zstandard.ZstdCompressor().compress
+    tokens = np.arange(1, 10, dtype=np.uint64)
+    make = lambda i, text: jaccard.Class(i, 9, tokens, packed(text.encode()))
+    words = " ".join(f"w{k}" for k in range(12))
+    same = [make(0, words), make(1, words), make(2, " ".join(f"v{k}" for k in range(12)))]
+    sets = jaccard.search(same, same, 85, 4)
+    assert sets.find(1) == 0 and sets.find(2) == 2
+
+
+def test_large_groups_in_pairs_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 25)
+    rng = np.random.default_rng(8)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for i in range(160):
+        words = list(base)
+        for k in rng.choice(200, rng.integers(0, 6), replace=False):
+            words[k] = f"x{rng.integers(1000)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r["doc_id"]: r["component_id"] for r in jaccard.components(docs, 4, 85).collect()} == brute.components(rows, 4, 85)

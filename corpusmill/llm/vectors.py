@@ -1,22 +1,27 @@
 """Near-duplicate vectors by a robust-pruned flat graph.
 
 1. Vectors equal in every component, and in label, are one class; the rest works on classes.
-2. Centroids fitted on a bounded sample (``SAMPLE``) cut each label into cells; a vector
-   is a member of its ``OVERLAP`` nearest cells.  A cell of more than ``BLOCK`` members is
-   dealt into blocks, and all pairs of its blocks are searched, so no cell is too large.
-3. In each block a flat graph is built: candidates by similarity, robust-pruned so that
-   the neighbours kept lie in different directions, reverse edges and a few random ones.
-4. The adjacency lists that a vector has in its blocks are united.
-5. Every member searches each block of its cells greedily from the block's medoid; when
-   the beam has settled, all vectors in range are expanded until no new one is found.
-   Recall is audited against brute force for some queries of every block, and the beam
-   widens until ``RECALL`` is reached.
-6. Every pair found is verified by cosine in double precision.  A pair that two cells
+2. A tree of centroids, fitted on bounded samples (``SAMPLE`` of all, and of each cell that
+   is still too large), cuts each label into cells of about ``REGION``; a class is a member
+   of its nearest cells.  Of how many is told by an audit: ``ASKED`` classes are compared
+   with all classes of their label, and the overlap grows until ``RECALL`` of their links
+   share a cell (or ``MOST_OVERLAP`` is reached).  A cell of more than ``BLOCK`` members is
+   dealt into blocks, and all pairs of its blocks are searched, so no task grows with it.
+3. A block is cut into overlapping cluster shards.  In each shard a flat graph is built:
+   candidates by similarity, robust-pruned so that the neighbours kept lie in different
+   directions, reverse edges and a few random ones.  The adjacency lists that a class has
+   in its shards are united.
+4. Every member walks the united graph greedily from the medoids of all shards; when the
+   beam has settled, all classes in range are expanded until no new one is found.  Recall
+   is audited against brute force for some queries of every block, and the beam widens
+   until ``RECALL`` is reached.
+5. Every pair found is verified by cosine in double precision.  A pair that two cells
    share counts in the lower one.  Links are counted and joined to components.
 
 Vectors that are null, zero, or hold null or non-finite components, and those without a
 label, link with nothing; vectors of different lengths neither.  Rows that repeat an id
-are vectors of their own.  Empty tables give no rows.
+are vectors of their own.  Empty tables give no rows.  Columns other than ``vec_id``,
+``embedding`` and ``label`` do not matter.
 """
 
 from __future__ import annotations
@@ -31,8 +36,10 @@ from pyspark.sql import functions as F
 from .frames import cut, tidy
 from .graph import Sets, connected_components
 
-SAMPLE, MAX_CELLS, CELL = 20_000, 1024, 1000
-OVERLAP, BLOCK = 2, 2000
+SAMPLE, FAN, REGION = 20_000, 512, 4000
+OVERLAP, MOST_OVERLAP, ASKED = 2, 6, 2000
+BLOCK, SHARD = 8000, 1000
+MOST_CENTRES = 128 << 20  # bytes of centroids that are broadcast; beyond them cells are larger
 DEGREE, POOL, ALPHA, RANDOM = 24, 64, 1.2, 8
 BEAM, AUDITED, RECALL = 24, 24, 0.99
 
@@ -70,10 +77,9 @@ def robust_prune(v: np.ndarray, own: int, pool: np.ndarray, degree: int = DEGREE
     return kept
 
 
-def build(v: np.ndarray, seed: int) -> list[np.ndarray]:
-    """Adjacency lists of a block of unit vectors."""
+def pruned_lists(v: np.ndarray, rng: np.random.Generator) -> list[np.ndarray]:
+    """Adjacency lists of the unit vectors of one shard."""
     n = len(v)
-    rng = np.random.default_rng(seed)
     out: list[set[int]] = []
     pool = min(POOL, n - 1)
     for a in range(0, n, 256):
@@ -96,23 +102,43 @@ def build(v: np.ndarray, seed: int) -> list[np.ndarray]:
     return lists
 
 
+def build(v: np.ndarray, seed: int, shard: int = SHARD) -> tuple[list[np.ndarray], np.ndarray]:
+    """United adjacency lists of a block of unit vectors over its overlapping shards, and the shards' medoids."""
+    n, rng = len(v), np.random.default_rng(seed)
+    k = max(1, round(n / shard))
+    if k == 1:
+        shards = [np.arange(n)]
+    else:
+        some = v if n <= 20 * shard else v[rng.choice(n, 20 * shard, replace=False)]
+        near = v @ centroids(some, k).T
+        own = np.argpartition(-near, 1, axis=1)[:, :2]
+        shards = [x for j in range(k) if len(x := np.flatnonzero((own == j).any(1)))]
+    united: list[list[np.ndarray]] = [[] for _ in range(n)]
+    medoids = []
+    for members in shards:
+        part = v[members]
+        for i, row in zip(members.tolist(), pruned_lists(part, rng), strict=True):
+            united[i].append(members[row])
+        medoids.append(int(members[np.argmax(part @ part.mean(0))]))
+    return [np.unique(np.concatenate(x)) if x else np.zeros(0, np.int64) for x in united], np.unique(np.array(medoids, np.int64))
+
+
 class Graph:
-    """A block's vectors with adjacency lists padded to one width."""
+    """A block's vectors with united adjacency lists padded to one width, and the medoids that searches start from."""
 
-    def __init__(self, v: np.ndarray, lists: list[np.ndarray]):
-        self.v = v
+    def __init__(self, v: np.ndarray, lists: list[np.ndarray], medoids: np.ndarray):
+        self.v, self.medoids = v, medoids
         width = max([len(x) for x in lists], default=0)
         self.next = np.full((len(v), max(width, 1)), -1, np.int64)
         for i, x in enumerate(lists):
             self.next[i, : len(x)] = x
-        self.medoid = int(np.argmax(v @ v.mean(0))) if len(v) else 0
 
     def search(self, q: np.ndarray, least: float, beam: int) -> np.ndarray:
-        """Vectors of similarity ``least`` or more, by beam search from the medoid and expansion in range."""
+        """Vectors of similarity ``least`` or more, by beam search from the medoids and expansion in range."""
         near = np.full(len(self.v), -2.0)
         done = np.zeros(len(self.v), bool)
-        near[self.medoid] = self.v[self.medoid] @ q
-        known = np.array([self.medoid])
+        near[self.medoids] = self.v[self.medoids] @ q
+        known = self.medoids
         while True:
             best = known if len(known) <= beam else known[np.argpartition(-near[known], beam - 1)[:beam]]
             front = best[~done[best]]
@@ -155,14 +181,71 @@ def _rows(table: pa.Table) -> dict[str, np.ndarray | list]:
     return {"id": np.asarray(table["class"]), "v": vectors, "size": np.asarray(table["size"]), "cells": np.array(table["cells"].to_pylist(), np.int64)}
 
 
-def _build_block(table: pa.Table) -> pa.Table:
-    table = table.sort_by("class")
-    rows = _rows(table)
-    lists = build(unit(rows["v"]).astype(np.float32), int(rows["id"][0]) & 0xFFFF)
-    return pa.table({"class": pa.array(rows["id"]), "near": pa.array([rows["id"][x] for x in lists], pa.list_(pa.int64()))})
+def _linked(left: dict, right: dict, graph: Graph, cell: int, same: bool, least: float) -> pa.Table:
+    """Verified links of the left rows in the graph of the right ones: how many each class has, and the least class they reach."""
+    found = audited_search(graph, unit(left["v"]).astype(np.float32), least, cell & 0xFFFF)
+    if same:
+        found |= found.T
+        np.fill_diagonal(found, False)
+    i, j = np.nonzero(found)
+    norms = [np.linalg.norm(s["v"], axis=1) for s in (left, right)]
+    true = np.zeros(len(i), bool)
+    for a in range(0, len(i), 1 << 16):
+        x, y = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
+        true[a : a + (1 << 16)] = np.einsum("ij,ij->i", left["v"][x], right["v"][y]) / (norms[0][x] * norms[1][y]) >= least
+    i, j = i[true], j[true]
+    common = np.full(len(i), np.iinfo(np.int64).max)
+    for a in range(left["cells"].shape[1]):
+        for b in range(right["cells"].shape[1]):
+            both = left["cells"][i, a] == right["cells"][j, b]
+            common[both] = np.minimum(common[both], left["cells"][i, a][both])
+    here = common == cell
+    i, j = i[here], j[here]
+    links: dict[int, int] = {}
+    sets = Sets()
+    for ids, sizes, a, b in [(left["id"], right["size"], i, j)] + ([] if same else [(right["id"], left["size"], j, i)]):
+        total = np.bincount(a, weights=sizes[b], minlength=len(ids)).astype(np.int64)
+        for c, n in zip(ids.tolist(), total.tolist(), strict=True):
+            if n:
+                links[c] = links.get(c, 0) + n
+    for c, d in zip(left["id"][i].tolist(), right["id"][j].tolist(), strict=True):
+        sets.join(c, d)
+    ids = sorted(links)
+    return pa.table({"class": pa.array(ids, pa.int64()), "links": pa.array([links[c] for c in ids], pa.int64()), "root": pa.array([sets.find(c) for c in ids], pa.int64())})
+
+
+def _graph_of(rows: dict, shard: int) -> Graph:
+    v = unit(rows["v"]).astype(np.float32)
+    return Graph(v, *build(v, int(rows["id"][0]) & 0xFFFF, shard))
+
+
+def _search_cell(least: float, shard: int):
+    """Build and walk the graph of a cell that is one block."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = _rows(table.sort_by("class"))
+        return _linked(rows, rows, _graph_of(rows, shard), table["cell"][0].as_py(), True, least)
+
+    return run
+
+
+def _build_block(shard: int):
+    """The rows of a block with their adjacency lists, and which of them are medoids."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("class")
+        rows = _rows(table)
+        lists, medoids = build(unit(rows["v"]).astype(np.float32), int(rows["id"][0]) & 0xFFFF, shard)
+        first = np.zeros(len(lists), bool)
+        first[medoids] = True
+        return table.append_column("near", pa.array([x.tolist() for x in lists], pa.list_(pa.int64()))).append_column("medoid", pa.array(first))
+
+    return run
 
 
 def _search_blocks(least: float):
+    """Walk the graph of one block for the members of another, or of itself."""
+
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("class")
         lo, hi, cell = (table[c][0].as_py() for c in ("lo", "hi", "cell"))
@@ -171,38 +254,9 @@ def _search_blocks(least: float):
         if not len(sides[0]) or not len(sides[1]):
             return pa.table({"class": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
         left, right = (_rows(s) for s in sides)
-        at = {c: i for i, c in enumerate(right["id"].tolist())}
-        lists = [np.array([at[c] for c in x if c in at], np.int64) for x in sides[1]["near"].to_pylist()]
-        graph = Graph(unit(right["v"]).astype(np.float32), lists)
-        found = audited_search(graph, unit(left["v"]).astype(np.float32), least, cell & 0xFFFF)
-        if lo == hi:
-            found |= found.T
-            np.fill_diagonal(found, False)
-        i, j = np.nonzero(found)
-        norms = [np.linalg.norm(s["v"], axis=1) for s in (left, right)]
-        true = np.zeros(len(i), bool)
-        for a in range(0, len(i), 1 << 16):
-            x, y = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
-            true[a : a + (1 << 16)] = np.einsum("ij,ij->i", left["v"][x], right["v"][y]) / (norms[0][x] * norms[1][y]) >= least
-        common = np.full(len(i), np.iinfo(np.int64).max)
-        for a in range(left["cells"].shape[1]):
-            for b in range(right["cells"].shape[1]):
-                both = left["cells"][i, a] == right["cells"][j, b]
-                common[both] = np.minimum(common[both], left["cells"][i, a][both])
-        true &= common == cell
-        i, j = i[true], j[true]
-        links: dict[int, int] = {}
-        sets = Sets()
-        ends = [(left["id"], right["size"], i, j)] + ([] if lo == hi else [(right["id"], left["size"], j, i)])
-        for ids, sizes, a, b in ends:
-            total = np.bincount(a, weights=sizes[b], minlength=len(ids)).astype(np.int64)
-            for c, n in zip(ids.tolist(), total.tolist(), strict=True):
-                if n:
-                    links[c] = links.get(c, 0) + n
-        for c, d in zip(left["id"][i].tolist(), right["id"][j].tolist(), strict=True):
-            sets.join(c, d)
-        ids = sorted(links)
-        return pa.table({"class": pa.array(ids, pa.int64()), "links": pa.array([links[c] for c in ids], pa.int64()), "root": pa.array([sets.find(c) for c in ids], pa.int64())})
+        lists = [np.array(x, np.int64) for x in sides[1]["near"].to_pylist()]
+        graph = Graph(unit(right["v"]).astype(np.float32), lists, np.flatnonzero(np.asarray(sides[1]["medoid"])))
+        return _linked(left, right, graph, cell, lo == hi, least)
 
     return run
 
@@ -218,52 +272,163 @@ def classes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.select("vec_id", "key"), cut(grouped.withColumn("class", F.monotonically_increasing_id()).withColumn("dim", F.size("vector")))
 
 
-def assigned(classes: DataFrame) -> DataFrame:
-    """One row for each class and cell that it is a member of."""
-    sizes = classes.groupBy("label", "dim").count().agg(F.max("count").alias("most"), F.sum("count").alias("n")).first()
-    if not sizes["n"]:
-        return classes.withColumns({"cells": F.array(F.lit(0).cast("long")), "cell": F.lit(0).cast("long")})
-    k = min(MAX_CELLS, math.ceil(sizes["most"] / CELL))
-    centre: dict[int, np.ndarray] = {}
-    if k > 1:
-        # SAMPLE vectors in all, however many there are
-        rate = min(1.0, SAMPLE / sizes["n"])
-        drawn = classes.where(F.pmod(F.xxhash64("key"), F.lit(1 << 32)) < int(rate * (1 << 32))).orderBy("key").limit(SAMPLE)
-        table = drawn.select("dim", "vector").toArrow()
-        dims = np.asarray(table["dim"])
-        for d in np.unique(dims).tolist():
-            part = table.filter(pa.array(dims == d))["vector"].combine_chunks()
-            centre[d] = centroids(unit(np.asarray(part.flatten(), np.float64).reshape(-1, d)), k)
+class Cells:
+    """A tree of centroids of unit vectors of one length: cells of the first level, and of those that were cut again."""
+
+    def __init__(self, first: np.ndarray):
+        self.first, self.below = first, {}
+        self._finish()
+
+    def _finish(self) -> None:
+        parts = [(self.below[j] if j in self.below else self.first[j : j + 1]) for j in range(len(self.first))]
+        self.starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+        self.leaves = np.concatenate(parts) if parts else self.first
+
+    def cut(self, cell: int, centre: np.ndarray) -> None:
+        self.below[cell] = centre
+        self._finish()
+
+    def near(self, v: np.ndarray, overlap: int) -> np.ndarray:
+        """The nearest leaves of each vector below its nearest cells of the first level, nearest first; -1 where there are no more."""
+        out = np.full((len(v), overlap), -1, np.int64)
+        if not len(self.first):
+            out[:, 0] = 0
+            return out
+        top = v @ self.first.T
+        wide = min(overlap, top.shape[1])
+        chosen = np.argsort(-top, axis=1, kind="stable")[:, :wide]
+        if not self.below:
+            out[:, :wide] = chosen
+            return out
+        for i, cells in enumerate(chosen.tolist()):
+            leaf = np.concatenate([np.arange(self.starts[j], self.starts[j + 1]) for j in cells])
+            order = leaf[np.argsort(-(self.leaves[leaf] @ v[i]), kind="stable")][:overlap]
+            out[i, : len(order)] = order
+        return out
+
+
+def _vectors(table: pa.Table) -> np.ndarray:
+    part = table["vector"].combine_chunks()
+    return unit(np.asarray(part.flatten(), np.float64).reshape(len(table), -1))
+
+
+def _cut_again(region: int, fan: int):
+    """Centroids of a sample of one cell."""
+
+    def run(table: pa.Table) -> pa.Table:
+        centre = centroids(_vectors(table), min(fan, math.ceil(table["most"][0].as_py() / region)))
+        return pa.table({"cell": pa.array([table["cell"][0].as_py()]), "centre": pa.array([centre.tolist()], pa.list_(pa.list_(pa.float64())))})
+
+    return run
+
+
+def fitted(classes: DataFrame, region: int) -> dict[int, Cells]:
+    """The tree of each length of vectors, so that the largest label has cells of about ``region`` classes."""
+    sizes = {r["dim"]: (r["most"], r["n"]) for r in classes.groupBy("label", "dim").count().groupBy("dim").agg(F.max("count").alias("most"), F.sum("count").alias("n")).collect()}
+    tree: dict[int, Cells] = {}
+    for dim, (most, n) in sizes.items():
+        region_of = max(region, math.ceil(n * dim * 8 / MOST_CENTRES))
+        k = min(FAN, math.ceil(most / region_of))
+        tree[dim] = Cells(np.zeros((0, dim)))
+        if k < 2:
+            continue
+        rate = min(1.0, SAMPLE / n)
+        drawn = classes.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("key"), F.lit(1 << 32)) < int(rate * (1 << 32)))).orderBy("key").limit(SAMPLE)
+        tree[dim] = Cells(centroids(_vectors(drawn.select("vector").toArrow()), k))
+        if most <= FAN * region_of:
+            continue
+        shared = tree[dim]
+
+        def placed(batches, shared=shared):
+            for batch in batches:
+                if batch.num_rows:
+                    cells = shared.near(_vectors(pa.Table.from_batches([batch])), 1)[:, 0]
+                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells)], names=[*batch.schema.names, "cell"])
+
+        own = cut(classes.where(F.col("dim") == dim).select("key", "label", "vector").mapInArrow(tidy(placed), "key binary, label string, vector array<double>, cell bigint"))
+        large = own.groupBy("label", "cell").count().groupBy("cell").agg(F.max("count").alias("most"), F.sum("count").alias("n")).where(F.col("most") > region_of)
+
+        # SAMPLE vectors of each cell at most are expected in a task
+        some = own.join(large, "cell").where(F.pmod(F.xxhash64("key"), F.lit(1 << 32)) < F.least(F.lit(1.0), SAMPLE / F.col("n")) * float(1 << 32))
+        for row in some.select("cell", "most", "vector").groupBy("cell").applyInArrow(_cut_again(region_of, FAN), "cell bigint, centre array<array<double>>").collect():
+            shared.cut(row["cell"], np.array(row["centre"]))
+    return tree
+
+
+def cell_recall(classes: DataFrame, tree: dict[int, Cells], least: float) -> tuple[int, float]:
+    """How many nearest cells a class must be a member of, and which share of the links of ASKED classes then lie in a cell."""
+    asked = classes.orderBy(F.xxhash64("key"), "key").limit(ASKED).select("class", "label", "dim", "vector").toArrow()
+    queries = {d: asked.filter(pa.array(np.asarray(asked["dim"]) == d)) for d in tree}
+    told = {d: (np.asarray(t["class"]), np.array(t["label"].to_pylist(), object), _vectors(t), tree[d].near(_vectors(t), MOST_OVERLAP)) for d, t in queries.items() if len(t)}
+    shared = classes.sparkSession.sparkContext.broadcast((told, tree))  # ASKED rows and the centroids
 
     def run(batches):
+        told, tree = shared.value
+        total = np.zeros(MOST_OVERLAP + 2, np.int64)
         for batch in batches:
-            cells = []
-            for d, v in zip(batch.column("dim").to_pylist(), batch.column("vector").to_pylist(), strict=True):
-                if d not in centre:
-                    cells.append([0])
+            dims = np.asarray(batch.column("dim"))
+            for d, (ids, labels, v, cells) in told.items():
+                part = pa.Table.from_batches([batch]).filter(pa.array(dims == d))
+                if not len(part):
                     continue
-                x = np.array(v)
-                cells.append(np.sort(np.argsort(-(centre[d] @ (x / np.linalg.norm(x))), kind="stable")[:OVERLAP]).tolist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int64()))], names=[*batch.schema.names, "cells"])
-
+                w, own = _vectors(part), np.array(part["label"].to_pylist(), object)
+                i, j = np.nonzero((v @ w.T >= least) & (labels[:, None] == own[None, :]) & (ids[:, None] != np.asarray(part["class"])[None, :]))
+                if not len(i):
+                    continue
+                theirs = tree[d].near(w[j], MOST_OVERLAP)
+                need = np.full(len(i), MOST_OVERLAP + 1)
+                for a in range(MOST_OVERLAP):
+                    for b in range(MOST_OVERLAP):
+                        both = (cells[i, a] == theirs[:, b]) & (cells[i, a] >= 0)
+                        need[both] = np.minimum(need[both], max(a, b) + 1)
+                total += np.bincount(need, minlength=MOST_OVERLAP + 2)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(total))), pa.array(total)], names=["need", "n"])
+
+    found = {r["need"]: r["n"] for r in classes.select("class", "label", "dim", "vector").mapInArrow(tidy(run), "need bigint, n bigint").groupBy("need").agg(F.sum("n").alias("n")).collect()}
+    every = sum(found.values())
+    share = lambda o: sum(n for k, n in found.items() if k <= o) / every if every else 1.0
+    overlap = next((o for o in range(OVERLAP, MOST_OVERLAP) if share(o) >= RECALL), MOST_OVERLAP)
+    return overlap, share(overlap)
+
+
+def assigned(classes: DataFrame, least: float, region: int) -> DataFrame:
+    """One row for each class and cell that it is a member of."""
     kept = classes.select("class", "label", "dim", "vector", "size")
+    tree = fitted(classes, region)
+    if all(len(c.first) < 2 for c in tree.values()):
+        return kept.withColumns({"cells": F.array(F.lit(0).cast("long")), "cell": F.lit(0).cast("long")})
+    overlap, _ = cell_recall(classes, tree, least)
+    shared = classes.sparkSession.sparkContext.broadcast(tree)  # MOST_CENTRES bytes at most
+
+    def run(batches):
+        for batch in batches:
+            dims = np.asarray(batch.column("dim"))
+            cells = np.zeros((batch.num_rows, overlap), np.int64)
+            for d in np.unique(dims).tolist():
+                at = np.flatnonzero(dims == d)
+                cells[at] = shared.value[d].near(_vectors(pa.Table.from_batches([batch]).take(pa.array(at))), overlap)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells.tolist(), pa.list_(pa.int64()))], names=[*batch.schema.names, "cells"])
+
     out = kept.mapInArrow(tidy(run), "class bigint, label string, dim int, vector array<double>, size bigint, cells array<bigint>")
-    # every class has as many cells as any other, so that they form a matrix
-    return out.withColumn("cell", F.explode("cells"))
+    # every class has as many places for cells as any other, so that they form a matrix; -1 is none
+    return out.withColumn("cell", F.explode(F.filter("cells", lambda c: c >= 0)))
 
 
-def near_duplicates(vectors: DataFrame, least: float = 0.98) -> DataFrame:
+def near_duplicates(vectors: DataFrame, least: float = 0.98, region: int = REGION, most: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     rows, classes = classes_of(vectors)
-    members = cut(assigned(classes))
+    members = cut(assigned(classes, least, region))
     place = ["label", "dim", "cell"]
-    blocks = members.groupBy(*place).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    columns = [*place, "block", "class", "vector", "size", "cells"]
+    blocks = members.groupBy(*place).agg(F.ceil(F.count("*") / most).cast("int").alias("blocks"))
     dealt = members.join(blocks, place).withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-    graph = dealt.select(*place, "block", "class", "vector", "size", "cells").groupBy(*place, "block").applyInArrow(_build_block, "class bigint, near array<bigint>")
-    united = graph.groupBy("class").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+    out = "class bigint, links bigint, root bigint"
+    whole = dealt.where("blocks = 1").select(*columns).groupBy(*place).applyInArrow(_search_cell(least, shard), out)
+    cells = dealt.where("blocks > 1").select(*columns, "blocks")
+    graphs = cells.groupBy(*place, "block").applyInArrow(_build_block(shard), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema.fields) + ", near array<bigint>, medoid boolean")
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, "block").alias("lo"), F.greatest(i, "block").alias("hi"))))
-    tasks = dealt.join(united, "class").withColumn("pair", pair).select(*place, "block", "class", "vector", "size", "cells", "near", F.col("pair.lo").alias("lo"), F.col("pair.hi").alias("hi"))
-    found = cut(tasks.groupBy(*place, "lo", "hi").applyInArrow(_search_blocks(least), "class bigint, links bigint, root bigint"))
+    tasks = graphs.withColumn("pair", pair).select(*columns, "near", "medoid", F.col("pair.lo").alias("lo"), F.col("pair.hi").alias("hi"))
+    found = cut(whole.unionByName(tasks.groupBy(*place, "lo", "hi").applyInArrow(_search_blocks(least), out)))
     roots = connected_components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
     counts = found.groupBy("class").agg(F.sum("links").alias("links"))
     of_class = classes.select("key", "class", "size", "least").join(counts, "class", "left").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))

@@ -35,9 +35,10 @@ def test_connected_components(spark):
     assert connected_components(frame.limit(0)).count() == 0
 
 
-def test_vectors_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "CELL", 60)
-    monkeypatch.setattr(vectors, "BLOCK", 80)
+@pytest.mark.parametrize(("region", "most", "fan"), [(1000, 1000, 512), (60, 400, 512), (60, 40, 512), (20, 400, 3)])
+def test_vectors_against_brute_force(spark, monkeypatch, region, most, fan):
+    monkeypatch.setattr(vectors, "FAN", fan)
+    near_duplicates = lambda frame: vectors.near_duplicates(frame, region=region, most=most, shard=30)
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 16))
     rows = [(i, (base[i % 40] + rng.normal(size=16) * 0.05).tolist(), int(i % 3)) for i in range(400)]
@@ -45,15 +46,15 @@ def test_vectors_against_brute_force(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
     sound = [(i, np.array(v), g) for i, v, g in rows if g is not None and i < 500]
     links = {i: [j for j, w, h in sound if i != j and g == h and v @ w / (np.linalg.norm(v) * np.linalg.norm(w)) >= 0.98] for i, v, g in sound}
-    found = {r["vec_id"]: r for r in vectors.near_duplicates(frame).collect()}
+    found = {r["vec_id"]: r for r in near_duplicates(frame).collect()}
     assert len(found) == len(rows)
     true, got = sum(map(len, links.values())), sum(found[i]["n_links"] for i in links)
     assert 0.97 * true <= got <= true
     assert all(found[i]["n_links"] <= len(links[i]) for i in links)
     assert all(found[i]["n_links"] == 0 and found[i]["kept"] for i in (500, 501, 502, 503, 504, 505, 506))
     assert {found[400 + i]["component_id"] for i in range(5)} == {found[400]["component_id"]}
-    assert vectors.measured_recall(frame.where("vec_id < 500"), vectors.near_duplicates(frame)) >= 0.9
-    assert vectors.near_duplicates(frame.limit(0)).count() == 0
+    assert vectors.measured_recall(frame.where("vec_id < 500"), near_duplicates(frame)) >= 0.9
+    assert near_duplicates(frame.limit(0)).count() == 0
 
 
 def test_warc_round_trip_with_magic_in_payloads(spark):

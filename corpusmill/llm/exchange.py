@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +22,29 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import cut, tidy
+from .frames import dealt, tidy
 from .words import slices
 
 CHUNK_BYTES = 8 << 20
 BUCKET_BYTES = 9 << 20  # of text whose hashes go to one bucket
 
 
-def chunked(docs: DataFrame, text: str, limit: int = CHUNK_BYTES) -> DataFrame:
-    """Rows (chunk, bytes, blob) of about ``limit`` bytes of text each (one document at least)."""
+@dataclass
+class Chunks:
+    """Rows (chunk, blob) dealt by chunk into ``parts``, so that what is dealt alike meets them where they are."""
+
+    frame: DataFrame
+    parts: int
+    buckets: int
+
+    def beside(self, rows: DataFrame) -> DataFrame:
+        """Rows of chunks dealt as the chunks are."""
+        return rows.repartition(self.parts, "chunk")
+
+
+def chunked(docs: DataFrame, text: str, limit: int = CHUNK_BYTES) -> Chunks:
+    """Chunks of about ``limit`` bytes of text each (one document at least)."""
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
 
     def run(batches):
         part, number = TaskContext.get().partitionId(), 0
@@ -42,7 +57,7 @@ def chunked(docs: DataFrame, text: str, limit: int = CHUNK_BYTES) -> DataFrame:
                 for b in held:
                     out.write_batch(b)
             blob = sink.getvalue().to_pybytes()
-            return pa.RecordBatch.from_arrays([pa.array([(part << 24) + number]), pa.array([size]), pa.array([blob], pa.binary())], names=["chunk", "bytes", "blob"])
+            return pa.RecordBatch.from_arrays([pa.array([(part << 24) + number]), pa.array([blob], pa.binary())], names=["chunk", "blob"])
 
         for whole in batches:
             for batch in slices(whole, text, limit // 8):
@@ -54,18 +69,14 @@ def chunked(docs: DataFrame, text: str, limit: int = CHUNK_BYTES) -> DataFrame:
         if held:
             yield closed()
 
-    return cut(docs.mapInArrow(tidy(run), "chunk bigint, bytes bigint, blob binary"))
+    parts = max(8, math.ceil(total / limit))
+    return Chunks(dealt(docs.mapInArrow(tidy(run), "chunk bigint, blob binary"), parts, "chunk"), parts, max(8, math.ceil(total / BUCKET_BYTES)))
 
 
 def opened(blob: bytes) -> pa.Table:
     return pa.ipc.open_stream(pa.py_buffer(blob)).read_all()
 
 
-def bucket_count(chunks: DataFrame) -> int:
-    total = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("n")).first()["n"]
-    return max(8, math.ceil(total / BUCKET_BYTES))
-
-
 def places(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket in the upper and 32 further bits of the hash in the lower half; ordered as the hashes are."""
     n = np.uint64(buckets)
@@ -121,8 +132,8 @@ def ask(chunks: DataFrame, send: Callable[[dict], Iterator[tuple[int, list[bytes
     return chunks.mapInArrow(tidy(run), "bucket bigint, chunk bigint, " + ", ".join(f"{f} binary" for f in fields))
 
 
-def answer(messages: DataFrame, reply: Callable[[list[dict]], list[bytes]], name: str) -> DataFrame:
-    """One row for each chunk: its answers by bucket, as the list ``name`` of (bucket, data)."""
+def answer(chunks: Chunks, messages: DataFrame, reply: Callable[[list[dict]], list[bytes]], name: str) -> DataFrame:
+    """The chunks with their answers by bucket, as the list ``name`` of (bucket, data); chunks stay where they are."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -130,7 +141,7 @@ def answer(messages: DataFrame, reply: Callable[[list[dict]], list[bytes]], name
         return pa.table({"chunk": pa.array([r["chunk"] for r in rows], pa.int64()), "bucket": pa.array([r["bucket"] for r in rows], pa.int64()), "data": pa.array(reply(rows), pa.binary())})
 
     replies = messages.groupBy("bucket").applyInArrow(run, "chunk bigint, bucket bigint, data binary")
-    return replies.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "data"))).alias(name))
+    return chunks.frame.join(chunks.beside(replies).groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "data"))).alias(name)), "chunk", "left")
 
 
 def runs(ordered: np.ndarray) -> np.ndarray:

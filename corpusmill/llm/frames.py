@@ -29,11 +29,14 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; one is made, for as long as the application runs, only where the session names none."""
+    """The folder that all executors share; one is made only where the session names none and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = _own.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="shared-")
-        _own[spark.sparkContext.applicationId] = found
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        found = _own.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="shared-")
+        _own[context.applicationId] = found
     return found
 
 
@@ -41,6 +44,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Take away a folder that was written for a step in between."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """Checkpoint to the shared folder: lineage ends here, and a lost executor loses nothing."""
     spark = frame.sparkSession
@@ -49,6 +58,20 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def dealt(frame: DataFrame, parts: int, key: str) -> DataFrame:
+    """Checkpoint of the frame dealt by a key; later joins on the key move the other side only.
+
+    Adaptive execution is off while it is planned, as it would hide how the rows are dealt.
+    """
+    conf, name = frame.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return cut(frame.repartition(parts, key))
+    finally:
+        conf.set(name, before)
+
+
 def tidy(run):
     """A batch function that gives memory back when its partition ends; workers outlive their tasks."""
 

@@ -6,8 +6,8 @@
    fewer are shared with any other has no partner, and its shingles go no further.
 2. Documents of equal words become one class.  Each class lists the rarest shingles that
    any partner must touch (all but ``ceil(t n) - 1`` of them); classes that list the
-   same shingle, and whose sizes allow the threshold, are chained.  The components of
-   these chains are search groups: no link leaves its group.
+   same shingle, and whose sizes allow the threshold, are joined, in each partition first.
+   The components are search groups: no link leaves its group.
 3. In a group (in pairs of blocks, where it holds more than ``BLOCK`` classes) every
    class queries the inverted lists of the shingles.  By DivideSkip the longest lists
    are set aside; the short ones are merged by a heap that skips ahead to what can
@@ -43,9 +43,10 @@ from . import exchange as X
 from .frames import cut, tidy
 from .graph import Sets, connected_components
 from .quality import _LOWER
-from .words import Words, grams, slices, split_bytes, split_words, window_starts
+from .words import _STEP, Words, grams, mix, slices, split_bytes, split_words, window_starts
 
 BLOCK = 500
+KEYS = 300_000  # shingles that a partition holds at a time while it joins classes
 REPRESENTATIVES = 4  # members of the main component of a block that a class is compared with before it searches
 SKIP_WEIGHT = 0.01  # cost of a probe against a merge step, for the choice of the long lists
 
@@ -125,7 +126,7 @@ def shared_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Every document's number of shingles; where a partner is possible also the digest of its
     words, its shared shingles, rarest first, and its words, compressed."""
     chunks = X.chunked(docs, "text")
-    buckets = X.bucket_count(chunks)
+    buckets = chunks.buckets
 
     def ordered(keys):
         place = X.places(keys, buckets)
@@ -139,7 +140,7 @@ def shared_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
         for b, a, z in X.parts(place >> np.uint64(32)):
             yield b, [X.packed((place[a:z] & np.uint64(0xFFFFFFFF)).astype("<u4")), X.planes(times[a:z])]
 
-    counted = X.answer(X.ask(chunks.select("chunk", "blob"), send, ["codes", "times"]), count_documents, "counts")
+    counted = X.answer(chunks, X.ask(chunks.frame, send, ["codes", "times"]), count_documents, "counts")
 
     def keep(batches):
         for batch in batches:
@@ -166,7 +167,7 @@ def shared_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     kept.append(pack(bodies[i]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), *(pa.array(x, pa.binary()) for x in (digests, tokens, kept))], names=[c.split()[0] for c in SETS.split(", ")])
 
-    return cut(chunks.select("chunk", "blob").join(counted, "chunk", "left").mapInArrow(tidy(keep), SETS))
+    return cut(counted.mapInArrow(tidy(keep), SETS))
 
 
 class Lists:
@@ -334,22 +335,37 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     classes = cut(sets.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("size"), F.first("tokens").alias("tokens"), F.first("body").alias("body")).withColumn("class", F.monotonically_increasing_id()))
 
     def listed(batches):
+        """Classes of a partition that list a shingle and are of about one size, joined; each shingle goes on with one of them."""
+        sets, least = Sets(), {}
+        # a little more than the widest ratio of sizes, so that rounding parts no partners
+        ratio = math.log(100 / percent) * (1 + 1e-9)
+
+        def told():
+            keys = list(least)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([least[k] for k in keys], pa.int64()), pa.nulls(len(keys), pa.int64())], names=["key", "class", "other"])
+
         for batch in batches:
-            keys, owners, sizes = [], [], []
-            for c, size, tokens in zip(batch.column("class").to_pylist(), batch.column("size").to_pylist(), batch.column("tokens").to_pylist(), strict=True):
-                own = np.frombuffer(tokens, "<i8")
+            for c, size, tokens in zip(*(batch.column(x).to_pylist() for x in ("class", "size", "tokens")), strict=True):
+                own = np.frombuffer(tokens, "<u8")
                 # of the whole set the unshared shingles come first; they have no partner
                 own = own[: max(1, len(own) - least_overlap(size, percent) + 1)]
-                keys.append(own)
-                owners.append(np.full(len(own), c))
-                sizes.append(np.full(len(own), size))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, owners, sizes)], names=["token", "class", "size"])
-
-    chain = Window.partitionBy("token").orderBy("size", "class")
-    rows = classes.select("class", "size", "tokens").mapInArrow(tidy(listed), "token bigint, class bigint, size bigint")
-    chained = rows.select("class", "size", F.lag("class").over(chain).alias("other"), F.lag("size").over(chain).alias("smaller"))
-    groups = connected_components(chained.where(F.col("other").isNotNull() & (F.col("smaller") * 100 >= F.col("size") * percent)).select(F.col("class").alias("a"), F.col("other").alias("b")))
+                # partners are of one step of sizes or of two that follow each other, so they share one of two keys
+                step = int(math.log(size) / ratio) if ratio else size
+                for more in (0, 1) if ratio else (0,):
+                    for k in mix(own + np.uint64(step + more) * _STEP).view(np.int64).tolist():
+                        sets.join(c, least.setdefault(k, c))
+                if len(least) > KEYS:
+                    yield from told()
+                    least = {}
+        yield from told()
+        nodes = [c for c in sets.up if sets.find(c) != c]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(nodes), pa.int64()), pa.array(nodes, pa.int64()), pa.array([sets.find(c) for c in nodes], pa.int64())], names=["key", "class", "other"])
+
+    rows = cut(classes.select("class", "size", "tokens").mapInArrow(tidy(listed), "key bigint, class bigint, other bigint"))
+    # a shingle comes from each partition once at most, however many classes list it
+    across = rows.where("key is not null").groupBy("key").agg(F.min("class").alias("a"), F.collect_set("class").alias("every")).where(F.size("every") > 1)
+    edges = rows.where("key is null").select(F.col("class").alias("a"), F.col("other").alias("b")).unionByName(across.select("a", F.explode("every").alias("b")))
+    groups = connected_components(edges)
 
     grouped = classes.select("class", "size", "tokens", "body").join(groups.select(F.col("node").alias("class"), F.col("root").alias("grp")), "class")
     sizes = groups.groupBy(F.col("root").alias("grp")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))

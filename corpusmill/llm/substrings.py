@@ -22,6 +22,7 @@ an output are replaced, others are kept.
 from __future__ import annotations
 
 import hashlib
+from dataclasses import replace
 from functools import cached_property
 
 import numpy as np
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import exchange as X
-from .frames import cut, extend, tidy, with_columns
-from .words import covered, grams, slices, split_words, window_starts
+from .frames import cut, dealt, extend, tidy, with_columns
+from .words import grams, slices, split_words, window_starts
 
 LAST = np.iinfo(np.int64).max
 ASKS = 50_000  # comparisons of one source that a task takes at a time
@@ -202,34 +203,43 @@ def remove_repeats(docs: DataFrame, length: int = 20, text: str = "text", doc_id
     if length < 2:
         raise ValueError("length must be at least 2")
     chunks = X.chunked(docs, text)
-    buckets = X.bucket_count(chunks)
     for seed in range(TRIES):
-        answered, block = _indexed(chunks, buckets, length, text, doc_id, seed)
-        if not _differing(chunks, answered, length, block, buckets, text, doc_id, seed):
+        runs = maximal_repeats(chunks, length, text, doc_id, seed)
+        if not _differing(chunks, runs, text, doc_id):
             break
     else:
         raise RuntimeError("no index told the words apart")
     schema = with_columns(docs.schema, ADDED)
+    own = chunks.beside(runs.select("chunk", F.struct("at", "n").alias("run"))).groupBy("chunk").agg(F.collect_list("run").alias("runs"))
 
     def finish(batches):
         for whole in batches:
             for row in whole.to_pylist():
-                chunk = Chunk(row, text, doc_id, seed)
-                gone = covered(Repeats(chunk, length, block, buckets, row).at, length, len(chunk.hashes))
+                chunk = Chunk(row, text, doc_id)
+                spans = np.array([(r["at"], r["at"] + r["n"]) for r in row["runs"] or []], np.int64).reshape(-1, 2)
                 seen = 0
                 for part, words in chunk.parts():
-                    mask = gone[seen : seen + len(words.starts)]
-                    seen += len(words.starts)
+                    n = len(words.starts)
+                    # maximal repeats may overlap, and none crosses a document's end
+                    change = np.zeros(n + 1, np.int64)
+                    for column, step in ((0, 1), (1, -1)):
+                        inside = spans[(spans[:, 0] >= seen) & (spans[:, 0] < seen + n), column] - seen
+                        np.add.at(change, inside, step)
+                    mask = np.cumsum(change[:-1]) > 0
+                    seen += n
                     removed = np.add.reduceat(np.concatenate([mask, [False]]).astype(np.int64), words.first[:-1]) if part.num_rows else np.zeros(0, np.int64)
                     removed = np.where(words.counts > 0, removed, 0)
                     yield extend(part, {"n_words": pa.array(words.counts), "n_removed": pa.array(removed), "kept_text": _joined(words, ~mask)})
 
-    return answered.mapInArrow(tidy(finish), schema)
+    return chunks.frame.join(own, "chunk", "left").mapInArrow(tidy(finish), schema)
+
 
+RUNS = "chunk bigint, at bigint, n bigint, source bigint, place bigint, digest binary"
 
-def _indexed(chunks: DataFrame, buckets: int, length: int, text: str, doc_id: str, seed: int) -> tuple[DataFrame, int]:
-    """Chunks with what the index answers them: which blocks are anchors, and where windows about anchors stand first."""
-    block = max(1, length // 2)
+
+def maximal_repeats(chunks: X.Chunks, length: int, text: str, doc_id: str, seed: int) -> DataFrame:
+    """Rows (chunk, at, n, source, place, digest): n words from ``at`` on in a chunk that stand first at ``place`` of the source chunk."""
+    block, buckets = max(1, length // 2), chunks.buckets
 
     def send_probes(row):
         place, _, is_block, heads = Chunk(row, text, doc_id, seed).probes(block, buckets)
@@ -240,9 +250,10 @@ def _indexed(chunks: DataFrame, buckets: int, length: int, text: str, doc_id: st
         for b, a, z in X.parts(place >> np.uint64(32)):
             yield b, [X.packed((place[a:z] & np.uint64(0xFFFFFFFF)).astype("<u4")), X.bits(held[a:z]), X.bits(again[a:z])]
 
-    blobs = chunks.select("chunk", "blob")
-    # answers take a bit for each block and are kept; chunks meet them anew, which is less than to write them again
-    anchors = cut(X.answer(X.ask(blobs, send_probes, ["codes", "blocks", "again"]), find_anchors, "anchors"))
+    anchored = X.answer(chunks, X.ask(chunks.frame, send_probes, ["codes", "blocks", "again"]), find_anchors, "anchors")
+    # a bit for each block is kept, so that probes are not sent twice
+    anchors = dealt(anchored.select("chunk", "anchors"), chunks.parts, "chunk")
+    anchored = replace(chunks, frame=chunks.frame.join(anchors, "chunk"))
 
     def send_windows(row):
         chunk = Chunk(row, text, doc_id, seed)
@@ -254,34 +265,31 @@ def _indexed(chunks: DataFrame, buckets: int, length: int, text: str, doc_id: st
         for b, a, z in X.parts(bucket):
             yield b, [X.packed(key[a:z].astype("<u8")), X.planes(owner[a:z].astype("<i8")), X.planes(at[a:z].astype("<u4"))]
 
-    later = X.answer(X.ask(blobs.join(anchors, "chunk", "left"), send_windows, ["keys", "docs", "places"]), find_first, "later")
-    answers = cut(anchors.join(later, "chunk", "left"))
-    return blobs.join(answers, "chunk", "left"), block
-
-
-def _differing(chunks: DataFrame, answered: DataFrame, length: int, block: int, buckets: int, text: str, doc_id: str, seed: int) -> int:
-    """How many maximal repeats differ from their source by their words.
-
-    Repeats of one extent are compared once; what one source is asked is split where it is much.
-    """
-
     def spell(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = Chunk(row, text, doc_id, seed)
                 at, n, source, place = Repeats(chunk, length, block, buckets, row).maximal(length)
                 if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(source), pa.array(place.astype(np.int64)), pa.array(n), pa.array(chunk.digests(at, n), pa.binary())], names=["chunk", "place", "n", "digest"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), chunk.number)), pa.array(at), pa.array(n), pa.array(source), pa.array(place.astype(np.int64)), pa.array(chunk.digests(at, n), pa.binary())], names=[c.split()[0] for c in RUNS.split(", ")])
+
+    return cut(X.answer(anchored, X.ask(anchored.frame, send_windows, ["keys", "docs", "places"]), find_first, "later").mapInArrow(tidy(spell), RUNS))
+
 
-    asks = cut(answered.mapInArrow(tidy(spell), "chunk bigint, place bigint, n bigint, digest binary").distinct())
+def _differing(chunks: X.Chunks, runs: DataFrame, text: str, doc_id: str) -> int:
+    """How many maximal repeats differ from their source by their words.
+
+    Repeats of one extent are compared once; what one source is asked is split where it is much.
+    """
+    asks = runs.select(F.col("source").alias("chunk"), "place", "n", "digest").distinct()
     share = asks.groupBy("chunk").agg(F.ceil(F.count("*") / ASKS).alias("shares"))
-    dealt = asks.join(share, "chunk").groupBy("chunk", F.pmod(F.xxhash64("place", "n", "digest"), "shares").alias("share")).agg(F.collect_list(F.struct("place", "n", "digest")).alias("asks"))
+    by_share = asks.join(share, "chunk").groupBy("chunk", F.pmod(F.xxhash64("place", "n", "digest"), "shares").alias("share")).agg(F.collect_list(F.struct("place", "n", "digest")).alias("asks"))
 
     def check(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                own = Chunk(row, text, doc_id, seed).digests(*(np.array([a[k] for a in row["asks"]], np.int64) for k in ("place", "n")))
+                own = Chunk(row, text, doc_id).digests(*(np.array([a[k] for a in row["asks"]], np.int64) for k in ("place", "n")))
                 yield pa.RecordBatch.from_arrays([pa.array([sum(a["digest"] != d for a, d in zip(row["asks"], own, strict=True))])], names=["bad"])
 
-    found = dealt.join(chunks.select("chunk", "blob"), "chunk").select("chunk", "blob", "asks").mapInArrow(tidy(check), "bad bigint")
+    found = chunks.frame.join(chunks.beside(by_share), "chunk").select("chunk", "blob", "asks").mapInArrow(tidy(check), "bad bigint")
     return found.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("n")).first()["n"]

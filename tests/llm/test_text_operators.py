@@ -271,7 +271,7 @@ def test_a_wrong_index_is_noticed(spark, monkeypatch):
 def test_digests_are_those_of_the_words(spark):
     rows = [(i, " ".join(f"{c}{k}" for k in range(40))) for i, c in enumerate("ab")]
     chunks = substrings.X.chunked(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), "text")
-    row = chunks.first().asDict()
+    row = chunks.frame.first().asDict()
     chunk = substrings.Chunk(row, "text", "doc_id")
     one, two = chunk.digests(np.array([0, 40]), np.array([40, 40]))
     assert one != two and one == hashlib.blake2b(rows[0][1].encode(), digest_size=16).digest()

@@ -13,7 +13,8 @@ partitions.  Features are those whose shares in the two samples differ by ``MIN_
 standard errors, the ``MAX_FEATURES`` most distinct at most.  All texts are scored.
 
 Null and empty texts score as the intercept does; without toxic texts every score is
-the prior.  Repeated rows are scored alike.
+the prior.  Repeated rows are scored alike.  A text of any length is one row and is read
+whole.  An empty table gives no rows.  Input columns named as an output are replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .frames import extend, tidy, with_columns
+from .frames import cut, extend, tidy, with_columns
 from .quality import _LOWER
 from .words import Words, mix, slices, split_bytes, split_words
 
@@ -178,6 +179,7 @@ class Model:
 def learn(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """Train on texts that are not held out."""
     sample, prior = _sampled(docs, labels, max_positive, max_unlabelled)
+    sample = cut(sample)  # at most both bounds of texts, read thrice below
     keys = _select(sample)
     empty = Model(keys, np.zeros(len(keys) + 1))
 

@@ -5,11 +5,14 @@ each mergeable pair to all its positions in the batch; the lowest active rank is
 applied to all its positions at once, and the lists of the pairs that this makes are
 updated, until no rank is active.  A word is merged once for all its occurrences.
 
-Null texts are empty and give no ids.  Repeated rows give repeated results.
+Null texts are empty and give no ids.  Repeated rows give repeated results.  A text of
+any length is one row and is encoded whole.  An empty table gives no rows.  Input columns
+named as an output are replaced.
 """
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
 import re
@@ -176,16 +179,40 @@ class WordCodec:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
+@functools.lru_cache(maxsize=2)
+def codec_of(path: str) -> WordCodec:
+    """The codec of a file, with the words that it has met, for as long as a worker lives."""
+    return WordCodec(path)
+
+
+def _ids(codec: WordCodec, texts: list[str | None]) -> tuple[list[bytes], pa.Array]:
+    found = codec.encode([t or "" for t in texts])
+    offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
+    return found, pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))
+
+
+def round_trip(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """Input columns plus the ids of every text and the text that they decode to, in one pass."""
+
+    def run(batches):
+        codec = codec_of(path)
+        for whole in batches:
+            for batch in slices(whole, text):
+                found, column = _ids(codec, batch.column(text).to_pylist())
+                back = [codec.decode(np.frombuffer(f, "<i4").tolist()) for f in found]
+                yield extend(batch, {ids: column, decoded: pa.array(back, pa.string())})
+
+    return docs.mapInArrow(tidy(run), with_columns(docs.schema, [(ids, T.ArrayType(T.IntegerType())), (decoded, T.StringType())]))
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Input columns plus the ids of every text."""
 
     def run(batches):
-        codec = WordCodec(path)
+        codec = codec_of(path)
         for whole in batches:
             for batch in slices(whole, text):
-                found = codec.encode([t or "" for t in batch.column(text).to_pylist()])
-                offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])]).astype(np.int32)
-                yield extend(batch, {ids: pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), "<i4")))})
+                yield extend(batch, {ids: _ids(codec, batch.column(text).to_pylist())[1]})
 
     return docs.mapInArrow(tidy(run), with_columns(docs.schema, [(ids, T.ArrayType(T.IntegerType()))]))
 
@@ -194,7 +221,7 @@ def decode(frame: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
     """Input columns plus the text of every list of ids (null: empty)."""
 
     def run(batches):
-        codec = WordCodec(path)
+        codec = codec_of(path)
         for batch in (whole.slice(i, 500) for whole in batches for i in range(0, whole.num_rows, 500)):
             column = batch.column(ids)
             found = [codec.decode(column[i].values.to_pylist() if column[i].is_valid else []) for i in range(len(column))]

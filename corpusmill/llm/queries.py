@@ -47,7 +47,7 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
-    found = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
+    found = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
     written = F.array_join(F.col("ids").cast("array<string>"), " ")
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(written, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -2,22 +2,27 @@
 
 Each text is scanned as it stands; then what is encoded in it (URL escapes and Unicode
 escapes, each run by itself and all of the text in place; base64, also over several
-lines; gzip or zlib data inside those) is unwrapped, scanned and searched for further
-layers until nothing new appears.  Compressed data that unfold to more than
-``MAX_LAYER`` are scanned in overlapping windows.  A layer already seen in the same text is not unwrapped again,
+lines; gzip, zlib, raw deflate, bzip2 or xz data inside those, all members of them) is
+unwrapped, scanned and searched for further layers until nothing new appears.  Bytes that
+are no text are read with what cannot be read left blank, so that text beside them is
+scanned.  Compressed data that unfold to more than ``MAX_LAYER`` are scanned in overlapping
+windows.  A layer already seen in the same text is not unwrapped again,
 so data that decode to themselves end.  What is found in a layer is reported at the
 place in the original text that it was decoded from.
 
 Nulls count as empty texts; empty texts give no spans.  Rows are independent, so
-repeated rows give repeated results.  Input columns named as an output are replaced.
+repeated rows give repeated results.  A text of any length is one row and is scanned whole.
+An empty table gives no rows.  Input columns named as an output are replaced.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bz2
 import codecs
 import hashlib
+import lzma
 import re
 import zlib
 
@@ -70,23 +75,56 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+#: How compressed data begin, and what unfolds them.
+_COMPRESSED = ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ\x00", lzma.LZMADecompressor), (b"\x78", lambda: zlib.decompressobj(15)))
+
+
+def _unfolded(data: bytes):
+    """Pieces of MAX_LAYER bytes at most that compressed data unfold to, member after member; they end where the data are broken."""
+    while data and (make := next((m for magic, m in _COMPRESSED if data.startswith(magic)), None)):
+        machine, rest = make(), data
+        try:
+            while True:
+                piece = machine.decompress(rest, MAX_LAYER)
+                yield piece
+                # zlib gives back what it has not read yet, the others keep it
+                rest = getattr(machine, "unconsumed_tail", b"")
+                if machine.eof or not (rest or len(piece) == MAX_LAYER):
+                    break
+        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            return
+        data = machine.unused_data if machine.eof else b""
+
+
+def _raw_deflate(data: bytes):
+    """Pieces that data without a head unfold to, where they are one whole stream."""
+    machine, rest, size = zlib.decompressobj(-15), data, 0
+    try:
+        while not machine.eof and rest:
+            size += len(machine.decompress(rest, MAX_LAYER))
+            rest = machine.unconsumed_tail
+    except zlib.error:
+        return
+    if not machine.eof or machine.unused_data or size < 8:
+        return
+    machine, rest = zlib.decompressobj(-15), data
+    while not machine.eof and rest:
+        yield machine.decompress(rest, MAX_LAYER)
+        rest = machine.unconsumed_tail
+
+
+def _texts(pieces):
+    """Text of a stream of pieces, in windows that overlap."""
+    decoder, kept = codecs.getincrementaldecoder("utf-8")("replace"), ""
+    for piece in pieces:
+        kept += decoder.decode(piece)
+        yield kept
+        kept = kept[-OVERLAP:]
+
+
 def _windows(data: bytes):
-    """Text that compressed data unfold to, in pieces of MAX_LAYER bytes that overlap; nothing where they are not compressed."""
-    for magic, bits in ((b"\x1f\x8b", 31), (b"\x78", 15)):
-        if data.startswith(magic):
-            machine, decoder, kept, rest = zlib.decompressobj(bits), codecs.getincrementaldecoder("utf-8")("replace"), "", data
-            try:
-                while True:
-                    piece = machine.decompress(rest, MAX_LAYER)
-                    rest = machine.unconsumed_tail
-                    over = machine.eof or not (rest or len(piece) == MAX_LAYER)
-                    kept += decoder.decode(piece, over)
-                    yield kept
-                    if over:
-                        return
-                    kept = kept[-OVERLAP:]
-            except zlib.error:
-                return
+    """Text that compressed data unfold to, in windows of MAX_LAYER bytes that overlap; nothing where they are not compressed."""
+    return _texts(_unfolded(data))
 
 
 def _inflate(data: bytes) -> str | None:
@@ -97,20 +135,26 @@ def _inflate(data: bytes) -> str | None:
 
 
 def _readable(data: bytes):
-    """Texts held by decoded bytes: what they unfold to, or they themselves if they are plain text."""
+    """Texts held by decoded bytes: what they unfold to, or they themselves with what is no text left blank."""
     unfolded = False
     for window in _windows(data):
         unfolded = True
         yield window
     if unfolded:
         return
+    if len(data) > 8 and 3 * data.count(0) > len(data):
+        yield data.decode("utf-16-le" if data[1::2].count(0) >= data[::2].count(0) else "utf-16-be", "replace")
     try:
-        text = data.decode("utf-8")
+        yield data.decode("utf-8")
+        return
     except UnicodeDecodeError:
+        pass
+    for window in _texts(_raw_deflate(data)):
+        unfolded = True
+        yield window
+    if unfolded:
         return
-    shown = sum(c.isprintable() or c in "\t\r\n" for c in text)
-    if text and shown >= 0.95 * len(text):
-        yield text
+    yield data.decode("utf-8", "replace")
 
 
 class _Same:

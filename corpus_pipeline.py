@@ -3,6 +3,11 @@
 Toxic documents go; of each group of near copies (five words, similarity of 0.8 or more)
 the one with the smallest id stays; passages of 20 words that stand earlier are cut out;
 secrets are replaced by their kind; what is left is packed into windows of 2048 ids.
+
+Null and empty texts are kept to the end, where they are one id each.  A document of which
+nothing is left when repeats are cut out goes.  Rows without an id, repeated rows and
+columns named as what an operator adds are kept as they are.  Texts of any length stay
+whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.llm import jaccard, packing, secrets, substrings, toxicity
-from corpusmill.llm.frames import shared_path
+from corpusmill.llm.frames import drop_path, shared_path
 from corpusmill.llm.queries import table, vocabulary
 
 _ASIDE = "__input_"
@@ -44,10 +49,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, that of the smallest id.
+
+    Rows of one id are one document of several texts; of rows that repeat id and text one
+    stays.  A row without an id is a document of its own.
+    """
     found = jaccard.components(docs, n=5, percent=80)
-    others = found.where("component_id <> doc_id").select("doc_id").distinct()
-    # rows repeated as they are count once
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    told = found.where("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("__root"), F.count("*").alias("__rows"))
+    kept = docs.join(told, "doc_id", "left").where("doc_id is null or __root = doc_id")
+    repeated = kept.where("__rows > 1").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return kept.where("__rows is null or __rows = 1").select(*docs.columns).unionByName(repeated)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,10 +88,16 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written as Parquet to the shared folder and read again.
+
+    A stage's table is dropped once the next one is written.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = shared_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before is not None:
+            drop_path(spark, before)
+        before = path
     return docs

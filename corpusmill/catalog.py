@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import content, evaluation, ranking, structure
+from .plans import content, evaluation, preparation, ranking, structure
 
-_PLANS = (ranking, content, structure, evaluation)
+_PLANS = (ranking, content, structure, evaluation, preparation)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}

@@ -72,6 +72,15 @@ def has_outdated(found: Column, year: int) -> Column:
     return F.exists(found, lambda y: y < year - 2)
 
 
+def first_time(fields: list[Column]) -> Column:
+    """The first of several fields that holds a time."""
+    return F.coalesce(*(parsed_time(f) for f in fields))
+
+
+#: Names that a time of change goes by, in the order that they are looked at.
+TIME_FIELDS = ("last_modified", "lastModified", "modified", "date")
+
+
 def parsed_time(raw: Column) -> Column:
     """ISO date or time, ``dd.mm.yyyy``, or Unix seconds."""
     iso = F.try_to_timestamp(F.regexp_replace(raw, "(Z|[+-][0-9]{2}:?[0-9]{2})$", ""))

@@ -42,17 +42,29 @@ def page_to_file(page_id: Column) -> Column:
 
 
 def sanitized(name: Column) -> Column:
-    return F.regexp_replace(name, r'[<>:"/\\|?*]', "_")
+    """An identifier as a file name: colons and both slashes become underscores."""
+    return F.translate(name, ":/\\", "___")
 
 
 def content_hash(text: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(text, 256))
 
 
+def _two_digits(size: Column, power: int) -> Column:
+    """size / 1024 ** power with two decimals; whole numbers are divided exactly, halves go to the even digit."""
+    hundred, unit = size.cast("decimal(28,0)") * 100, F.lit(1024**power).cast("decimal(20,0)")
+    rest = hundred % unit
+    whole = ((hundred - rest) / unit).cast("decimal(28,0)")
+    up = (rest * 2 > unit) | ((rest * 2 == unit) & (whole % 2 == 1))
+    whole = (whole + F.when(up, 1).otherwise(0)).cast("decimal(28,0)")
+    return F.concat(F.floor(whole / 100).cast("string"), F.lit("."), F.lpad((whole % 100).cast("int").cast("string"), 2, "0"))
+
+
 def human_bytes(size: Column) -> Column:
-    out = F.format_string("%.1f TB", size / F.lit(1024.0**4))
-    for power, unit in ((3, "GB"), (2, "MB"), (1, "KB"), (0, "B")):
-        out = F.when(size < 1024.0 ** (power + 1), F.format_string(f"%.1f {unit}", size / F.lit(1024.0**power))).otherwise(out)
+    """Whole bytes in the largest unit below 1024 of it, with two decimals."""
+    out = F.concat(_two_digits(size, 4), F.lit(" TB"))
+    for power, unit in ((3, " GB"), (2, " MB"), (1, " KB"), (0, " B")):
+        out = F.when(size < 1024 ** (power + 1), F.concat(_two_digits(size, power), F.lit(unit))).otherwise(out)
     return out
 
 

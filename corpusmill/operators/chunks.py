@@ -53,16 +53,20 @@ def last_if(most: int, strict: bool) -> Callable[[list[str]], list[str]]:
 
 
 def naive(text: str, size: int = 1024, overlap: int = 150) -> list[str]:
-    """Fixed windows that end after the last full stop of their second half, each stepping back by the overlap."""
-    if overlap * 2 >= size:
-        raise ValueError("the overlap must be less than half of the size")
+    """Fixed windows that end after the last full stop of their second half, each stepping back by the overlap.
+
+    A window that would step back to where it began, or before, has no end and is refused.
+    """
     out, at = [], 0
     while at < len(text):
         end = at + size
         if end < len(text) and (stop := text.rfind(". ", at, end)) - at > size // 2:
             end = stop + 1
         out.append(text[at:end].strip())
-        at = end - max(overlap, 0)
+        step = end - max(overlap, 0)
+        if step <= at:
+            raise ValueError("the overlap steps back to where the window began")
+        at = step
     return out
 
 
@@ -195,18 +199,22 @@ METHODS: dict[str, Callable[..., list[str]]] = {
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def chunk_texts(text: pd.Series, method: pd.Series, size: pd.Series, overlap: pd.Series, least: pd.Series) -> pd.Series:
+def _chunk_texts(text: pd.Series, method: pd.Series, size: pd.Series, overlap: pd.Series, least: pd.Series) -> pd.Series:
     rows = zip(text, method, size, overlap, least, strict=True)
     return pd.Series([METHODS.get(m, semantic)(t, int(s), int(o), int(k)) if t and t.strip() else [] for t, m, s, o, k in rows])
 
 
+# said not to be deterministic, so that a filter inferred from the explode does not run it twice
+chunk_texts = _chunk_texts.asNondeterministic()
+
+
 def udf_of(function: Callable[[str], list[str]]):
     """A column function that applies a chunker to a text."""
 
     def run(text: pd.Series) -> pd.Series:
         return pd.Series([function(t) if t else [] for t in text])
 
-    return F.pandas_udf(run, T.ArrayType(T.StringType()))
+    return F.pandas_udf(run, T.ArrayType(T.StringType())).asNondeterministic()
 
 
 # Default settings by content type: method, size, overlap, least, action.

@@ -39,6 +39,14 @@ def size_buckets(pages: DataFrame, bucket: Column) -> DataFrame:
     return pages.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("pages"), F.sum(F.octet_length("text")).cast("long").alias("bytes"))
 
 
+def extremes(pages: DataFrame) -> DataFrame:
+    """One row: the largest and the smallest page with their bytes; ties by id."""
+    size = F.octet_length("text")
+    at = lambda f, sign: f(F.struct("page_id", size.alias("bytes")), F.struct(size * sign, F.col("page_id")))
+    both = pages.agg(at(F.min_by, -1).alias("a"), at(F.min_by, 1).alias("z"))
+    return both.select(F.col("a.page_id").alias("largest"), F.col("a.bytes").cast("long").alias("largest_bytes"), F.col("z.page_id").alias("smallest"), F.col("z.bytes").cast("long").alias("smallest_bytes"))
+
+
 def top_targets(links: DataFrame, kind: str, n: int = 20) -> DataFrame:
     counts = links.where(F.col("kind") == kind).groupBy("target").agg(F.count("*").alias("links"))
     return counts.orderBy(F.desc("links"), "target").limit(n)
@@ -80,11 +88,24 @@ def unused_media(media: DataFrame, links: DataFrame) -> DataFrame:
     return media.join(links.where("kind = 'media'").select(F.col("target").alias("media_id")).distinct(), "media_id", "left_anti")
 
 
+# Why a referenced file is missing; the first that holds.
+MISSING = [
+    ("EXTERNAL", "External URL, not hosted on wiki"),
+    ("ARCHIVED", "In archive namespace, may be intentionally removed"),
+    ("REPLACED", "Likely replaced by newer version"),
+    ("DELETED", "Temporary/test file, likely intentionally removed"),
+    ("MISSING", "Referenced but not available for download"),
+]
+
+
 def missing_media(media: DataFrame, links: DataFrame) -> DataFrame:
-    """Referenced files that are not listed, with the first reason that holds."""
+    """(media_id, status, reason) of referenced files that are not listed."""
     wanted = links.where("kind = 'media'").select(F.col("target").alias("media_id")).distinct().join(media, "media_id", "left_anti")
-    reason = F.when(~ids.valid_media(F.col("media_id")), "invalid id").when(ids.extension(F.col("media_id")).isin("png", "jpg", "gif"), "image not downloaded").otherwise("file not downloaded")
-    return wanted.select("media_id", reason.alias("reason"))
+    m, low = F.col("media_id"), F.lower("media_id")
+    any_of = lambda *marks: F.greatest(*(F.contains(low, F.lit(x)) for x in marks))
+    rules = (m.startswith("http") | F.contains(m, F.lit("%")), F.contains(m, F.lit(":archive:")) | m.startswith("archive:"), any_of("_v1", "_v2", "_old", "_backup"), any_of("draft", "temp", "test"), F.lit(True))
+    found = F.coalesce(*(F.when(rule, F.struct(F.lit(status).alias("status"), F.lit(reason).alias("reason"))) for rule, (status, reason) in zip(rules, MISSING, strict=True)))
+    return wanted.select("media_id", found.alias("x")).select("media_id", "x.status", "x.reason")
 
 
 def summary(pages: DataFrame, media: DataFrame, links: DataFrame) -> DataFrame:
@@ -118,3 +139,9 @@ def link_target(href: Column) -> Column:
     by_id = F.regexp_extract(href, "[?&]id=([^&#]*)", 1)
     path = F.regexp_replace(F.regexp_replace(href, "[?#].*$", ""), "^/+", "")
     return F.when(by_id != "", by_id).otherwise(F.translate(path, "/", ":"))
+
+
+def distinct_targets(links: DataFrame) -> DataFrame:
+    """Per kind: how many different pages, files or (of outside links) domains, and the first of them."""
+    to = F.when(F.col("kind") == "external", F.regexp_extract("target", "https?://([^/]+)", 1)).otherwise(F.col("target"))
+    return links.where(F.coalesce(to, F.lit("")) != "").groupBy("kind").agg(F.count_distinct(to).alias("targets"), F.min(to).alias("first"))

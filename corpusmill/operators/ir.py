@@ -80,6 +80,15 @@ def breakdown(metrics: DataFrame, difficulty: str = "difficulty") -> DataFrame:
     return means(metrics.withColumn(difficulty, name), [difficulty])
 
 
+ORDERED = ("easy", "medium", "hard")
+
+
+def ordered_breakdown(metrics: DataFrame, difficulty: str = "difficulty") -> DataFrame:
+    """Means by difficulty with its place in the fixed order; others are left out, as are those without queries."""
+    place = F.array_position(F.array(*(F.lit(d) for d in ORDERED)), F.col(difficulty))
+    return breakdown(metrics.where(F.col(difficulty).isin(*ORDERED)), difficulty).withColumn("place", place)
+
+
 def hit_matrix(metrics: DataFrame, model: str, models: list[str]) -> DataFrame:
     """One row for each query, one column of 0 and 1 for each model."""
     return metrics.groupBy("query_id").pivot(model, models).agg(F.max("hit"))

@@ -66,6 +66,11 @@ def embedded(rows: DataFrame, key: str, text: str, make: Callable[[], Embedder],
     return rows.select(key, text).mapInPandas(run, f"{key} {dict(rows.dtypes)[key]}, vector array<double>")
 
 
+def embedding_stats(vectors: DataFrame, batch: int = 32) -> DataFrame:
+    """One row: vectors, batches at least, and how many are empty."""
+    return vectors.agg(F.count("*").alias("vectors"), F.ceil(F.count("*") / batch).alias("batches"), F.count_if(F.coalesce(F.size("vector"), F.lit(0)) <= 0).alias("empty"))
+
+
 PROMPTS = ("faithfulness", "answer_relevancy", "context_precision", "context_recall", "answer_correctness")
 
 

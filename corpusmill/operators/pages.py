@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clamp, count_literal, count_matches, paragraphs, share, strip, tiers, word_count
+from ..functions import ids
+from ..functions.text import clamp, count_literal, count_matches, matched_chars, paragraphs, share, strip, tiers, word_count
 
 # Markup taken off, in this order, to see whether a page is template only.
 TEMPLATE_MARKS = ("{{", "}}", "[[", "]]", "====", "===", "==", "  *", "  -")
@@ -128,6 +129,18 @@ def readiness_summary(scored: DataFrame) -> DataFrame:
     return scored.agg(F.count("*").alias("pages"), F.round(F.avg("readiness"), 6).alias("mean_readiness"), F.count_if(r >= 0.7).alias("ready"), F.count_if((r >= 0.4) & (r < 0.7)).alias("partly"), F.count_if(r < 0.4).alias("not_ready"), F.round(F.avg("noise_score"), 6).alias("mean_noise"), F.round(F.max("noise_score"), 6).alias("max_noise"))
 
 
+def metadata_issues(required: tuple[str, ...] = ("page_id", "source", "modified")) -> Column:
+    """Which required fields are missing."""
+    return F.array_compact(F.array(*(F.when(F.col(n).isNull() | (F.col(n).cast("string") == ""), F.lit(f"missing {n}")) for n in required)))
+
+
+def temporal_advice(rollup: DataFrame) -> DataFrame:
+    """Advice from one row (pages, archived, outdated, time_sensitive, outdated_refs)."""
+    share = F.try_divide(F.col("archived") * 100.0, F.greatest("pages", F.lit(1)))
+    checks = [("keep archived pages apart or lower their weight", share > 5), ("renew outdated pages or lower their weight", F.col("outdated") > 20), ("index time-sensitive pages again and again", F.col("time_sensitive") > 10), ("tag pages that name old years", F.col("outdated_refs") > F.col("pages") * 0.2)]
+    return rollup.select(F.explode(F.array_compact(F.array(*(F.when(c, F.lit(t)) for t, c in checks)))).alias("advice"))
+
+
 def recommendations(summary: DataFrame) -> DataFrame:
     """Advice that holds for a one-row readiness summary."""
     checks = [("many pages are not ready", F.col("not_ready") * 3 > F.col("pages")), ("noise is high", F.col("mean_noise") > 0.3), ("mean readiness is low", F.col("mean_readiness") < 0.6)]
@@ -193,20 +206,57 @@ def time_sensitive(page_id: Column, text: Column, patterns: list[str]) -> Column
     return out
 
 
+# File types by suffix, and what the quality of a file is judged by.
+OFFICE = {"docx": "word", "xlsx": "excel", "pptx": "powerpoint", "odt": "odt"}
+IMAGES = ("jpg", "jpeg", "png")
+ISSUES = {"scan": "Wenig Text - vermutlich gescannt", "low": "Niedrige Auflösung", "small": "Sehr kleine Datei - möglicherweise wenig Inhalt", "large": "Große Datei - möglicherweise komplexes Layout"}
+ADVICE = {"scan": "OCR empfohlen", "large": "Prüfen ob Chunking-Strategie angepasst werden muss", "svg": "SVG-Diagramm - Text-Extraktion prüfen"}
+
+
 def file_quality(files: DataFrame) -> DataFrame:
-    """Score and issue list of files by type: (type, size, pages, width, height, has_text)."""
-    checks = [
-        ("empty", F.col("size") == 0), ("too large", F.col("size") > 50 * 1024 * 1024),
-        ("no text layer", (F.col("type") == "pdf") & ~F.coalesce(F.col("has_text"), F.lit(False))),
-        ("many pages", (F.col("type") == "pdf") & (F.col("pages") > 100)),
-        ("small image", (F.col("type") == "image") & (F.least("width", "height") < 100)),
-    ]
-    issues = F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in checks)))
-    return files.withColumn("issues", issues).withColumn("score", F.when(F.array_contains("issues", "empty"), 0.0).otherwise(F.greatest(F.lit(0.0), 1.0 - 0.3 * F.size("issues"))))
+    """Type, score, issues and advice of files by their suffix and what a parser tells of them.
+
+    Input: name, size (bytes), pages, text_chars, has_images, width, height; unknown features are null.
+    """
+    ext, kb = ids.extension(F.col("name")), F.col("size") / 1024
+    office = F.create_map(*(F.lit(x) for pair in OFFICE.items() for x in pair))
+    kind = F.when(ext == "pdf", "pdf").when(ext.isin(*IMAGES), "image").when(ext.isin(*OFFICE), office[ext]).when(ext == "svg", "svg").when(ext == "", "unknown").otherwise(ext)
+    text = F.coalesce("text_chars", F.lit(0))
+    per_page = F.coalesce(F.try_divide(text.cast("double"), F.col("pages")), F.lit(0.0))
+    scanned = (text < 100) & F.coalesce("has_images", F.lit(False))
+    least = F.least("width", "height")
+    pdf = F.when((text > 100) & (per_page > 500), 0.9).when(text > 100, 0.7).when(scanned, 0.3).otherwise(0.5)
+    image = F.when(least.isNull(), 0.5).when(least >= 800, 0.9).when(least >= 400, 0.7).when(least >= 200, 0.5).otherwise(0.3)
+    is_office = ext.isin(*OFFICE)
+    score = F.when(ext == "pdf", pdf).when(ext.isin(*IMAGES), image).when(is_office, F.when(kb < 10, 0.5).otherwise(0.7)).when(ext == "svg", 0.8).otherwise(0.5)
+    rules = {"scan": (ext == "pdf") & scanned, "low": ext.isin(*IMAGES) & (least < 200), "small": is_office & (kb < 10), "large": is_office & (kb > 10000), "svg": ext == "svg"}
+    said = lambda texts: F.array_compact(F.array(*(F.when(rules[k], F.lit(t)) for k, t in texts.items())))
+    return files.withColumns({"type": kind, "score": score, "needs_ocr": F.coalesce(rules["scan"], F.lit(False)), "ocr_candidate": F.coalesce(ext.isin(*IMAGES) & (F.col("width") >= 200) & (F.col("height") >= 100), F.lit(False)), "issues": said(ISSUES), "advice": said(ADVICE)})
+
+
+def file_totals(judged: DataFrame, apart: list[str]) -> DataFrame:
+    """Files, megabytes, issues and mean score by type; files named in ``apart`` are a list of their own."""
+    own = F.coalesce(F.col("name").isin(*apart), F.lit(False)) if apart else F.lit(False)
+    return judged.groupBy(own.alias("apart"), "type").agg(F.count("*").alias("files"), F.round(F.sum(F.col("size") / 1048576), 6).alias("megabytes"), F.count_if(F.size("issues") > 0).alias("with_issues"), F.count_if("needs_ocr").alias("needing_ocr"), F.round(F.avg("score"), 6).alias("mean_score"))
+
+
+def file_summary(judged: DataFrame) -> DataFrame:
+    """One row: files, mean score, and how many are of high (0.7), medium (0.4) and low quality."""
+    s = F.col("score")
+    return judged.agg(F.count("*").alias("files"), F.round(F.coalesce(F.avg(s), F.lit(0.0)), 6).alias("mean_score"), F.count_if(s >= 0.7).alias("high"), F.count_if((s >= 0.4) & (s < 0.7)).alias("medium"), F.count_if(s < 0.4).alias("low"))
+
+
+def link_density(text: Column) -> Column:
+    """Characters of links over all."""
+    return share(matched_chars(text, r"\[\[.*?\]\]"), F.length(text))
+
+
+def table_rows(text: Column) -> Column:
+    return count_matches(text, r"(?m)^\|.*\|$")
 
 
 def size_class(chars: Column) -> Column:
-    return tiers(chars, [(1, "empty"), (100, "tiny"), (500, "small"), (5000, "medium")], "large")
+    return tiers(chars, [(1, "empty"), (50, "tiny"), (1000, "small"), (5000, "medium")], "large")
 
 
 def size_bucket(size: Column) -> Column:

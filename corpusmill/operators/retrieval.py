@@ -50,9 +50,11 @@ def tokens(text: Column) -> Column:
     return F.filter(found, lambda t: ~t.isin(STOPWORDS))
 
 
-def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, term, tf, dl)."""
+def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", only: DataFrame | None = None) -> DataFrame:
+    """(key, term, tf, dl) of all terms, or of those that ``only`` (term) holds."""
     tokenized = docs.select(key, tokens(F.col(text)).alias("t")).select(key, F.size("t").alias("dl"), F.explode("t").alias("term"))
+    if only is not None:
+        tokenized = tokenized.join(only, "term", "left_semi")
     return tokenized.groupBy(key, "term").agg(F.count("*").alias("tf"), F.first("dl").alias("dl"))
 
 
@@ -63,8 +65,12 @@ def idf(counts: DataFrame, n: DataFrame) -> DataFrame:
 
 
 def vocabulary(idfs: DataFrame) -> DataFrame:
-    """Terms numbered in their order."""
-    return idfs.select("term", (F.dense_rank().over(Window.orderBy("term")) - 1).alias("term_index"))
+    """Terms numbered in their order: inside those of the same first two letters, after all that come before these."""
+    terms = idfs.select("term").distinct().withColumn("part", F.substring("term", 1, 2))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy("term"))
+    sizes = terms.groupBy("part").agg(F.count("*").alias("held"))  # one row for every two letters
+    before = sizes.select("part", (F.sum("held").over(Window.orderBy("part")) - F.col("held")).alias("start"))
+    return terms.withColumn("n", inside).join(F.broadcast(before), "part").select("term", (F.col("start") + F.col("n") - 1).alias("term_index"))
 
 
 def bm25_weights(counts: DataFrame, idfs: DataFrame, k1: float = 1.5, b: float = 0.75, avgdl: float = 100.0) -> DataFrame:

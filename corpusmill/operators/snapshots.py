@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from difflib import SequenceMatcher
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def diff(before: DataFrame, after: DataFrame, by: str = "revision", newer_only: bool = False) -> DataFrame:
@@ -57,7 +62,16 @@ def age_magnitude(old: Column, new: Column) -> Column:
 
 
 def sentence(changes: DataFrame) -> DataFrame:
-    said = F.when(F.col("change") == "added", F.format_string("new, %d characters", F.col("new_size"))).when(F.col("change") == "deleted", F.lit("deleted")).when(F.col("change") == "modified", F.format_string("%+d characters", F.col("size_change"))).otherwise("unchanged")
+    """What happened to a page, in words."""
+    size, new, old = F.col("size_change"), F.coalesce("new_size", F.lit(0)), F.coalesce("old_size", F.lit(0))
+    said = (
+        F.when(F.col("change") == "added", F.format_string("New page (%d bytes)", new))
+        .when(F.col("change") == "deleted", F.format_string("Page removed (was %d bytes)", old))
+        .when((F.col("change") == "modified") & (size > 0), F.format_string("Content expanded (+%d bytes, %.1f%%)", size, F.col("percent")))
+        .when((F.col("change") == "modified") & (size < 0), F.format_string("Content reduced (%d bytes, %.1f%%)", size, F.col("percent")))
+        .when(F.col("change") == "modified", "Content modified (same size)")
+        .otherwise("")
+    )
     return changes.withColumn("summary", said)
 
 
@@ -109,9 +123,59 @@ def any_newer(listing: DataFrame, known: DataFrame) -> DataFrame:
     return newest.crossJoin(last).select(F.coalesce(F.col("newest") > F.col("last"), F.lit(True)).alias("changed"))
 
 
+def _lines(text: str) -> list[str]:
+    """Lines with their ends, as a text file gives them."""
+    return re.findall("[^\\n]*\\n|[^\\n]+", text.replace("\r\n", "\n").replace("\r", "\n"))
+
+
+@F.pandas_udf(T.StructType([T.StructField("added", T.LongType()), T.StructField("removed", T.LongType())]))
+def _edited(old: pd.Series, new: pd.Series) -> pd.DataFrame:
+    counts = []
+    for a, b in zip(old, new, strict=True):
+        a, b = _lines(a or ""), _lines(b or "")
+        added = removed = 0
+        for kind, i, j, k, m in SequenceMatcher(None, a, b).get_opcodes():
+            if kind != "equal":
+                # lines that would look like the head of a file are not counted
+                removed += sum(not x.startswith("--") for x in a[i:j])
+                added += sum(not x.startswith("++") for x in b[k:m])
+        counts.append((added, removed))
+    return pd.DataFrame(counts, columns=["added", "removed"])
+
+
 def line_changes(pairs: DataFrame) -> DataFrame:
-    """(id, added, removed, changed) lines of texts (id, old, new), by multisets of lines."""
-    lines = lambda c, s: pairs.select("id", F.explode(F.split(F.coalesce(c, F.lit("")), "\n")).alias("line"), F.lit(s).alias("side"))
-    every = lines("old", -1).unionByName(lines("new", 1)).groupBy("id", "line").agg(F.sum("side").alias("d"))
-    sums = every.groupBy("id").agg(F.sum(F.greatest("d", F.lit(0))).alias("added"), F.sum(F.greatest(-F.col("d"), F.lit(0))).alias("removed"))
-    return sums.withColumn("changed", F.least("added", "removed"))
+    """(id, added, removed, changed) lines of texts (id, old, new), in their order; only texts that differ go to Python."""
+    same = pairs.where(F.col("old").eqNullSafe(F.col("new"))).select("id", F.lit(0).cast("long").alias("added"), F.lit(0).cast("long").alias("removed"))
+    edited = pairs.where(~F.col("old").eqNullSafe(F.col("new"))).select("id", _edited("old", "new").alias("d")).select("id", "d.added", "d.removed")
+    return same.unionByName(edited).withColumn("changed", F.least("added", "removed"))
+
+
+def namespace_list(entries: DataFrame) -> DataFrame:
+    """Distinct namespaces of a snapshot."""
+    return entries.select("namespace").where("namespace is not null").distinct()
+
+
+def selected(entries: DataFrame, namespace: str | None = None, status: str | None = None, extension: str | None = None) -> DataFrame:
+    """Entries of a namespace or below it, of a status, of a file suffix."""
+    if namespace is not None:
+        entries = entries.where((F.col("namespace") == namespace) | F.col("namespace").startswith(namespace + ":"))
+    if status is not None:
+        entries = entries.where(F.col("status") == status)
+    if extension is not None:
+        entries = entries.where(F.lower(F.substring_index("id", ".", -1)) == extension.lower().lstrip("."))
+    return entries
+
+
+def expired(history: DataFrame, days: int, as_of: Column) -> DataFrame:
+    """One row: how many entries a cleanup would take away."""
+    return history.agg(F.count_if(F.datediff(as_of, "at") > days).alias("expired"))
+
+
+def incremental(before: DataFrame, listing: DataFrame, fetch) -> DataFrame:
+    """The next snapshot: changes against a listing, ``fetch`` of what is new or modified, the rest carried or marked deleted.
+
+    ``fetch`` turns entries to fetch into fetched ones of the same columns; without changes nothing is fetched.
+    """
+    changes = diff(before, listing, newer_only=True)
+    wanted = listing.join(to_fetch(changes).select("id"), "id", "left_semi")
+    return carry_forward(before, fetch(wanted).select(*before.columns), changes)

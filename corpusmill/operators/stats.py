@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -28,17 +29,22 @@ def effect_label(d: Column) -> Column:
     return tiers(F.abs(d), [(0.2, "vernachlässigbar"), (0.5, "klein"), (0.8, "mittel")], "groß")
 
 
-def bootstrap(values: np.ndarray, confidence: float = 0.95, rounds: int = 1000, seed: int = 42) -> tuple[float, float, float]:
-    """Mean and percentile interval; no values give NaN, one value itself."""
+def bootstrap(values: np.ndarray, confidence: float = 0.95, rounds: int = 1000, seed: int | None = 42, strict: bool = False, statistic: Callable[[np.ndarray], float] = np.mean) -> tuple[float, float, float]:
+    """A statistic and its percentile interval; no values give NaN (an error where strict), one value itself.
+
+    Without a seed every call draws anew.
+    """
     values = values[~np.isnan(values)]
     if not len(values):
+        if strict:
+            raise ValueError("no scores")
         return (math.nan,) * 3
     if len(values) == 1:
         return (float(values[0]),) * 3
     rng = np.random.RandomState(seed)
-    means = np.array([values[rng.choice(len(values), len(values))].mean() for _ in range(rounds)])
+    means = np.array([statistic(values[rng.choice(len(values), len(values))]) for _ in range(rounds)])
     low, high = np.percentile(means, [(1 - confidence) * 50, (1 + confidence) * 50])
-    return float(values.mean()), float(low), float(high)
+    return float(statistic(values)), float(low), float(high)
 
 
 def bootstrap_ci(frame: DataFrame, by: str, score: str, **how) -> DataFrame:
@@ -255,6 +261,14 @@ def compare(pairs: DataFrame, by: str) -> DataFrame:
     return few.unionByName(sums.mapInPandas(large, out))
 
 
+def compare_configurations(baseline: DataFrame, candidate: DataFrame, metrics: tuple[str, ...] = ("rr", "ndcg", "p_at_k")) -> DataFrame:
+    """(metric, test, p_value, significant, n) of two runs (query_id, metrics) over queries and metrics that both hold."""
+    shared = [m for m in metrics if m in baseline.columns and m in candidate.columns]
+    long = lambda d, to: d.unpivot("query_id", shared, "metric", to)
+    pairs = long(baseline.select("query_id", *shared), "a").join(long(candidate.select("query_id", *shared), "b"), ["query_id", "metric"])
+    return compare(pairs.select("metric", "a", "b"), "metric")
+
+
 def judge_score(raw: Column) -> Column:
     """A judge's score from JSON, ``score: x`` or a bare number, brought to 0 to 1; null where it is out of range."""
     text = F.coalesce(F.nullif(F.regexp_extract(raw, r'"score"\s*:\s*"?([0-9]+[.]?[0-9]*)', 1), F.lit("")), F.nullif(F.regexp_extract(raw, r"(?i)score\D{0,5}([0-9]+[.]?[0-9]*)", 1), F.lit("")), F.nullif(F.regexp_extract(raw, r"([0-9]+[.]?[0-9]*)", 1), F.lit("")))

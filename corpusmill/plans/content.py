@@ -73,11 +73,12 @@ def pages_to_embed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = I.pages(spark, sf_dir)
+    # some texts name a year
+    pages = I.pages(spark, sf_dir).withColumn("text", F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit(" Stand "), (F.col("doc_id") % 26 + 2001).cast("string"), F.lit("/"), (F.col("doc_id") % 7 + 2018).cast("string"))).otherwise(F.col("text")))
     return pages.withColumns({"days": fresh.whole_days(F.col("modified"), _as_of()), "archived": F.col("page_id").startswith("archive"), "years": fresh.years(F.col("text")), "ns": ids.parent_namespace(F.col("page_id"))})
 
 
-_DATED = f"(SELECT *, floor({_AGE}) AS days, starts_with(page_id, 'archive') AS archived, {_YEARS} AS years, {_NS} AS ns FROM ({I.PAGES}))"
+_DATED = f"(SELECT *, floor({_AGE}) AS days, starts_with(page_id, 'archive') AS archived, {_YEARS} AS years, {_NS} AS ns FROM (SELECT * REPLACE (CASE WHEN doc_id % 4 = 0 THEN text || ' Stand ' || (doc_id % 26 + 2001) || '/' || (doc_id % 7 + 2018) ELSE text END AS text) FROM ({I.PAGES})))"
 
 
 def freshness_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +146,9 @@ def readiness_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def readiness_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.recommendations(P.readiness_summary(_ready(spark, sf_dir)))
+    """Advice on plain texts of which nothing else is known."""
+    bare = I.pages(spark, sf_dir).select("page_id", F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("lang"), F.lit(None).cast("timestamp").alias("modified"), F.col("text").alias("content"))
+    return P.recommendations(P.readiness_summary(P.readiness(bare)))
 
 
 _COUNTS_SQL = ", ".join(f"len(regexp_extract_all(content, '{P.STRUCTURE[c]}')) AS n_{c}" for c in _COUNTED)
@@ -181,7 +184,7 @@ _CLASSIFY = f"""SELECT page_id,
         WHEN regexp_matches(page_id, '(?i)20[0-9]{{2}}') OR regexp_matches(substr(text, 1, 1000), '(?i)20[0-9]{{2}}') THEN 'news' ELSE 'content' END AS page_type,
     CASE split_part(page_id, ':', 1) WHEN 'teacher' THEN 'teaching' WHEN 'archive' THEN 'past' WHEN 'ns0' THEN 'general' WHEN 'ns1' THEN 'general' ELSE 'other' END AS namespace_type,
     regexp_matches(page_id, '(?i)termin') OR regexp_matches(substr(text, 1, 500), '(?i)termin') OR regexp_matches(page_id, '20[0-9]{{2}}') OR regexp_matches(substr(text, 1, 500), '20[0-9]{{2}}') AS time_sensitive,
-    CASE WHEN n_chars < 1 THEN 'empty' WHEN n_chars < 100 THEN 'tiny' WHEN n_chars < 500 THEN 'small' WHEN n_chars < 5000 THEN 'medium' ELSE 'large' END AS size_class
+    CASE WHEN n_chars < 1 THEN 'empty' WHEN n_chars < 50 THEN 'tiny' WHEN n_chars < 1000 THEN 'small' WHEN n_chars < 5000 THEN 'medium' ELSE 'large' END AS size_class
     FROM (SELECT *, {_NS} AS ns FROM ({I.PAGES}))"""
 _SUMMARY = "SELECT count(*) AS pages, round(avg(readiness), 6) AS mean_readiness, count(*) FILTER (WHERE readiness >= 0.7) AS ready, count(*) FILTER (WHERE readiness >= 0.4 AND readiness < 0.7) AS partly, count(*) FILTER (WHERE readiness < 0.4) AS not_ready, round(avg(noise_score), 6) AS mean_noise, round(max(noise_score), 6) AS max_noise FROM r"
 
@@ -207,6 +210,6 @@ ORACLE_SQL = {
     "classification_counts": f"SELECT content_type, access_level, count(*) AS pages FROM ({_CLASSIFY}) GROUP BY content_type, access_level",
     "rag_readiness": f"{_READY} SELECT page_id, {', '.join(f'n_{c}' for c in _COUNTED)}, round(structure_score, 6) AS structure_score, round(noise_score, 6) AS noise_score, round(chunking_score, 6) AS chunking_score, round(metadata_score, 6) AS metadata_score, readiness FROM r",
     "readiness_summary": f"{_READY} {_SUMMARY}",
-    "readiness_advice": f"{_READY} SELECT unnest(list_filter([CASE WHEN not_ready * 3 > pages THEN 'many pages are not ready' END, CASE WHEN mean_noise > 0.3 THEN 'noise is high' END, CASE WHEN mean_readiness < 0.6 THEN 'mean readiness is low' END], lambda x: x IS NOT NULL)) AS advice FROM ({_SUMMARY})",
+    "readiness_advice": f"{_READY.replace(I.WIKI, f'SELECT page_id, NULL AS source, NULL AS lang, NULL AS modified, text AS content FROM ({I.PAGES})')} SELECT unnest(list_filter([CASE WHEN not_ready * 3 > pages THEN 'many pages are not ready' END, CASE WHEN mean_noise > 0.3 THEN 'noise is high' END, CASE WHEN mean_readiness < 0.6 THEN 'mean readiness is low' END], lambda x: x IS NOT NULL)) AS advice FROM ({_SUMMARY})",
 }
 

@@ -13,7 +13,7 @@ from ..operators import ir, stats
 from ..operators import markup as M
 from ..operators import scores as S
 from . import inputs as I
-from .ranking import metrics
+from .ranking import _METRICS, metrics
 
 KINDS = ("KNOWLEDGE", "NEWS", "TABLE_DATA", "PORTAL", "EMPTY", "OTHER")
 
@@ -125,7 +125,7 @@ def metric_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rr_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ir.rr_bins(metrics(spark, sf_dir).withColumn("part", F.col("query_id") % 2), "part")
+    return ir.rr_bins(metrics(spark, sf_dir).withColumn("part", (F.col("query_id") / 20).cast("long") % 2), "part")
 
 
 def ecdf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,8 +164,11 @@ def table_override(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = I.pages(spark, sf_dir).withColumn("namespace", ids.top_namespace(F.col("page_id")))
-    return C.stratified(pages, ["namespace"], "doc_id", 100).select("doc_id", "namespace")
+    """A sample of 100 files: three quarters of the listing are pages, the rest media of three kinds."""
+    is_media = F.col("doc_id") % 4 == 3
+    ext = F.when(is_media, F.element_at(F.array(F.lit("pdf"), F.lit("docx"), F.lit("png")), (F.col("doc_id") % 3 + 1).cast("int"))).otherwise("md")
+    files = I.pages(spark, sf_dir).select(F.col("doc_id").alias("key"), F.when(is_media, "media").otherwise("pages").alias("source"), ids.top_namespace(F.col("page_id")).alias("namespace"), ext.alias("extension"))
+    return C.corpus_sample(files, 100)
 
 
 def spot_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,12 +182,14 @@ def pii_redact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def qa_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = C.qa_pairs(I.table(spark, sf_dir, "conversations"))
-    return pairs.select("conv_id", "turn", C.qa_problem(F.col("question"), F.col("answer"), F.concat("question", F.lit(" "), "answer")).alias("problem"), C.is_procedural(F.lit(""), F.col("answer")).alias("procedural"))
+    body = F.when(F.col("conv_id") % 3 == 0, F.col("question")).otherwise(F.concat("question", F.lit(" "), "answer"))
+    asked = F.when(F.col("conv_id") % 5 == 0, F.concat(F.lit("Was steht auf dieser Seite "), "turn", F.lit("?"))).otherwise(F.col("question"))
+    return pairs.select("conv_id", "turn", C.qa_problem(asked, F.col("answer"), body).alias("problem"), C.is_procedural(F.lit(""), F.col("answer")).alias("procedural"))
 
 
 def qa_excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = I.pages(spark, sf_dir)
-    return d.select("doc_id", F.md5(C.excerpt(F.col("text"), 300)).alias("digest"), C.template_question(F.col("page_id"), ids.parent_namespace(F.col("page_id"))).alias("question"))
+    return d.select("doc_id", F.md5(C.excerpt(F.col("text"), 300)).alias("digest"), C.template_question(C.title_from_body(F.col("text")), ids.parent_namespace(F.col("page_id"))).alias("question"), C.template_answer(F.col("text")).alias("answer"))
 
 
 QUERIES = {
@@ -207,9 +212,29 @@ _BLOCKS = "len(list_filter(string_split({}, chr(10) || chr(10)), lambda x: regex
 _LISTS = "len(regexp_extract_all({}, '(?m)^[ \\t]*[\\*\\-]\\s'))"
 _NUMBER = "CASE WHEN x BETWEEN 0 AND 1 THEN x WHEN x > 1 AND x <= 10 THEN x / 10 WHEN x > 10 AND x <= 100 THEN x / 100 END"
 _EMAILS = f"regexp_extract_all(text, '{C.EMAIL}')"
-_LONG = "list_distinct(regexp_extract_all(lower({}), '[a-zäöüß]{{5,}}'))"
+
+_BLOCK_LIST = f"list_filter(list_transform(string_split(content, chr(10) || chr(10)), lambda x: {_STRIP.format('x')}), lambda x: x <> '')"
+_CHUNK_ROWS = "SELECT doc_id, CAST(i - 1 AS INT) AS chunk_index, length(chunks[i]) AS chars, md5(chunks[i]) AS digest FROM (SELECT doc_id, chunks, unnest(range(1, len(chunks) + 1)) AS i FROM c)"
+_CUR = "list_last(string_split(a, chr(1)))"
+_SENTENCES = f"list_filter(list_transform(string_split(replace(b, '. ', '.' || chr(10)), chr(10)), lambda y: {_STRIP.format('y')}), lambda y: y <> '')"
 
 ORACLE_SQL = {
+    "chunk_naive": f"""WITH RECURSIVE w AS (
+            SELECT doc_id, content, 0 AS pos, 0 AS stop, -1 AS chunk_index FROM ({I.WIKI})
+            UNION ALL
+            SELECT doc_id, content, nxt AS pos, nxt + CASE WHEN nxt + 1024 < length(content) AND cut > 512 THEN cut + 1 ELSE 1024 END AS stop, chunk_index + 1 AS chunk_index
+            FROM (SELECT *, CASE WHEN strpos(reverse(seg), ' .') > 0 THEN length(seg) - strpos(reverse(seg), ' .') - 1 ELSE -1 END AS cut
+                FROM (SELECT *, substr(content, nxt + 1, 1024) AS seg FROM (SELECT *, CASE WHEN chunk_index < 0 THEN 0 ELSE stop - 150 END AS nxt FROM w)))
+            WHERE nxt < length(content))
+        SELECT doc_id, CAST(chunk_index AS INT) AS chunk_index, length(x) AS chars, md5(x) AS digest FROM (SELECT doc_id, chunk_index, {_STRIP.format('substr(content, pos + 1, stop - pos)')} AS x FROM w WHERE chunk_index >= 0)""",
+    "chunk_querygen": f"""WITH c AS (SELECT doc_id, list_transform(list_filter(string_split(CASE WHEN len(bs) = 0 THEN '' ELSE list_reduce(bs, lambda a, x: CASE WHEN length({_CUR}) + length(x) > 1000 THEN a || chr(1) || x ELSE a || chr(10) || chr(10) || x END) END, chr(1)), lambda x: length(x) >= 200), lambda x: {_STRIP.format('x')}) AS chunks
+            FROM (SELECT doc_id, {_BLOCK_LIST} AS bs FROM ({I.WIKI}))) {_CHUNK_ROWS}""",
+    "chunk_simple": f"""WITH items AS (SELECT doc_id, flatten(list_transform({_BLOCK_LIST}, lambda b: CASE WHEN length(b) > 512 THEN list_transform({_SENTENCES}, lambda y, i: CASE WHEN i = 1 THEN 'F' ELSE 'L' END || y) ELSE ['B' || b] END)) AS xs FROM ({I.WIKI})),
+        c AS (SELECT doc_id, list_transform(string_split(list_reduce(list_concat([''], xs), lambda a, x: CASE WHEN {_CUR} = '' THEN a || substr(x, 2)
+                WHEN x[1] = 'F' THEN a || chr(1) || substr(x, 2)
+                WHEN length(replace({_CUR}, chr(2), '')) + length(x) - 1 <= 512 THEN a || chr(2) || substr(x, 2)
+                WHEN x[1] = 'B' AND length(list_last(string_split({_CUR}, chr(2)))) <= 50 THEN a || chr(1) || list_last(string_split({_CUR}, chr(2))) || chr(2) || substr(x, 2)
+                ELSE a || chr(1) || substr(x, 2) END), chr(1)), lambda x: replace(x, chr(2), chr(10) || chr(10))) AS chunks FROM items WHERE len(xs) > 0) {_CHUNK_ROWS}""",
     "chunk_size_counts": f"SELECT size, CAST(sum(ceil(n_chars / CAST(size AS DOUBLE))) AS BIGINT) AS chunks FROM ({I.PAGES}), (SELECT unnest([256, 512, 1024]) AS size) GROUP BY size",
     "front_matter": f"SELECT page_id, lang, true AS same, true AS same_id FROM ({I.PAGES})",
     "doc_scores": f"""WITH p AS (SELECT page_id AS id, content, {_RESULT} AS result FROM ({I.WIKI})),
@@ -223,6 +248,7 @@ ORACLE_SQL = {
     "cohens_d": """SELECT stage, round(d, 6) AS d, CASE WHEN abs(d) < 0.2 THEN 'vernachlässigbar' WHEN abs(d) < 0.5 THEN 'klein' WHEN abs(d) < 0.8 THEN 'mittel' ELSE 'groß' END AS effect
         FROM (SELECT 'stage' || (user_id % 5) AS stage, (avg(value) - avg(value * 0.9e0 + event_id % 7)) / sqrt((var_pop(value) + var_pop(value * 0.9e0 + event_id % 7)) / 2) AS d FROM events GROUP BY 1)""",
     "metric_correlation": " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem" for i, a in enumerate(_COLUMNS) for b in _COLUMNS[i:]),
+    "rr_bins": f"{_METRICS} SELECT query_id // 20 % 2 AS part, count(*) FILTER (WHERE rr = 0) AS none, count(*) FILTER (WHERE rr > 0 AND rr < 1) AS below, count(*) FILTER (WHERE rr = 1) AS first FROM m GROUP BY 1",
     "ecdf": "SELECT DISTINCT model, rr, round(cume_dist() OVER (PARTITION BY model ORDER BY rr), 6) AS share FROM (SELECT o_orderstatus AS model, CAST(floor(o_totalprice / 10000) AS BIGINT) AS rr FROM orders)",
     "judge_scores": f"SELECT event_id, round({_NUMBER}, 6) AS score FROM (SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(event_id % 10 AS DOUBLE) WHEN 1 THEN CAST(event_id % 120 AS DOUBLE) END AS x FROM events)",
     "judge_summary": "SELECT round(m1, 6) AS m1, round(m2, 6) AS m2, round(m3, 6) AS m3, round(m4, 6) AS m4, round(4 / (1 / m1 + 1 / m2 + 1 / m3 + 1 / m4), 6) AS composite FROM (SELECT avg(l_discount) AS m1, avg(l_tax) AS m2, avg(l_quantity / 50) AS m3, avg(CASE WHEN l_linenumber > 3 THEN 0.5e0 END) AS m4 FROM lineitem)",
@@ -232,13 +258,25 @@ ORACLE_SQL = {
         FROM ({I.PAGES}) LEFT JOIN (SELECT i, i * 3 AS doc_id, CASE i % 3 WHEN 0 THEN 'ARCHIVED' WHEN 1 THEN 'NEWS' ELSE 'KNOWLEDGE' END AS kind FROM range(200) t(i)) USING (doc_id)""",
     "table_override": f"""SELECT kind, count(*) AS members, md5(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY CAST(doc_id AS VARCHAR))) AS digest FROM (SELECT doc_id, CASE WHEN n >= 3 AND n / greatest(1, floor(length(content) / 80e0)) >= 0.5 THEN 'TABLE_DATA' ELSE 'NEWS' END AS kind
         FROM (SELECT doc_id, content, len(regexp_extract_all(content, '(?m)^[|^]')) AS n FROM ({I.WIKI}))) GROUP BY kind""",
-    "stratified_sample": f"""SELECT doc_id, namespace FROM (SELECT doc_id, namespace, draw, row_number() OVER (PARTITION BY namespace ORDER BY draw, doc_id) AS n FROM (SELECT doc_id, CASE WHEN contains(page_id, ':') THEN split_part(page_id, ':', 1) ELSE 'root' END AS namespace, {_DRAW} AS draw FROM ({I.PAGES})))
-        ORDER BY CASE WHEN n = 1 THEN 0 ELSE 1 END, draw, doc_id LIMIT 100""",
+    "stratified_sample": f"""WITH f AS (SELECT doc_id AS key, CASE WHEN doc_id % 4 = 3 THEN 'media' ELSE 'pages' END AS source, CASE WHEN contains(page_id, ':') THEN split_part(page_id, ':', 1) ELSE 'root' END AS namespace,
+            CASE WHEN doc_id % 4 <> 3 THEN 'md' WHEN doc_id % 3 = 0 THEN 'pdf' WHEN doc_id % 3 = 1 THEN 'docx' ELSE 'png' END AS extension, {_DRAW} AS draw FROM ({I.PAGES})),
+        r AS (SELECT *, CASE WHEN source = 'pages' THEN row_number() OVER (PARTITION BY source, namespace ORDER BY draw, key) ELSE row_number() OVER (PARTITION BY source, namespace, extension ORDER BY draw, key) END AS n FROM f),
+        o AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY CASE WHEN n = 1 THEN 0 ELSE 1 END, draw, key) AS place FROM r),
+        t AS (SELECT least(50, count(*) FILTER (WHERE source = 'pages')) AS p, least(100 - least(50, count(*) FILTER (WHERE source = 'pages')), count(*) FILTER (WHERE source = 'media')) AS m FROM f)
+        SELECT key, source, namespace, extension FROM o, t WHERE place <= CASE WHEN source = 'pages' THEN p ELSE m END""",
     "spot_check": f"SELECT doc_id, lang FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY {_DRAW}, doc_id) <= 10",
     "pii_redact": f"SELECT doc_id, len({_EMAILS}) AS emails, len(list_filter({_EMAILS}, lambda m: lower(list_last(string_split(m, '@'))) <> 'example.com')) AS suspicious, md5(regexp_replace(text, '{C.EMAIL}', '[EMAIL]', 'g')) AS digest FROM documents",
-    "qa_validate": f"""SELECT conv_id, turn, CASE WHEN length(trim(q)) < 15 THEN 'too short' WHEN length(trim(q)) > 200 THEN 'too long' WHEN NOT trim(q) LIKE '%?' THEN 'no question mark' WHEN regexp_matches(lower(trim(q)), '^(was ist das|worum geht es|was steht)') THEN 'generic'
-            WHEN len(list_intersect({_LONG.format('a')}, {_LONG.format("(q || ' ' || a)")})) < 2 THEN 'not grounded' ELSE '' END AS problem, regexp_matches(lower(a), '{"|".join(C.PROCEDURAL)}') AS procedural
-        FROM (SELECT x.conv_id, x.turn, x.text AS q, y.text AS a FROM conversations x JOIN conversations y ON x.conv_id = y.conv_id AND x.turn = y.turn - 1 AND x.role = 'user' AND y.role = 'assistant')""",
-    "qa_excerpt": f"""SELECT doc_id, md5(CASE WHEN length(text) <= 300 THEN text WHEN contains(h, chr(10)) AND length(h) - strpos(reverse(h), chr(10)) > 210 THEN substr(h, 1, length(h) - strpos(reverse(h), chr(10))) ELSE h END) AS digest,
-        'Was steht auf der Seite ' || page_id || CASE WHEN {_NS} = '' THEN '' ELSE ' im Bereich ' || {_NS} END || '?' AS question FROM (SELECT *, substr(text, 1, 300) AS h FROM ({I.PAGES}))""",
+    "qa_validate": f"""WITH p AS (SELECT x.conv_id, x.turn, CASE WHEN x.conv_id % 5 = 0 THEN 'Was steht auf dieser Seite ' || x.turn || '?' ELSE x.text END AS q0, y.text AS a, CASE WHEN x.conv_id % 3 = 0 THEN x.text ELSE x.text || ' ' || y.text END AS body
+            FROM conversations x JOIN conversations y ON x.conv_id = y.conv_id AND x.turn = y.turn - 1 AND x.role = 'user' AND y.role = 'assistant'),
+        w AS (SELECT *, trim(regexp_replace({_STRIP.format('q0')}, '^["'']+|["'']+$', '', 'g')) AS q, list_distinct(list_filter(regexp_extract_all(lower(a), '[\\p{{L}}\\p{{N}}_]+'), lambda w: length(w) > 4)) AS ws FROM p)
+        SELECT conv_id, turn, CASE WHEN q0 = '' THEN 'empty' WHEN length(q) < 15 THEN 'too short' WHEN length(q) > 200 THEN 'too long' WHEN NOT ends_with(q, '?') THEN 'no question mark'
+            WHEN regexp_matches(lower(q), 'welche informationen enthaelt|welche informationen enthält|was steht in diesem dokument|was steht auf dieser seite|was beinhaltet') THEN 'generic' WHEN length({_STRIP.format('a')}) < 10 THEN 'no answer'
+            WHEN len(list_filter(ws, lambda w: contains(lower(body), w))) < 2 AND len(ws) >= 2 THEN 'not grounded' ELSE '' END AS problem, regexp_matches(lower(a), '{"|".join(C.PROCEDURAL)}') AS procedural FROM w""",
+    "qa_excerpt": f"""WITH d AS (SELECT doc_id, page_id, text, {_NS} AS ns, substr(text, 1, 300) AS h, {_STRIP.format('text')} AS body FROM ({I.PAGES})),
+        l AS (SELECT *, list_filter(list_transform(string_split(text, chr(10)), lambda x: {_STRIP.format('x')}), lambda x: starts_with(x, '# ') OR (x <> '' AND NOT starts_with(x, '|') AND NOT starts_with(x, '-')))[1] AS t,
+            list_filter(list_transform(string_split(body, chr(10)), lambda x: {_STRIP.format('x')}), lambda x: x <> '' AND NOT starts_with(x, '|')) AS ls FROM d),
+        a AS (SELECT *, CASE WHEN t IS NULL THEN 'Dokument' WHEN starts_with(t, '# ') THEN {_STRIP.format('substr(t, 3)')} ELSE {_STRIP.format('substr(t, 1, 80)')} END AS title, coalesce(array_to_string(ls[1:5], ' '), '') AS five FROM l)
+        SELECT doc_id, md5(CASE WHEN length(text) <= 300 THEN text WHEN contains(h, chr(10)) AND length(h) - strpos(reverse(h), chr(10)) > 210 THEN substr(h, 1, length(h) - strpos(reverse(h), chr(10))) ELSE h END) AS digest,
+            CASE WHEN title NOT IN ('', 'Dokument') THEN 'Was muss ich ueber ' || title || ' wissen?' ELSE 'Was findet man im Wiki unter ' || ns || '?' END AS question,
+            CASE WHEN five = '' THEN substr(body, 1, 200) WHEN length(five) > 300 THEN substr(five, 1, 297) || '...' ELSE five END AS answer FROM a""",
 }

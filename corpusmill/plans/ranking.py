@@ -13,28 +13,28 @@ _NORM = "sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * C
 
 
 def _dense(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Corpus, queries (every 25th vector) and judgements (same label)."""
+    """All vectors as corpus, ids divisible by 20 as queries, and judgements (same label)."""
     e = table(spark, sf_dir, "embeddings").where("embedding is not null")
-    is_query = F.col("vec_id") % 25 == 0
-    corpus = e.where(~is_query).select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"), "label")
+    is_query = F.col("vec_id") % 20 == 0
+    corpus = e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"), "label")
     queries = e.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"), "label")
-    qrels = queries.select("query_id", "label").join(corpus.select("doc_id", "label"), "label").select("query_id", "doc_id", (1 + F.col("doc_id") % 3).cast("int").alias("rel"))
+    qrels = queries.select("query_id", "label").join(corpus.select("doc_id", "label"), "label").where("query_id <> doc_id").select("query_id", "doc_id", (1 + F.col("doc_id") % 3).cast("int").alias("rel"))
     return corpus, queries, qrels
 
 
 _DENSE = f"""
-    d AS (SELECT vec_id, embedding AS v, {_NORM} AS n, label FROM embeddings WHERE vec_id % 25 <> 0),
-    q AS (SELECT vec_id, embedding AS v, {_NORM} AS n, label FROM embeddings WHERE vec_id % 25 = 0),
+    d AS (SELECT vec_id, embedding AS v, {_NORM} AS n, label FROM embeddings),
+    q AS (SELECT vec_id, embedding AS v, {_NORM} AS n, label FROM embeddings WHERE vec_id % 20 = 0),
     hits AS (SELECT query_id, doc_id, score, rank FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
-        FROM (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, {_DOT} / (d.n * q.n) AS score FROM d, q)) WHERE rank <= 10),
-    qrels AS (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, 1 + d.vec_id % 3 AS rel FROM d JOIN q ON d.label = q.label)
+        FROM (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, {_DOT} / (d.n * q.n) AS score FROM d, q WHERE d.vec_id <> q.vec_id)) WHERE rank <= 10),
+    qrels AS (SELECT q.vec_id AS query_id, d.vec_id AS doc_id, 1 + d.vec_id % 3 AS rel FROM d JOIN q ON d.label = q.label AND d.vec_id <> q.vec_id)
 """
 
 
 def hits(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
     corpus, queries, _ = _dense(spark, sf_dir)
-    return retrieval.top_k(retrieval.dense_scores(corpus, queries), k)
+    return retrieval.top_k(retrieval.dense_scores(corpus, queries).where("query_id <> doc_id"), k)
 
 
 def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +87,7 @@ _MEANS = "count(*) AS n_queries, " + ", ".join(f"round(avg({m}), 6) AS mean_{m}"
 def _corpus(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Term counts of the documents, their number, and term counts of the benchmark as queries."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.substring("text", 1, 80).alias("text"))
+    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     return retrieval.term_counts(docs), docs.agg(F.count("*").alias("n")), retrieval.term_counts(queries, "query_id")
 
 
@@ -102,8 +102,11 @@ def bm25_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sparse_hits(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
-    counts, n, asked = _corpus(spark, sf_dir)
-    idfs = retrieval.idf(counts, n)
+    """Best documents of each query; only terms that a query holds are counted."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    asked = _corpus(spark, sf_dir)[2]
+    counts = retrieval.term_counts(docs, only=asked.select("term").distinct())
+    idfs = retrieval.idf(counts, docs.agg(F.count("*").alias("n")))
     return retrieval.top_k(retrieval.sparse_scores(retrieval.bm25_weights(counts, idfs), retrieval.bm25_weights(asked, idfs)).withColumn("score", F.round("score", 4)), k)
 
 
@@ -113,7 +116,7 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sparse list of each benchmark item fused with the dense list of the vector of the same place."""
-    dense = hits(spark, sf_dir, 20).withColumn("query_id", (F.col("query_id") / 25).cast("long"))
+    dense = hits(spark, sf_dir, 20).withColumn("query_id", (F.col("query_id") / 20).cast("long"))
     found = retrieval.fused([dense, sparse_hits(spark, sf_dir, 20)], 10)
     return found.select("query_id", "doc_id", F.round("score", 6).alias("score"))
 
@@ -126,7 +129,7 @@ _COUNTS = f"""
     weights AS (SELECT doc_id, term, tf, round(idf * (tf * 2.5e0 / (tf + 1.5 * (0.25 + 0.75 * dl / 100.0))), 6) AS weight FROM counts JOIN idfs USING (term))
 """
 _ASKED = f"""
-    asked AS (SELECT query_id, t, len(t) AS dl FROM (SELECT item_id AS query_id, {_TOKENS} AS t FROM (SELECT item_id, substr(text, 1, 80) AS text FROM benchmark))),
+    asked AS (SELECT query_id, t, len(t) AS dl FROM (SELECT item_id AS query_id, {_TOKENS} AS t FROM benchmark)),
     qcounts AS (SELECT query_id, term, count(*) AS tf, min(dl) AS dl FROM (SELECT query_id, dl, unnest(t) AS term FROM asked) GROUP BY query_id, term),
     qweights AS (SELECT query_id, term, round(idf * (tf * 2.5e0 / (tf + 1.5 * (0.25 + 0.75 * dl / 100.0))), 6) AS weight FROM qcounts JOIN idfs USING (term)),
     sparse AS (SELECT query_id, doc_id, round(sum(weights.weight * qweights.weight), 4) AS score FROM weights JOIN qweights USING (term) WHERE weights.weight > 0 AND qweights.weight > 0 GROUP BY query_id, doc_id)
@@ -155,7 +158,7 @@ ORACLE_SQL = {
     "bm25_weights": f"WITH {_COUNTS} SELECT doc_id, term, tf, weight FROM weights WHERE weight > 0",
     "bm25_topk": f"WITH {_COUNTS}, {_ASKED} SELECT query_id, doc_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sparse) WHERE rank <= 10",
     "hybrid_rrf": f"""WITH {_COUNTS}, {_ASKED}, {_DENSE.replace('rank <= 10', 'rank <= 20')},
-        every AS (SELECT query_id // 25 AS query_id, doc_id, rank FROM hits UNION ALL
+        every AS (SELECT query_id // 20 AS query_id, doc_id, rank FROM hits UNION ALL
             SELECT query_id, doc_id, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sparse) WHERE rank <= 20),
         scored AS (SELECT query_id, doc_id, sum(1.0 / (60 + rank)) AS score FROM every GROUP BY query_id, doc_id)
         SELECT query_id, doc_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored) WHERE rank <= 10""",

@@ -58,7 +58,10 @@ def unused_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.missing_media(I.media(spark).where("size % 3 = 0"), I.links(spark, sf_dir))
+    """Referenced files beyond a listing of some; names of several kinds are among them."""
+    key, target = F.col("doc_id") % 6, F.col("target")
+    named = F.when(key == 1, F.concat(F.lit("http://other.example/"), target)).when(key == 2, F.concat(F.lit("archive:"), target)).when(key == 3, F.replace(target, F.lit("."), F.lit("_V1."))).when(key == 4, F.replace(target, F.lit("media:"), F.lit("media:Draft"))).otherwise(target)
+    return V.missing_media(I.media(spark).where("size % 3 = 0"), I.links(spark, sf_dir).withColumn("target", F.when(F.col("kind") == "media", named).otherwise(target)))
 
 
 def link_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +103,7 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def id_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("page_id")
-    return I.pages(spark, sf_dir).select("page_id", ids.page_to_file(p).alias("file"), ids.file_to_page(F.concat(ids.page_to_file(p), F.lit(".txt"))).alias("again"), ids.content_hash(F.col("text")).alias("hash"), ids.human_bytes(F.octet_length("text") * 700).alias("size"), ids.sanitized(F.concat(p, F.lit("?*"))).alias("safe"))
+    return I.pages(spark, sf_dir).select("page_id", ids.page_to_file(p).alias("file"), ids.file_to_page(F.concat(ids.page_to_file(p), F.lit(".txt"))).alias("again"), ids.content_hash(F.col("text")).alias("hash"), ids.human_bytes(F.octet_length("text") * 700).alias("size"), ids.sanitized(F.concat(p, F.lit("?/x\\y*"))).alias("safe"))
 
 
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +152,7 @@ def carry_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = I.snapshots(spark, sf_dir)
-    entries = before.where("size % 50 = 0").unionByName(after.where("size % 50 = 0")).withColumn("hash", F.when(F.col("size") % 100 != 0, F.col("hash")))
+    entries = before.unionByName(after).withColumn("hash", F.when(~F.col("id").endswith("7"), F.col("hash")))
     return S.problems(entries).distinct()
 
 
@@ -191,7 +194,8 @@ _CHANGES = f"""(SELECT *, CASE WHEN old IS NULL THEN 'added' WHEN new IS NULL TH
 _BLANK = "SELECT id, revision, CASE WHEN length(id) % 2 = 0 THEN hash END AS hash, size, namespace FROM ({})"
 _PERCENT = "coalesce((coalesce(new_size, 0) - coalesce(old_size, 0)) * 100.0e0 / nullif(coalesce(old_size, 0), 0), 0)"
 _GAP = "(coalesce(new_revision, 0) - coalesce(old_revision, 0))"
-_ENTRIES = f"(SELECT id, CASE WHEN size % 100 <> 0 THEN hash END AS hash, namespace FROM (SELECT * FROM ({I.BEFORE}) WHERE size % 50 = 0 UNION ALL SELECT * FROM ({I.AFTER}) WHERE size % 50 = 0))"
+_ENTRIES = f"(SELECT id, CASE WHEN NOT ends_with(id, '7') THEN hash END AS hash, namespace FROM (SELECT * FROM ({I.BEFORE}) UNION ALL SELECT * FROM ({I.AFTER})))"
+_REFERENCED = "CASE doc_id % 6 WHEN 1 THEN 'http://other.example/' || target WHEN 2 THEN 'archive:' || target WHEN 3 THEN replace(target, '.', '_V1.') WHEN 4 THEN replace(target, 'media:', 'media:Draft') ELSE target END"
 _ANCHORS = """(SELECT unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*href=["'']([^"''>]*)["'']', 1)) AS href FROM pages)"""
 _TARGET = "CASE WHEN regexp_extract(href, '[?&]id=([^&#]*)', 1) <> '' THEN regexp_extract(href, '[?&]id=([^&#]*)', 1) ELSE replace(regexp_replace(regexp_replace(href, '[?#].*$', ''), '^/+', ''), '/', ':') END"
 
@@ -205,7 +209,11 @@ ORACLE_SQL = {
     "media_inventory": f"SELECT {_EXT.format('media_id')} AS extension, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes, min_by(media_id, (size, media_id)) AS smallest, max_by(media_id, (size, media_id)) AS largest FROM ({I.MEDIA}) GROUP BY 1",
     "media_usage": f'SELECT m.media_id, m.type, m.size, coalesce(r, 0) AS "references", coalesce(p, 0) AS pages FROM ({I.MEDIA}) m LEFT JOIN (SELECT target, count(*) AS r, count(DISTINCT page_id) AS p FROM ({I.LINKS}) WHERE kind = \'media\' GROUP BY target) u ON u.target = m.media_id',
     "unused_media": f"SELECT media_id FROM ({I.MEDIA}) WHERE media_id NOT IN (SELECT target FROM ({I.LINKS}) WHERE kind = 'media')",
-    "missing_media": f"SELECT DISTINCT target AS media_id, CASE WHEN {_EXT.format('target')} IN ('png', 'jpg', 'gif') THEN 'image not downloaded' ELSE 'file not downloaded' END AS reason FROM ({I.LINKS}) WHERE kind = 'media' AND target NOT IN (SELECT media_id FROM ({I.MEDIA}) WHERE size % 3 = 0)",
+    "missing_media": f"""SELECT media_id, status, CASE status WHEN 'EXTERNAL' THEN 'External URL, not hosted on wiki' WHEN 'ARCHIVED' THEN 'In archive namespace, may be intentionally removed' WHEN 'REPLACED' THEN 'Likely replaced by newer version'
+            WHEN 'DELETED' THEN 'Temporary/test file, likely intentionally removed' ELSE 'Referenced but not available for download' END AS reason
+        FROM (SELECT media_id, CASE WHEN starts_with(media_id, 'http') OR contains(media_id, '%') THEN 'EXTERNAL' WHEN contains(media_id, ':archive:') OR starts_with(media_id, 'archive:') THEN 'ARCHIVED'
+            WHEN regexp_matches(lower(media_id), '_v1|_v2|_old|_backup') THEN 'REPLACED' WHEN regexp_matches(lower(media_id), 'draft|temp|test') THEN 'DELETED' ELSE 'MISSING' END AS status
+            FROM (SELECT DISTINCT {_REFERENCED} AS media_id FROM ({I.LINKS}) WHERE kind = 'media') WHERE media_id NOT IN (SELECT media_id FROM ({I.MEDIA}) WHERE size % 3 = 0))""",
     "link_statistics": f"SELECT *, round(CAST(links AS DOUBLE) / pages, 6) AS links_per_page FROM (SELECT count(*) AS links, count(*) FILTER (WHERE kind = 'internal') AS internal_links, count(*) FILTER (WHERE kind = 'external') AS external_links, count(*) FILTER (WHERE kind = 'media') AS media_links FROM ({I.LINKS})), (SELECT count(*) AS pages FROM ({I.PAGES}))",
     "link_top_targets": f"SELECT target, count(*) AS links FROM ({I.LINKS}) WHERE kind = 'internal' GROUP BY target ORDER BY links DESC, target LIMIT 20",
     "link_top_domains": f"SELECT regexp_extract(target, '^[a-z]+://([^/]+)', 1) AS domain, count(*) AS links FROM ({I.LINKS}) WHERE kind = 'external' GROUP BY 1 ORDER BY links DESC, domain LIMIT 20",
@@ -215,7 +223,7 @@ ORACLE_SQL = {
     "deepest_pages": f"SELECT page_id, CAST({_DEPTH} AS BIGINT) AS depth FROM ({I.PAGES}) ORDER BY depth DESC, page_id LIMIT 10",
     "recent_changes": f"SELECT page_id, strftime(modified, '%Y-%m-%d') AS day FROM ({I.PAGES}) WHERE modified IS NOT NULL ORDER BY modified DESC, page_id LIMIT 50",
     "html_links": f"SELECT CASE WHEN starts_with(href, 'mailto:') THEN 'email' WHEN regexp_matches(href, '^[a-z]+://') THEN 'external' WHEN regexp_matches(href, '(?i)[.](png|jpe?g|gif|pdf|svg)([?#]|$)') THEN 'media' ELSE 'internal' END AS kind, count(*) AS links, count(DISTINCT {_TARGET}) AS targets FROM {_ANCHORS} GROUP BY 1",
-    "id_functions": f"SELECT page_id, translate(page_id, ':/', '__') AS file, translate(translate(page_id, ':/', '__'), '_', ':') AS again, 'sha256:' || sha256(text) AS hash, CASE WHEN b < 1024 THEN printf('%.1f B', b) WHEN b < 1048576 THEN printf('%.1f KB', b / 1024.0e0) WHEN b < 1073741824 THEN printf('%.1f MB', b / 1048576.0e0) ELSE printf('%.1f GB', b / 1073741824.0e0) END AS size, regexp_replace(page_id || '?*', '[<>:\"/\\\\|?*]', '_', 'g') AS safe FROM (SELECT *, CAST(octet_length(encode(text)) * 700 AS DOUBLE) AS b FROM ({I.PAGES}))",
+    "id_functions": f"SELECT page_id, translate(page_id, ':/', '__') AS file, translate(translate(page_id, ':/', '__'), '_', ':') AS again, 'sha256:' || sha256(text) AS hash, CASE WHEN b < 1024 THEN printf('%.2f B', b) WHEN b < 1048576 THEN printf('%.2f KB', b / 1024.0e0) WHEN b < 1073741824 THEN printf('%.2f MB', b / 1048576.0e0) ELSE printf('%.2f GB', b / 1073741824.0e0) END AS size, replace(replace(replace(page_id || '?/x\\y*', ':', '_'), '/', '_'), '\\', '_') AS safe FROM (SELECT *, CAST(octet_length(encode(text)) * 700 AS DOUBLE) AS b FROM ({I.PAGES}))",
     "snapshot_diff": f"SELECT id, change FROM {_CHANGES}",
     "snapshot_summary": f"SELECT change, count(*) AS entries FROM {_CHANGES} GROUP BY change",
     "media_diff": f"SELECT id, CASE WHEN old IS NULL THEN 'added' WHEN new IS NULL THEN 'deleted' WHEN CASE WHEN old_hash IS NOT NULL AND new_hash IS NOT NULL THEN old_hash <> new_hash ELSE old_size <> new_size END THEN 'modified' ELSE 'unchanged' END AS change FROM ({_DIFF.format(_BLANK.format(I.BEFORE), _BLANK.format(I.AFTER))})",
@@ -224,11 +232,14 @@ ORACLE_SQL = {
     "change_magnitude": f"""SELECT id, change, coalesce(new_size, 0) - coalesce(old_size, 0) AS size_change, round({_PERCENT}, 4) AS percent,
         CASE WHEN change IN ('added', 'deleted') THEN 'major' WHEN abs({_PERCENT}) > 50 THEN 'rewrite' WHEN abs({_PERCENT}) > 20 THEN 'major' ELSE 'minor' END AS magnitude,
         CASE WHEN {_GAP} < 86400 THEN 'minor' WHEN {_GAP} < 604800 THEN 'major' ELSE 'rewrite' END AS age_magnitude,
-        CASE change WHEN 'added' THEN 'new, ' || new_size || ' characters' WHEN 'deleted' THEN 'deleted' WHEN 'modified' THEN CASE WHEN new_size >= old_size THEN '+' ELSE '' END || (new_size - old_size) || ' characters' ELSE 'unchanged' END AS summary FROM {_CHANGES}""",
+        CASE change WHEN 'added' THEN 'New page (' || new_size || ' bytes)' WHEN 'deleted' THEN 'Page removed (was ' || old_size || ' bytes)'
+            WHEN 'modified' THEN CASE WHEN new_size > old_size THEN printf('Content expanded (+%d bytes, %.1f%%)', new_size - old_size, round({_PERCENT}, 4)) WHEN new_size < old_size THEN printf('Content reduced (%d bytes, %.1f%%)', new_size - old_size, round({_PERCENT}, 4)) ELSE 'Content modified (same size)' END
+            ELSE '' END AS summary FROM {_CHANGES}""",
     "merge_snapshots": f"SELECT id, revision, size FROM ({I.AFTER}) UNION ALL SELECT id, revision, size FROM ({I.BEFORE}) WHERE id NOT IN (SELECT id FROM ({I.AFTER}))",
     "carry_forward": f"SELECT id, coalesce(new_size, old_size) AS size, CASE WHEN change = 'deleted' THEN 'deleted' ELSE 'active' END AS status FROM {_CHANGES}",
     "manifest_problems": f"SELECT DISTINCT id, 'missing hash' AS problem FROM {_ENTRIES} WHERE hash IS NULL UNION ALL SELECT id, 'repeated id' FROM {_ENTRIES} GROUP BY id HAVING count(*) > 1",
-    "line_changes": f"SELECT page_id AS id, CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS added, 0 AS removed, 0 AS changed FROM ({I.PAGES})",
+    "line_changes": f"""SELECT page_id AS id, CASE WHEN doc_id % 3 <> 0 THEN 0 WHEN ends_with(text, chr(10)) THEN 2 ELSE 2 END AS added, CASE WHEN doc_id % 3 <> 0 OR text = '' OR ends_with(text, chr(10)) THEN 0 ELSE 1 END AS removed,
+        CASE WHEN doc_id % 3 <> 0 OR text = '' OR ends_with(text, chr(10)) THEN 0 ELSE 1 END AS changed FROM ({I.PAGES})""",
     "last_run_per_stage": f"SELECT stage, job_id, status FROM ({I.JOB_RUNS}) QUALIFY row_number() OVER (PARTITION BY stage ORDER BY started_at DESC, job_id DESC) = 1",
     "active_job": f"SELECT job_id, stage FROM ({I.JOB_RUNS}) WHERE status = 'running' ORDER BY started_at DESC, job_id DESC LIMIT 1",
     "run_retention": f"SELECT job_id, stage, CASE WHEN job_id % 7 = 0 THEN 'completed' ELSE status END AS status FROM ({I.JOB_RUNS}) ORDER BY started_at DESC, job_id DESC LIMIT 100",

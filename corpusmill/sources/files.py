@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import ids
 from ..operators.markup import front_matter_field, split_front_matter
+from ..operators.pages import media_type
 
 CODECS = ("utf-8", "cp1252", "latin-1")
 
@@ -50,6 +51,61 @@ def documents(spark: SparkSession, path: str, collection: str) -> DataFrame:
     return rows.select(F.coalesce(field("page_id"), field("media_id"), "name").alias("doc_id"), F.lit(collection).alias("collection"), field("title").alias("title"), field("content_type").alias("content_type"), field("access_level").alias("access_level"), field("last_modified").alias("last_modified"), "body", "path").where("trim(body) <> '' or title is not null")
 
 
+def collection(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+    """Texts of a folder by name; with a limit only so many files are read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{txt,md}").load(path).select("path").orderBy("path")
+    whole = text_files(spark, path)
+    return whole if limit is None else whole.join(F.broadcast(files.limit(limit)), "path", "left_semi")
+
+
+def sidecars(spark: SparkSession, path: str, kind: str, schema: str) -> DataFrame:
+    """Rows of ``<name>_<kind>.json`` files by the name; bad files are skipped."""
+    rows = spark.read.schema(schema).option("multiLine", "true").option("mode", "DROPMALFORMED").option("pathGlobFilter", f"*_{kind}.json").json(path)
+    return rows.withColumn("name", F.regexp_replace(stem(F.col("_metadata.file_path")), f"_{kind}$", ""))
+
+
+def media_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, media_id, extension, size, type) of files below a folder; nothing of them is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    name, ext = F.substring_index("path", "/", -1), ids.extension(F.substring_index("path", "/", -1))
+    below = F.translate(F.regexp_replace("path", "^.*?" + path.rstrip("/").split("/")[-1] + "/", ""), "/", ":")
+    return files.select("path", below.alias("media_id"), name.alias("name"), ext.alias("extension"), F.col("length").alias("size"), media_type(ext).alias("type"))
+
+
+def backlinks(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, linked_from) of files that hold a list, or an object with a page id and a list; bad files are skipped."""
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.json")
+    whole = F.from_json("value", "page_id string, backlinks array<string>")
+    found = raw.select(F.trim("value").startswith("[").alias("plain"), F.from_json("value", "array<string>").alias("several"), whole.alias("one"), F.regexp_replace(stem(F.col("_metadata.file_path")), "_backlinks$", "").alias("name"))
+    rows = found.select(F.coalesce(F.nullif(F.when(~F.col("plain"), F.col("one.page_id")), F.lit("")), F.translate("name", "_", ":")).alias("page_id"), F.when(F.col("plain"), F.col("several")).otherwise(F.coalesce("one.backlinks", F.array().cast("array<string>"))).alias("linked_from"), F.when(F.col("plain"), F.col("several").isNotNull()).otherwise(F.col("one.page_id").isNotNull() | F.col("one.backlinks").isNotNull()).alias("sound"))
+    return rows.where("sound").drop("sound")
+
+
+def media_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """(media_id, last_modified, author) of ``*_info.json``; Unix revisions become ISO times."""
+    rows = sidecars(spark, path, "info", "id string, original_metadata struct<revision: string, author: string>").where("coalesce(id, '') <> ''")
+    at = F.timestamp_seconds(F.col("original_metadata.revision").try_cast("long"))
+    return rows.select(F.col("id").alias("media_id"), F.coalesce(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ssXXX"), F.lit("")).alias("last_modified"), F.coalesce("original_metadata.author", F.lit("")).alias("author"))
+
+
+def media_usage(spark: SparkSession, path: str) -> DataFrame:
+    """(media_id, linked_from) of a usage index; entries without a list are left out."""
+    raw = spark.read.text(path, wholetext=True)
+    index = F.from_json("value", "media_usage map<string, struct<referenced_by: array<string>>>")
+    return raw.select(F.explode(index["media_usage"]).alias("media_id", "x")).select("media_id", F.col("x.referenced_by").alias("linked_from")).where("linked_from is not null")
+
+
+def newest_path(spark: SparkSession, base: str, prefix: str = "") -> str | None:
+    """The entry of a folder whose name sorts last; names end in their time."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return None
+    names = sorted(s.getPath().getName() for s in system.listStatus(path))
+    names = [n for n in names if n.startswith(prefix)]
+    return f"{base.rstrip('/')}/{names[-1]}" if names else None
+
+
 def evaluation_corpus(docs: DataFrame, least: int = 50) -> DataFrame:
     """Without images and short bodies."""
     return docs.where(~F.lower("path").rlike(r"\.(png|jpe?g|gif|svg|webp)(\.md)?$") & (F.length(F.trim("body")) >= least))
@@ -67,7 +123,7 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """One row for each JSON file, with the file's stem."""
-    return spark.read.schema(schema).option("multiLine", "true").json(path).withColumn("name", stem(F.col("_metadata.file_path")))
+    return spark.read.schema(schema).option("multiLine", "true").option("mode", "DROPMALFORMED").json(path).withColumn("name", stem(F.col("_metadata.file_path")))
 
 
 def latest(rows: DataFrame, run: str = "run_ts") -> DataFrame:

@@ -68,23 +68,70 @@ def test_chunkers():
     assert len(cut) > 3 and all(c.startswith("# T\n| h |\n|---|\n") and len(c) <= 100 for c in cut)
     assert sum(c.count("\n| ") for c in cut) == 40 + len(cut)  # each row once, and the repeated heads
     assert chunks.simple("") == [] and chunks.for_queries("short") == []
+    assert chunks.naive("ab" * 10, 10, 6)[:2] == ["ab" * 5, "ab" * 5]
     with pytest.raises(ValueError):
-        chunks.naive("x", 10, 6)
+        chunks.naive("x" * 30, 10, 10)
 
 
-def test_markdown():
+def converted(spark, *texts):
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, content string")
+    return [r["m"] for r in rows.select("i", markup.markdown("content").alias("m")).orderBy("i").collect()]
+
+
+def test_markdown(spark):
     wiki = "====== T ======\n\nA **b** //c// [[ns:P|x]] {{:Img.png?200|alt}}\n\n  * one\n    - two\n\n^ h ^ i ^\n| 1 | 2 |\n\n<code sql>//no//</code>\n----\n"
-    made = markup.to_markdown(wiki)
+    made, glued, *rest = converted(
+        spark, wiki, "<code>a</code>''b''", None, "  \n", "| a |\n^ h ^\n^ g ^\nx\n^ k", "[[wp>Cat]] [[http://A.b/C|D]] [[:A:B]] {{ x.PDF }}", "a\\\\ b\n\n\n\nc ~~NOTOC~~ <nowiki>z</nowiki>", "\ue000 <file java x>q\n</file>", "^", "//i// __u__ <del>d</del>"
+    )
     assert made.startswith("# T\n")
     for part in ("*c*", "[x](ns:p)", "![alt](img.png)", "- one", "  1. two", "| h | i |\n|---|---|\n| 1 | 2 |", "```sql\n//no//\n```", "\n---"):
         assert part in made
-    assert markup.to_markdown("<code>a</code>''b''") == "```\na\n````b`"
+    assert glued == "```\na\n````b`" and rest[:2] == [None, None]
+    assert rest[2] == "| a |\n| h |\n|---|\n| g |\nx\n| k|\n|---|"
+    assert rest[3] == "[wp>Cat](https://en.wikipedia.org/wiki/Cat) [D](http://A.b/C) [:A:B](a:b) ![](x.pdf)"
+    assert rest[4] == "a\nb\n\nc" and rest[5] == "\ue000 ```java\nq\n\n```" and rest[6] == "|"
+    assert rest[7] == "*i* <u>u</u> ~~d~~"
+
+
+def test_normal_text_keeps_words_apart(spark):
+    rows = spark.createDataFrame([("| c|d |",), ("[[a:b|Label]] x [[c]] {{p.png|}}",), ("![](u) [T](v)",), ("== H ==\n* i\n1. j\n---",), (None,)], "t string")
+    assert [r[0] for r in rows.select(scores.normal(F.col("t"))).collect()] == ["c d", "label x c p.png", "u t", "h i j", None]
+    assert scores.THRESHOLDS["similarity"] == 0.85
+
+
+def test_lines_are_counted_in_their_order(spark):
+    rows = spark.createDataFrame([(1, "a\nb\n", "b\na\n"), (2, "a", "a\nb"), (3, None, "x"), (4, "same", "same"), (5, "a\r\nb\n", "a\nb\n")], "id int, old string, new string")
+    found = {r["id"]: (r["added"], r["removed"], r["changed"]) for r in snapshots.line_changes(rows).collect()}
+    assert found == {1: (1, 1, 1), 2: (2, 1, 1), 3: (1, 0, 0), 4: (0, 0, 0), 5: (0, 0, 0)}
+
+
+def test_bytes_with_two_digits(spark):
+    sizes = [0, 1, 1023, 1024, 1536, 10 * 1024 + 512 + 5, 1024**2 - 1, 1024**2, 3 * 1024**3 // 2, 5 * 1024**5, 851149, 851200]
+
+    def plain(n):
+        size = float(n)
+        for unit in ("B", "KB", "MB", "GB"):
+            if size < 1024:
+                return f"{size:.2f} {unit}"
+            size /= 1024
+        return f"{size:.2f} TB"
+
+    rows = spark.createDataFrame([(n,) for n in sizes], "n long")
+    assert [r[0] for r in rows.select(ids.human_bytes(F.col("n"))).collect()] == [plain(n) for n in sizes]
+    row = spark.range(1).select(ids.sanitized(F.lit("a:b/c\\d?e")), markup.permission_name(F.lit(3)), markup.permission_name(F.lit(8))).first()
+    assert list(row) == ["a_b_c_d?e", "unknown-3", "upload"]
+
+
+def test_bootstrap_of_nothing_may_be_an_error():
+    with pytest.raises(ValueError):
+        stats.bootstrap(np.array([]), strict=True)
+    assert stats.bootstrap(np.arange(9.0), statistic=np.median)[0] == 4
 
 
 def test_freshness_and_ids(spark):
     row = spark.createDataFrame([("ns:sub:p", "x.PDF")], "p string, f string")
     got = row.select(ids.top_namespace(F.col("p")), ids.parent_namespace(F.col("p")), ids.depth(F.col("p")), ids.extension(F.col("f")), ids.valid_media(F.col("f")), ids.human_bytes(F.lit(2048)), fresh.by_steps(F.lit(None).cast("double")), pages.access_level(F.lit("Lehrer:x"))).first()
-    assert list(got) == ["ns", "ns:sub", 2, "pdf", True, "2.0 KB", 0.5, "teacher_only"]
+    assert list(got) == ["ns", "ns:sub", 2, "pdf", True, "2.00 KB", 0.5, "teacher_only"]
 
 
 def test_scores_of_equal_texts(spark):

@@ -1,8 +1,8 @@
 """Near-duplicate vectors by a robust-pruned flat graph.
 
 1. Vectors equal in every component, and in label, are one class; the rest works on classes.
-2. A tree of centroids, fitted on bounded samples (``SAMPLE`` of all, and of each cell that
-   is still too large), cuts each label into cells of about ``REGION``; a class is a member
+2. A label of more than three times ``REGION`` is cut: a tree of centroids, fitted on bounded samples (``SAMPLE`` of all, and of each cell that
+   is still too large), cuts it into cells of about ``REGION``; a class is a member
    of its nearest cells.  Of how many is told by an audit: ``ASKED`` classes are compared
    with all classes of their label, and the overlap grows until ``RECALL`` of their links
    share a cell (or ``MOST_OVERLAP`` is reached).  A cell of more than ``BLOCK`` members is
@@ -36,12 +36,12 @@ from pyspark.sql import functions as F
 from .frames import cut, tidy
 from .graph import Sets, connected_components
 
-SAMPLE, FAN, REGION = 20_000, 512, 4000
+SAMPLE, FAN, REGION = 20_000, 512, 3000
 OVERLAP, MOST_OVERLAP, ASKED = 2, 6, 2000
-BLOCK, SHARD = 8000, 1000
+BLOCK, SHARD = 9000, 1000
 MOST_CENTRES = 128 << 20  # bytes of centroids that are broadcast; beyond them cells are larger
-DEGREE, POOL, ALPHA, RANDOM = 24, 64, 1.2, 8
-BEAM, AUDITED, RECALL = 24, 24, 0.99
+DEGREE, POOL, ALPHA, RANDOM = 16, 48, 1.2, 4
+BEAM, AUDITED, RECALL = 8, 24, 0.99
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -129,16 +129,20 @@ class Graph:
     def __init__(self, v: np.ndarray, lists: list[np.ndarray], medoids: np.ndarray):
         self.v, self.medoids = v, medoids
         width = max([len(x) for x in lists], default=0)
-        self.next = np.full((len(v), max(width, 1)), -1, np.int64)
+        self.next = np.full((len(v), max(width, 1)), len(v), np.int64)
         for i, x in enumerate(lists):
             self.next[i, : len(x)] = x
 
     def search(self, q: np.ndarray, least: float, beam: int) -> np.ndarray:
         """Vectors of similarity ``least`` or more, by beam search from the medoids and expansion in range."""
-        near = np.full(len(self.v), -2.0)
-        done = np.zeros(len(self.v), bool)
-        near[self.medoids] = self.v[self.medoids] @ q
+        n = len(self.v)
+        near = np.full(n + 1, -2, np.float32)
+        done, reached = np.zeros(n + 1, bool), np.zeros(n + 1, bool)
+        seen = np.zeros(n + 1, bool)
+        seen[n] = True  # what pads the lists
         known = self.medoids
+        near[known] = self.v[known] @ q
+        seen[known] = True
         while True:
             best = known if len(known) <= beam else known[np.argpartition(-near[known], beam - 1)[:beam]]
             front = best[~done[best]]
@@ -147,12 +151,13 @@ class Graph:
                 if not len(front):
                     return known[near[known] >= least]
             done[front] = True
-            reached = np.unique(self.next[front])
-            reached = reached[reached >= 0]
-            reached = reached[near[reached] == -2.0]
-            if len(reached):
-                near[reached] = self.v[reached] @ q
-                known = np.concatenate([known, reached])
+            reached[:] = False
+            reached[self.next[front]] = True
+            fresh = np.flatnonzero(reached & ~seen)
+            if len(fresh):
+                seen[fresh] = True
+                near[fresh] = self.v[fresh] @ q
+                known = np.concatenate([known, fresh])
 
 
 def audited_search(graph: Graph, queries: np.ndarray, least: float, seed: int) -> np.ndarray:
@@ -330,8 +335,8 @@ def fitted(classes: DataFrame, region: int) -> dict[int, Cells]:
         region_of = max(region, math.ceil(n * dim * 8 / MOST_CENTRES))
         k = min(FAN, math.ceil(most / region_of))
         tree[dim] = Cells(np.zeros((0, dim)))
-        if k < 2:
-            continue
+        if most <= 3 * region_of:
+            continue  # overlapping cells would each hold nearly all
         rate = min(1.0, SAMPLE / n)
         drawn = classes.where((F.col("dim") == dim) & (F.pmod(F.xxhash64("key"), F.lit(1 << 32)) < int(rate * (1 << 32)))).orderBy("key").limit(SAMPLE)
         tree[dim] = Cells(centroids(_vectors(drawn.select("vector").toArrow()), k))

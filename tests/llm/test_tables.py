@@ -35,7 +35,7 @@ def test_connected_components(spark):
     assert connected_components(frame.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize(("region", "most", "fan"), [(1000, 1000, 512), (60, 400, 512), (60, 40, 512), (20, 400, 3)])
+@pytest.mark.parametrize(("region", "most", "fan"), [(1000, 1000, 512), (30, 400, 512), (30, 40, 512), (10, 400, 3)])
 def test_vectors_against_brute_force(spark, monkeypatch, region, most, fan):
     monkeypatch.setattr(vectors, "FAN", fan)
     near_duplicates = lambda frame: vectors.near_duplicates(frame, region=region, most=most, shard=30)

@@ -100,4 +100,7 @@ def rr_bins(metrics: DataFrame, by: str) -> DataFrame:
 
 
 def ecdf(metrics: DataFrame, by: str, score: str = "rr") -> DataFrame:
-    return metrics.select(by, score, F.cume_dist().over(Window.partitionBy(by).orderBy(score)).alias("share")).distinct()
+    """Share of the rows of a group up to each score; rows are counted by score first, so no group meets in one task."""
+    counts = metrics.groupBy(by, score).agg(F.count("*").alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy(by).orderBy(score).rowsBetween(Window.unboundedPreceding, 0))
+    return counts.select(by, score, (so_far / F.sum("n").over(Window.partitionBy(by))).alias("share"))

@@ -27,7 +27,8 @@ def dense_scores(corpus: DataFrame, queries: DataFrame, block: int = 64) -> Data
     """(query_id, doc_id, score) of every query against every row.
 
     A stated query set runs against all rows: queries are put into blocks of ``block``
-    rows, so a task holds one block and streams through its share of the corpus.
+    rows, so a task holds one block and streams through its share of the corpus.  Spark
+    broadcasts the blocks where they are small, and else deals pairs of partitions.
     """
     number = F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64("query_id"), F.lit(16))).orderBy("query_id"))
     blocks = queries.select("query_id", F.col("vector").alias("q"), norm(F.col("vector")).alias("qn")).withColumn("part", F.floor(number / block))

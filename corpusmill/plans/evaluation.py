@@ -218,7 +218,38 @@ _CHUNK_ROWS = "SELECT doc_id, CAST(i - 1 AS INT) AS chunk_index, length(chunks[i
 _CUR = "list_last(string_split(a, chr(1)))"
 _SENTENCES = f"list_filter(list_transform(string_split(replace(b, '. ', '.' || chr(10)), chr(10)), lambda y: {_STRIP.format('y')}), lambda y: y <> '')"
 
+
+
+def _semantic_sql(text: str, size: int, least: int = 100) -> str:
+    """Chunks of a text as a list: paragraphs packed, long ones by sentences, or by windows where they are one sentence; a short tail joins the chunk before it.
+
+    The state is one string: chunks end in chr(1), paragraphs in a chunk are parted by chr(2), sentences by chr(4).
+    """
+    cur, part = "list_last(string_split(a, chr(1)))", "list_last(string_split(list_last(string_split(a, chr(1))), chr(2)))"
+    parts = "string_split(regexp_replace(b, '([.!?])\\s+', '\\1' || chr(3), 'g'), chr(3))"
+    windows = f"list_transform(range(0, length(b), {size - 50}), lambda i: 'N' || {_STRIP.format(f'substr(b, CAST(i AS INT) + 1, {size})')})"
+    items = f"flatten(list_transform({_BLOCK_LIST.replace('content', text)}, lambda b: CASE WHEN length(b) <= {size} THEN ['B' || b] WHEN len({parts}) > 1 THEN list_concat(list_transform({parts}, lambda y, i: CASE WHEN i = 1 THEN 'F' ELSE 'S' END || y), ['E']) ELSE list_concat({windows}, ['E']) END))"
+    step = f"""CASE WHEN x = 'E' THEN a || chr(1) WHEN {cur} = '' THEN a || substr(x, 2) WHEN x[1] IN ('F', 'N') THEN a || chr(1) || substr(x, 2)
+        WHEN x[1] = 'S' THEN CASE WHEN length(replace({cur}, chr(4), '')) + length(x) - 1 > {size} THEN a || chr(1) ELSE a || chr(4) END || substr(x, 2)
+        WHEN length(replace({cur}, chr(2), '')) + length(x) - 1 <= {size} THEN a || chr(2) || substr(x, 2)
+        WHEN length({part}) < 50 THEN a || chr(1) || {part} || chr(2) || substr(x, 2) ELSE a || chr(1) || substr(x, 2) END"""
+    state = f"list_reduce(list_concat([''], {items}), lambda a, x: {step})"
+    chunks = "list_transform(list_filter(string_split(s, chr(1)), lambda c: c <> ''), lambda c: replace(replace(c, chr(2), chr(10) || chr(10)), chr(4), ' '))"
+    joined = f"CASE WHEN NOT ends_with(s, chr(1)) AND len(cs) > 1 AND length(cs[-1]) < {least} THEN list_concat(cs[:-3], [cs[-2] || chr(10) || chr(10) || cs[-1]]) ELSE cs END"
+    return f"list_transform([{state}], lambda s: list_transform([{chunks}], lambda cs: {joined})[1])[1]"
+
+
+#: Lines with something in them, run together; what stands before and after the table rows of a page.
+_FILLED = "array_to_string(list_filter(string_split({}, chr(10)), lambda l: regexp_replace(l, '\\s', '', 'g') <> ''), chr(10))"
+_TABLE_ROWS = "'| 1 | 2 |' || chr(10) || '| 3 | 4 |'"
+
 ORACLE_SQL = {
+    "wiki_to_markdown": f"SELECT page_id, {_STRIP.format("regexp_extract(content, '^====== *([^\\n]*?) *======', 1)")} AS title, true AS success, md5(markdown) AS digest, len(regexp_extract_all(markdown, '(?m)^#')) AS headings, len(regexp_extract_all(markdown, '\\]\\(')) AS links FROM ({I.MARKDOWN})",
+    "chunk_semantic": f"WITH c AS (SELECT doc_id, {_semantic_sql('content', 512)} AS chunks FROM ({I.WIKI})) {_CHUNK_ROWS}",
+    "chunk_header": f"WITH c AS (SELECT doc_id, {_semantic_sql('content', 512)} AS chunks FROM ({I.WIKI})) {_CHUNK_ROWS}",
+    "chunk_table": f"""WITH parts AS (SELECT doc_id, strpos(content, {_TABLE_ROWS}) AS spot, content FROM ({I.WIKI})),
+        texts AS (SELECT doc_id, spot, {_STRIP.format(_FILLED.format("CASE WHEN spot > 0 THEN substr(content, 1, spot - 1) ELSE content END"))} AS front, CASE WHEN spot > 0 THEN {_STRIP.format(_FILLED.format(f'substr(content, spot + length({_TABLE_ROWS}))'))} ELSE '' END AS rest, string_split(content, chr(10))[1] AS head FROM parts),
+        c AS (SELECT doc_id, list_concat(list_concat({_semantic_sql('front', 2048)}, CASE WHEN spot > 0 THEN [head || chr(10) || {_TABLE_ROWS}] ELSE [] END), CASE WHEN rest <> '' THEN {_semantic_sql('rest', 2048)} ELSE [] END) AS chunks FROM texts) {_CHUNK_ROWS}""",
     "chunk_naive": f"""WITH RECURSIVE w AS (
             SELECT doc_id, content, 0 AS pos, 0 AS stop, -1 AS chunk_index FROM ({I.WIKI})
             UNION ALL

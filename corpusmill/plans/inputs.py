@@ -39,7 +39,8 @@ def wiki(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = F.when(F.col("doc_id") % 5 == 0, F.lit("\n\n^ a ^ b ^\n| 1 | 2 |\n| 3 | 4 |")).otherwise("")
     items = F.when(F.col("doc_id") % 4 == 0, F.lit("\n\n  * one\n  * two\n  - three")).otherwise("")
     code = F.when(F.col("doc_id") % 6 == 0, F.lit("\n\n<code sql>select 1</code>")).otherwise("")
-    return pages(spark, sf_dir).withColumn("content", F.concat(head, body, link, rows, items, code))
+    marks = F.when(F.col("doc_id") % 7 == 0, F.lit("\n\n//slanted// and __under__ ~~NOTOC~~<del>old</del> <nowiki>x</nowiki>\n\n\n\n----")).otherwise("")
+    return pages(spark, sf_dir).withColumn("content", F.concat(head, body, link, rows, items, code, marks))
 
 
 WIKI = f"""
@@ -47,11 +48,29 @@ WIKI = f"""
         || CASE WHEN doc_id % 3 = 0 THEN chr(10) || chr(10) || 'See [[ns' || (doc_id % 5) || ':p' || (doc_id % 50) || '|there]] and {{{{img' || (doc_id % 9) || '.png}}}}.' ELSE '' END
         || CASE WHEN doc_id % 5 = 0 THEN chr(10) || chr(10) || '^ a ^ b ^' || chr(10) || '| 1 | 2 |' || chr(10) || '| 3 | 4 |' ELSE '' END
         || CASE WHEN doc_id % 4 = 0 THEN chr(10) || chr(10) || '  * one' || chr(10) || '  * two' || chr(10) || '  - three' ELSE '' END
-        || CASE WHEN doc_id % 6 = 0 THEN chr(10) || chr(10) || '<code sql>select 1</code>' ELSE '' END AS content
+        || CASE WHEN doc_id % 6 = 0 THEN chr(10) || chr(10) || '<code sql>select 1</code>' ELSE '' END
+        || CASE WHEN doc_id % 7 = 0 THEN chr(10) || chr(10) || '//slanted// and __under__ ~~NOTOC~~<del>old</del> <nowiki>x</nowiki>' || chr(10) || chr(10) || chr(10) || chr(10) || '----' ELSE '' END AS content
     FROM ({PAGES})
 """
 
 
+_STEPS = (
+    (r"^====== *([^\n]*?) *======\n", r"# \1"), (r"//(.*?)//", r"*\1*"), (r"__(.*?)__", r"<u>\1</u>"), (r"<del>(.*?)</del>", r"~~\1~~"), (r"\[\[([^\]|]*)\|([^\]]*)\]\]", r"[\2](\1)"), (r"\{\{([^}]*)\}\}", r"![](\1)"),
+    (r"(?m)^  \* ", "- "), (r"(?m)^  - ", "1. "), (r"\^ a \^ b \^\n", r"| a | b |\n|---|---|\n"), (r"(?m)^-{4,}\s*$", "---"), (r"<code sql>(.*?)</code>", r"```sql\n\1\n```"), (r"~~NOTOC~~", ""), (r"<nowiki>.*?</nowiki>", ""), (r"\n{3,}", r"\n\n"), (r"(?m)[ \t]+$", ""), (r"^\s+|\s+$", ""),
+)
+
+
+def _markdown_sql() -> str:
+    """The marks of the pages above, step by step; the first line end after a heading goes with it."""
+    text = "content"
+    for pattern, new in _STEPS:
+        text = f"regexp_replace({text}, '{pattern}', '{new}', 'g')".replace("\\n", "' || chr(10) || '")
+    return text
+
+
+MARKDOWN = f"SELECT *, {_markdown_sql()} AS markdown FROM ({WIKI})"
+
+
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page_id, kind, target, exists): links between pages, to media and outside."""
     return _links(pages(spark, sf_dir).select("doc_id", "page_id"))

@@ -243,7 +243,29 @@ def _semantic_sql(text: str, size: int, least: int = 100) -> str:
 _FILLED = "array_to_string(list_filter(string_split({}, chr(10)), lambda l: regexp_replace(l, '\\s', '', 'g') <> ''), chr(10))"
 _TABLE_ROWS = "'| 1 | 2 |' || chr(10) || '| 3 | 4 |'"
 
+_TABLE_ROWS_MD = "'| a | b |' || chr(10) || '|---|---|' || chr(10) || '| 1 | 2 |' || chr(10) || '| 3 | 4 |'"
+_DISPATCHED = f"""WITH RECURSIVE d AS (SELECT doc_id, markdown AS text, (['KNOWLEDGE', 'NEWS', 'TABLE_DATA', 'PORTAL', 'EMPTY', 'OTHER'])[CAST(doc_id % 6 AS INT) + 1] AS content_type FROM ({I.MARKDOWN})),
+    w AS (
+        SELECT doc_id, text, 0 AS pos, 0 AS stop, -1 AS i FROM d WHERE content_type = 'NEWS'
+        UNION ALL
+        SELECT doc_id, text, nxt AS pos, nxt + CASE WHEN nxt + 1024 < length(text) AND cut > 512 THEN cut + 1 ELSE 1024 END AS stop, i + 1 AS i
+        FROM (SELECT *, CASE WHEN strpos(reverse(seg), ' .') > 0 THEN length(seg) - strpos(reverse(seg), ' .') - 1 ELSE -1 END AS cut
+            FROM (SELECT *, substr(text, nxt + 1, 1024) AS seg FROM (SELECT *, CASE WHEN i < 0 THEN 0 ELSE stop - 150 END AS nxt FROM w)))
+        WHERE nxt < length(text)),
+    windows AS (SELECT doc_id, list({_STRIP.format('substr(text, pos + 1, stop - pos)')} ORDER BY i) AS chunks FROM w WHERE i >= 0 GROUP BY doc_id),
+    t AS (SELECT doc_id, text, strpos(text, {_TABLE_ROWS_MD}) AS spot FROM d WHERE content_type = 'TABLE_DATA'),
+    u AS (SELECT doc_id, spot, {_STRIP.format(_FILLED.format("CASE WHEN spot > 0 THEN substr(text, 1, spot - 1) ELSE text END"))} AS front, CASE WHEN spot > 0 THEN {_STRIP.format(_FILLED.format(f'substr(text, spot + length({_TABLE_ROWS_MD}))'))} ELSE '' END AS rest, string_split(text, chr(10))[1] AS head FROM t),
+    tables AS (SELECT doc_id, list_concat(list_concat({_semantic_sql('front', 2048)}, CASE WHEN spot > 0 THEN [head || chr(10) || {_TABLE_ROWS_MD}] ELSE [] END), CASE WHEN rest <> '' THEN {_semantic_sql('rest', 2048)} ELSE [] END) AS chunks FROM u),
+    packed AS (SELECT doc_id, {_semantic_sql('text', 512)} AS chunks FROM d WHERE content_type = 'OTHER' OR (content_type = 'KNOWLEDGE' AND length(text) > 512)),
+    c AS (SELECT doc_id, content_type, CASE WHEN content_type = 'PORTAL' THEN [substr(text, 1, 500)] ELSE coalesce(windows.chunks, tables.chunks, packed.chunks, [text]) END AS chunks
+        FROM d LEFT JOIN windows USING (doc_id) LEFT JOIN tables USING (doc_id) LEFT JOIN packed USING (doc_id) WHERE content_type <> 'EMPTY'),
+    k AS (SELECT doc_id, content_type, len(chunks) AS total, CAST(i - 1 AS INT) AS chunk_index, chunks[i] AS chunk FROM (SELECT *, unnest(range(1, len(chunks) + 1)) AS i FROM c))
+"""
+
 ORACLE_SQL = {
+    "chunk_dispatch": f"{_DISPATCHED} SELECT 'documents_' || doc_id || '_' || chunk_index AS chunk_id, chunk_index, total AS total_chunks, length(chunk) AS chars FROM k",
+    "chunk_stats": f"{_DISPATCHED} SELECT content_type, count(*) AS chunks, count(DISTINCT doc_id) AS documents, round(avg(length(chunk)), 6) AS mean_length, min(length(chunk)) AS min_length, max(length(chunk)) AS max_length, CAST(sum(length(chunk)) AS BIGINT) AS total_length FROM k GROUP BY content_type",
+    "embedding_usage": f"{_DISPATCHED} SELECT CAST(sum(ceil(length(chunk) / 4.0e0)) AS BIGINT) AS tokens, CAST(ceil(count(*) / 20.0e0) AS BIGINT) AS requests, round(sum(ceil(length(chunk) / 4.0e0)) / 1000 * 0.00013e0, 6) AS cost FROM k",
     "wiki_to_markdown": f"SELECT page_id, {_STRIP.format("regexp_extract(content, '^====== *([^\\n]*?) *======', 1)")} AS title, true AS success, md5(markdown) AS digest, len(regexp_extract_all(markdown, '(?m)^#')) AS headings, len(regexp_extract_all(markdown, '\\]\\(')) AS links FROM ({I.MARKDOWN})",
     "chunk_semantic": f"WITH c AS (SELECT doc_id, {_semantic_sql('content', 512)} AS chunks FROM ({I.WIKI})) {_CHUNK_ROWS}",
     "chunk_header": f"WITH c AS (SELECT doc_id, {_semantic_sql('content', 512)} AS chunks FROM ({I.WIKI})) {_CHUNK_ROWS}",

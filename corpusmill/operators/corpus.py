@@ -60,6 +60,13 @@ def stratified(rows: DataFrame, stratum: list[str], key: str, target: int, seed:
     return ranked.orderBy(F.when(F.col("n") == 1, 0).otherwise(1), "draw", key).limit(target).drop("draw", "n")
 
 
+def file_attributes(source: Column, name: Column) -> tuple[Column, Column]:
+    """Namespace and suffix of a prepared file: what stands before its first underscore; md for pages, the suffix before it for media."""
+    stem = F.regexp_replace(name, r"\.md$", "")
+    suffix = F.when((source != "pages") & F.contains(stem, F.lit(".")), F.lower(F.substring_index(stem, ".", -1))).otherwise(F.lit("md"))
+    return F.substring_index(stem, "_", 1), suffix
+
+
 def shares(pages: int, media: int, target: int) -> tuple[int, int]:
     """How many pages and media files a sample takes: half each, as far as there are so many, and one of either at least."""
     if not pages or not media:

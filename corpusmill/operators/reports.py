@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _cells(frame: DataFrame, most: int) -> tuple[list[str], list[list[str]]]:
@@ -33,3 +34,20 @@ def names_first(frame: DataFrame):
 def report(title: str, parts: dict[str, DataFrame]) -> str:
     """Headed sections of tables."""
     return "\n\n".join([f"# {title}", *(f"## {name}\n\n{markdown_table(f)}" for name, f in parts.items())]) + "\n"
+
+
+def comparison_table(baseline: DataFrame, semantic: DataFrame, names: tuple[str, ...] = ("mean_rr", "mean_p_at_k", "mean_ndcg")) -> str:
+    """LaTeX table of a keyword baseline against models (model, means), best mean reciprocal rank first."""
+    rows = baseline.select(F.lit("keyword").alias("model"), *names).unionByName(semantic.select("model", *names))
+    return latex_table(rows, names[0])
+
+
+def difficulty_table(breakdown: DataFrame, score: str = "mean_rr") -> str:
+    """LaTeX table of a breakdown by difficulty."""
+    return latex_table(breakdown.select("difficulty", score), score)
+
+
+def evaluation_report(pages: DataFrame, files: DataFrame, ready: DataFrame, temporal: DataFrame) -> str:
+    """Report of one evaluation: pages by content type, files by type, readiness, freshness."""
+    by_type = pages.groupBy("content_type").agg(F.count("*").alias("pages")).orderBy(F.desc("pages"), "content_type")
+    return report("Evaluation", {"Pages by content type": by_type, "Files by type": files.orderBy("type"), "Readiness": ready, "Freshness": temporal})

@@ -179,3 +179,10 @@ def incremental(before: DataFrame, listing: DataFrame, fetch) -> DataFrame:
     changes = diff(before, listing, newer_only=True)
     wanted = listing.join(to_fetch(changes).select("id"), "id", "left_semi")
     return carry_forward(before, fetch(wanted).select(*before.columns), changes)
+
+
+def change_report(before: DataFrame, after: DataFrame) -> dict[str, DataFrame]:
+    """The parts of a report of changes: totals, changes by namespace, and every changed entry with its size and sentence."""
+    changes = diff(before, after)
+    told = sentence(with_sizes(changes)).where("change <> 'unchanged'").select("id", "change", "size_change", "percent", "magnitude", "summary")
+    return {"Totals": summary(changes), "Namespaces": by_namespace(changes), "Changes": told.orderBy("id")}

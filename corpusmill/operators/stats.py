@@ -72,6 +72,13 @@ def bootstrap_at_scale(frame: DataFrame, by: str, score: str, rounds: int = 200,
     return means.groupBy(by).agg(F.percentile("resampled", F.lit(half)).alias("low"), F.percentile("resampled", F.lit(1 - half)).alias("high"))
 
 
+def metric_intervals(metrics: DataFrame, names: list[str], rounds: int = 1000) -> DataFrame:
+    """(metric, mean, low, high, n) of per-query metrics."""
+    long = metrics.unpivot("query_id", names, "metric", "value").where("value is not null and not isnan(value)")
+    means = long.groupBy("metric").agg(F.avg("value").alias("mean"), F.count("*").alias("n"))
+    return means.join(bootstrap_at_scale(long, "metric", "value", rounds), "metric").select("metric", "mean", "low", "high", "n")
+
+
 def _normal_tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 

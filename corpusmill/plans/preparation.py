@@ -311,6 +311,23 @@ def metadata_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", F.array_join(P.metadata_issues(), ",").alias("issues"))
 
 
+def file_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import corpus
+
+    k = F.col("doc_id")
+    source = F.when(k % 2 == 0, "pages").otherwise("media")
+    name = F.concat(F.lit("ns"), k % 5, F.when(k % 3 == 0, "").otherwise("_x_y"), F.when(k % 4 == 1, ".DOCX").otherwise(""), F.lit(".md"))
+    namespace, suffix = corpus.file_attributes(source, name)
+    return I.pages(spark, sf_dir).select("doc_id", namespace.alias("namespace"), suffix.alias("suffix"))
+
+
+def metric_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of the ranking metrics with their intervals."""
+    from ..operators import stats
+
+    return stats.metric_intervals(K.metrics(spark, sf_dir), ["rr", "ndcg", "p_at_k"], 200)
+
+
 def temporal_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = I.pages(spark, sf_dir)
     old = F.coalesce(F.datediff(F.lit(I.AS_OF).cast("timestamp"), "modified") > 365, F.lit(False))
@@ -323,7 +340,7 @@ QUERIES = {
     for f in (
         truth_sources, restricted_corpus, mock_retrieval, keyword_baseline, baseline_summary, config_comparison, rr_pairs, access_filtered, ranked_heads, best_relevance, qa_with_results, question_export, first_chunks, front_matter_probe, stem_pairs,
         file_quality, file_totals, file_summary, link_density, media_lookup, page_flags, cache_plan, failed_items, discovered_media, invalid_references, type_filter, page_export, media_export, page_front_matter, chunk_metadata, export_manifest, media_ids,
-        document_stats, classification_rollup, namespace_list, throughput, incremental_snapshot, manifest_filters, page_extremes, ir_ordered, metadata_issues, temporal_advice, distinct_targets,
+        document_stats, classification_rollup, namespace_list, throughput, incremental_snapshot, manifest_filters, page_extremes, ir_ordered, metadata_issues, temporal_advice, file_attributes, metric_intervals, distinct_targets,
     )
 }
 
@@ -373,6 +390,7 @@ ORACLE_SQL = {
     "throughput": "SELECT 'model' || (user_id % 4) AS model, count(*) AS chunks, round(count(*) / sum(value), 6) AS per_second FROM events GROUP BY 1",
     "incremental_snapshot": f"""SELECT coalesce(n.id, o.id) AS id, CASE WHEN n.id IS NULL THEN o.revision WHEN o.id IS NULL OR n.revision > o.revision THEN n.revision ELSE o.revision END AS revision, CASE WHEN n.id IS NOT NULL AND (o.id IS NULL OR n.revision > o.revision) THEN 'fetched' ELSE o.hash END AS hash,
         CASE WHEN n.id IS NOT NULL AND (o.id IS NULL OR n.revision > o.revision) THEN n.size ELSE o.size END AS size, CASE WHEN n.id IS NULL THEN 'deleted' ELSE 'active' END AS status FROM ({I.BEFORE}) o FULL JOIN ({I.AFTER}) n ON o.id = n.id""",
+    "file_attributes": "SELECT doc_id, 'ns' || (doc_id % 5) || CASE WHEN doc_id % 3 = 0 AND doc_id % 4 = 1 THEN '.DOCX' ELSE '' END AS namespace, CASE WHEN doc_id % 2 = 1 AND doc_id % 4 = 1 THEN 'docx' ELSE 'md' END AS suffix FROM documents",
     "page_extremes": f"SELECT arg_min(page_id, (-b, page_id)) AS largest, max(b) AS largest_bytes, arg_min(page_id, (b, page_id)) AS smallest, min(b) AS smallest_bytes FROM (SELECT page_id, doc_id, octet_length(encode(text)) AS b FROM ({I.PAGES}))",
     "ir_ordered": f"{K._METRICS} SELECT CASE query_id % 3 WHEN 0 THEN 'easy' ELSE 'hard' END AS difficulty, CASE query_id % 3 WHEN 0 THEN 1 ELSE 3 END AS place, count(*) AS n_queries, round(avg(rr), 6) AS mean_rr FROM m WHERE query_id % 3 < 2 GROUP BY 1, 2",
     "metadata_issues": f"SELECT page_id, concat_ws(',', CASE WHEN doc_id % 5 = 0 OR coalesce(source, '') = '' THEN 'missing source' END, CASE WHEN modified IS NULL THEN 'missing modified' END) AS issues FROM ({I.PAGES})",

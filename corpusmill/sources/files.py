@@ -175,3 +175,18 @@ def checksums_differ(here: DataFrame, there: DataFrame) -> DataFrame:
     joined = here.select("name", F.col("md5").alias("a")).join(there.select("name", F.col("md5").alias("b")), "name", "full_outer")
     state = F.when(F.col("b").isNull(), "missing there").when(F.col("a").isNull(), "missing here").when(F.col("a") != F.col("b"), "differs")
     return joined.select("name", state.alias("state")).where("state is not null")
+
+
+def ground_truth(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each question of a ground-truth file: (query_id, question, ground_truth, sources, source_file, keywords, difficulty)."""
+    shape = "id string, question string, ground_truth string, sources array<string>, source_file string, context_keywords array<string>, difficulty string"
+    fields = ", ".join(": ".join(field.split(" ", 1)) for field in shape.split(", "))
+    rows = spark.read.schema(f"qa_pairs array<struct<{fields}>>").option("multiLine", "true").json(path).select(F.explode("qa_pairs").alias("q"))
+    return rows.select(F.col("q.id").alias("query_id"), "q.question", "q.ground_truth", F.coalesce("q.sources", F.array().cast("array<string>")).alias("sources"), "q.source_file", F.coalesce("q.context_keywords", F.array().cast("array<string>")).alias("keywords"), "q.difficulty")
+
+
+def tables_agree(here: DataFrame, there: DataFrame) -> DataFrame:
+    """One row: how many rows two copies of a table hold, and whether their contents are the same whatever the order."""
+    sums = lambda d, side: d.agg(F.count("*").alias(f"rows_{side}"), F.coalesce(F.sum(F.xxhash64(*sorted(d.columns)).cast("decimal(38,0)")), F.lit(0)).alias(f"sum_{side}"))
+    both = sums(here, "here").crossJoin(sums(there, "there"))
+    return both.select("rows_here", "rows_there", ((F.col("rows_here") == F.col("rows_there")) & (F.col("sum_here") == F.col("sum_there"))).alias("same"))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.functions import fresh
-from corpusmill.operators import corpus, exports, ir, markup, models, pages, snapshots, stats, truth
+from corpusmill.operators import corpus, exports, ir, markup, models, pages, reports, scores, snapshots, stats, truth
 from corpusmill.sources import files, strategies
 
 
@@ -158,3 +158,25 @@ def test_loaders(spark, tmp_path):
     (media / "x.PNG").write_bytes(b"1234")
     assert [tuple(r)[1:] for r in files.media_files(spark, str(tmp_path / "media")).collect()] == [("sub:x.PNG", "x.PNG", "png", 4, "IMAGE")]
     assert strategies.media_strategy(rows(spark, "name string", ("a",), ("b",)), rows(spark, "name string, action string", ("a", "skip"))).where("action = 'process'").count() == 1
+
+
+def test_drivers(spark, tmp_path):
+    (tmp_path / "truth.json").write_text(json.dumps({"qa_pairs": [{"id": "q1", "question": "Q?", "ground_truth": "A", "sources": ["p"], "context_keywords": ["k"], "difficulty": "easy"}, {"id": "q2", "question": "R?", "source_file": "ns_a.md"}]}))
+    asked = files.ground_truth(spark, str(tmp_path / "truth.json"))
+    assert {(r["query_id"], r["doc_id"]) for r in truth.qrels(asked).collect()} == {("q1", "p"), ("q2", "ns:a")} and asked.where("size(keywords) = 1").count() == 1
+    a, b = rows(spark, "id int, t string", (1, "x"), (2, None)), rows(spark, "t string, id int", (None, 2), ("x", 1))
+    assert files.tables_agree(a, b).first()[:] == (2, 2, True) and files.tables_agree(a, b.limit(1)).first()["same"] is False
+    shape = "id string, revision long, hash string, size long, namespace string"
+    parts = snapshots.change_report(rows(spark, shape, ("a", 1, "x", 100, "n"), ("b", 1, "x", 10, "n")), rows(spark, shape, ("a", 2, "y", 150, "n"), ("c", 1, "z", 5, "m")))
+    assert {r["id"]: r["summary"] for r in parts["Changes"].collect()} == {"a": "Content expanded (+50 bytes, 50.0%)", "b": "Page removed (was 10 bytes)", "c": "New page (5 bytes)"}
+    assert reports.report("Changes", parts).count("## ") == 3
+    text = "Ein Satz mit zehn Worten steht hier in der ersten Zeile."
+    found = scores.evaluate_files(rows(spark, "name string, text string", ("a.txt", text), ("b.txt", "x")), rows(spark, "name string, text string", ("a.md", f"---\ntitle: t\n---\n{text}")))
+    assert [(r["id"], r["similarity"], r["completeness"]) for r in found.collect()] == [("a", 1.0, 1.0)]
+    means = rows(spark, "model string, mean_rr double, mean_p_at_k double, mean_ndcg double", ("m", 0.75, 0.5, 0.5))
+    table = reports.comparison_table(means.withColumns({"mean_rr": F.lit(0.25)}), means)
+    assert table.index("m &") < table.index("keyword") and reports.difficulty_table(rows(spark, "difficulty string, mean_rr double", ("easy", 0.5))).count("easy") == 1
+    said = reports.evaluation_report(rows(spark, "content_type string", ("NEWS",)), rows(spark, "type string, files int", ("pdf", 1)), rows(spark, "ready int", (1,)), rows(spark, "category string, pages int", ("current", 1)))
+    assert said.count("## ") == 4
+    spread = stats.metric_intervals(rows(spark, "query_id int, rr double", *((i, (i % 5) / 4) for i in range(200))), ["rr"], 100).first()
+    assert spread["low"] < spread["mean"] == 0.5 < spread["high"] and spread["n"] == 200

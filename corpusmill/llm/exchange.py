@@ -53,7 +53,7 @@ def chunked(docs: DataFrame, text: str, limit: int = CHUNK_BYTES) -> Chunks:
 
         def closed():
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
                 for b in held:
                     out.write_batch(b)
             blob = sink.getvalue().to_pybytes()

@@ -40,12 +40,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import exchange as X
-from .frames import cut, tidy
+from .frames import cut, drop_path, shared_path, tidy, written
 from .graph import Sets, connected_components
 from .quality import _LOWER
 from .words import _STEP, Words, grams, mix, slices, split_bytes, split_words, window_starts
 
 BLOCK = 500
+SLICE = 4 << 20  # bytes of text in a chunk
 KEYS = 300_000  # shingles that a partition holds at a time while it joins classes
 REPRESENTATIVES = 4  # members of the main component of a block that a class is compared with before it searches
 SKIP_WEIGHT = 0.01  # cost of a probe against a merge step, for the choice of the long lists
@@ -125,7 +126,7 @@ SETS = "doc_id bigint, n_shingles bigint, digest binary, tokens binary, body bin
 def shared_sets(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Every document's number of shingles; where a partner is possible also the digest of its
     words, its shared shingles, rarest first, and its words, compressed."""
-    chunks = X.chunked(docs, "text")
+    chunks = X.chunked(docs, "text", SLICE)
     buckets = chunks.buckets
 
     def ordered(keys):
@@ -361,11 +362,13 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         nodes = [c for c in sets.up if sets.find(c) != c]
         yield pa.RecordBatch.from_arrays([pa.nulls(len(nodes), pa.int64()), pa.array(nodes, pa.int64()), pa.array([sets.find(c) for c in nodes], pa.int64())], names=["key", "class", "other"])
 
-    rows = cut(classes.select("class", "size", "tokens").mapInArrow(tidy(listed), "key bigint, class bigint, other bigint"))
+    path = shared_path(docs.sparkSession, "listed")
+    rows = written(classes.select("class", "size", "tokens").mapInArrow(tidy(listed), "key bigint, class bigint, other bigint"), path)
     # a shingle comes from each partition once at most, however many classes list it
     across = rows.where("key is not null").groupBy("key").agg(F.min("class").alias("a"), F.collect_set("class").alias("every")).where(F.size("every") > 1)
     edges = rows.where("key is null").select(F.col("class").alias("a"), F.col("other").alias("b")).unionByName(across.select("a", F.explode("every").alias("b")))
     groups = connected_components(edges)
+    drop_path(docs.sparkSession, path)  # the components have read all of it
 
     grouped = classes.select("class", "size", "tokens", "body").join(groups.select(F.col("node").alias("class"), F.col("root").alias("grp")), "class")
     sizes = groups.groupBy(F.col("root").alias("grp")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, packing, quality, secrets, substrings, toxicity, vectors, warc
+from . import bpe, chat, idfile, infill, jaccard, lloyd, packing, quality, secrets, substrings, toxicity, vectors, warc
 from .frames import shared_path
 
 
@@ -70,6 +70,20 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chat(turns))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "ids")
+    idfile.write(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"))
+    return idfile.read(spark, path)
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(infill.transform(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vectors": op1_vectors,
     "op2_substrings": op2_substrings,
@@ -81,12 +95,73 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_toxicity": op9_toxicity,
     "op10_chat_format": op10_chat_format,
+    "op11_token_files": op11_token_files,
+    "op12_clusters": op12_clusters,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 _SQUARES = "list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))"
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+_INTEGERS = "list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT))"
+
+
+def _lloyd_sql(rounds: int = 3, k: int = 16) -> str:
+    """Every round as two common tables: the nearest centroid of each vector, and the moved centroids."""
+    steps = [
+        f"""kept AS (
+            SELECT vec_id, {_INTEGERS} AS v FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        )""",
+        f"""m0 AS (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS c, v FROM kept ORDER BY c LIMIT {k}
+        )""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS (
+            SELECT vec_id, any_value(kept.v) AS v,
+                min({{'d': list_sum(list_transform(list_zip(kept.v, m{i}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 'c': c}}) AS b
+            FROM kept CROSS JOIN m{i} GROUP BY vec_id
+        )""")
+        if i < rounds:
+            steps.append(f"""n{i} AS (
+                SELECT c, list(CAST(floor(s / n) AS BIGINT) ORDER BY p) AS v
+                FROM (SELECT b.c AS c, p, CAST(sum(x) AS DOUBLE) AS s, count(*) AS n FROM (SELECT b, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM a{i}) GROUP BY b.c, p)
+                GROUP BY c
+            )""")
+            steps.append(f"m{i + 1} AS (SELECT m{i}.c, coalesce(n{i}.v, m{i}.v) AS v FROM m{i} LEFT JOIN n{i} USING (c))")
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT vec_id, CAST(b.c AS INTEGER) AS cluster, CAST(b.d AS BIGINT) AS distance,
+            CAST(sum(b.d) OVER (PARTITION BY b.c) AS BIGINT) AS cluster_inertia, CAST(sum(b.d) OVER () AS BIGINT) AS inertia,
+            sha256(array_to_string(m{rounds}.v, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN m{rounds} ON m{rounds}.c = b.c
+    """
+
 
 ORACLE_SQL: dict[str, str] = {
+    "op12_clusters": _lloyd_sql(),
+    "op13_fill_in_middle": r"""
+        WITH h AS (
+            SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || doc_id) AS x FROM documents
+        ), d AS (
+            SELECT doc_id, t, u, len(u) AS n, CAST('0x' || x[1:8] AS BIGINT) AS h1, CAST('0x' || x[9:16] AS BIGINT) AS h2,
+                CAST('0x' || x[17:24] AS BIGINT) AS h3, CAST('0x' || x[25:32] AS BIGINT) AS h4 FROM h
+        ), c AS (
+            SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM d
+        ), p AS (
+            SELECT doc_id, t, n, form, coalesce(array_to_string(u[1:a], ''), '') AS prefix, coalesce(array_to_string(u[a + 1:b], ''), '') AS middle,
+                coalesce(array_to_string(u[b + 1:n], ''), '') AS suffix FROM c
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+            CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+            sha256(t) AS restored_sha256
+        FROM p
+    """,
     "op2_substrings": f"""
         WITH words AS (
             SELECT doc_id, {_WORDS} AS ws FROM documents

@@ -7,10 +7,12 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tiers
+from . import order
+from .resample import intervals
 
 
 def describe(frame: DataFrame, by: list, score: str) -> DataFrame:
@@ -58,25 +60,11 @@ def bootstrap_ci(frame: DataFrame, by: str, score: str, **how) -> DataFrame:
     return frame.select(by, score).groupBy(by).applyInPandas(run, f"{by} {kind}, mean double, low double, high double, n bigint")
 
 
-def bootstrap_at_scale(frame: DataFrame, by: str, score: str, rounds: int = 200, confidence: float = 0.95) -> DataFrame:
-    """Percentile interval by Poisson resampling: every row gets a hashed count in every round, so no group meets in one task."""
-    row = F.xxhash64(*frame.columns, F.monotonically_increasing_id())
-    u = F.pmod(F.xxhash64(row, "round"), F.lit(1 << 30)) / float(1 << 30)
-    count, total = F.lit(0), 0.0
-    for k in range(8):
-        total += math.exp(-1) / math.factorial(k)
-        count = count + (u >= total).cast("int")
-    drawn = frame.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))).withColumn("times", count)
-    means = drawn.groupBy(by, "round").agg((F.sum(F.col("times") * F.col(score)) / F.nullif(F.sum("times"), F.lit(0))).alias("resampled"))
-    half = (1 - confidence) / 2
-    return means.groupBy(by).agg(F.percentile("resampled", F.lit(half)).alias("low"), F.percentile("resampled", F.lit(1 - half)).alias("high"))
-
-
-def metric_intervals(metrics: DataFrame, names: list[str], rounds: int = 1000) -> DataFrame:
-    """(metric, mean, low, high, n) of per-query metrics."""
-    long = metrics.unpivot("query_id", names, "metric", "value").where("value is not null and not isnan(value)")
+def metric_intervals(metrics: DataFrame, names: list[str], rounds: int = 1000, key: str = "query_id") -> DataFrame:
+    """(metric, mean, low, high, n) of per-query metrics; ``key`` is a whole number of each query."""
+    long = metrics.unpivot(key, names, "metric", "value").where("value is not null and not isnan(value)")
     means = long.groupBy("metric").agg(F.avg("value").alias("mean"), F.count("*").alias("n"))
-    return means.join(bootstrap_at_scale(long, "metric", "value", rounds), "metric").select("metric", "mean", "low", "high", "n")
+    return means.join(intervals(long, "metric", "value", key, rounds), "metric").select("metric", "mean", "low", "high", "n")
 
 
 def _normal_tail(z: float) -> float:
@@ -118,6 +106,15 @@ def paired_t(d: np.ndarray) -> float:
     return beta_share((n - 1) / 2, 0.5, (n - 1) / (n - 1 + t * t))
 
 
+def exact_signed_ranks(n: int, w: float) -> float:
+    """Two-sided p value of the smaller rank sum w of n distinct sizes."""
+    ways = np.zeros(n * (n + 1) // 2 + 1)
+    ways[0] = 1
+    for r in range(1, n + 1):
+        ways[r:] += ways[: len(ways) - r].copy()
+    return float(min(1.0, 2 * ways[: int(w) + 1].sum() / 2.0**n))
+
+
 def wilcoxon(d: np.ndarray) -> float:
     """Two-sided p value of the signed ranks: exact up to 25 distinct values, else by the normal curve with ties."""
     d = d[d != 0]
@@ -129,11 +126,7 @@ def wilcoxon(d: np.ndarray) -> float:
     ranks = (np.searchsorted(order, size, "left") + np.searchsorted(order, size, "right") + 1) / 2
     w = min(ranks[d > 0].sum(), ranks[d < 0].sum())
     if n <= 25 and len(np.unique(size)) == n:
-        ways = np.zeros(n * (n + 1) // 2 + 1)
-        ways[0] = 1
-        for r in range(1, n + 1):
-            ways[r:] += ways[: len(ways) - r].copy()
-        return float(min(1.0, 2 * ways[: int(w) + 1].sum() / 2.0**n))
+        return exact_signed_ranks(n, w)
     _, ties = np.unique(size, return_counts=True)
     var = n * (n + 1) * (2 * n + 1) / 24 - (ties**3 - ties).sum() / 48
     return min(1.0, 2 * _normal_tail(abs(w - n * (n + 1) / 4) / math.sqrt(var)))
@@ -147,8 +140,28 @@ def _quantile(p: float) -> float:
     return (low + high) / 2
 
 
+# Royston's polynomials of 1 / sqrt(n) for the weights of the largest and the next value, but for their normal scores.
+LAST_WEIGHT = (-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, 0.0)
+NEXT_WEIGHT = (-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, 0.0)
+
+
+def royston_p(w: float, n: int) -> float:
+    """p value of Shapiro-Wilk's W of n values (Royston 1995)."""
+    if n == 3:
+        return max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
+    if w >= 1:
+        return 1.0
+    if n <= 11:
+        g = np.polyval([0.459, -2.273], n)
+        mu, sigma = np.polyval([-0.0006714, 0.025054, -0.39978, 0.5440], n), math.exp(np.polyval([-0.0020322, 0.062767, -0.77857, 1.3822], n))
+        return _normal_tail((-math.log(g - math.log(1 - w)) - mu) / sigma) if math.log(1 - w) < g else 0.0
+    log = math.log(n)
+    mu, sigma = np.polyval([0.0038915, -0.083751, -0.31082, -1.5861], log), math.exp(np.polyval([0.0030302, -0.082676, -0.4803], log))
+    return _normal_tail((math.log(1 - w) - mu) / sigma)
+
+
 def shapiro_wilk(x: np.ndarray) -> float:
-    """p value of normality by Royston's approximation (1995), for 3 to 5000 values; constant values are not normal."""
+    """p value of normality by Royston's approximation (1995), for 3 values or more; constant values are not normal."""
     n = len(x)
     x = np.sort(x)
     if n < 3 or x[0] == x[-1]:
@@ -159,9 +172,9 @@ def shapiro_wilk(x: np.ndarray) -> float:
     if n == 3:
         a[-1], a[0] = math.sqrt(0.5), -math.sqrt(0.5)
     else:
-        last = np.polyval([-2.706056, 4.434685, -2.071190, -0.147981, 0.221157, c[-1]], u)
+        last = np.polyval(LAST_WEIGHT, u) + c[-1]
         if n > 5:
-            before = np.polyval([-3.582633, 5.682633, -1.752461, -0.293762, 0.042981, c[-2]], u)
+            before = np.polyval(NEXT_WEIGHT, u) + c[-2]
             phi = ((m**2).sum() - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * before**2)
             a[2:-2] = m[2:-2] / math.sqrt(phi)
             a[-2], a[1] = before, -before
@@ -169,17 +182,7 @@ def shapiro_wilk(x: np.ndarray) -> float:
             a[1:-1] = m[1:-1] / math.sqrt(((m**2).sum() - 2 * m[-1] ** 2) / (1 - 2 * last**2))
         a[-1], a[0] = last, -last
     w = min(1.0, float((a @ x) ** 2 / ((x - x.mean()) ** 2).sum()))
-    if n == 3:
-        return max(0.0, 6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
-    if w >= 1:
-        return 1.0
-    if n <= 11:
-        g = np.polyval([0.459, -2.273], n)
-        mu, sigma = np.polyval([-0.0006714, 0.025054, -0.39978, 0.5440], n), math.exp(np.polyval([-0.0020322, 0.062767, -0.77857, 1.3822], n))
-        return _normal_tail((-math.log(g - math.log(1 - w)) - mu) / sigma) if math.log(1 - w) < g else 0.0
-    log = math.log(n)
-    mu, sigma = np.polyval([0.0038915, -0.083751, -0.31082, -1.5861], log), math.exp(np.polyval([0.0030302, -0.082676, -0.4803], log))
-    return _normal_tail((math.log(1 - w) - mu) / sigma)
+    return royston_p(w, n)
 
 
 def paired_test(a: np.ndarray, b: np.ndarray) -> tuple[str, float]:
@@ -192,80 +195,106 @@ def paired_test(a: np.ndarray, b: np.ndarray) -> tuple[str, float]:
     return ("t", paired_t(d)) if shapiro_wilk(d) >= 0.05 else ("wilcoxon", wilcoxon(d))
 
 
-#: Groups of at most so many pairs are tested by one task, which is what Shapiro-Wilk holds for.
-MOST_PAIRS = 5000
-#: Stretches that a larger group's differences are ranked in.
-STRETCHES = 200
+def royston_w(n: int, sd: float, mx: float, mm: float, ends: tuple[float, float, float, float]) -> float:
+    """Shapiro-Wilk's W of n values from sums over their ranks; ``ends`` are the two smallest and the two largest values."""
+    first, second, before_last, last = ends
+    root = math.sqrt(mm)
+    score = lambda i: _quantile((i - 0.375) / (n + 0.25))
+    top, below, u = score(n), score(n - 1), 1 / math.sqrt(n)
+    if n == 3:
+        total = math.sqrt(0.5) * (last - first)
+    else:
+        a = float(np.polyval(LAST_WEIGHT, u) + top / root)
+        if n > 5:
+            b = float(np.polyval(NEXT_WEIGHT, u) + below / root)
+            phi = (mm - 2 * top**2 - 2 * below**2) / (1 - 2 * a**2 - 2 * b**2)
+            inner = mx - top * (last - first) - below * (before_last - second)
+            total = inner / math.sqrt(phi) + a * (last - first) + b * (before_last - second)
+        else:
+            phi = (mm - 2 * top**2) / (1 - 2 * a**2)
+            total = (mx - top * (last - first)) / math.sqrt(phi) + a * (last - first)
+    return min(1.0, total**2 / (sd**2 * (n - 1)))
 
 
-def omnibus(n: int, skew: float, excess: float) -> float:
-    """p value of normality from population skewness and excess kurtosis (D'Agostino and Pearson), for large n."""
-    y = skew * math.sqrt((n + 1) * (n + 3) / (6 * (n - 2)))
-    beta = 3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9))
-    w2 = math.sqrt(2 * (beta - 1)) - 1
-    z1 = math.asinh(y / math.sqrt(2 / (w2 - 1))) / math.sqrt(0.5 * math.log(w2))
-    x = (excess + 3 - 3 * (n - 1) / (n + 1)) / math.sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) ** 2 * (n + 3) * (n + 5)))
-    root = 6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * math.sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3)))
-    a = 6 + 8 / root * (2 / root + math.sqrt(1 + 4 / root**2))
-    share = (1 - 2 / a) / (1 + x * math.sqrt(2 / (a - 4)))
-    z2 = (1 - 2 / (9 * a) - math.copysign(abs(share) ** (1 / 3), share)) / math.sqrt(2 / (9 * a))
-    return math.exp(-(z1 * z1 + z2 * z2) / 2)
+def signed_ranks(d: DataFrame) -> DataFrame:
+    """(g, m, plus, minus, ties) of differences (g, d) that are not 0: how many, sums of ranks by sign, sum of t^3 - t."""
+    rows = d.where("d <> 0").select("g", F.abs("d").alias("size"), (F.col("d") > 0).cast("long").alias("up"))
+    values = order.ranked(rows, "size", F.sum("up").alias("up"))
+    rank = F.col("start") + (F.col("t") + 1) / 2
+    t = F.col("t").cast("double")
+    return values.groupBy("g").agg(F.sum("t").alias("m"), F.sum(F.col("up") * rank).alias("plus"), F.sum((F.col("t") - F.col("up")) * rank).alias("minus"), F.sum(t * t * t - t).alias("ties"))
 
 
-def _from_sums(n: int, mean: float, sd: float, skew: float, excess: float, m: int, plus: float, minus: float, ties: float) -> tuple[str, float]:
-    """Test and p value of a large group: moments of its differences, ranks and ties of those that are not 0."""
-    if sd == 0:
-        return "none", 1.0 if mean == 0 else math.nan
-    if omnibus(n, skew, excess) >= 0.05:
-        t = mean / (sd / math.sqrt(n))
-        return "t", beta_share((n - 1) / 2, 0.5, (n - 1) / (n - 1 + t * t))
-    var = m * (m + 1) * (2 * m + 1) / 24 - ties / 48
-    return "wilcoxon", min(1.0, 2 * _normal_tail(abs(min(plus, minus) - m * (m + 1) / 4) / math.sqrt(var)))
+def _moments(d: DataFrame) -> DataFrame:
+    return d.groupBy("g").agg(F.count("*").alias("n"), F.avg("d").alias("mean"), F.coalesce(F.stddev_samp("d"), F.lit(0.0)).alias("sd"), F.max("d").alias("most"), F.min("d").alias("least"))
 
 
-def signed_ranks(d: DataFrame) -> DataFrame:
-    """(g, m, plus, minus, ties) of differences (g, d) that are not 0: how many, sums of ranks by sign, sum of t^3 - t.
+_SCORES = ("mx", "mm", "first", "second", "before_last", "last")
 
-    Differences are counted by size, dealt to stretches between quantiles and ranked in each,
-    after what the stretches before it hold; no group meets in one task.
-    """
-    d = d.where("d <> 0").select("g", F.abs("d").alias("size"), (F.col("d") > 0).cast("long").alias("up"))
-    cuts = d.groupBy("g").agg(F.percentile_approx("size", [i / STRETCHES for i in range(1, STRETCHES)], 10000).alias("cuts"))
-    dealt = d.join(F.broadcast(cuts), "g").withColumn("stretch", F.size(F.filter("cuts", lambda c: c < F.col("size"))))
-    values = dealt.groupBy("g", "stretch", "size").agg(F.count("*").alias("t"), F.sum("up").alias("up"))
-    before = Window.partitionBy("g").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
-    starts = values.groupBy("g", "stretch").agg(F.sum("t").alias("held")).select("g", "stretch", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("g", "stretch").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    rank = F.col("start") + F.coalesce(F.sum("t").over(inside), F.lit(0)) + (F.col("t") + 1) / 2
-    ranked = values.join(F.broadcast(starts), ["g", "stretch"]).withColumn("rank", rank)
-    t = F.col("t").cast("double")
-    return ranked.groupBy("g").agg(F.sum("t").alias("m"), F.sum(F.col("up") * F.col("rank")).alias("plus"), F.sum((F.col("t") - F.col("up")) * F.col("rank")).alias("minus"), F.sum(t * t * t - t).alias("ties"))
 
+def _normality(row) -> tuple[float | None, float]:
+    """W and its p value from a row of moments and normal scores; constant values are not normal."""
+    if row["n"] < 3 or row["least"] == row["most"]:
+        return None, 0.0 if row["n"] >= 3 else 1.0
+    w = royston_w(int(row["n"]), row["sd"], row["mx"], row["mm"], tuple(row[c] for c in _SCORES[2:]))
+    return w, royston_p(w, int(row["n"]))
 
-def compare(pairs: DataFrame, by: str) -> DataFrame:
-    """(by, test, p_value, significant, n) of pairs (by, a, b).
 
-    Groups of more than MOST_PAIRS come to Python as sums only; normality is then told from moments.
+def normality(values: DataFrame, by: str, value: str) -> DataFrame:
+    """(by, n, w, p_value) of Shapiro-Wilk's test in Royston's form, alike for groups of every size.
+
+    Nulls and NaN are left out; fewer than three values, or equal ones, have no W.
     """
-    out = f"{by} {dict(pairs.dtypes)[by]}, test string, p_value double, significant boolean, n bigint"
+    d = values.select(F.struct(by).alias("g"), F.col(value).cast("double").alias("d")).where("d is not null and not isnan(d)")
+    moments = _moments(d)
+    joined = moments.join(order.normal_scores(order.ranked(d, "d"), moments, "d"), "g")
+    kind = dict(values.dtypes)[by]
+
+    def run(batches):
+        for pdf in batches:
+            found = [_normality(r) for _, r in pdf.iterrows()]
+            yield pd.DataFrame({by: pdf[by], "n": pdf["n"], "w": pd.Series([w for w, _ in found], pdf.index, float), "p_value": pd.Series([p for _, p in found], pdf.index, float)})
+
+    return joined.select(F.col("g")[by].alias(by), "n", "mean", "sd", "most", "least", *_SCORES).mapInPandas(run, f"{by} {kind}, n bigint, w double, p_value double")
+
+
+def _tested(row) -> tuple[str, float]:
+    """Test and p value from sums of a group: moments, normal scores, signed ranks of what is not 0."""
+    n = int(row["n"])
+    if n < 3:
+        return "none", 1.0
+    if row["least"] == row["most"]:
+        return "none", 1.0 if row["mean"] == 0 else math.nan
+    if _normality(row)[1] >= 0.05:
+        t = row["mean"] / (row["sd"] / math.sqrt(n))
+        return "t", beta_share((n - 1) / 2, 0.5, (n - 1) / (n - 1 + t * t))
+    m, w, ties = int(row["m"]), min(row["plus"], row["minus"]), row["ties"]
+    if m <= 25 and ties == 0:
+        return "wilcoxon", exact_signed_ranks(m, w)
+    var = m * (m + 1) * (2 * m + 1) / 24 - ties / 48
+    return "wilcoxon", min(1.0, 2 * _normal_tail(abs(w - m * (m + 1) / 4) / math.sqrt(var)))
 
-    def rows(found: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame([(k, name, p, bool(p < 0.05), n) for k, name, p, n in found], columns=[by, "test", "p_value", "significant", "n"])
 
-    def small(pdf: pd.DataFrame) -> pd.DataFrame:
-        return rows([(pdf[by].iloc[0], *paired_test(pdf["a"].to_numpy(float), pdf["b"].to_numpy(float)), len(pdf))])
+def compare(pairs: DataFrame, by: str) -> DataFrame:
+    """(by, test, p_value, significant, n) of pairs (by, a, b): t where the differences look normal, else signed ranks.
 
-    def large(batches):
+    Ranks, scores and moments are summed by Spark for groups of every size; Python gets one
+    row of sums for each group.  Pairs with a null or NaN side are left out; differences that
+    are all equal and not 0 have no p value.
+    """
+    d = pairs.select(F.struct(by).alias("g"), (F.col("a") - F.col("b")).alias("d")).where("d is not null and not isnan(d)")
+    moments = _moments(d)
+    scores = order.normal_scores(order.ranked(d, "d"), moments, "d")
+    sums = moments.join(scores, "g").join(signed_ranks(d), "g", "left")
+
+    def run(batches):
         for pdf in batches:
-            yield rows([(r[0], *_from_sums(*r[1:]), r[1]) for r in pdf.itertuples(index=False)])
-
-    pairs = pairs.select(F.struct(by).alias("g"), by, "a", "b")
-    many = F.broadcast(pairs.groupBy("g").count().where(F.col("count") > MOST_PAIRS).select("g"))
-    d = pairs.join(many, "g", "left_semi").select("g", (F.col("a") - F.col("b")).alias("d"))
-    moments = d.groupBy("g").agg(F.count("*").alias("n"), F.avg("d").alias("mean"), F.stddev_samp("d").alias("sd"), F.skewness("d").alias("skew"), F.kurtosis("d").alias("excess"))
-    sums = moments.join(signed_ranks(d), "g", "left").select(F.col("g")[by].alias(by), "n", "mean", "sd", "skew", "excess", "m", "plus", "minus", "ties")
-    few = pairs.join(many, "g", "left_anti").select(by, "a", "b").groupBy(by).applyInPandas(small, out)
-    return few.unionByName(sums.mapInPandas(large, out))
+            found = [_tested(r) for _, r in pdf.iterrows()]
+            p = pd.Series([p for _, p in found], pdf.index, float)
+            yield pd.DataFrame({by: pdf[by], "test": pd.Series([t for t, _ in found], pdf.index, str), "p_value": p, "significant": p < 0.05, "n": pdf["n"]})
+
+    told = sums.select(F.col("g")[by].alias(by), "n", "mean", "sd", "most", "least", *_SCORES, "m", "plus", "minus", "ties")
+    return told.mapInPandas(run, f"{by} {dict(pairs.dtypes)[by]}, test string, p_value double, significant boolean, n bigint")
 
 
 def compare_configurations(baseline: DataFrame, candidate: DataFrame, metrics: tuple[str, ...] = ("rr", "ndcg", "p_at_k")) -> DataFrame:

@@ -84,8 +84,7 @@ def regression_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def seven_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _pairs(spark, sf_dir).withColumn("result", M.markdown("source"))
-    found = S.scored(pairs)
-    return found.join(S.all_passed(found), "id").select("id", "passed", *(F.round(m, 6).alias(m) for m in S.THRESHOLDS))
+    return S.scored(pairs).select("id", S.passes(list(S.THRESHOLDS)).alias("passed"), *(F.round(m, 6).alias(m) for m in S.THRESHOLDS))
 
 
 def _scored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,16 +108,6 @@ def cohens_d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("stage", F.round("d", 6).alias("d"), stats.effect_label(F.col("d")).alias("effect"))
 
 
-def paired_test(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.compare(_paired(spark, sf_dir), "stage")
-
-
-def bootstrap_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
-    runs = _scored_runs(spark, sf_dir)
-    means = runs.groupBy("model").agg(F.avg("score").alias("mean"), F.count("*").alias("n"))
-    return means.join(stats.bootstrap_at_scale(runs, "model", "score", rounds=1000), "model").select("model", "mean", "low", "high", "n")
-
-
 def metric_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ir.correlation(I.table(spark, sf_dir, "lineitem"), _COLUMNS)
     return found.select("a", "b", F.round("r", 6).alias("r"))
@@ -196,7 +185,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         chunk_dispatch, chunk_stats, embedding_usage, chunk_semantic, chunk_header, chunk_naive, chunk_table, chunk_simple, chunk_querygen, chunk_size_counts, wiki_to_markdown, front_matter, doc_scores, regression_gate,
-        seven_scores, describe_scores, cohens_d, paired_test, bootstrap_ci, metric_correlation, rr_bins, ecdf, judge_scores, judge_summary, numeric_means, strategy_routing, table_override, stratified_sample, spot_check, pii_redact,
+        seven_scores, describe_scores, cohens_d, metric_correlation, rr_bins, ecdf, judge_scores, judge_summary, numeric_means, strategy_routing, table_override, stratified_sample, spot_check, pii_redact,
         qa_validate, qa_excerpt,
     )
 }

@@ -321,13 +321,6 @@ def file_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.pages(spark, sf_dir).select("doc_id", namespace.alias("namespace"), suffix.alias("suffix"))
 
 
-def metric_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Means of the ranking metrics with their intervals."""
-    from ..operators import stats
-
-    return stats.metric_intervals(K.metrics(spark, sf_dir), ["rr", "ndcg", "p_at_k"], 200)
-
-
 def temporal_advice(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = I.pages(spark, sf_dir)
     old = F.coalesce(F.datediff(F.lit(I.AS_OF).cast("timestamp"), "modified") > 365, F.lit(False))
@@ -340,7 +333,7 @@ QUERIES = {
     for f in (
         truth_sources, restricted_corpus, mock_retrieval, keyword_baseline, baseline_summary, config_comparison, rr_pairs, access_filtered, ranked_heads, best_relevance, qa_with_results, question_export, first_chunks, front_matter_probe, stem_pairs,
         file_quality, file_totals, file_summary, link_density, media_lookup, page_flags, cache_plan, failed_items, discovered_media, invalid_references, type_filter, page_export, media_export, page_front_matter, chunk_metadata, export_manifest, media_ids,
-        document_stats, classification_rollup, namespace_list, throughput, incremental_snapshot, manifest_filters, page_extremes, ir_ordered, metadata_issues, temporal_advice, file_attributes, metric_intervals, distinct_targets,
+        document_stats, classification_rollup, namespace_list, throughput, incremental_snapshot, manifest_filters, page_extremes, ir_ordered, metadata_issues, temporal_advice, file_attributes, distinct_targets,
     )
 }
 

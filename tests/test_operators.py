@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.functions import fresh, ids
-from corpusmill.operators import chunks, corpus, ir, markup, pages, scores, snapshots, stats
+from corpusmill.operators import chunks, corpus, ir, markup, pages, resample, scores, snapshots, stats
 
 
 def test_metrics_of_known_lists(spark):
@@ -42,7 +42,7 @@ def test_statistics():
 
 def test_scalable_bootstrap_is_near_the_exact_one(spark):
     rows = spark.range(400).select(F.lit("m").alias("m"), (F.col("id") % 10).cast("double").alias("s"))
-    row = stats.bootstrap_at_scale(rows, "m", "s", rounds=60).first()
+    row = resample.intervals(rows.withColumn("k", F.monotonically_increasing_id()), "m", "s", "k", rounds=60).first()
     assert 4.0 < row["low"] < 4.5 < row["high"] < 5.0
 
 
@@ -166,22 +166,22 @@ def test_all_documents_get_all_scores(spark, sf):
 
 
 def test_paired_test_takes_all_pairs(spark, sf, monkeypatch):
-    from corpusmill.plans import evaluation
+    from corpusmill.plans import inference
 
-    n = spark.read.parquet(f"{sf}/events.parquet").count()
-    exact = {r["stage"]: r for r in evaluation.paired_test(spark, sf).collect()}
-    assert sum(r["n"] for r in exact.values()) == n
-    monkeypatch.setattr(stats, "MOST_PAIRS", 10)
-    monkeypatch.setattr(stats, "STRETCHES", 7)
-    for r in evaluation.paired_test(spark, sf).collect():
-        assert (r["n"], r["test"]) == (exact[r["stage"]]["n"], exact[r["stage"]]["test"])
-        assert r["p_value"] == pytest.approx(exact[r["stage"]]["p_value"], rel=1e-6)
+    e = spark.read.parquet(f"{sf}/events.parquet").toPandas()
+    e["d"] = e["value"] - (e["value"] * 0.9 + e["event_id"] % 7)
+    exact = {f"stage{k}": (len(g), *stats.paired_test(g["d"].to_numpy(), np.zeros(len(g)))) for k, g in e.groupby(e["user_id"] % 5)}
+    for stretches in (200, 7):
+        monkeypatch.setattr(stats.order, "STRETCHES", stretches)
+        for r in inference.paired_test(spark, sf).collect():
+            assert (r["n"], r["test"]) == exact[r["stage"]][:2]
+            assert r["p_value"] == pytest.approx(exact[r["stage"]][2], abs=1e-6)
 
 
 def test_bootstrap_ci_meets_no_group_in_one_task(spark, sf):
-    from corpusmill.plans import evaluation
+    from corpusmill.plans import evaluation, inference
 
-    made = evaluation.bootstrap_ci(spark, sf)
+    made = inference.bootstrap_ci(spark, sf)
     assert "InPandas" not in made._jdf.queryExecution().toString()
     scores_of = evaluation._scored_runs(spark, sf).toPandas().groupby("model")["score"]
     for r in made.collect():

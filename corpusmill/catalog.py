@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import content, evaluation, inference, preparation, ranking, structure
+from .plans import content, evaluation, inference, preparation, ranking, search, structure
 
-_PLANS = (ranking, content, structure, evaluation, inference, preparation)
+_PLANS = (ranking, search, content, structure, evaluation, inference, preparation)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}

@@ -68,10 +68,13 @@ def human_bytes(size: Column) -> Column:
     return out
 
 
+#: What shows that an id is an address or a query: a script, marks of a query, what follows a scheme.
+NO_MEDIA = r"doku\.php|[?=]|//"
+
+
 def valid_media(media_id: Column) -> Column:
-    """Not empty, no URL or query in it, and a dot in the last segment."""
-    last = F.substring_index(media_id, ":", -1)
-    return F.coalesce((media_id != "") & ~media_id.rlike("[?&=#]|://|^https?") & F.contains(last, F.lit(".")), F.lit(False))
+    """Not empty, no address or query, and a dot in the last segment."""
+    return F.coalesce((media_id != "") & ~media_id.rlike(NO_MEDIA) & F.contains(F.substring_index(media_id, ":", -1), F.lit(".")), F.lit(False))
 
 
 def in_namespaces(namespace: Column, names: list[str]) -> Column:

@@ -122,25 +122,6 @@ def recent(pages: DataFrame, n: int = 50) -> DataFrame:
     return pages.orderBy(F.desc("modified"), "page_id").limit(n)
 
 
-def html_links(html: DataFrame) -> DataFrame:
-    """(page_id, href) of every anchor of HTML pages, in JVM code."""
-    return html.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r"""(?i)<a\s[^>]*href=["']([^"'>]*)["']"""), F.lit(1))).alias("href"))
-
-
-def link_kind(href: Column, css: Column) -> Column:
-    """Class of a link by its CSS classes, then by its shape."""
-    by_class = F.when(F.contains(css, F.lit("wikilink")), "internal").when(F.contains(css, F.lit("urlextern")), "external").when(F.contains(css, F.lit("interwiki")), "interwiki").when(F.contains(css, F.lit("media")), "media").when(F.contains(css, F.lit("mail")), "email")
-    by_shape = F.when(href.startswith("mailto:"), "email").when(href.rlike("^[a-z]+://"), "external").when(href.rlike("(?i)[.](png|jpe?g|gif|pdf|svg)([?#]|$)"), "media").otherwise("internal")
-    return F.coalesce(by_class, by_shape)
-
-
-def link_target(href: Column) -> Column:
-    """Page id of an href: the id parameter, or the path, without anchor."""
-    by_id = F.regexp_extract(href, "[?&]id=([^&#]*)", 1)
-    path = F.regexp_replace(F.regexp_replace(href, "[?#].*$", ""), "^/+", "")
-    return F.when(by_id != "", by_id).otherwise(F.translate(path, "/", ":"))
-
-
 def distinct_targets(links: DataFrame) -> DataFrame:
     """Per kind: how many different pages, files or (of outside links) domains, and the first of them."""
     to = F.when(F.col("kind") == "external", F.regexp_extract("target", "https?://([^/]+)", 1)).otherwise(F.col("target"))

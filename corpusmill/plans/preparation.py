@@ -204,10 +204,17 @@ def failed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _odd_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.links(spark, sf_dir).withColumn("target", F.when((F.col("kind") == "media") & (F.col("doc_id") % 5 == 0), F.concat("target", F.lit("?w=10"))).otherwise(F.col("target")))
+    """Links whose media ids are now and then addresses, queries or names that only look like one."""
+    i, target = F.col("doc_id"), F.col("target")
+    odd = F.when(i % 5 == 0, F.concat(target, F.lit("?w=10"))).when(i % 11 == 1, F.lit("httpd.png")).when(i % 11 == 2, F.lit("x//y.png")).when(i % 11 == 3, F.lit("doku.php"))
+    odd = odd.when(i % 11 == 4, F.lit("ns:a&b#c.png")).when(i % 11 == 5, F.lit("ns.x:file")).when(i % 11 == 6, F.lit("see https://a.b/c.png")).otherwise(target)
+    return I.links(spark, sf_dir).withColumn("target", F.when(F.col("kind") == "media", odd).otherwise(target))
 
 
-_ODD_LINKS = f"(SELECT page_id, kind, CASE WHEN kind = 'media' AND doc_id % 5 = 0 THEN target || '?w=10' ELSE target END AS target FROM ({I.LINKS}))"
+_ODD_LINKS = f"""(
+    SELECT page_id, kind, CASE WHEN kind <> 'media' THEN target WHEN doc_id % 5 = 0 THEN target || '?w=10' WHEN doc_id % 11 = 1 THEN 'httpd.png' WHEN doc_id % 11 = 2 THEN 'x//y.png'
+        WHEN doc_id % 11 = 3 THEN 'doku.php' WHEN doc_id % 11 = 4 THEN 'ns:a&b#c.png' WHEN doc_id % 11 = 5 THEN 'ns.x:file' WHEN doc_id % 11 = 6 THEN 'see https://a.b/c.png' ELSE target END AS target
+    FROM ({I.LINKS}))"""
 
 
 def discovered_media(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,7 +347,11 @@ QUERIES = {
 _NS = "CASE WHEN contains(page_id, ':') THEN regexp_replace(page_id, ':[^:]*$', '') ELSE '' END"
 _ACCESS = f"CASE WHEN starts_with({_NS}, 'teacher:') OR {_NS} = 'teacher' THEN 'teacher_only' ELSE 'public' END"
 _KIND = f"CASE WHEN contains({_NS}, 'archive') THEN 'ARCHIVE' WHEN contains({_NS}, 'teacher') THEN 'TEACHER_ONLY' ELSE 'KNOWLEDGE' END"
-_VALID = "target <> '' AND NOT regexp_matches(target, '[?&=#]|://|^https?') AND contains(split_part(target, ':', -1), '.')"
+#: An id is a file's where none of these stands in it and its last segment has a dot.
+_VALID = (
+    "target <> '' AND NOT contains(target, 'doku.php') AND NOT contains(target, '?') AND NOT contains(target, '=') AND NOT contains(target, 'http://')"
+    " AND NOT contains(target, 'https://') AND NOT contains(target, '//') AND contains(list_last(string_split(target, ':')), '.')"
+)
 
 ORACLE_SQL = {
     "truth_sources": f"SELECT DISTINCT query_id, doc_id FROM (SELECT query_id, unnest(expected) AS doc_id FROM {_TRUTH})",

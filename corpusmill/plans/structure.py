@@ -96,11 +96,6 @@ def recent_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.recent(I.pages(spark, sf_dir).where("modified is not null")).select("page_id", F.date_format("modified", "yyyy-MM-dd").alias("day"))
 
 
-def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = V.html_links(I.table(spark, sf_dir, "pages"))
-    return found.groupBy(V.link_kind(F.col("href"), F.lit("")).alias("kind")).agg(F.count("*").alias("links"), F.count_distinct(V.link_target(F.col("href"))).alias("targets"))
-
-
 def id_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("page_id")
     return I.pages(spark, sf_dir).select("page_id", ids.page_to_file(p).alias("file"), ids.file_to_page(F.concat(ids.page_to_file(p), F.lit(".txt"))).alias("again"), ids.content_hash(F.col("text")).alias("hash"), ids.human_bytes(F.octet_length("text") * 700).alias("size"), ids.sanitized(F.concat(p, F.lit("?/x\\y*"))).alias("safe"))
@@ -183,7 +178,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         namespace_rollup, namespaces, namespace_prefixes, depth_histogram, size_buckets, filtered_pages, media_inventory, media_usage, unused_media, missing_media, link_statistics, link_top_targets,
-        link_top_domains, orphans, broken_links, wiki_inventory, deepest_pages, recent_changes, html_links, id_functions, snapshot_diff, snapshot_summary, media_diff, live_diff, changes_by_ns, change_magnitude,
+        link_top_domains, orphans, broken_links, wiki_inventory, deepest_pages, recent_changes, id_functions, snapshot_diff, snapshot_summary, media_diff, live_diff, changes_by_ns, change_magnitude,
         merge_snapshots, carry_forward, manifest_problems, line_changes, last_run_per_stage, active_job, run_retention, status_summary,
     )
 }
@@ -196,8 +191,6 @@ _PERCENT = "coalesce((coalesce(new_size, 0) - coalesce(old_size, 0)) * 100.0e0 /
 _GAP = "(coalesce(new_revision, 0) - coalesce(old_revision, 0))"
 _ENTRIES = f"(SELECT id, CASE WHEN NOT ends_with(id, '7') THEN hash END AS hash, namespace FROM (SELECT * FROM ({I.BEFORE}) UNION ALL SELECT * FROM ({I.AFTER})))"
 _REFERENCED = "CASE doc_id % 6 WHEN 1 THEN 'http://other.example/' || target WHEN 2 THEN 'archive:' || target WHEN 3 THEN replace(target, '.', '_V1.') WHEN 4 THEN replace(target, 'media:', 'media:Draft') ELSE target END"
-_ANCHORS = """(SELECT unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*href=["'']([^"''>]*)["'']', 1)) AS href FROM pages)"""
-_TARGET = "CASE WHEN regexp_extract(href, '[?&]id=([^&#]*)', 1) <> '' THEN regexp_extract(href, '[?&]id=([^&#]*)', 1) ELSE replace(regexp_replace(regexp_replace(href, '[?#].*$', ''), '^/+', ''), '/', ':') END"
 
 ORACLE_SQL = {
     "namespace_rollup": f"SELECT {_TOP} AS namespace, count(*) AS pages, CAST(sum(n_chars) AS BIGINT) AS chars, CAST(floor(sum(n_chars) / count(*)) AS BIGINT) AS mean_chars FROM ({I.PAGES}) GROUP BY 1",
@@ -222,7 +215,6 @@ ORACLE_SQL = {
     "wiki_inventory": f"SELECT * FROM (SELECT count(*) AS pages, CAST(sum(n_chars) AS BIGINT) AS chars, count(DISTINCT {_TOP}) AS namespaces FROM ({I.PAGES})), (SELECT count(*) AS media, CAST(sum(size) AS BIGINT) AS media_bytes FROM ({I.MEDIA})), (SELECT count(*) AS links FROM ({I.LINKS}))",
     "deepest_pages": f"SELECT page_id, CAST({_DEPTH} AS BIGINT) AS depth FROM ({I.PAGES}) ORDER BY depth DESC, page_id LIMIT 10",
     "recent_changes": f"SELECT page_id, strftime(modified, '%Y-%m-%d') AS day FROM ({I.PAGES}) WHERE modified IS NOT NULL ORDER BY modified DESC, page_id LIMIT 50",
-    "html_links": f"SELECT CASE WHEN starts_with(href, 'mailto:') THEN 'email' WHEN regexp_matches(href, '^[a-z]+://') THEN 'external' WHEN regexp_matches(href, '(?i)[.](png|jpe?g|gif|pdf|svg)([?#]|$)') THEN 'media' ELSE 'internal' END AS kind, count(*) AS links, count(DISTINCT {_TARGET}) AS targets FROM {_ANCHORS} GROUP BY 1",
     "id_functions": f"SELECT page_id, translate(page_id, ':/', '__') AS file, translate(translate(page_id, ':/', '__'), '_', ':') AS again, 'sha256:' || sha256(text) AS hash, CASE WHEN b < 1024 THEN printf('%.2f B', b) WHEN b < 1048576 THEN printf('%.2f KB', b / 1024.0e0) WHEN b < 1073741824 THEN printf('%.2f MB', b / 1048576.0e0) ELSE printf('%.2f GB', b / 1073741824.0e0) END AS size, replace(replace(replace(page_id || '?/x\\y*', ':', '_'), '/', '_'), '\\', '_') AS safe FROM (SELECT *, CAST(octet_length(encode(text)) * 700 AS DOUBLE) AS b FROM ({I.PAGES}))",
     "snapshot_diff": f"SELECT id, change FROM {_CHANGES}",
     "snapshot_summary": f"SELECT change, count(*) AS entries FROM {_CHANGES} GROUP BY change",

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import content, evaluation, hypertext, inference, preparation, ranking, search, structure
+from .plans import content, evaluation, hypertext, inference, preparation, ranking, search, stores, structure
 
-_PLANS = (ranking, search, content, structure, hypertext, evaluation, inference, preparation)
+_PLANS = (ranking, search, content, structure, hypertext, stores, evaluation, inference, preparation)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}

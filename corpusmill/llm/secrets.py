@@ -5,8 +5,11 @@ escapes, each run by itself and all of the text in place; base64, also over seve
 lines; gzip, zlib, raw deflate, bzip2 or xz data inside those, all members of them) is
 unwrapped, scanned and searched for further layers until nothing new appears.  Bytes that
 are no text are read with what cannot be read left blank, so that text beside them is
-scanned.  Compressed data that unfold to more than ``MAX_LAYER`` are scanned in overlapping
-windows.  A layer already seen in the same text is not unwrapped again,
+scanned.  Compressed data that unfold to more than ``MAX_LAYER`` are scanned in windows: what
+stands open at the end of one (a run, or base64 over several lines) goes whole into the
+next, and ``OVERLAP`` at least; only a single run longer than ``MAX_LAYER`` itself is cut.
+Where a character of a layer comes from is kept as runs, not for every character.
+A layer already seen in the same text is not unwrapped again,
 so data that decode to themselves end.  What is found in a layer is reported at the
 place in the original text that it was decoded from.
 
@@ -19,12 +22,14 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import bz2
 import codecs
 import hashlib
 import lzma
 import re
 import zlib
+from array import array
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,12 +54,19 @@ HEX = re.compile("[0-9a-f]{16,}")
 
 _URL_RUN = re.compile(r"(?<![^\s\"<>])[^\s\"<>]*?%[0-9A-Fa-f]{2}[^\s\"<>]*")
 _URL_GROUP = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-_UNICODE_RUN = re.compile(r"(?<!\S)\S*?\\u[0-9A-Fa-f]{4}\S*")
-_UNICODE_GROUP = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+")
+_HEXED = "[0-9A-Fa-f]"
+#: Escapes of one code unit, of one byte, and of one code point of any size.
+_UNICODE = rf"\\u{_HEXED}{{4}}|%u{_HEXED}{{4}}|\\U{_HEXED}{{8}}|\\x{_HEXED}{{2}}|\\u\{{{_HEXED}{{1,6}}\}}"
+_UNICODE_RUN = re.compile(rf"(?<!\S)\S*?(?:{_UNICODE})\S*")
+_UNICODE_GROUP = re.compile(rf"(?:\\u{_HEXED}{{4}})+|(?:%u{_HEXED}{{4}})+|(?:\\U{_HEXED}{{8}})+|(?:\\x{_HEXED}{{2}})+|\\u\{{{_HEXED}{{1,6}}\}}")
+_UNICODE_MARKS = ("\\u", "\\U", "\\x", "%u")
+_LONG_WORD = re.compile(r"\S{16}")
 _BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
 _BREAK = r"[\x20\t]*+(?:\r?\n|(?:\\r)?\\n)[\x20\t]*+"
 _BASE64_LINES = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:" + _BREAK + r"[A-Za-z0-9+/_-]++)++={0,2}")
 _BASE64_LINE = re.compile(r"(?:^|(?<=" + r"\n)|(?<=\\n))[\x20\t]*([A-Za-z0-9+/_-]+)")
+_SPACES = " \n\t\r\v\f"
+_BASE64_ROW = re.compile(r"[\x20\t]*+[A-Za-z0-9+/_-]++[\x20\t]*+\r?\n[\x20\t]*+")
 #: Longest piece, in bytes, of what a compressed layer unfolds to that is scanned at once, and what two pieces share.
 MAX_LAYER, OVERLAP = 1 << 26, 1 << 22
 
@@ -113,13 +125,27 @@ def _raw_deflate(data: bytes):
         rest = machine.unconsumed_tail
 
 
+def _open_from(text: str) -> int:
+    """Where what may go on behind the text begins: its last run, with the lines of base64 that it may end."""
+    at = max(len(text) - MAX_LAYER, 0)
+    run = max(at, *(text.rfind(c, at) + 1 for c in _SPACES))
+    while run > at:
+        line = max(text.rfind("\n", at, run - 1) + 1, at)
+        if not _BASE64_ROW.fullmatch(text, line, run):
+            # the first of such lines may stand behind other words
+            end = len(text[line:run].rstrip(_SPACES)) + line
+            return max(line, *(text.rfind(c, line, end) + 1 for c in _SPACES)) if text[end:run].count("\n") else run
+        run = line
+    return run
+
+
 def _texts(pieces):
-    """Text of a stream of pieces, in windows that overlap."""
+    """Text of a stream of pieces, in windows; each takes over what the one before it leaves open, and OVERLAP at least."""
     decoder, kept = codecs.getincrementaldecoder("utf-8")("replace"), ""
     for piece in pieces:
         kept += decoder.decode(piece)
         yield kept
-        kept = kept[-OVERLAP:]
+        kept = kept[min(_open_from(kept), max(len(kept) - OVERLAP, 0)) :]
 
 
 def _windows(data: bytes):
@@ -158,48 +184,78 @@ def _readable(data: bytes):
 
 
 class _Same:
-    """A list of any length that holds one number."""
+    """Characters that all come from one stretch."""
+
+    def __init__(self, start: int, end: int):
+        self.stretch = start, end
+
+    def start(self, _: int) -> int:
+        return self.stretch[0]
+
+    def end(self, _: int) -> int:
+        return self.stretch[1]
+
+
+class _Runs:
+    """Where characters come from, run by run: place in the layer, place in the text, step, and width of each."""
+
+    def __init__(self):
+        self.at, self.origin, self.step, self.width = (array("q") for _ in range(4))
 
-    def __init__(self, value: int):
-        self.value = value
+    def add(self, at: int, origin: int, step: int, width: int) -> None:
+        for column, x in zip((self.at, self.origin, self.step, self.width), (at, origin, step, width), strict=True):
+            column.append(x)
 
-    def __getitem__(self, _: int) -> int:
-        return self.value
+    def start(self, i: int) -> int:
+        run = bisect.bisect_right(self.at, i) - 1
+        return self.origin[run] + (i - self.at[run]) * self.step[run]
 
+    def end(self, i: int) -> int:
+        run = bisect.bisect_right(self.at, i) - 1
+        return self.start(i) + self.width[run]
 
-def _through(places: tuple, origin: tuple | None) -> tuple:
-    """Starts and ends of characters in the original text, from those in a layer and the layer's own."""
+
+class _Through:
+    """Places in a layer of a layer, by way of both."""
+
+    def __init__(self, outer, inner):
+        self.outer, self.inner = outer, inner
+
+    def start(self, i: int) -> int:
+        return self.outer.start(self.inner.start(i))
+
+    def end(self, i: int) -> int:
+        return self.outer.end(self.inner.end(i) - 1)
+
+
+def _through(places, origin):
+    """Places in the original text, from those in a layer and the layer's own."""
     if origin is None:
         return places
-    starts, ends = places
-    if isinstance(starts, _Same):
-        return _Same(origin[0][starts.value]), _Same(origin[1][ends.value - 1])
-    return [origin[0][a] for a in starts], [origin[1][b - 1] for b in ends]
+    if isinstance(places, _Same):
+        return _Same(origin.start(places.stretch[0]), origin.end(places.stretch[1] - 1))
+    return origin if isinstance(origin, _Same) else _Through(origin, places)
 
 
-def _grouped(run: str, at: int, group: re.Pattern, decode) -> tuple[str, tuple[list[int], list[int]]]:
-    """Decode the escape groups of a run; where each new character's stretch starts and ends."""
+def _grouped(run: str, at: int, group: re.Pattern, decode) -> tuple[str, _Runs]:
+    """Decode the escape groups of a run, and where its characters come from."""
     out: list[str] = []
-    starts: list[int] = []
-    ends: list[int] = []
-    last = 0
+    places, size, last = _Runs(), 0, 0
     for m in group.finditer(run):
-        out.append(run[last : m.start()])
-        starts += range(at + last, at + m.start())
-        ends += range(at + last + 1, at + m.start() + 1)
         text, width = decode(m[0])
-        out.append(text)
-        if len(text) * width == m.end() - m.start():
-            starts += range(at + m.start(), at + m.end(), width)
-            ends += range(at + m.start() + width, at + m.end() + 1, width)
-        else:
-            starts += [at + m.start()] * len(text)
-            ends += [at + m.end()] * len(text)
+        if m.start() > last:
+            places.add(size, at + last, 1, 1)
+            size += m.start() - last
+        if text:
+            even = len(text) * width == m.end() - m.start()
+            places.add(size, at + m.start(), width if even else 0, width if even else m.end() - m.start())
+            size += len(text)
+        out += [run[last : m.start()], text]
         last = m.end()
+    if last < len(run):
+        places.add(size, at + last, 1, 1)
     out.append(run[last:])
-    starts += range(at + last, at + len(run))
-    ends += range(at + last + 1, at + len(run) + 1)
-    return "".join(out), (starts, ends)
+    return "".join(out), places
 
 
 def _from_percent(group: str) -> tuple[str, int]:
@@ -208,8 +264,17 @@ def _from_percent(group: str) -> tuple[str, int]:
 
 
 def _from_unicode(group: str) -> tuple[str, int]:
-    data = bytes.fromhex(group.replace("\\u", ""))
-    return data.decode("utf-16-be", "replace"), 6
+    mark = group[:2]
+    if group.startswith("\\u{"):
+        point = int(group[3:-1], 16)
+        return (chr(point) if point < 0x110000 and not 0xD800 <= point < 0xE000 else "\ufffd"), len(group)
+    digits = group.replace(mark, "")
+    if mark == "\\x":
+        data = bytes.fromhex(digits)
+        return (inflated if (inflated := _inflate(data)) is not None else data.decode("utf-8", "replace")), 4
+    if mark == "\\U":
+        return bytes.fromhex(digits).decode("utf-32-be", "replace"), 10
+    return bytes.fromhex(digits).decode("utf-16-be", "replace"), 6
 
 
 def _line_runs(text: str):
@@ -232,20 +297,20 @@ def _line_runs(text: str):
 
 
 def layers(text: str):
-    """What is encoded in a text: the decoded string, and for its characters where their stretches start and end."""
+    """What is encoded in a text: the decoded string, and where its characters come from."""
     if "%" in text and _URL_GROUP.search(text):
         for m in _URL_RUN.finditer(text):
             yield _grouped(m[0], m.start(), _URL_GROUP, _from_percent)
         for m in _URL_GROUP.finditer(text):
             for window in _windows(bytes.fromhex(m[0].replace("%", ""))):
-                yield window, (_Same(m.start()), _Same(m.end()))
+                yield window, _Same(m.start(), m.end())
         yield _grouped(text, 0, _URL_GROUP, _from_percent)
-    if "\\u" in text and _UNICODE_GROUP.search(text):
+    if any(mark in text for mark in _UNICODE_MARKS) and _UNICODE_GROUP.search(text):
         for m in _UNICODE_RUN.finditer(text):
             yield _grouped(m[0], m.start(), _UNICODE_GROUP, _from_unicode)
         yield _grouped(text, 0, _UNICODE_GROUP, _from_unicode)
     runs = []
-    if max(map(len, text.split()), default=0) >= 16:
+    if _LONG_WORD.search(text):
         runs += [(*m.span(), m[0].rstrip("=")) for m in _BASE64_RUN.finditer(text)]
     if "\n" in text or "\\n" in text:
         runs += _line_runs(text)
@@ -258,7 +323,7 @@ def layers(text: str):
         except binascii.Error:
             continue
         for inner in _readable(data):
-            yield inner, (_Same(start), _Same(end))
+            yield inner, _Same(start, end)
 
 
 def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -279,13 +344,13 @@ def find_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
         inner, places = layer
         if not inner:
             continue
-        starts, ends = places = _through(places, work[-1][1])
+        places = _through(places, work[-1][1])
         data = inner.encode("utf-8", "surrogatepass")
-        key = hashlib.blake2b(f"({starts[0]}, {ends[0]})".encode() + data, digest_size=16).digest()
+        key = hashlib.blake2b(f"({places.start(0)}, {places.end(0)})".encode() + data, digest_size=16).digest()
         if key in seen or hashlib.blake2b(data, digest_size=16).digest() in seen:
             continue
         seen.add(key)
-        found.update((starts[a], kind, ends[b - 1]) for a, kind, b in base_spans(inner))
+        found.update((places.start(a), kind, places.end(b - 1)) for a, kind, b in base_spans(inner))
         if len(inner) > OVERLAP:
             work.append((layers(inner), places))
         else:

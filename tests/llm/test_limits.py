@@ -172,3 +172,100 @@ def test_cells_of_two_levels(spark):
 
 def test_arrow_of_nothing():
     assert substrings._joined(substrings.split_words(pa.array(["", None])), np.zeros(0, bool)).to_pylist() == ["", ""]
+
+
+def _nested(rng, offset, wrap):
+    """A text whose only secret lies in compressed data inside compressed data, ``offset`` characters in."""
+    noise = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    hard = "".join(chr(rng.randrange(33, 126)) for _ in range(20_000))
+    body = base64.b64encode(gzip.compress(f"{hard} password=abcdefghijkl1 ".encode())).decode()
+    if wrap:
+        body = "\n".join(body[i : i + wrap] for i in range(0, len(body), wrap))
+    return base64.b64encode(gzip.compress(f"{noise(offset)} key: {body} {noise(30_000)}".encode())).decode()
+
+
+@pytest.mark.parametrize("wrap", [0, 76])
+def test_no_layer_is_lost_where_windows_meet(monkeypatch, wrap):
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1 << 16)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 12)
+    rng = random.Random(wrap)
+    for offset in (1000, 40_000, 55_000, 61_000, 65_500, 65_536, 70_000, 128_000):
+        coded = _nested(rng, offset, wrap)
+        assert (2, 0, 2 + len(coded)) in secrets.find_spans("x " + coded)[1], offset
+
+
+def test_memory_of_a_long_text_with_one_escape():
+    import tracemalloc
+
+    text = "word and more words " * 100_000 + "%41 \\x41" + "word and more words " * 100_000
+    tracemalloc.start()
+    secrets.find_spans(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * len(text)
+
+
+def test_forms_of_escapes_and_where_they_come_from():
+    secret = "password=abcdefghijkl1"
+    forms = {
+        "\\u": lambda c: f"\\u{ord(c):04x}", "braces": lambda c: f"\\u{{{ord(c):x}}}", "long": lambda c: f"\\U{ord(c):08X}", "percent u": lambda c: f"%u{ord(c):04x}",
+        "byte": lambda c: f"\\x{ord(c):02x}", "percent": lambda c: f"%{ord(c):02X}",
+    }
+    for one in forms.values():
+        whole = "".join(map(one, secret))
+        assert secrets.find_spans(f"a {whole} b")[1] == [(2, 0, 2 + len(whole))]
+        first = one("p") + secret[1:]
+        assert secrets.find_spans(f"a {first} b")[1] == [(2, 0, 2 + len(first))]
+        for two in forms.values():
+            twice = "".join(map(two, whole))
+            assert secrets.find_spans(f"é {twice} b")[1] == [(2, 0, 2 + len(twice))]
+    coded = "".join(forms["byte"](c) for c in "nothing") + " \\ud83d\\ude00\\u{110000}\\u{d800}%uD83D " + secret
+    assert (len(coded) - len(secret), 0, len(coded)) in secrets.find_spans(coded)[1]
+
+
+def _decoded_spans(text, depth=3):
+    """Spans of texts in which only whole words are encoded, by decoding every word as often as it can be."""
+    found = {(a, k, b) for a, k, b in brute.secrets(text)}
+    at = 0
+    for word in text.split(" "):
+        seen, now = set(), {word}
+        for _ in range(depth):
+            now = {d for w in now for d in _readings(w)} - seen
+            seen |= now
+            found |= {(at, k, at + len(word)) for w in now for a, k, b in brute.secrets(w)}
+        at += len(word) + 1
+    return found
+
+
+def _readings(word):
+    out = set()
+    if "%" in word:
+        out.add(urllib.parse.unquote(word))
+    if len(word) >= 16 and not set(word.rstrip("=")) - set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
+        try:
+            data = base64.b64decode(word.rstrip("=") + "=" * (-len(word.rstrip("=")) % 4))
+            out.add(gzip.decompress(data).decode() if data[:2] == b"\x1f\x8b" else data.decode())
+        except (ValueError, OSError, EOFError):
+            pass
+    return out - {word}
+
+
+def test_decoded_spans_against_a_plain_decoder():
+    rng = random.Random(12)
+    secret = lambda: rng.choice(["password=", "api_key:", "token="]) + "".join(rng.choice("GHIJKLMNOPQRSTUVWXYZ_.-") for _ in range(rng.randint(8, 16)))
+    codings = [
+        lambda t: "".join(f"%{b:02X}" for b in t.encode()), lambda t: base64.b64encode(t.encode()).decode(), lambda t: base64.b64encode(gzip.compress(t.encode(), mtime=0)).decode(),
+    ]
+    for _ in range(300):
+        words = []
+        for _ in range(rng.randint(1, 6)):
+            word = secret() if rng.random() < 0.6 else "plain"
+            for _ in range(rng.randint(0, 3)):
+                word = rng.choice(codings)(word)
+            words.append(word)
+        text = " ".join(words)
+        got = set(secrets.find_spans(text)[1])
+        # a span inside a word that is encoded as a whole may be told more closely than the word
+        want = _decoded_spans(text)
+        assert all(any(a <= x and y <= b and k == m for x, m, y in got) for a, k, b in want), text
+        assert all(any(x >= a and y <= b and k == m for a, k, b in want) for x, m, y in got), text

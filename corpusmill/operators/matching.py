@@ -32,6 +32,24 @@ class _Side:
         self.run = ends - self.at
 
 
+def _common(x: str, y: str, i: int, j: int, most: int, way: int) -> int:
+    """How many characters, up to ``most``, are equal from two places on (or before them): pieces are compared at once, and halved where they differ."""
+    n, step = 0, 16
+    while n < most:
+        piece = min(step, most - n)
+        if way > 0:
+            same = x[i + n : i + n + piece] == y[j + n : j + n + piece]
+        else:
+            same = x[i - n - piece : i - n] == y[j - n - piece : j - n]
+        if same:
+            n, step = n + piece, 2 * step
+        elif piece == 1:
+            break
+        else:
+            most, step = n + piece - 1, piece // 2
+    return n
+
+
 class Blocks:
     """The rare runs of two texts, numbered by doubling."""
 
@@ -44,7 +62,7 @@ class Blocks:
         usable = np.ones(len(seen), bool)
         if len(y) >= LONG:
             usable = np.bincount(first, minlength=len(seen)) <= len(y) // POPULAR + 1
-        self.x, self.y = x.tolist(), y.tolist()
+        self.x, self.y = a, b
         self.a = _Side(np.where(known, number, -1), known & usable[number] if len(seen) else known)
         self.b = _Side(first, usable[first])
         # numbers of runs of 2**p characters, on rare positions only
@@ -145,12 +163,9 @@ class Blocks:
 
     def _grown(self, i: int, j: int, size: int, alo: int, ahi: int, blo: int, bhi: int) -> tuple[int, int, int]:
         """A run with all equal characters before and after it."""
-        x, y = self.x, self.y
-        while i > alo and j > blo and x[i - 1] == y[j - 1]:
-            i, j, size = i - 1, j - 1, size + 1
-        while i + size < ahi and j + size < bhi and x[i + size] == y[j + size]:
-            size += 1
-        return i, j, size
+        before = _common(self.x, self.y, i, j, min(i - alo, j - blo), -1)
+        after = _common(self.x, self.y, i + size, j + size, min(ahi - i, bhi - j) - size, 1)
+        return i - before, j - before, before + size + after
 
     def _small(self, alo: int, ahi: int, blo: int, bhi: int) -> int:
         total, stack = 0, [(alo, ahi, blo, bhi)]

@@ -41,7 +41,7 @@ OVERLAP, MOST_OVERLAP, ASKED = 2, 6, 2000
 BLOCK, SHARD = 9000, 1000
 MOST_CENTRES = 128 << 20  # bytes of centroids that are broadcast; beyond them cells are larger
 DEGREE, POOL, ALPHA, RANDOM = 16, 48, 1.2, 4
-BEAM, AUDITED, RECALL = 8, 24, 0.99
+BEAM, AUDITED, RECALL = 8, 128, 0.999
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -161,24 +161,50 @@ class Graph:
 
 
 def audited_search(graph: Graph, queries: np.ndarray, least: float, seed: int) -> np.ndarray:
-    """Matrix of query and vector in range; the beam widens until brute force agrees on the audited queries."""
+    """Matrix of query and vector in range; the beam widens until brute force agrees on the audited queries.
+
+    What the audit finds short is answered by it; where no beam is wide enough, as some
+    vectors are in nobody's list, the whole block is.
+    """
     rng = np.random.default_rng(seed)
     # what is searched lies a little below the threshold, so that rounding cannot lose a pair; pairs are verified later
     least -= 1e-6
     some = rng.choice(len(queries), min(AUDITED, len(queries)), replace=False)
     truth = queries[some] @ graph.v.T >= least
     beam = BEAM
-    while beam < len(graph.v):
-        found = sum(len(graph.search(queries[i], least, beam)) for i in some)
-        if found >= RECALL * truth.sum():
-            break
+    while sum(len(graph.search(queries[i], least, beam)) for i in some) < RECALL * truth.sum():
+        if beam >= len(graph.v):
+            return queries @ graph.v.T >= least
         beam *= 2
     out = np.zeros((len(queries), len(graph.v)), bool)
     for i, q in enumerate(queries):
         out[i, graph.search(q, least, beam)] = True
+    out[some] |= truth
     return out
 
 
+def closed(found: np.ndarray, v: np.ndarray, least: float) -> np.ndarray:
+    """Links of a block with those that a walk has missed between vectors that other links join: each joined set is compared with itself."""
+    seen = ~found.any(1)
+    for first in range(len(found)):
+        if seen[first]:
+            continue
+        joined = np.zeros(len(found), bool)
+        joined[first] = True
+        front = np.array([first])
+        while len(front):
+            reached = found[front].any(0) & ~joined
+            joined |= reached
+            front = np.flatnonzero(reached)
+        seen |= joined
+        at = np.flatnonzero(joined)
+        for a in range(0, len(at) if len(at) > 2 else 0, 2048):
+            part = at[a : a + 2048]
+            found[np.ix_(part, at)] |= v[part] @ v[at].T >= least - 1e-6
+    np.fill_diagonal(found, False)
+    return found
+
+
 def _rows(table: pa.Table) -> dict[str, np.ndarray | list]:
     dim = len(table["vector"][0])
     flat = table["vector"].combine_chunks()
@@ -192,6 +218,7 @@ def _linked(left: dict, right: dict, graph: Graph, cell: int, same: bool, least:
     if same:
         found |= found.T
         np.fill_diagonal(found, False)
+        found = closed(found, graph.v, least)
     i, j = np.nonzero(found)
     norms = [np.linalg.norm(s["v"], axis=1) for s in (left, right)]
     true = np.zeros(len(i), bool)
@@ -360,16 +387,31 @@ def fitted(classes: DataFrame, region: int) -> dict[int, Cells]:
     return tree
 
 
-def cell_recall(classes: DataFrame, tree: dict[int, Cells], least: float) -> tuple[int, float]:
-    """How many nearest cells a class must be a member of, and which share of the links of ASKED classes then lie in a cell."""
+def cell_overlap(classes: DataFrame, tree: dict[int, Cells], least: float) -> int:
+    """How many nearest cells a class must be a member of, so that the links of ASKED classes lie in a cell.
+
+    Where MOST_OVERLAP cells are not enough, twice as many are looked at, up to all of them.
+    """
+    most = MOST_OVERLAP
+    while True:
+        overlap, reached = cell_recall(classes, tree, least, most)
+        if reached >= RECALL:
+            return overlap
+        if most >= max(len(c.leaves) for c in tree.values()):
+            raise ValueError(f"only {reached:.4f} of the audited links lie in a cell")
+        most *= 2
+
+
+def cell_recall(classes: DataFrame, tree: dict[int, Cells], least: float, most: int = MOST_OVERLAP) -> tuple[int, float]:
+    """The least overlap that is enough, else ``most``, and which share of the links of ASKED classes then lie in a cell."""
     asked = classes.orderBy(F.xxhash64("key"), "key").limit(ASKED).select("class", "label", "dim", "vector").toArrow()
     queries = {d: asked.filter(pa.array(np.asarray(asked["dim"]) == d)) for d in tree}
-    told = {d: (np.asarray(t["class"]), np.array(t["label"].to_pylist(), object), _vectors(t), tree[d].near(_vectors(t), MOST_OVERLAP)) for d, t in queries.items() if len(t)}
+    told = {d: (np.asarray(t["class"]), np.array(t["label"].to_pylist(), object), _vectors(t), tree[d].near(_vectors(t), most)) for d, t in queries.items() if len(t)}
     shared = classes.sparkSession.sparkContext.broadcast((told, tree))  # ASKED rows and the centroids
 
     def run(batches):
         told, tree = shared.value
-        total = np.zeros(MOST_OVERLAP + 2, np.int64)
+        total = np.zeros(most + 2, np.int64)
         for batch in batches:
             dims = np.asarray(batch.column("dim"))
             for d, (ids, labels, v, cells) in told.items():
@@ -380,19 +422,19 @@ def cell_recall(classes: DataFrame, tree: dict[int, Cells], least: float) -> tup
                 i, j = np.nonzero((v @ w.T >= least) & (labels[:, None] == own[None, :]) & (ids[:, None] != np.asarray(part["class"])[None, :]))
                 if not len(i):
                     continue
-                theirs = tree[d].near(w[j], MOST_OVERLAP)
-                need = np.full(len(i), MOST_OVERLAP + 1)
-                for a in range(MOST_OVERLAP):
-                    for b in range(MOST_OVERLAP):
+                theirs = tree[d].near(w[j], most)
+                need = np.full(len(i), most + 1)
+                for a in range(most):
+                    for b in range(most):
                         both = (cells[i, a] == theirs[:, b]) & (cells[i, a] >= 0)
                         need[both] = np.minimum(need[both], max(a, b) + 1)
-                total += np.bincount(need, minlength=MOST_OVERLAP + 2)
+                total += np.bincount(need, minlength=most + 2)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(total))), pa.array(total)], names=["need", "n"])
 
     found = {r["need"]: r["n"] for r in classes.select("class", "label", "dim", "vector").mapInArrow(tidy(run), "need bigint, n bigint").groupBy("need").agg(F.sum("n").alias("n")).collect()}
     every = sum(found.values())
     share = lambda o: sum(n for k, n in found.items() if k <= o) / every if every else 1.0
-    overlap = next((o for o in range(OVERLAP, MOST_OVERLAP) if share(o) >= RECALL), MOST_OVERLAP)
+    overlap = next((o for o in range(OVERLAP, most) if share(o) >= RECALL), most)
     return overlap, share(overlap)
 
 
@@ -402,7 +444,7 @@ def assigned(classes: DataFrame, least: float, region: int) -> DataFrame:
     tree = fitted(classes, region)
     if all(len(c.first) < 2 for c in tree.values()):
         return kept.withColumns({"cells": F.array(F.lit(0).cast("long")), "cell": F.lit(0).cast("long")})
-    overlap, _ = cell_recall(classes, tree, least)
+    overlap = cell_overlap(classes, tree, least)
     shared = classes.sparkSession.sparkContext.broadcast(tree)  # MOST_CENTRES bytes at most
 
     def run(batches):

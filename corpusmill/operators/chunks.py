@@ -250,6 +250,12 @@ def chunk_documents(docs: DataFrame) -> DataFrame:
     return rows.withColumn("chunk_id", F.concat(F.lit("documents_"), F.col("doc_id"), F.lit("_"), F.col("chunk_index")))
 
 
+def skipped(docs: DataFrame) -> DataFrame:
+    """One row: documents, and how many of them their settings process and skip."""
+    skip = F.col("action") == "skip"
+    return configured(docs).agg(F.count("*").alias("documents"), F.count_if(~skip).alias("processed"), F.count_if(skip).alias("skipped"))
+
+
 def chunk_stats(chunks: DataFrame) -> DataFrame:
     kind = F.coalesce(F.nullif(F.trim("content_type"), F.lit("")), F.lit("UNKNOWN"))
     n = F.length("chunk")

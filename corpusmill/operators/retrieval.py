@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import dot, norm
 
-# German stop words of the sparse retriever; the joined entries are its own.
+# German stop words of the sparse retriever, in its order; the joined entries and the repeats are its own.
 STOPWORDS = (
-    "der die das ein eine einer eines einem einen und oder aber auchist sind war waren wird werden hat hatte haben "
-    "zu in von mitauf für an bei nach über aus um durch als wie nicht noch wennwir sie er es ich du ihr man so da wo "
-    "was wer kann nursein seine seiner seinem seinen ihre ihrem ihren ihres imzum zur des den dem vor bis alle keine "
-    "mehrdiese dieser diesem dieses welche welcher welchem welchesschon bereits dann dort hier jetzt sehr viel"
-).split()
+    "der", "die", "das", "ein", "eine", "einer", "eines", "einem", "einen", "und", "oder", "aber", "auchist", "sind",
+    "war", "waren", "wird", "werden", "hat", "hatte", "haben", "zu", "in", "von", "mitauf", "für", "an", "bei",
+    "nach", "über", "aus", "um", "durch", "als", "wie", "nicht", "noch", "wennwir", "sie", "er", "es", "ich", "du",
+    "ihr", "man", "so", "da", "wo", "was", "wer", "wie", "kann", "nursein", "seine", "seiner", "seinem", "seinen",
+    "ihre", "ihrem", "ihren", "ihres", "imzum", "zur", "des", "den", "dem", "vor", "bis", "alle", "einem", "einer",
+    "keine", "mehrdiese", "dieser", "diesem", "dieses", "welche", "welcher", "welchem", "welchesschon", "bereits",
+    "dann", "dort", "hier", "jetzt", "sehr", "viel",
+)
 TOKEN = "(?iu)[a-zäöüß]{2,}"
 
 
@@ -48,7 +51,7 @@ def page_ranks(hits: DataFrame, page: Column) -> DataFrame:
 
 def tokens(text: Column) -> Column:
     found = F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), F.lower)
-    return F.filter(found, lambda t: ~t.isin(STOPWORDS))
+    return F.filter(found, lambda t: ~t.isin(list(STOPWORDS)))
 
 
 def term_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", only: DataFrame | None = None) -> DataFrame:

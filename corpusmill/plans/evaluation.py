@@ -44,7 +44,19 @@ def _method(name: str, function):
     return run
 
 
-chunk_semantic, chunk_header, chunk_naive = _method("chunk_semantic", K.semantic), _method("chunk_header", K.by_header), _method("chunk_naive", K.naive)
+def chunk_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a head for every line, some deeper than others, behind an introduction."""
+    text = F.concat(F.lit("Intro "), "doc_id", F.lit("\n# Head\n"), F.replace(F.replace("text", F.lit(". "), F.lit(".\n### Deep\n")), F.lit("\n"), F.lit("\n\n")))
+    made = I.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(K.udf_of(K.by_header)(text)).alias("chunk_index", "chunk"))
+    return made.select("doc_id", "chunk_index", F.length("chunk").alias("chars"), F.md5("chunk").alias("digest"))
+
+
+def chunk_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many documents are cut and how many their settings skip."""
+    return K.skipped(_docs(spark, sf_dir))
+
+
+chunk_semantic, chunk_naive = _method("chunk_semantic", K.semantic), _method("chunk_naive", K.naive)
 chunk_table, chunk_simple, chunk_querygen = _method("chunk_table", K.by_table), _method("chunk_simple", K.simple), _method("chunk_querygen", K.for_queries)
 
 
@@ -140,7 +152,8 @@ def numeric_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strategy_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.range(0, 200).select(F.concat(F.lit("p"), F.col("id") * 3).alias("page_id"), F.element_at(F.array(F.lit("ARCHIVED"), F.lit("NEWS"), F.lit("KNOWLEDGE")), (F.col("id") % 3 + 1).cast("int")).alias("content_type"), F.lit("naive").alias("method"), F.lit(1024).alias("size"), F.when(F.col("id") % 2 == 0, "skip").otherwise("process").alias("action"))
+    ids_ = I.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"))
+    rows = ids_.select(F.concat(F.lit("p"), F.col("id") * 3).alias("page_id"), F.element_at(F.array(F.lit("ARCHIVED"), F.lit("NEWS"), F.lit("KNOWLEDGE")), (F.col("id") % 3 + 1).cast("int")).alias("content_type"), F.lit("naive").alias("method"), F.lit(1024).alias("size"), F.when(F.col("id") % 2 == 0, "skip").otherwise("process").alias("action"))
     pages = I.pages(spark, sf_dir).select(F.concat(F.lit("p"), F.col("doc_id")).alias("page_id"))
     return C.with_strategy(pages, rows).select("page_id", "content_type", "method", "size", "action", "priority")
 
@@ -184,7 +197,7 @@ def qa_excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        chunk_dispatch, chunk_stats, embedding_usage, chunk_semantic, chunk_header, chunk_naive, chunk_table, chunk_simple, chunk_querygen, chunk_size_counts, wiki_to_markdown, front_matter, doc_scores, regression_gate,
+        chunk_dispatch, chunk_stats, chunk_skips, embedding_usage, chunk_semantic, chunk_header, chunk_naive, chunk_table, chunk_simple, chunk_querygen, chunk_size_counts, wiki_to_markdown, front_matter, doc_scores, regression_gate,
         seven_scores, describe_scores, cohens_d, metric_correlation, rr_bins, ecdf, judge_scores, judge_summary, numeric_means, strategy_routing, table_override, stratified_sample, spot_check, pii_redact,
         qa_validate, qa_excerpt,
     )
@@ -257,7 +270,21 @@ ORACLE_SQL = {
     "embedding_usage": f"{_DISPATCHED} SELECT CAST(sum(ceil(length(chunk) / 4.0e0)) AS BIGINT) AS tokens, CAST(ceil(count(*) / 20.0e0) AS BIGINT) AS requests, round(sum(ceil(length(chunk) / 4.0e0)) / 1000 * 0.00013e0, 6) AS cost FROM k",
     "wiki_to_markdown": f"SELECT page_id, {_STRIP.format("regexp_extract(content, '^====== *([^\\n]*?) *======', 1)")} AS title, true AS success, md5(markdown) AS digest, len(regexp_extract_all(markdown, '(?m)^#')) AS headings, len(regexp_extract_all(markdown, '\\]\\(')) AS links FROM ({I.MARKDOWN})",
     "chunk_semantic": f"WITH c AS (SELECT doc_id, {_semantic_sql('content', 512)} AS chunks FROM ({I.WIKI})) {_CHUNK_ROWS}",
-    "chunk_header": f"WITH c AS (SELECT doc_id, {_semantic_sql('content', 512)} AS chunks FROM ({I.WIKI})) {_CHUNK_ROWS}",
+    "chunk_header": f"""
+        WITH parts AS (
+            SELECT doc_id, list_filter(list_transform(string_split(regexp_replace('Intro ' || doc_id || chr(10) || '# Head' || chr(10)
+                || replace(replace(text, '. ', '.' || chr(10) || '### Deep' || chr(10)), chr(10), chr(10) || chr(10)), '(?m)^(#{{1,6}}\\s)', chr(5) || '\\1', 'g'), chr(5)),
+                lambda p: {_STRIP.format("p")}), lambda p: p <> '') AS ps
+            FROM documents
+        ), spread AS (
+            SELECT doc_id, generate_subscripts(ps, 1) AS place, unnest(ps) AS part FROM parts
+        ), cut AS (
+            SELECT doc_id, place, CASE WHEN length(part) > 512 THEN {_semantic_sql("part", 512)} ELSE [part] END AS own FROM spread
+        ), c AS (
+            SELECT doc_id, flatten(list(own ORDER BY place)) AS chunks FROM cut GROUP BY doc_id
+        ) {_CHUNK_ROWS}
+    """,
+    "chunk_skips": f"SELECT count(*) AS documents, count(*) FILTER (WHERE doc_id % 6 <> 4) AS processed, count(*) FILTER (WHERE doc_id % 6 = 4) AS skipped FROM ({I.PAGES})",
     "chunk_table": f"""WITH parts AS (SELECT doc_id, strpos(content, {_TABLE_ROWS}) AS spot, content FROM ({I.WIKI})),
         texts AS (SELECT doc_id, spot, {_STRIP.format(_FILLED.format("CASE WHEN spot > 0 THEN substr(content, 1, spot - 1) ELSE content END"))} AS front, CASE WHEN spot > 0 THEN {_STRIP.format(_FILLED.format(f'substr(content, spot + length({_TABLE_ROWS}))'))} ELSE '' END AS rest, string_split(content, chr(10))[1] AS head FROM parts),
         c AS (SELECT doc_id, list_concat(list_concat({_semantic_sql('front', 2048)}, CASE WHEN spot > 0 THEN [head || chr(10) || {_TABLE_ROWS}] ELSE [] END), CASE WHEN rest <> '' THEN {_semantic_sql('rest', 2048)} ELSE [] END) AS chunks FROM texts) {_CHUNK_ROWS}""",
@@ -297,7 +324,7 @@ ORACLE_SQL = {
     "numeric_means": "SELECT round(avg(p_partkey), 6) AS mean_p_partkey, round(avg(p_size), 6) AS mean_p_size, round(avg(p_retailprice), 6) AS mean_p_retailprice FROM part",
     "strategy_routing": f"""SELECT 'p' || doc_id AS page_id, coalesce(kind, 'KNOWLEDGE') AS content_type, CASE WHEN i IS NULL THEN 'semantic' ELSE 'naive' END AS method, CASE WHEN i IS NULL THEN 512 ELSE 1024 END AS size, CASE WHEN i % 2 = 0 THEN 'skip' ELSE 'process' END AS action,
         CASE coalesce(kind, 'KNOWLEDGE') WHEN 'ARCHIVED' THEN 'low' WHEN 'KNOWLEDGE' THEN 'high' ELSE 'normal' END AS priority
-        FROM ({I.PAGES}) LEFT JOIN (SELECT i, i * 3 AS doc_id, CASE i % 3 WHEN 0 THEN 'ARCHIVED' WHEN 1 THEN 'NEWS' ELSE 'KNOWLEDGE' END AS kind FROM range(200) t(i)) USING (doc_id)""",
+        FROM ({I.PAGES}) LEFT JOIN (SELECT i, i * 3 AS doc_id, CASE i % 3 WHEN 0 THEN 'ARCHIVED' WHEN 1 THEN 'NEWS' ELSE 'KNOWLEDGE' END AS kind FROM (SELECT doc_id AS i FROM documents)) USING (doc_id)""",
     "table_override": f"""SELECT kind, count(*) AS members, md5(string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY CAST(doc_id AS VARCHAR))) AS digest FROM (SELECT doc_id, CASE WHEN n >= 3 AND n / greatest(1, floor(length(content) / 80e0)) >= 0.5 THEN 'TABLE_DATA' ELSE 'NEWS' END AS kind
         FROM (SELECT doc_id, content, len(regexp_extract_all(content, '(?m)^[|^]')) AS n FROM ({I.WIKI}))) GROUP BY kind""",
     "stratified_sample": f"""WITH f AS (SELECT doc_id AS key, CASE WHEN doc_id % 4 = 3 THEN 'media' ELSE 'pages' END AS source, CASE WHEN contains(page_id, ':') THEN split_part(page_id, ':', 1) ELSE 'root' END AS namespace,

@@ -99,17 +99,17 @@ LINKS = f"""
 """
 
 
-def media(spark: SparkSession) -> DataFrame:
-    """A listing of 70 media files."""
-    i = F.col("id")
+def media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A listing of media files, one for each document."""
+    i = F.col("doc_id")
     name = F.concat(F.lit("media:f"), i, F.when(i % 2 == 0, ".png").otherwise(".pdf"))
-    return spark.range(70).select(name.alias("media_id"), (i * 977 % 40000 * 13).alias("size"), F.when(i % 8 == 0, "image").when(i % 2 == 0, "image").otherwise("document").alias("type"))
+    return table(spark, sf_dir, "documents").select(name.alias("media_id"), (i * 977 % 40000 * 13).alias("size"), F.when(i % 2 == 0, "image").otherwise("document").alias("type"))
 
 
 MEDIA = """
-    SELECT 'media:f' || i || CASE WHEN i % 2 = 0 THEN '.png' ELSE '.pdf' END AS media_id, i * 977 % 40000 * 13 AS size,
-        CASE WHEN i % 2 = 0 THEN 'image' ELSE 'document' END AS type
-    FROM range(70) t(i)
+    SELECT 'media:f' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '.png' ELSE '.pdf' END AS media_id, doc_id * 977 % 40000 * 13 AS size,
+        CASE WHEN doc_id % 2 = 0 THEN 'image' ELSE 'document' END AS type
+    FROM documents
 """
 
 

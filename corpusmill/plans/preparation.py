@@ -218,7 +218,7 @@ _ODD_LINKS = f"""(
 
 
 def discovered_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.discovered_media(_odd_links(spark, sf_dir), I.media(spark).where("size % 3 = 0"))
+    return X.discovered_media(_odd_links(spark, sf_dir), I.media(spark, sf_dir).where("size % 3 = 0"))
 
 
 def invalid_references(spark: SparkSession, sf_dir: str) -> DataFrame:

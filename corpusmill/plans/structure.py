@@ -46,22 +46,22 @@ def filtered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def media_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.media_inventory(I.media(spark))
+    return V.media_inventory(I.media(spark, sf_dir))
 
 
 def media_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.media_usage(I.media(spark), I.links(spark, sf_dir))
+    return V.media_usage(I.media(spark, sf_dir), I.links(spark, sf_dir))
 
 
 def unused_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.unused_media(I.media(spark), I.links(spark, sf_dir)).select("media_id")
+    return V.unused_media(I.media(spark, sf_dir), I.links(spark, sf_dir)).select("media_id")
 
 
 def missing_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Referenced files beyond a listing of some; names of several kinds are among them."""
     key, target = F.col("doc_id") % 6, F.col("target")
     named = F.when(key == 1, F.concat(F.lit("http://other.example/"), target)).when(key == 2, F.concat(F.lit("archive:"), target)).when(key == 3, F.replace(target, F.lit("."), F.lit("_V1."))).when(key == 4, F.replace(target, F.lit("media:"), F.lit("media:Draft"))).otherwise(target)
-    return V.missing_media(I.media(spark).where("size % 3 = 0"), I.links(spark, sf_dir).withColumn("target", F.when(F.col("kind") == "media", named).otherwise(target)))
+    return V.missing_media(I.media(spark, sf_dir).where("size % 3 = 0"), I.links(spark, sf_dir).withColumn("target", F.when(F.col("kind") == "media", named).otherwise(target)))
 
 
 def link_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +85,7 @@ def broken_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wiki_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.summary(I.pages(spark, sf_dir), I.media(spark), I.links(spark, sf_dir))
+    return V.summary(I.pages(spark, sf_dir), I.media(spark, sf_dir), I.links(spark, sf_dir))
 
 
 def deepest_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ from ..operators import order, resample, stats
 from . import inputs as I
 from .ranking import _METRICS, metrics
 
-_STAGE = F.concat(F.lit("stage"), F.col("user_id") % 5)
+def _stage() -> Column:
+    return F.concat(F.lit("stage"), F.col("user_id") % 5)
 
 
 def _noise() -> Column:
@@ -22,7 +23,7 @@ def _noise() -> Column:
 
 def paired_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = I.table(spark, sf_dir, "events")
-    found = stats.compare(e.select(_STAGE.alias("stage"), F.col("value").alias("a"), (F.col("value") * 0.9 + F.col("event_id") % 7).alias("b")), "stage")
+    found = stats.compare(e.select(_stage().alias("stage"), F.col("value").alias("a"), (F.col("value") * 0.9 + F.col("event_id") % 7).alias("b")), "stage")
     return found.select("stage", "test", F.round("p_value", 6).alias("p_value"), "significant", "n")
 
 
@@ -30,14 +31,14 @@ def paired_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs whose differences are normal, a little off zero in some stages: the other branch of the test."""
     e = I.table(spark, sf_dir, "events")
     gap = _noise() + F.col("user_id") % 5 * 0.01
-    found = stats.compare(e.select(_STAGE.alias("stage"), gap.alias("a"), F.lit(0.0).alias("b")), "stage")
+    found = stats.compare(e.select(_stage().alias("stage"), gap.alias("a"), F.lit(0.0).alias("b")), "stage")
     return found.select("stage", "test", F.round("p_value", 6).alias("p_value"), "significant", "n")
 
 
 def normality_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W and p of the events' values and of normal numbers, stage by stage."""
     e = I.table(spark, sf_dir, "events")
-    values = e.select(_STAGE.alias("stage"), F.col("value").alias("v")).unionByName(e.select(F.concat(F.lit("normal"), F.col("user_id") % 5).alias("stage"), _noise().alias("v")))
+    values = e.select(_stage().alias("stage"), F.col("value").alias("v")).unionByName(e.select(F.concat(F.lit("normal"), F.col("user_id") % 5).alias("stage"), _noise().alias("v")))
     found = stats.normality(values, "stage", "v")
     return found.select("stage", "n", F.round("w", 9).alias("w"), F.round("p_value", 6).alias("p_value"))
 

@@ -193,23 +193,25 @@ def exact(corpus: DataFrame, queries: DataFrame, dims: int, k: int, without_self
     return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select("query_id", "doc_id")
 
 
-def audited_probes(corpus: DataFrame, codes: DataFrame, queries: DataFrame, model: Model, k: int, target: float, refine: int = 100, without_self: bool = False) -> int:
-    """The cells to look up so that audited queries find the target share of their exact neighbours; doubled until they do.
+def audited(corpus: DataFrame, codes: DataFrame, queries: DataFrame, model: Model, k: int, target: float, refine: int = 100, without_self: bool = False) -> tuple[int, int]:
+    """(probes, refine) with which audited queries find the target share of their exact neighbours.
 
-    With all cells looked up and the target still missed, the codes are too coarse: an error.
+    The cells to look up are widened until they do; where all cells are not enough, what is
+    compared exactly is, up to every vector of the index.
     """
     n = queries.count()
     share = F.pmod(F.xxhash64("query_id", F.lit("audit")), F.lit(1 << 30)) / float(1 << 30)
     drawn = queries.where(share < min(1.0, AUDIT / 2 / max(n, 1))).limit(AUDIT)
     true = exact(corpus, drawn, model.centres.shape[1], k, without_self).toPandas()
     wanted = set(map(tuple, true.to_numpy().tolist()))
-    probes = min(8, len(model.centres))
+    every, rows = len(model.centres), codes.count()
+    probes = min(8, every)
     while wanted:
         found = search(corpus, codes, drawn, model, k, probes, refine, without_self).select("query_id", "doc_id").toPandas()
         reached = len(wanted & set(map(tuple, found.to_numpy().tolist()))) / len(wanted)
         if reached >= target:
             break
-        if probes == len(model.centres):
-            raise ValueError(f"only {reached:.3f} of the exact neighbours are found with every cell; take more parts or a larger refine")
-        probes = min(2 * probes, len(model.centres))
-    return probes
+        if probes == every and refine >= rows:
+            raise ValueError(f"only {reached:.3f} of the exact neighbours are in the index")
+        probes, refine = (min(4 * probes, every), refine) if probes < every else (probes, 4 * refine)
+    return probes, refine

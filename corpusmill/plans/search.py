@@ -18,10 +18,10 @@ def _indexed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     e = I.table(spark, sf_dir, "embeddings")
     corpus = e.select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"))
     queries = e.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
-    model = cells.fit(corpus, 64)
+    model = cells.fit(corpus, 64, parts=32)
     codes = stored(cells.index(corpus, model), "cells")
-    probes = cells.audited_probes(corpus, codes, queries, model, 10, 0.97, without_self=True)
-    return queries, cells.search(corpus, codes, queries, model, 10, probes, without_self=True)
+    probes, refine = cells.audited(corpus, codes, queries, model, 10, 0.97, without_self=True)
+    return queries, cells.search(corpus, codes, queries, model, 10, probes, refine, without_self=True)
 
 
 def indexed_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

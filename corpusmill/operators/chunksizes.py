@@ -1,106 +1,186 @@
 """Chunk sizes compared by what is retrieved from them, in one plan over all sizes.
 
-Texts are cut at every size; a chunk's vector follows from its text, so it is made once for
-every different text (by digest) however many sizes and documents hold it.  Queries meet
-the different texts in blocks; the hits are then spread over the chunks that hold the text,
-ranked inside each size, and reduced to pages.
+One pass over the documents cuts each at every size, makes a vector of every different
+chunk (by digest: equal chunks of any size or document of a slice share it), scores these
+against a block of queries, and keeps the best of each size and query.  A task sends its
+best and its numbers of chunks and nothing else, so no text and no vector is written or
+moved.  Queries come in blocks of ``QUERIES``, each with a pass of its own.
+
+Null, empty and blank texts have no chunks.  Copies tie and go by document and place.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterable, Iterator
+
+import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import ir
 
-#: Rows of one block of texts, and of one block of queries.
-TEXTS, QUERIES = 8192, 128
+#: Queries of one pass; with their vectors this is all that every task is given.
+QUERIES = 1024
+#: Characters of text whose chunks are scored together, and words whose places a task remembers.
+SLICE, WORDS = 1 << 21, 500_000
 
 
-def counted(texts: DataFrame, dims: int) -> DataFrame:
-    """(digest, vector) of texts (digest, text) from a stand-in for a model.
+class WordCounts:
+    """A stand-in for a model: how many words of a text fall to each place, by a digest of the word."""
 
-    A vector counts how many words of the text fall to each of ``dims`` places by a digest of the word.
-    """
-    words = texts.select("digest", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[^\s]+"), F.lit(0))).alias("w"))
-    place = (F.conv(F.substring(F.md5("w"), 1, 8), 16, 10).cast("long") % dims).cast("int")
-    sums = words.groupBy("digest", place.alias("place")).agg(F.count("*").cast("int").alias("n"))
-    made = sums.groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("place", "n"))).alias("m"))
-    places = F.sequence(F.lit(0), F.lit(dims - 1))
-    return made.select("digest", F.transform(places, lambda p: F.coalesce(F.try_element_at("m", p), F.lit(0))).alias("vector"))
+    def __init__(self, dimensions: int = 256):
+        self.dimensions = dimensions
+        self.places: dict[bytes, int] = {}
 
+    def embed(self, texts: list[str]) -> np.ndarray:
+        out = np.zeros((len(texts), self.dimensions))
+        if len(self.places) > WORDS:
+            self.places.clear()
+        for row, text in zip(out, texts, strict=True):
+            words = text.lower().encode().split()
+            for w in words:
+                if w not in self.places:
+                    self.places[w] = int(hashlib.md5(w).hexdigest()[:8], 16) % self.dimensions
+            np.add.at(row, [self.places[w] for w in words], 1)
+        return out
 
-def chunks(docs: DataFrame, sizes: list[int], cut) -> DataFrame:
-    """(size, doc_id, chunk_index, text, digest) of documents (doc_id, text); ``cut(text, size)`` is an array of chunks."""
-    every = F.explode(F.array(*(F.struct(F.lit(s).alias("size"), cut(F.col("text"), s).alias("parts")) for s in sizes))).alias("c")
-    spread = docs.select("doc_id", every).select("doc_id", "c.size", F.posexplode("c.parts").alias("chunk_index", "text"))
-    return spread.where("trim(text) <> ''").withColumn("digest", F.md5("text"))
 
-
-def fixed(text: Column, size: int) -> Column:
+def fixed(text: str, size: int) -> list[str]:
     """Windows of ``size`` characters."""
-    starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(size))
-    return F.transform(starts, lambda i: F.substr(text, i + 1, F.lit(size)))
+    return [text[i : i + size] for i in range(0, len(text), size)]
+
+
+class Best:
+    """The k best chunks of one size for every query so far."""
+
+    def __init__(self, k: int, queries: int):
+        self.k, self.least = k, np.zeros(queries)
+        self.rows = pd.DataFrame({"q": [], "score": [], "doc_id": [], "chunk_index": []}).astype({"q": int, "score": float, "doc_id": int, "chunk_index": int})
+
+    def add(self, scores: np.ndarray, docs: np.ndarray, places: np.ndarray) -> None:
+        """Chunks by queries; a chunk that ties with the k-th best is looked at."""
+        own = np.partition(scores, -self.k, axis=0)[-self.k] if len(scores) > self.k else np.zeros(scores.shape[1])
+        at, q = np.nonzero((scores >= np.maximum(self.least, own)) & (scores > 0))
+        if not len(at):
+            return
+        new = pd.DataFrame({"q": q, "score": scores[at, q], "doc_id": docs[at], "chunk_index": places[at]})
+        rows = pd.concat([self.rows, new]).sort_values(["q", "score", "doc_id", "chunk_index"], ascending=[True, False, True, True])
+        self.rows = rows[rows.groupby("q").cumcount() < self.k]
+        full = self.rows.groupby("q")["score"].agg(["size", "min"])
+        full = full[full["size"] == self.k]
+        self.least[full.index] = full["min"]
+
+
+def _slices(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        sizes = pdf["text"].str.len().fillna(0).cumsum() // SLICE
+        for _, part in pdf.groupby(sizes, sort=False):
+            yield part
 
 
-def nearest(vectors: DataFrame, held: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(size, query_id, digest, score): for each size the ``k`` best of the texts that it holds, ties included.
+def retrieved(docs: DataFrame, queries: pd.DataFrame, sizes: list[int], k: int, cut: Callable[[str, int], list[str]] = fixed, model: Callable[[], WordCounts] = WordCounts) -> DataFrame:
+    """(size, query, score, doc_id, chunk_index, chunks) of documents (doc_id, text): each task's k best of each size and query.
 
-    A text of several sizes is compared once.  Queries are a stated set that runs against all
-    texts, block by block.
+    ``queries`` holds (query, text), ``QUERIES`` of them at most; ``query`` is a whole number.
+    Rows without a query tell how many chunks of a size the task has cut.
     """
-    marked = vectors.join(held.groupBy("digest").agg(F.sort_array(F.collect_set("size")).alias("sizes")), "digest")
-    n = lambda d, size: max(1, -(-d.count() // size))
-    blocks, parts = n(vectors, TEXTS), n(queries, QUERIES)
-    rows = marked.withColumn("block", F.pmod(F.xxhash64("digest"), F.lit(blocks)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    asked = queries.select("query_id", "vector").withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            x, q = (np.stack(d["vector"].tolist()).astype(float) for d in (left, right))
-            norms, digests = np.sqrt((x * x).sum(1)), left["digest"].to_numpy()
-            sizes = sorted({s for own in left["sizes"] for s in own})
-            places = {s: np.array([s in set(own) for own in left["sizes"]]) for s in sizes}
-            # counts are whole numbers, so products are exact and equal texts score alike
-            scores = (q @ x.T) / np.maximum(np.sqrt((q * q).sum(1))[:, None] * norms[None, :], 1e-300)
-            for name, score in zip(right["query_id"].tolist(), scores, strict=True):
-                for size, own in places.items():
-                    at = np.flatnonzero(own & (score > 0))
-                    if len(at) > k:
-                        at = at[score[at] >= np.partition(score[at], -k)[-k]]
-                    out.append(pd.DataFrame({"size": size, "query_id": name, "digest": digests[at], "score": score[at]}))
-        return pd.concat(out) if out else pd.DataFrame({"size": [], "query_id": [], "digest": [], "score": []})
-
-    kind = dict(queries.dtypes)["query_id"]
-    schema = f"size int, query_id {kind}, digest string, score double"
-    found = rows.groupBy("block", "part").cogroup(asked.groupBy("block", "part")).applyInPandas(run, schema)
-    order = Window.partitionBy("size", "query_id").orderBy(F.desc("score"))
-    return found.withColumn("place", F.rank().over(order)).where(F.col("place") <= k).drop("place")
-
-
-def compare(made: DataFrame, vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
-    """(size, chunks, mrr, precision, ndcg, hit_rate) of queries (query_id, vector, doc_id).
-
-    ``doc_id`` is the page that a query asks for.  In each size the ``k`` best chunks of a
-    query (ties by page and place) are reduced to their pages.
+    asked = model().embed(queries["text"].tolist())
+    lengths, names = np.sqrt((asked * asked).sum(1)), queries["query"].to_numpy()
+
+    def run(batches):
+        embedder = model()
+        best = {s: Best(k, len(names)) for s in sizes}
+        n = dict.fromkeys(sizes, 0)
+        for pdf in _slices(batches):
+            numbers: dict[bytes, int] = {}
+            texts: list[str] = []
+            held = {s: ([], [], []) for s in sizes}
+            for doc, text in zip(pdf["doc_id"].tolist(), pdf["text"], strict=True):
+                for s in sizes:
+                    for place, chunk in enumerate(cut(text, s) if text else []):
+                        if chunk.strip(" "):
+                            key = hashlib.md5(chunk.encode()).digest()
+                            if key not in numbers:
+                                numbers[key] = len(texts)
+                                texts.append(chunk)
+                            for column, x in zip(held[s], (numbers[key], doc, place), strict=True):
+                                column.append(x)
+            if not texts:
+                continue
+            vectors = embedder.embed(texts)
+            # counts are whole numbers: products are exact, and equal chunks score alike
+            norms = np.sqrt((vectors * vectors).sum(1))
+            scores = (vectors @ asked.T) / np.maximum(lengths[None, :] * norms[:, None], 1e-300)
+            for s, (own, ids, places) in held.items():
+                n[s] += len(own)
+                if own:
+                    best[s].add(scores[own], np.array(ids), np.array(places))
+        for s in sizes:
+            rows = best[s].rows.assign(size=s, chunks=0)
+            yield rows.assign(query=names[rows["q"]]).drop(columns="q")[ORDER]
+            yield pd.DataFrame([[s, None, None, None, None, n[s]]], columns=ORDER).astype({"query": "Int64", "doc_id": "Int64", "chunk_index": "Int64", "score": float})
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, SCHEMA)
+
+
+SCHEMA = "size int, query bigint, score double, doc_id bigint, chunk_index bigint, chunks bigint"
+ORDER = [c.split()[0] for c in SCHEMA.split(", ")]
+
+
+def holders(docs: DataFrame, passages: pd.DataFrame) -> DataFrame:
+    """(query, doc_id): the documents that hold a passage (query, text) whole; one automaton finds all in one pass."""
+    by_text = {t: sorted(set(g["query"].tolist())) for t, g in passages[passages["text"].str.len() > 0].groupby("text")}
+
+    def run(batches):
+        found = ahocorasick.Automaton()
+        for text, names in by_text.items():
+            found.add_word(text, names)
+        if by_text:
+            found.make_automaton()
+        for pdf in batches:
+            rows = []
+            for doc, text in zip(pdf["doc_id"].tolist(), pdf["text"], strict=True):
+                names = {n for _, own in found.iter(text) for n in own} if text and by_text else ()
+                rows += [(n, doc) for n in names]
+            yield pd.DataFrame(rows, columns=["query", "doc_id"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "query bigint, doc_id bigint")
+
+
+def compare(docs: DataFrame, questions: DataFrame, sizes: list[int], k: int = 10, cut: Callable[[str, int], list[str]] = fixed, model: Callable[[], WordCounts] = WordCounts) -> DataFrame:
+    """(size, chunks, queries, mrr, precision, ndcg, hit_rate) of questions (query_id, text).
+
+    A question asks for the documents that hold its text; those that no document holds are
+    left out.  In each size the ``k`` best chunks of a question are reduced to their pages.
     """
-    held = made.groupBy("digest", "size").agg(F.count("*").alias("n"))
-    found = nearest(vectors, held, queries, k)
-    # of equal chunks only the first k can be among the k best; they are told before anything moves
-    copies = Window.partitionBy("size", "digest").orderBy("doc_id", "chunk_index")
-    first = made.select("size", "digest", "doc_id", "chunk_index").withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k).drop("n")
-    hits = found.join(first, ["size", "digest"])
-    order = Window.partitionBy("size", "query_id").orderBy(F.desc("score"), "doc_id", "chunk_index")
+    asked = questions.select(F.col("query_id").cast("long").alias("query"), "text").where("text is not null").orderBy("query")
+    found = wanted = None
+    for block in _blocks(asked):
+        one, held = retrieved(docs, block, sizes, k, cut, model), holders(docs, block)
+        found, wanted = (one, held) if found is None else (found.unionByName(one.withColumn("chunks", F.lit(0).cast("long"))), wanted.unionByName(held))
+    hits = found.where("query is not null")
+    order = Window.partitionBy("size", "query").orderBy(F.desc("score"), "doc_id", "chunk_index")
     best = hits.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
-    pages = best.groupBy("size", "query_id", "doc_id").agg(F.min("place").alias("first"))
-    ranked = pages.withColumn("rank", F.row_number().over(Window.partitionBy("size", "query_id").orderBy("first")))
-    name = F.struct("size", F.col("query_id").alias("q")).alias("query_id")
-    sizes = made.select("size").distinct()
-    asked = queries.select("query_id", "doc_id").crossJoin(F.broadcast(sizes))
-    qrels = asked.select(name, "doc_id", F.lit(1).alias("rel"))
+    pages = best.groupBy("size", "query", "doc_id").agg(F.min("place").alias("first"))
+    ranked = pages.withColumn("rank", F.row_number().over(Window.partitionBy("size", "query").orderBy("first")))
+    counts = found.groupBy("size").agg(F.sum("chunks").alias("chunks"))
+    name = F.struct("size", "query").alias("query_id")
+    qrels = wanted.distinct().crossJoin(F.broadcast(counts.select("size"))).select(name, "doc_id", F.lit(1).alias("rel"))
     metrics = ir.per_query(ranked.select(name, "doc_id", "rank"), qrels, qrels)
-    means = metrics.groupBy(F.col("query_id.size").alias("size")).agg(F.avg("rr").alias("mrr"), F.avg("p_at_k").alias("precision"), F.avg("ndcg").alias("ndcg"), F.avg("hit").alias("hit_rate"))
-    return made.groupBy("size").agg(F.count("*").alias("chunks")).join(means, "size")
+    means = metrics.groupBy(F.col("query_id.size").alias("size")).agg(F.count("*").alias("queries"), F.avg("rr").alias("mrr"), F.avg("p_at_k").alias("precision"), F.avg("ndcg").alias("ndcg"), F.avg("hit").alias("hit_rate"))
+    return counts.join(means, "size")
+
+
+def _blocks(asked: DataFrame) -> Iterator[pd.DataFrame]:
+    """Questions in blocks, one at a time on the driver; an empty block where there are none."""
+    block, any_ = [], False
+    for row in asked.toLocalIterator():
+        block.append(row)
+        if len(block) == QUERIES:
+            yield pd.DataFrame(block, columns=["query", "text"])
+            block, any_ = [], True
+    if block or not any_:
+        yield pd.DataFrame(block, columns=["query", "text"]).astype({"query": int, "text": str})

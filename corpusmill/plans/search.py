@@ -60,15 +60,11 @@ def blockmax_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_size_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of ids divisible by 20 ask with their first line for themselves."""
+    """Passages of the benchmark ask for the documents that hold them."""
     docs = I.table(spark, sf_dir, "documents").select("doc_id", "text")
-    made = stored(chunksizes.chunks(docs, list(SIZES), chunksizes.fixed), "chunks")
-    vectors = stored(chunksizes.counted(made.select("digest", "text").dropDuplicates(["digest"]), PLACES), "vectors")
-    asked = docs.where("doc_id % 20 = 0").select("doc_id", F.substring_index("text", "\n", 1).alias("text")).withColumn("digest", F.md5("text"))
-    questions = chunksizes.counted(asked.select("digest", "text").dropDuplicates(["digest"]), PLACES)
-    queries = stored(asked.join(questions, "digest").select(F.col("doc_id").alias("query_id"), "doc_id", "vector"), "questions")
-    found = chunksizes.compare(made, vectors, queries)
-    return found.select("size", "chunks", *(F.round(c, 6).alias(c) for c in ("mrr", "precision", "ndcg", "hit_rate")))
+    questions = I.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    found = chunksizes.compare(docs, questions, list(SIZES), model=lambda: chunksizes.WordCounts(PLACES))
+    return found.select("size", "chunks", "queries", *(F.round(c, 6).alias(c) for c in ("mrr", "precision", "ndcg", "hit_rate")))
 
 
 QUERIES = {f.__name__: f for f in (indexed_topk, indexed_recall, blockmax_topk, blockmax_share, chunk_size_comparison)}
@@ -89,10 +85,11 @@ ORACLE_SQL = {
             FROM (SELECT digest, {_PLACE} AS place FROM (SELECT digest, unnest({_WORDS}) AS w FROM (SELECT DISTINCT digest, text FROM chunks))) GROUP BY digest, place
         ), norms AS (
             SELECT digest, sum(n * n) AS xx FROM places GROUP BY digest
+        ), wanted AS (
+            SELECT item_id AS query_id, doc_id FROM benchmark JOIN documents ON contains(documents.text, benchmark.text)
         ), asked AS (
             SELECT query_id, place, count(*) AS n
-            FROM (SELECT query_id, {_PLACE} AS place FROM (
-                SELECT doc_id AS query_id, unnest({_WORDS}) AS w FROM (SELECT doc_id, string_split(text, chr(10))[1] AS text FROM documents WHERE doc_id % 20 = 0))) GROUP BY query_id, place
+            FROM (SELECT query_id, {_PLACE} AS place FROM (SELECT item_id AS query_id, unnest({_WORDS}) AS w FROM benchmark)) GROUP BY query_id, place
         ), lengths AS (
             SELECT query_id, sum(n * n) AS qq FROM asked GROUP BY query_id
         ), dots AS (
@@ -105,11 +102,16 @@ ORACLE_SQL = {
         ), pages AS (
             SELECT *, row_number() OVER (PARTITION BY size, query_id ORDER BY first) AS rank
             FROM (SELECT size, query_id, doc_id, min(place) AS first FROM best WHERE place <= 10 GROUP BY size, query_id, doc_id)
-        ), own AS (
-            SELECT s.size, l.query_id, rank FROM lengths l CROSS JOIN (SELECT DISTINCT size FROM chunks) s LEFT JOIN pages p ON p.size = s.size AND p.query_id = l.query_id AND p.doc_id = l.query_id
+        ), judged AS (
+            SELECT s.size, w.query_id, w.doc_id, rank FROM wanted w CROSS JOIN (SELECT DISTINCT size FROM chunks) s
+                LEFT JOIN pages p ON p.size = s.size AND p.query_id = w.query_id AND p.doc_id = w.doc_id
+        ), each AS (
+            SELECT size, query_id, min(rank) AS first, count(*) FILTER (WHERE rank <= 5) AS hits, sum(CASE WHEN rank <= 10 THEN 1 / log2(rank + 1e0) ELSE 0 END) AS dcg,
+                list_sum(list_transform(range(1, least(10, count(*)) + 1), lambda i: 1 / log2(i + 1e0))) AS idcg
+            FROM judged GROUP BY size, query_id
         )
-        SELECT CAST(size AS INT) AS size, n AS chunks, round(avg(coalesce(1.0e0 / rank, 0)), 6) AS mrr, round(avg(CASE WHEN rank <= 5 THEN 0.2e0 ELSE 0 END), 6) AS precision,
-            round(avg(CASE WHEN rank <= 10 THEN 1 / log2(rank + 1e0) ELSE 0 END), 6) AS ndcg, round(avg(CASE WHEN rank <= 5 THEN 1e0 ELSE 0 END), 6) AS hit_rate
-        FROM own JOIN (SELECT size, count(*) AS n FROM chunks GROUP BY size) USING (size) GROUP BY size, n
+        SELECT CAST(size AS INT) AS size, n AS chunks, count(*) AS queries, round(avg(coalesce(1.0e0 / first, 0)), 6) AS mrr, round(avg(hits / 5e0), 6) AS precision,
+            round(avg(dcg / idcg), 6) AS ndcg, round(avg(CASE WHEN hits > 0 THEN 1e0 ELSE 0 END), 6) AS hit_rate
+        FROM each JOIN (SELECT size, count(*) AS n FROM chunks GROUP BY size) USING (size) GROUP BY size, n
     """,
 }

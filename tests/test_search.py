@@ -1,7 +1,5 @@
 """Indexed search, posting blocks and chunk sizes against plain versions."""
 
-import math
-
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -32,8 +30,9 @@ def test_index_finds_what_exact_search_finds(spark, monkeypatch):
     model = cells.fit(corpus, 16, parts=4)
     codes = stored(cells.index(corpus, model), "test-cells")
     assert codes.count() == 960
-    probes = cells.audited_probes(corpus, codes, queries, model, 10, 0.98, refine=90, without_self=True)
-    found = cells.search(corpus, codes, queries, model, 10, probes, refine=90, without_self=True).collect()
+    probes, refine = cells.audited(corpus, codes, queries, model, 10, 0.98, refine=3, without_self=True)
+    assert refine > 3
+    found = cells.search(corpus, codes, queries, model, 10, probes, refine, without_self=True).collect()
     lists = {}
     for r in sorted(found, key=lambda r: r["rank"]):
         lists.setdefault(r["query_id"], []).append(r["doc_id"])
@@ -43,7 +42,7 @@ def test_index_finds_what_exact_search_finds(spark, monkeypatch):
     # copies are ranked by id: a copy's neighbours are the least ids among the copies
     assert lists[1040] == [0, *range(1000, 1009)]
     with pytest.raises(ValueError):
-        cells.audited_probes(corpus, codes.limit(5), queries, model, 10, 0.98)
+        cells.audited(corpus, codes.limit(5), queries, model, 10, 0.98)
     nothing = corpus.limit(0)
     empty = cells.fit(nothing, 16)
     assert cells.search(nothing, cells.index(nothing, empty), queries.limit(0), empty).count() == 0
@@ -84,19 +83,29 @@ def test_posting_blocks_against_all_scores(spark, monkeypatch, shard):
     assert postings.top_k(lists.limit(0), spark.createDataFrame([], "query_id long, term string, weight double"), 5).count() == 0
 
 
-def test_chunk_sizes_share_vectors_and_count_pages(spark):
+def test_chunk_sizes_count_pages(spark, monkeypatch):
     texts = [(1, "alpha beta gamma delta " * 4), (2, "other words here now " * 4), (3, "alpha beta gamma delta " * 4), (4, None), (5, ""), (6, "   ")]
-    docs = spark.createDataFrame(texts, "doc_id long, text string")
-    made = chunksizes.chunks(docs, [23, 92], chunksizes.fixed).cache()
-    assert {r["size"]: r["count"] for r in made.groupBy("size").count().collect()} == {23: 12, 92: 3}
-    assert made.where("size = 23 and doc_id = 1").select("digest").distinct().count() == 1
-    vectors = chunksizes.counted(made.select("digest", "text").dropDuplicates(["digest"]), 64)
-    asked = spark.createDataFrame([(1, "alpha beta"), (2, "other now"), (9, "nothing at all")], "query_id long, text string").withColumn("digest", F.md5("text"))
-    queries = asked.join(chunksizes.counted(asked.select("digest", "text"), 64), "digest").select("query_id", F.col("query_id").alias("doc_id"), "vector")
-    found = {r["size"]: r for r in chunksizes.compare(made, vectors, queries, k=3).collect()}
-    assert set(found) == {23, 92}
-    for r in found.values():
-        assert r["mrr"] == pytest.approx(2 / 3) and r["hit_rate"] == pytest.approx(2 / 3) and r["ndcg"] == pytest.approx(2 / 3) and r["precision"] == pytest.approx(2 * 0.2 / 3)
-    assert chunksizes.compare(made.limit(0), vectors.limit(0), queries.limit(0)).count() == 0
-    v = vectors.join(made.where("size = 92 and doc_id = 1").select("digest").distinct(), "digest").first()["vector"]
-    assert sum(v) == 16 and math.isclose(max(v), 4)
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    asked = spark.createDataFrame([(1, "alpha beta"), (2, "here now"), (9, "nothing at all"), (10, None), (11, "gamma")], "query_id long, text string")
+    for queries, size in ((1024, 1 << 21), (2, 50)):
+        monkeypatch.setattr(chunksizes, "QUERIES", queries)
+        monkeypatch.setattr(chunksizes, "SLICE", size)
+        found = {r["size"]: r for r in chunksizes.compare(docs, asked, [23, 92], k=10, model=lambda: chunksizes.WordCounts(4096)).collect()}
+        assert {s: (r["chunks"], r["queries"]) for s, r in found.items()} == {23: (12, 3), 92: (3, 3)}
+        for r in found.values():
+            assert r["mrr"] == 1.0 and r["hit_rate"] == 1.0 and r["ndcg"] == pytest.approx(1.0) and r["precision"] == pytest.approx((0.4 + 0.2 + 0.4) / 3)
+    assert chunksizes.compare(docs.limit(0), asked, [23]).count() == 0
+    v = chunksizes.WordCounts(64).embed([texts[0][1], ""])
+    assert v.sum() == 16 and not v[1].any()
+
+
+def test_best_chunks_over_slices_are_the_best_of_all():
+    rng = np.random.default_rng(1)
+    scores = np.round(rng.random((400, 7)), 1)  # many ties
+    docs, places = rng.integers(0, 50, 400), np.arange(400)
+    best = chunksizes.Best(10, 7)
+    for i in range(0, 400, 37):
+        best.add(scores[i : i + 37], docs[i : i + 37], places[i : i + 37])
+    for q in range(7):
+        want = sorted(range(400), key=lambda i: (-scores[i, q], docs[i], places[i]))[:10]
+        assert best.rows[best.rows["q"] == q]["chunk_index"].tolist() == want

@@ -61,14 +61,28 @@ def age_magnitude(old: Column, new: Column) -> Column:
     return F.when(gap < 86400, "minor").when(gap < 7 * 86400, "major").otherwise("rewrite")
 
 
+def one_digit(value: Column) -> Column:
+    """A number of at most four digits after the point to one, as C prints it: its exact value decides, and halves go to the even digit.
+
+    Spark's own format rounds what is written, so 2481.25 gave 2481.3 and 0.15 (which is less) gave 0.2.
+    """
+    half = F.rint(value * 20)  # an odd one lies between two digits
+    above = value * 16 - half + value * 4  # exact, as both products are
+    up, down = (half + 1) / 2, (half - 1) / 2
+    between = (F.pmod(half, F.lit(2.0)) == 1) & (F.abs(above) < 1e-3)
+    tenths = F.when(~between, F.rint(value * 10)).when(above > 0, up).when(above < 0, down).when(F.pmod(up, F.lit(2.0)) == 0, up).otherwise(down)
+    return F.format_string("%.1f", tenths / 10)
+
+
 def sentence(changes: DataFrame) -> DataFrame:
     """What happened to a page, in words."""
     size, new, old = F.col("size_change"), F.coalesce("new_size", F.lit(0)), F.coalesce("old_size", F.lit(0))
+    percent = one_digit(F.col("percent"))
     said = (
         F.when(F.col("change") == "added", F.format_string("New page (%d bytes)", new))
         .when(F.col("change") == "deleted", F.format_string("Page removed (was %d bytes)", old))
-        .when((F.col("change") == "modified") & (size > 0), F.format_string("Content expanded (+%d bytes, %.1f%%)", size, F.col("percent")))
-        .when((F.col("change") == "modified") & (size < 0), F.format_string("Content reduced (%d bytes, %.1f%%)", size, F.col("percent")))
+        .when((F.col("change") == "modified") & (size > 0), F.format_string("Content expanded (+%d bytes, %s%%)", size, percent))
+        .when((F.col("change") == "modified") & (size < 0), F.format_string("Content reduced (%d bytes, %s%%)", size, percent))
         .when(F.col("change") == "modified", "Content modified (same size)")
         .otherwise("")
     )

@@ -189,3 +189,9 @@ def test_bootstrap_ci_meets_no_group_in_one_task(spark, sf):
         half = 1.96 * x.std() / math.sqrt(len(x))
         assert (r["n"], r["mean"]) == (len(x), pytest.approx(x.mean()))
         assert r["low"] == pytest.approx(x.mean() - half, abs=0.3 * half) and r["high"] == pytest.approx(x.mean() + half, abs=0.3 * half)
+
+
+def test_percent_is_printed_as_c_prints_it(spark):
+    values = [2481.25, 7.25, 81.75, 0.15, 0.25, 0.35, -0.25, -7.35, 0.05, -0.05, 1234567.45, 99.9999, 0.0, -33.3333, 12.3456, 100.0, *(n / 20 for n in range(-400, 400))]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", snapshots.one_digit(F.col("v")).alias("said"))
+    assert [(r["v"], r["said"]) for r in rows.collect()] == [(v, "%.1f" % v) for v in values]

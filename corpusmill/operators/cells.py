@@ -3,13 +3,14 @@
 ``fit`` learns centroids and code books from at most ``SAMPLE`` vectors drawn by a hash of
 their ids; ``index`` gives every vector its cell and a code of one byte for each of
 ``parts`` pieces of what is left after its centroid.  A search looks a query up in its
-nearest cells, ranks these by distances summed from tables of code distances, and compares
-the ``refine`` best of each query exactly.
+nearest cells, ranks these by the cosine with what their codes stand for, and compares the
+``refine`` best of each query exactly.
 
-A cell is cut into buckets of about ``BUCKET`` vectors and its queries into blocks, so one
-task holds one bucket and one block, however many vectors share a cell; copies of a vector
-are ranked by id.  The model has at most ``MOST_CELLS`` cells and is sent to the tasks; the
-index and the queries are joined by cell.
+Cells are put into buckets of about ``BUCKET`` vectors, larger cells are cut into several,
+and queries into blocks; one task holds one bucket and one block, ranks all of its cells by
+matrix products and gives ``refine`` rows a query, however many cells are looked up.  Copies
+of a vector are ranked by id.  The model has at most ``MOST_CELLS`` cells and is sent to the
+tasks; the index and the queries are joined by bucket.
 
 Vectors that are null, zero, of another length or hold non-finite components are no part of
 the index and find nothing.
@@ -22,13 +23,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.vectors import cosine
+from . import nearest
 
 SAMPLE, MOST_CELLS, CODES = 20_000, 4096, 256
-BUCKET, BLOCK = 4096, 256
+BUCKET, BLOCK = 32_768, 16_384
 #: Queries whose exact neighbours a search is audited against.
 AUDIT = 256
 
@@ -67,16 +70,16 @@ class Model:
     books: list[np.ndarray]
 
     def cells(self, x: np.ndarray, n: int = 1) -> np.ndarray:
-        return np.argsort(_gaps(x, self.centres), axis=1, kind="stable")[:, :n]
+        gaps = _gaps(x, self.centres)
+        return gaps.argmin(1)[:, None] if n == 1 else np.argsort(gaps, axis=1, kind="stable")[:, :n]
 
     def encoded(self, x: np.ndarray, cell: np.ndarray) -> np.ndarray:
         rest = np.array_split(x - self.centres[cell], len(self.books), axis=1)
         return np.stack([_gaps(r, b).argmin(1) for r, b in zip(rest, self.books, strict=True)], 1).astype(np.uint8)
 
-    def tables(self, q: np.ndarray, cell: int) -> list[np.ndarray]:
-        """For each piece the squared distances of queries to the words of its book."""
-        rest = np.array_split(q - self.centres[cell], len(self.books), axis=1)
-        return [_gaps(r, b) for r, b in zip(rest, self.books, strict=True)]
+    def decoded(self, codes: np.ndarray, cell: np.ndarray) -> np.ndarray:
+        """The vectors that codes stand for."""
+        return np.concatenate([b[c] for b, c in zip(self.books, codes.T, strict=True)], axis=1) + self.centres[cell]
 
 
 def fit(corpus: DataFrame, dims: int, parts: int = 16, cells: int | None = None, rounds: int = 8) -> Model:
@@ -109,52 +112,65 @@ def index(corpus: DataFrame, model: Model) -> DataFrame:
     return rows.mapInPandas(run, "doc_id bigint, cell int, code binary")
 
 
-def _probes(queries: DataFrame, model: Model, probes: int) -> DataFrame:
-    """(query_id, vector, cell) of each query in its nearest cells."""
+def _buckets(codes: DataFrame, queries: int) -> dict[int, tuple[int, int]]:
+    """First bucket and number of buckets of each cell, from one total a cell, of which there are ``MOST_CELLS`` at most."""
+    sizes = sorted((r["cell"], r["count"]) for r in codes.groupBy("cell").count().collect())
+    n = sum(size for _, size in sizes)
+    most = min(BUCKET, math.ceil(n / nearest.blocks(n, queries)[0]))
+    placed, at, fill = {}, 0, 0
+    for cell, size in sizes:
+        if fill and fill + size > most:
+            at, fill = at + 1, 0
+        parts = max(1, math.ceil(size / most))
+        placed[cell] = (at, parts)
+        at, fill = (at + parts, 0) if parts > 1 else (at, fill + size)
+    return placed
+
+
+def _probes(queries: DataFrame, model: Model, probes: int, placed: dict[int, tuple[int, int]]) -> DataFrame:
+    """(query_id, vector, bucket) of each query in the buckets of its nearest cells."""
     dims = model.centres.shape[1]
 
     def run(batches):
         for pdf in batches:
             near = model.cells(unit(pdf["vector"].tolist()), probes) if len(pdf) else np.zeros((0, 1), int)
-            yield pdf.assign(cells=[c.astype(np.int32) for c in near])
+            found = [sorted({b for c in own for at, n in [placed.get(c, (0, 0))] for b in range(at, at + n)}) for own in near.tolist()]
+            yield pdf.assign(buckets=[np.array(f, np.int32) for f in found])
 
     rows = queries.where(sound(F.col("vector"), dims)).select(F.col("query_id").cast("long"), F.col("vector").cast("array<double>").alias("vector"))
-    found = rows.mapInPandas(run, "query_id bigint, vector array<double>, cells array<int>")
-    return found.select("query_id", "vector", F.explode("cells").alias("cell"))
-
-
-def _cut(rows: DataFrame, key: str, size: int, name: str) -> DataFrame:
-    """Rows with the number of parts of their cell, as ``name``; one total for each cell, of which there are MOST_CELLS at most."""
-    totals = rows.groupBy("cell").count().select("cell", F.ceil(F.col("count") / size).cast("int").alias(f"{name}s"))
-    return totals, rows.join(F.broadcast(totals), "cell").withColumn(name, F.pmod(F.xxhash64(key), F.col(f"{name}s")).cast("int")).drop(f"{name}s")
+    found = rows.mapInPandas(run, "query_id bigint, vector array<double>, buckets array<int>")
+    return found.select("query_id", "vector", F.explode("buckets").alias("bucket"))
 
 
 def candidates(codes: DataFrame, queries: DataFrame, model: Model, probes: int, refine: int, without_self: bool) -> DataFrame:
     """(query_id, doc_id): the ``refine`` nearest of each query by code, from its ``probes`` nearest cells."""
-    buckets, dealt = _cut(codes, "doc_id", BUCKET, "bucket")
-    blocks, asked = _cut(_probes(queries, model, probes), "query_id", BLOCK, "block")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    dealt = dealt.join(F.broadcast(blocks), "cell").withColumn("block", every("blocks")).drop("blocks")
-    asked = asked.join(F.broadcast(buckets), "cell").withColumn("bucket", every("buckets")).drop("buckets")
-
-    def run(key, rows: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(rows) and len(wanted):
-            codes = np.frombuffer(b"".join(rows["code"]), np.uint8).reshape(len(rows), -1)
-            ids = rows["doc_id"].to_numpy()
-            tables = model.tables(unit(wanted["vector"].tolist()), int(key[0]))
-            for i, query in enumerate(wanted["query_id"].tolist()):
-                gap = sum(t[i][codes[:, j]] for j, t in enumerate(tables))
-                if without_self:
-                    gap = np.where(ids == query, np.inf, gap)
-                best = np.lexsort((ids, gap))[:refine]
-                best = best[np.isfinite(gap[best])]
-                out.append(pd.DataFrame({"query_id": query, "doc_id": ids[best], "gap": gap[best]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "doc_id": [], "gap": []})
-
-    on = ("cell", "bucket", "block")
-    found = dealt.groupBy(*on).cogroup(asked.groupBy(*on)).applyInPandas(run, "query_id bigint, doc_id bigint, gap double")
-    order = Window.partitionBy("query_id").orderBy("gap", "doc_id")
+    m, every = queries.count(), probes >= len(model.centres)
+    placed, blocks = _buckets(codes, m), max(1, math.ceil(m / BLOCK))
+    places = codes.sparkSession.createDataFrame([(c, at, n) for c, (at, n) in placed.items()], "cell int, at int, parts int")
+    dealt = codes.join(F.broadcast(places), "cell").withColumn("bucket", F.col("at") + F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
+    dealt = dealt.select("doc_id", "cell", "code", "bucket", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    asked = _probes(queries, model, probes, placed).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    schema = pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("near", pa.float64())])
+
+    def run(key, rows: pa.Table, wanted: pa.Table) -> pa.Table:
+        if not rows.num_rows or not wanted.num_rows:
+            return schema.empty_table()
+        ids, cell, names = (t[c].to_numpy() for t, c in ((rows, "doc_id"), (rows, "cell"), (wanted, "query_id")))
+        x = model.decoded(np.frombuffer(b"".join(rows["code"].to_pylist()), np.uint8).reshape(len(ids), -1), cell)
+        kept = nearest.least_of_copies(x, np.zeros(len(ids), bool), ids, refine)
+        q, none = nearest.matrix(wanted["vector"], x.shape[1])
+        looked_up = None
+        if not every:
+            probed = np.zeros((len(names), len(model.centres)), bool)
+            np.put_along_axis(probed, model.cells(q / np.linalg.norm(q, axis=1, keepdims=True), probes), True, axis=1)
+            of = cell[kept]
+            looked_up = lambda asked, low, high: probed[asked[:, None], of[None, low:high]]
+        found = nearest.pair(nearest.Side(x[kept], np.zeros(len(kept), bool), ids[kept]), nearest.Side(q, none, names), refine, without_self, looked_up)
+        return pa.table([names[found[0]], found[1], found[2]], schema=schema)
+
+    on = ("bucket", "block")
+    found = dealt.groupBy(*on).cogroup(asked.groupBy(*on)).applyInArrow(run, "query_id bigint, doc_id bigint, near double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("near"), "doc_id")
     return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= refine).select("query_id", "doc_id")
 
 

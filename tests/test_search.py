@@ -48,6 +48,21 @@ def test_index_finds_what_exact_search_finds(spark, monkeypatch):
     assert cells.search(nothing, cells.index(nothing, empty), queries.limit(0), empty).count() == 0
 
 
+def test_cells_share_buckets_and_only_nearest_ones_are_looked_up(spark, monkeypatch):
+    monkeypatch.setattr(cells, "BUCKET", 200)
+    corpus, _ = _vectors(spark)
+    queries = corpus.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "vector")
+    model = cells.fit(corpus, 16, parts=4, cells=30)
+    codes = stored(cells.index(corpus, model), "test-buckets")
+    placed = cells._buckets(codes, 48)
+    assert sum(n for _, n in placed.values()) <= len(placed) + 5 and len({at for at, _ in placed.values()}) <= 10
+    of = {r["doc_id"]: r["cell"] for r in codes.collect()}
+    one = cells.candidates(codes, queries, model, 1, 5, True).collect()
+    assert one and all(of[r["query_id"]] == of[r["doc_id"]] and r["query_id"] != r["doc_id"] for r in one)
+    wide = cells.candidates(codes, queries, model, 30, 5, True).collect()
+    assert {q for q, _ in wide} == {i for i in of if i % 20 == 0} and len(wide) == 5 * len({q for q, _ in wide})
+
+
 def test_quantised_codes_stand_for_their_vectors(spark):
     corpus, rows = _vectors(spark)
     model = cells.fit(corpus, 16, parts=8)

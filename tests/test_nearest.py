@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.operators import ir, nearest, retrieval
-from corpusmill.plans import ranking
+from corpusmill.operators import ir, nearest, retrieval, truth
+from corpusmill.plans import preparation, ranking
 
 
 def _rows():
@@ -61,3 +61,20 @@ def test_judgements_by_group_are_those_of_pairs(spark):
     qrels = queries.join(corpus, "label").where("query_id <> doc_id").select("query_id", "doc_id", "rel")
     plain = lambda f: sorted(tuple(round(float(x), 9) for x in r) for r in f.collect())
     assert plain(ir.per_query_by_group(ranked, corpus, queries, "label")) == plain(ir.per_query(ranked, qrels, queries))
+    every = queries.join(corpus, "label").select("query_id", "doc_id", "rel")
+    assert plain(ir.per_query_by_group(ranked, corpus, queries, "label", without_self=False)) == plain(ir.per_query(ranked, every, queries))
+
+
+def test_baseline_by_group_is_that_of_listed_sources(spark):
+    docs = spark.createDataFrame([(i, i % 5) for i in range(50)], "doc_id long, rest long")
+    queries = spark.createDataFrame([(q, q % 5) for q in range(8)] + [(9, 77)], "query_id long, rest long")
+    ranked = spark.createDataFrame([(q, (q * 3 + r * 7) % 50, r) for q in (0, 1, 2, 3, 4, 9) for r in range(1, 14)], "query_id long, doc_id long, rank int")
+    errors = spark.createDataFrame([(3, "down"), (6, "down")], "query_id long, error string")
+    listed = queries.join(docs, "rest", "left").groupBy("query_id").agg(F.collect_list(F.col("doc_id").cast("string")).alias("sources"), F.lit(None).cast("string").alias("source_file"))
+    want = truth.keyword_baseline(listed, ranked.withColumn("doc_id", F.col("doc_id").cast("string")), errors)
+    assert sorted(map(str, truth.keyword_baseline_by_group(queries, docs, "rest", ranked, errors).collect())) == sorted(map(str, want.collect()))
+
+
+def test_baseline_lists_no_sources(spark, sf):
+    plan = preparation.QUERIES["keyword_baseline"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(doc_id" not in plan and "sources" not in plan

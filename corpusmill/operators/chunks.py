@@ -8,9 +8,12 @@ Sizes count the characters of the parts without the joints between them.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -208,13 +211,34 @@ def _chunk_texts(text: pd.Series, method: pd.Series, size: pd.Series, overlap: p
 chunk_texts = _chunk_texts.asNondeterministic()
 
 
-def udf_of(function: Callable[[str], list[str]]):
-    """A column function that applies a chunker to a text."""
+#: Bytes of text whose chunks are held at once, whatever Spark puts into a batch.
+SLICE = 1 << 20
 
-    def run(text: pd.Series) -> pd.Series:
-        return pd.Series([function(t) if t else [] for t in text])
 
-    return F.pandas_udf(run, T.ArrayType(T.StringType())).asNondeterministic()
+def _slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """Rows in order with about ``SLICE`` bytes of the text column ``at`` together, one row at least."""
+    part = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE
+    bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+    return (batch.slice(low, high - low) for low, high in zip(bounds, bounds[1:], strict=False))
+
+
+def exploded(docs: DataFrame, keys: list[str], text: str, function: Callable[..., list[str]], settings: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, chunk_index, total_chunks, chunk): a row for each chunk that ``function(text, *settings)`` gives; none for null and empty texts."""
+    fields = [T.StructField("chunk_index", T.IntegerType()), T.StructField("total_chunks", T.IntegerType()), T.StructField("chunk", T.StringType())]
+    rows, n = docs.select(*keys, text, *settings), len(keys)
+    names = [*keys, *(f.name for f in fields)]
+
+    def run(batches):
+        for part in (part for batch in batches for part in _slices(batch, n)):
+            given = (part.column(i).to_pylist() for i in range(n, part.num_columns))
+            made = [function(t, *rest) if t else [] for t, *rest in zip(*given, strict=True)]
+            sizes = np.array([len(m) for m in made], np.int32)
+            own = pa.array(np.repeat(np.arange(len(made)), sizes))
+            if len(own):
+                places = np.concatenate([np.arange(size, dtype=np.int32) for size in sizes])
+                yield pa.RecordBatch.from_arrays([*(part.column(i).take(own) for i in range(n)), pa.array(places), pa.array(np.repeat(sizes, sizes)), pa.array([c for m in made for c in m], pa.string())], names=names)
+
+    return rows.mapInArrow(run, T.StructType([rows.schema[k] for k in keys] + fields))
 
 
 # Default settings by content type: method, size, overlap, least, action.
@@ -245,8 +269,9 @@ def prefixed(text: Column, fields: dict[str, Column]) -> Column:
 
 def chunk_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, chunk_id, chunk_index, total_chunks, chunk) of the documents that are not skipped."""
-    made = configured(docs).where("action <> 'skip'").withColumn("chunks", chunk_texts("text", "method", "size", "overlap", "least"))
-    rows = made.select("doc_id", "content_type", F.size("chunks").alias("total_chunks"), F.posexplode("chunks").alias("chunk_index", "chunk"))
+    by_method = lambda t, m, size, overlap, least: METHODS.get(m, semantic)(t, size, overlap, least) if t.strip() else []
+    made = exploded(configured(docs).where("action <> 'skip'"), ["doc_id", "content_type"], "text", by_method, ("method", "size", "overlap", "least"))
+    rows = made.select("doc_id", "content_type", "total_chunks", "chunk_index", "chunk")
     return rows.withColumn("chunk_id", F.concat(F.lit("documents_"), F.col("doc_id"), F.lit("_"), F.col("chunk_index")))
 
 

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,3 +196,17 @@ def test_percent_is_printed_as_c_prints_it(spark):
     values = [2481.25, 7.25, 81.75, 0.15, 0.25, 0.35, -0.25, -7.35, 0.05, -0.05, 1234567.45, 99.9999, 0.0, -33.3333, 12.3456, 100.0, *(n / 20 for n in range(-400, 400))]
     rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", snapshots.one_digit(F.col("v")).alias("said"))
     assert [(r["v"], r["said"]) for r in rows.collect()] == [(v, "%.1f" % v) for v in values]
+
+
+def test_chunks_of_a_batch_are_held_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "SLICE", 40)
+    texts = [None, "", "a b", "c " * 60, "d", None, "e f g"]
+    together = lambda t, most: [*t.split(), str(most)]
+    rows = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id long, text string, most int").coalesce(1)
+    found = [tuple(r) for r in chunks.exploded(rows, ["doc_id"], "text", together, ("most",)).collect()]
+    assert found == [(i, n, len(t.split()) + 1, c) for i, t in enumerate(texts) if t for n, c in enumerate([*t.split(), str(i)])]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(chunks._slices(batch, 1))
+    assert len(parts) > 1 and pa.Table.from_batches(parts).to_pydict() == pa.Table.from_batches([batch]).to_pydict()
+    assert all(sum(len(t or "") for t in p.column(1).to_pylist()[1:]) <= 40 for p in parts)
+    assert sum(p.num_rows for p in chunks._slices(batch.slice(0, 0), 1)) == 0

@@ -14,7 +14,7 @@ from __future__ import annotations
 from datetime import timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -32,13 +32,11 @@ def _plain(value):
     return None if value is None or value is pd.NaT or (isinstance(value, float) and value != value) else value
 
 
-def _whole(value):
-    value = _plain(value)
-    return None if value is None else int(value)
-
-
 class Entries(StatefulProcessor):
-    """Folds the rows of an id by revision and time; gives the changed entry, if there is one."""
+    """Folds the rows of an id by revision and time; gives the changed entry, if there is one.
+
+    It works on rows: an id has few of them, and a data frame for each id costs more than all else.
+    """
 
     def __init__(self, keep_days: int):
         self.keep = timedelta(days=keep_days)
@@ -48,19 +46,15 @@ class Entries(StatefulProcessor):
         self.entry = handle.getValueState("entry", ENTRY)
 
     def handleInputRows(self, key, rows, timerValues):
-        old = self.entry.get() if self.entry.exists() else None
-        entry, before = old, old
-        batch = pd.concat(list(rows))
-        order = sorted(batch.to_dict("records"), key=lambda r: (_whole(r["revision"]) is not None, _whole(r["revision"]) or 0, r["at"]))
-        for r in order:
-            revision = _whole(r["revision"])
-            if entry is not None and ((entry[0] if entry[0] is not None else -1) > (revision if revision is not None else -1)):
+        entry = before = self.entry.get()
+        for r in sorted(rows, key=lambda r: (r.revision is not None, r.revision or 0, r.at)):
+            if entry is not None and ((entry[0] if entry[0] is not None else -1) > (r.revision if r.revision is not None else -1)):
                 continue
-            gone = r["op"] == "delete"
-            values = (revision, _plain(r["hash"]), _whole(r["size"]), _plain(r["namespace"])) if not gone else (revision, *(entry[1:4] if entry else (None, None, None)))
+            gone = r.op == "delete"
+            values = (r.revision, r.hash, r.size, r.namespace) if not gone else (r.revision, *(entry[1:4] if entry else (None, None, None)))
             if entry is not None and entry[4] == gone and (gone or tuple(entry[:4]) == values):
                 continue
-            entry = (*values, gone, r["at"].to_pydatetime(), (entry[6] if entry else 0) + 1)
+            entry = (*values, gone, r.at, (entry[6] if entry else 0) + 1)
         if entry is before:
             return
         self.entry.update(tuple(entry))
@@ -70,7 +64,7 @@ class Entries(StatefulProcessor):
         if not was and entry[4] and before is None:
             return  # deleted before it was ever seen: a tombstone and no change
         change = "deleted" if entry[4] else "modified" if was else "added"
-        yield pd.DataFrame([(key[0], *entry[:4], change, entry[5], entry[6])], columns=["id", *NAMES, "change", "at", "version"]).astype({"revision": "Int64", "size": "Int64"})
+        yield Row(id=key[0], **dict(zip(NAMES, entry, strict=False)), change=change, at=entry[5], version=entry[6])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         entry = self.entry.get() if self.entry.exists() else None
@@ -110,7 +104,9 @@ def _follow(spark: SparkSession, path: str, schema: str, time: str, key: str, pr
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     rows = own.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(path).where(f"{key} is not null and {time} is not null")
-    changed = rows.withWatermark(time, "0 seconds").groupBy(key).transformWithStateInPandas(processor, outputStructType=output, outputMode="Append", timeMode=mode)
+    keyed = rows.withWatermark(time, "0 seconds").groupBy(key)
+    fold = keyed.transformWithState if isinstance(processor, Entries) else keyed.transformWithStateInPandas
+    changed = fold(processor, outputStructType=output, outputMode="Append", timeMode=mode)
     changed.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 

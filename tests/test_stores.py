@@ -123,6 +123,13 @@ def test_keyed_feed_writes_changes_only_and_takes_up_after_a_stop(spark, tmp_pat
     assert spark.read.parquet(f"{steps}/out").count() == len(written)
 
 
+def test_long_revisions_beside_a_missing_one_stay_whole(spark, tmp_path):
+    base, long = str(tmp_path), 2**53 + 1
+    entries(spark, f"{base}/in", ("a", None, "x", "put", 0), ("a", long, "y", "put", 1))
+    keyed.follow_entries(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint")
+    assert [(r["revision"], r["hash"], r["version"], r["at"]) for r in spark.read.parquet(f"{base}/out").collect()] == [(long, "y", 2, DAY + datetime.timedelta(days=1))]
+
+
 def test_tombstones_go_with_their_timer(spark, tmp_path):
     base = str(tmp_path)
     for rows in ([("a", 5, "x", "put", 0)], [("a", 6, None, "delete", 1)], [("k", 1, "x", "put", 100)], [("k", 2, "y", "put", 101)], [("a", 2, "old", "put", 102)]):

@@ -1,10 +1,12 @@
 """Chunk sizes compared by what is retrieved from them, in one plan over all sizes.
 
-One pass over the documents cuts each at every size, makes a vector of every different
-chunk (by digest: equal chunks of any size or document of a slice share it), scores these
-against a block of queries, and keeps the best of each size and query.  A task sends its
+One pass over the documents cuts each at every size, makes a vector of every chunk, scores
+these against a block of queries, and keeps the best of each size and query.  Windows of
+fixed size are counted without cutting: a text is split into words once for all sizes, and
+only the words that a window's end cuts are looked at again.  Otherwise every different
+chunk is given to the model (by digest: equal chunks of any size or document of a slice).  A task sends its
 best and its numbers of chunks and nothing else, so no text and no vector is written or
-moved.  Queries come in blocks of ``QUERIES``, each with a pass of its own.
+moved; these bests are written once.  Queries come in blocks of ``QUERIES``, each with a pass of its own.
 
 Null, empty and blank texts have no chunks.  Copies tie and go by document and place.
 """
@@ -20,6 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import stored
 from . import ir
 
 #: Queries of one pass; with their vectors this is all that every task is given.
@@ -40,13 +43,61 @@ class WordCounts:
         if len(self.places) > WORDS:
             self.places.clear()
         for row, text in zip(out, texts, strict=True):
-            words = text.lower().encode().split()
-            for w in words:
-                if w not in self.places:
-                    self.places[w] = int(hashlib.md5(w).hexdigest()[:8], 16) % self.dimensions
-            np.add.at(row, [self.places[w] for w in words], 1)
+            np.add.at(row, self._placed(text.lower().encode().split()), 1)
         return out
 
+    def _placed(self, words: list[bytes]) -> list[int]:
+        for w in set(words).difference(self.places):
+            self.places[w] = int.from_bytes(hashlib.md5(w).digest()[:4]) % self.dimensions
+        return list(map(self.places.__getitem__, words))
+
+    def windows(self, texts: list[str], sizes: list[int]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(size, vectors, text number, place) of the windows of ``fixed`` that hold more than spaces.
+
+        A text must be as long in lower case, and each of its letters there by itself (``alike``).
+        """
+        if len(self.places) > WORDS:
+            self.places.clear()
+        low = "\n".join(t.lower() for t in texts)
+        codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), "<u4")
+        black = np.r_[False, (codes > 32) | (codes < 9) | ((codes > 13) & (codes < 32)), False]
+        turns = np.flatnonzero(black[1:] != black[:-1])
+        starts, ends = turns[::2], turns[1::2]
+        placed = np.array(self._placed(low.encode().split()), np.int64)
+        lengths = np.array([len(t) for t in texts])
+        heads = np.cumsum(lengths + 1) - lengths - 1
+        doc = np.searchsorted(heads, starts, "right") - 1
+        first, last = starts - heads[doc], ends - heads[doc] - 1
+        filled = np.r_[0, np.cumsum(codes != 32)]
+        for size in sizes:
+            n = -(-lengths // size)
+            base = np.cumsum(n) - n
+            number = np.repeat(np.arange(len(texts)), n)
+            place = np.arange(len(number)) - base[number]
+            row, end = base[doc] + first // size, base[doc] + last // size
+            whole = row == end
+            cells = row[whole] * self.dimensions + placed[whole]
+            rows, pieces = [], []
+            for head, at, stop in zip(heads[doc[~whole]].tolist(), starts[~whole].tolist(), ends[~whole].tolist(), strict=True):
+                while at < stop:
+                    till = min(stop, head + ((at - head) // size + 1) * size)
+                    pieces.append(low[at:till].encode())
+                    rows.append(till - 1)
+                    at = till
+            if rows:
+                ats = np.array(rows)
+                of = np.searchsorted(heads, ats, "right") - 1
+                cells = np.r_[cells, (base[of] + (ats - heads[of]) // size) * self.dimensions + self._placed(pieces)]
+            vectors = np.bincount(cells, minlength=len(number) * self.dimensions).reshape(len(number), self.dimensions).astype(float)
+            low_end = heads[number] + place * size
+            held = np.flatnonzero(filled[np.minimum(low_end + size, heads[number] + lengths[number])] > filled[low_end])
+            yield size, vectors[held], number[held], place[held]
+
+
+def alike(text: str) -> bool:
+    """Is a piece of the text in lower case the piece of the text in lower case?"""
+    return len(text.lower()) == len(text) and "\u03a3" not in text
+
 
 def fixed(text: str, size: int) -> list[str]:
     """Windows of ``size`` characters."""
@@ -62,7 +113,7 @@ class Best:
 
     def add(self, scores: np.ndarray, docs: np.ndarray, places: np.ndarray) -> None:
         """Chunks by queries; a chunk that ties with the k-th best is looked at."""
-        own = np.partition(scores, -self.k, axis=0)[-self.k] if len(scores) > self.k else np.zeros(scores.shape[1])
+        own = np.partition(scores, -self.k, axis=0)[-self.k] if len(scores) > self.k and not self.least.all() else np.zeros(scores.shape[1])
         at, q = np.nonzero((scores >= np.maximum(self.least, own)) & (scores > 0))
         if not len(at):
             return
@@ -94,13 +145,27 @@ def retrieved(docs: DataFrame, queries: pd.DataFrame, sizes: list[int], k: int,
         embedder = model()
         best = {s: Best(k, len(names)) for s in sizes}
         n = dict.fromkeys(sizes, 0)
+
+        def score(s, vectors, ids, places):
+            n[s] += len(ids)
+            # counts are whole numbers: products are exact, and equal chunks score alike
+            norms = np.sqrt((vectors * vectors).sum(1))
+            best[s].add((vectors @ asked.T) / np.maximum(lengths[None, :] * norms[:, None], 1e-300), ids, places)
+
         for pdf in _slices(batches):
+            pdf = pdf[pdf["text"].str.len() > 0]
+            plain = pdf["text"].map(alike).astype(bool) if cut is fixed and hasattr(embedder, "windows") else pd.Series(False, index=pdf.index)
+            if plain.any():
+                ids = pdf["doc_id"][plain].to_numpy()
+                for s, vectors, number, places in embedder.windows(pdf["text"][plain].tolist(), sizes):
+                    if len(number):
+                        score(s, vectors, ids[number], places)
             numbers: dict[bytes, int] = {}
             texts: list[str] = []
             held = {s: ([], [], []) for s in sizes}
-            for doc, text in zip(pdf["doc_id"].tolist(), pdf["text"], strict=True):
+            for doc, text in zip(pdf["doc_id"][~plain].tolist(), pdf["text"][~plain], strict=True):
                 for s in sizes:
-                    for place, chunk in enumerate(cut(text, s) if text else []):
+                    for place, chunk in enumerate(cut(text, s)):
                         if chunk.strip(" "):
                             key = hashlib.md5(chunk.encode()).digest()
                             if key not in numbers:
@@ -108,16 +173,10 @@ def retrieved(docs: DataFrame, queries: pd.DataFrame, sizes: list[int], k: int,
                                 texts.append(chunk)
                             for column, x in zip(held[s], (numbers[key], doc, place), strict=True):
                                 column.append(x)
-            if not texts:
-                continue
-            vectors = embedder.embed(texts)
-            # counts are whole numbers: products are exact, and equal chunks score alike
-            norms = np.sqrt((vectors * vectors).sum(1))
-            scores = (vectors @ asked.T) / np.maximum(lengths[None, :] * norms[:, None], 1e-300)
+            vectors = embedder.embed(texts) if texts else None
             for s, (own, ids, places) in held.items():
-                n[s] += len(own)
                 if own:
-                    best[s].add(scores[own], np.array(ids), np.array(places))
+                    score(s, vectors[own], np.array(ids), np.array(places))
         for s in sizes:
             rows = best[s].rows.assign(size=s, chunks=0)
             yield rows.assign(query=names[rows["q"]]).drop(columns="q")[ORDER]
@@ -161,6 +220,8 @@ def compare(docs: DataFrame, questions: DataFrame, sizes: list[int], k: int = 10
     for block in _blocks(asked):
         one, held = retrieved(docs, block, sizes, k, cut, model), holders(docs, block)
         found, wanted = (one, held) if found is None else (found.unionByName(one.withColumn("chunks", F.lit(0).cast("long"))), wanted.unionByName(held))
+    # both are read several times, and each reading would be a pass over the documents
+    found, wanted = stored(found, "best"), stored(wanted, "holders")
     hits = found.where("query is not null")
     order = Window.partitionBy("size", "query").orderBy(F.desc("score"), "doc_id", "chunk_index")
     best = hits.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)

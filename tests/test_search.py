@@ -1,6 +1,9 @@
 """Indexed search, posting blocks and chunk sizes against plain versions."""
 
+import random
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,3 +127,29 @@ def test_best_chunks_over_slices_are_the_best_of_all():
     for q in range(7):
         want = sorted(range(400), key=lambda i: (-scores[i, q], docs[i], places[i]))[:10]
         assert best.rows[best.rows["q"] == q]["chunk_index"].tolist() == want
+
+
+def test_windows_are_the_vectors_of_the_chunks_that_are_cut():
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("ab \nÄé\t\x0b\x1c xyz😀 ") for _ in range(rng.randrange(1, 90))) for _ in range(300)] + [" " * 36, "a" * 50, " ", "\n"]
+    model = chunksizes.WordCounts(16)
+    for size, vectors, number, place in model.windows(texts, [3, 7, 16]):
+        chunks = [(i, p, c) for i, t in enumerate(texts) for p, c in enumerate(chunksizes.fixed(t, size)) if c.strip(" ")]
+        assert list(zip(number.tolist(), place.tolist(), strict=True)) == [c[:2] for c in chunks]
+        assert (vectors == model.embed([c for _, _, c in chunks])).all()
+    assert [chunksizes.alike(t) for t in ("aÄ", "İ", "ΟΔΟΣ")] == [True, False, False]
+
+
+def test_texts_that_change_in_lower_case_are_cut_first(spark):
+    texts = [(1, "İstanbul liegt am Meer und ist eine große Stadt"), (2, "ΟΔΟΣ ΟΔΟΣΑ ist ein Weg in der Stadt"), (3, "Wege und Meere liegen in der Stadt am Meer")]
+    docs, asked = spark.createDataFrame(texts, "doc_id long, text string"), pd.DataFrame({"query": [1, 2], "text": ["am Meer", "οδος ist ein Weg"]})
+    found = chunksizes.retrieved(docs, asked, [9], 20, model=lambda: chunksizes.WordCounts(4096)).where("query is not null").collect()
+    model = chunksizes.WordCounts(4096)
+    want = {}
+    for q, v in zip((1, 2), model.embed(list(asked["text"])), strict=True):
+        for doc, text in texts:
+            for place, chunk in enumerate(chunksizes.fixed(text, 9)):
+                c = model.embed([chunk])[0]
+                if v @ c > 0:
+                    want[q, doc, place] = (v @ c) / ((v @ v) ** 0.5 * (c @ c) ** 0.5)
+    assert {(r["query"], r["doc_id"], r["chunk_index"]): round(r["score"], 9) for r in found} == {k: round(s, 9) for k, s in want.items()}

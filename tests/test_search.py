@@ -7,7 +7,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.operators import cells, chunksizes, postings
+from corpusmill.operators import cells, chunksizes, postings, retrieval
+from corpusmill.plans import ranking
 from corpusmill.sources.shared import stored
 
 
@@ -153,3 +154,31 @@ def test_texts_that_change_in_lower_case_are_cut_first(spark):
                 if v @ c > 0:
                     want[q, doc, place] = (v @ c) / ((v @ v) ** 0.5 * (c @ c) ** 0.5)
     assert {(r["query"], r["doc_id"], r["chunk_index"]): round(r["score"], 9) for r in found} == {k: round(s, 9) for k, s in want.items()}
+
+
+def test_sparse_shards_give_their_best_only(spark, monkeypatch):
+    """Shards and blocks of queries give the lists that all pairs give, and few rows besides: equal texts, ties by rounding, an id and terms that nothing shares."""
+    monkeypatch.setattr(retrieval, "SHARD", 16)
+    monkeypatch.setattr(retrieval, "ASKED", 3)
+    monkeypatch.setattr(retrieval, "ROWS", 7)
+    rows = [(d, t, float((d % 5 * 7 + j * 3) % 11) / 10 + 0.1 + (d % 3) * 1e-6) for d in range(90) for j, t in enumerate(("all", f"w{d % 4}", f"w{d % 5}x"))]
+    docs = spark.createDataFrame([*rows, (None, "all", 0.5), (1000, "unasked", 1.0)], "doc_id long, term string, weight double")
+    asked = spark.createDataFrame([(q, t, w) for q in range(8) for t, w in (("all", 1.0 + q), (f"w{q % 5}x", 0.5), ("nowhere", 1.0))], "query_id long, term string, weight double")
+    ranked = lambda found: sorted(tuple(r) for r in retrieval.top_k(found.withColumn("score", F.round("score", 4)), 4).select("query_id", "rank", "doc_id", "score").collect())
+    best = retrieval.sparse_best(docs, asked, 4, 92)
+    assert ranked(best) == ranked(retrieval.sparse_scores(docs, asked))
+    assert best.count() < retrieval.sparse_scores(docs, asked).count()
+    # a word that stands in every document: pairs are not dealt out, a shard gives k rows a query
+    same = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("all").alias("term"), F.lit(1.0).alias("weight"))
+    assert retrieval.sparse_best(same, asked, 4, 400).count() == 8 * 4 * 25
+    assert [r["doc_id"] for r in retrieval.top_k(retrieval.sparse_best(same, asked, 4, 400), 4).where("query_id = 0").orderBy("rank").collect()] == [0, 1, 2, 3]
+    none = docs.where("false")
+    assert retrieval.sparse_best(none, asked, 4, 0).count() == 0 and retrieval.sparse_best(docs, asked.where("false"), 4, 92).count() == 0
+
+
+def test_sparse_hits_deal_out_no_pairs(spark, sf, monkeypatch):
+    def pairs(*_):
+        raise AssertionError("all pairs of documents and queries")
+
+    monkeypatch.setattr(retrieval, "sparse_scores", pairs)
+    assert ranking.hybrid_rrf(spark, sf).count() > 0

@@ -49,6 +49,55 @@ def test_blocks_find_what_all_pairs_give(spark, monkeypatch, sizes, without_self
     assert retrieval.dense_top_k(corpus.limit(0), queries, 5).count() == retrieval.dense_top_k(corpus, queries.limit(0), 5).count() == 0
 
 
+def _repeated():
+    """Rows of which some have the id of a query, and nearly its vector."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(60, 8))
+    rows = [(i, x[i].tolist()) for i in range(60)]
+    more = [(i, (x[i] + rng.normal(size=8) / 1000).tolist()) for i in (0, 20) for _ in range(14)]
+    return rows, [*rows, *more, (21, [float("inf")] * 8), (22, [1e200] * 8), (22, x[22].tolist()), (40, [0.0] * 8), (41, [0.0] * 8)]
+
+
+def _nearest(rows, q, v, k):
+    scored = [(i, _score(w, v)) for i, w in rows if i != q]
+    return [(i, str(s + 0.0)) for i, s in sorted(scored, key=lambda x: (-math.inf if math.isnan(x[1]) else -x[1], x[0]))[:k]]
+
+
+def test_rows_of_the_id_of_a_query_hide_no_others(spark):
+    asked, rows = _repeated()
+    corpus = spark.createDataFrame(rows, "doc_id long, vector array<double>").repartition(3)
+    queries = spark.createDataFrame([r for r in asked if r[0] % 20 == 0], "query_id long, vector array<double>")
+    found = {}
+    for r in retrieval.dense_top_k(corpus, queries, 5, without_self=True).collect():
+        found.setdefault(r["query_id"], {})[r["rank"]] = (r["doc_id"], str(r["score"] + 0.0))
+    for q, v in asked:
+        if q % 20 == 0:
+            assert [found.get(q, {}).get(n + 1) for n in range(5)] == _nearest(rows, q, v, 5)
+
+
+@pytest.mark.parametrize("sizes", [{}, {"FIRST": 8, "TILE": 16, "QUERIES": 3, "PAIRS": 5}, {"FIRST": 8, "TILE": 16, "HELD": 0}, {"FIRST": 3, "TILE": 5, "QUERIES": 7, "HELD": 12}])
+def test_a_pair_of_blocks_gives_the_best_of_every_query(monkeypatch, sizes):
+    for name, size in sizes.items():
+        monkeypatch.setattr(nearest, name, size, raising=False)
+    asked, rows = _repeated()
+    asked = [*asked, (500, [0.0] * 8), (501, [float("inf"), *[1.0] * 7])]
+    side = lambda held: nearest.Side(np.array([v for _, v in held]), np.zeros(len(held), bool), np.array([i for i, _ in held]))
+    qi, ids, score = nearest.pair(side(rows), side(asked), 5, True)
+    for n, (q, v) in enumerate(asked):
+        best = sorted(zip(ids[qi == n].tolist(), score[qi == n].tolist(), strict=True), key=lambda x: (-math.inf if math.isnan(x[1]) else -x[1], x[0]))
+        assert [(i, str(s + 0.0)) for i, s in best] == _nearest(rows, q, v, 5)
+
+
+def test_pairs_of_blocks_are_not_put_together_in_few_tasks(spark, monkeypatch):
+    for name, size in {"ROWS": 40, "LEAST_ROWS": 20, "ASKED": 7}.items():
+        monkeypatch.setattr(nearest, name, size)
+    corpus = spark.createDataFrame([(i, v) for i, v in _rows() if v is not None], "doc_id long, vector array<double>")
+    queries = corpus.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "vector")
+    of_rows, of_queries = nearest.blocks(corpus.count(), queries.count())
+    tasks = nearest.top_k(corpus, queries, 5).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > of_rows * of_queries / 2
+
+
 def test_search_and_metrics_list_no_pairs(spark, sf):
     plan = ranking.metrics(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Cross" not in plan

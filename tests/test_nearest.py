@@ -2,10 +2,12 @@
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpusmill import catalog
 from corpusmill.operators import ir, nearest, retrieval, truth
 from corpusmill.plans import preparation, ranking
 
@@ -75,6 +77,20 @@ def test_rows_of_the_id_of_a_query_hide_no_others(spark):
             assert [found.get(q, {}).get(n + 1) for n in range(5)] == _nearest(rows, q, v, 5)
 
 
+@pytest.mark.parametrize("name", ["dense_topk", "ranked_heads"])
+def test_ids_that_stand_in_several_rows(spark, sf, tmp_path, name):
+    path = str(tmp_path / "embeddings.parquet")
+    held = spark.read.parquet(f"{sf}/embeddings.parquet")
+    more = held.where("vec_id in (0, 20, 41)").crossJoin(spark.range(1, 15).withColumnRenamed("id", "n"))
+    moved = more.withColumn("embedding", F.transform("embedding", lambda x: (x * 1.5 + F.col("n") / 10000).cast("float"))).drop("n")
+    held.unionByName(moved).coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{path}/*.parquet'")
+    frame = catalog.QUERIES[name](spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(frame.columns)} FROM ({catalog.ORACLE_SQL[name]})").fetchall()
+    assert sorted(map(tuple, frame.collect())) == sorted(want)
+
+
 @pytest.mark.parametrize("sizes", [{}, {"FIRST": 8, "TILE": 16, "QUERIES": 3, "PAIRS": 5}, {"FIRST": 8, "TILE": 16, "HELD": 0}, {"FIRST": 3, "TILE": 5, "QUERIES": 7, "HELD": 12}])
 def test_a_pair_of_blocks_gives_the_best_of_every_query(monkeypatch, sizes):
     for name, size in sizes.items():

@@ -77,7 +77,7 @@ def test_rows_of_the_id_of_a_query_hide_no_others(spark):
             assert [found.get(q, {}).get(n + 1) for n in range(5)] == _nearest(rows, q, v, 5)
 
 
-@pytest.mark.parametrize("name", ["dense_topk", "ranked_heads"])
+@pytest.mark.parametrize("name", ["dense_topk", "ranked_heads", "access_filtered"])
 def test_ids_that_stand_in_several_rows(spark, sf, tmp_path, name):
     path = str(tmp_path / "embeddings.parquet")
     held = spark.read.parquet(f"{sf}/embeddings.parquet")

@@ -130,7 +130,10 @@ def _runs(lines: Iterable[str]) -> Iterable[tuple[bool, list[str]]]:
 
 
 def by_table(text: str, size: int = 2048, overlap: int = 50, least: int = 100) -> list[str]:
-    """Tables whole, or cut between rows with their head repeated; headings that stand alone go before the next table."""
+    """Tables whole, or cut between rows with their head repeated; headings that stand alone go before the next table.
+
+    A text of nothing but headings is one chunk, stripped as documents are when they are loaded.
+    """
     out: list[str] = []
     context = ""
     for is_table, lines in _runs(text.split("\n")):
@@ -159,7 +162,7 @@ def by_table(text: str, size: int = 2048, overlap: int = 50, least: int = 100) -
         elif filled:
             context = heads[-1] if heads else context
             out += semantic("\n".join(filled).strip(), size, overlap, least)
-    return out or [text]
+    return out or [text.strip() or text]
 
 
 def simple(text: str, size: int = 512, overlap: int = 50) -> list[str]:

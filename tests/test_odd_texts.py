@@ -1,11 +1,12 @@
 """Queries against their SQL on documents with little or nothing in them."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from corpusmill.operators import chunks
+from corpusmill.operators import chunks, scores
 from corpusmill.plans import evaluation
 
-TEXTS = ("", " ", "\n", "\n\n", " \n ", "A", "A.", "two\nlines", "a b. c d")
+TEXTS = ("", " ", "**", "//", "[[", "\n", "\n\n", " \n ", "A", "A.", "two\nlines", "a b. c d")
 
 
 @pytest.fixture(scope="module")
@@ -33,3 +34,9 @@ def equal(spark, odd, name):
 def test_tables_of_pages_that_are_headings_only(spark, odd):
     assert chunks.by_table("== A ==\n\n") == ["== A =="] and chunks.by_table("# A\n\n# B\n") == ["# A\n\n# B"]
     equal(spark, odd, "chunk_table")
+
+
+def test_scores_of_pages_of_nothing_but_markup(spark, odd):
+    rows = spark.createDataFrame([("** **", "x"), ("a", "a")], "source string, result string")
+    assert [r[0] for r in rows.select(scores.completeness(F.col("source"), F.col("result"))).collect()] == [0.0, 1.0]
+    equal(spark, odd, "doc_scores")
